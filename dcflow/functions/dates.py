@@ -55,7 +55,7 @@ def parse_datestamp(s: Column | str) -> Column:
 def parse_iso_date(s: Column | str) -> Column:
     """Strict ``YYYY-MM-DD``; anything else (one-digit fields, times, junk) -> NULL."""
     c = _c(s)
-    return F.when(c.rlike(r"^\d{4}-\d{2}-\d{2}$"), F.try_to_date(c, F.lit("yyyy-MM-dd")))
+    return F.when(c.rlike(r"^\d{4}-\d{2}-\d{2}$"), F.try_to_date(c, "yyyy-MM-dd"))
 
 
 def day_range(d: Column | str, legacy: bool = False) -> tuple[Column, Column]:
