@@ -80,13 +80,20 @@ def backfill_bounds(start: str | None, end: str | None,
     return lo, hi
 
 
+def ordered_bounds(lo: Column, hi: Column) -> tuple[Column, Column]:
+    """``(min, max)`` of two bounds; both NULL if either is NULL (``least``
+    alone would skip the NULL and return the other bound)."""
+    both = lo.isNotNull() & hi.isNotNull()
+    return F.when(both, F.least(lo, hi)), F.when(both, F.greatest(lo, hi))
+
+
 def days_between(lo: Column, hi: Column, end_inclusive: bool = True) -> Column:
     """Every day of a range as an array of dates.
 
     A reversed range is swapped; a half-open range drops the last day; a NULL
     bound gives an empty array.
     """
-    a, b = F.least(lo, hi), F.greatest(lo, hi)
+    a, b = ordered_bounds(lo, hi)
     if not end_inclusive:
         b = F.date_sub(b, 1)
     seq = F.when(a <= b, F.sequence(a, b, F.expr("INTERVAL 1 DAY")))

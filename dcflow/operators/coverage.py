@@ -16,7 +16,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from ..functions.dates import days_between, harvest_date, lit_date
+from ..functions.dates import days_between, harvest_date, lit_date, ordered_bounds
 from ..functions.jsonfmt import array_to_json
 from .query import date_between
 
@@ -68,7 +68,7 @@ def existing_dates(df: DataFrame, sets: Sequence[str] | None, lo: DateLike, hi:
     With ``sets=None`` there is no set predicate and ``set_spec`` is NULL.
     The date range is applied to the timestamp first (pushed to the scan).
     """
-    a, b = F.least(lit_date(lo), lit_date(hi)), F.greatest(lit_date(lo), lit_date(hi))
+    a, b = ordered_bounds(lit_date(lo), lit_date(hi))
     rows = df.select(ts_col, "header_setSpecs").filter(date_between(a, b, ts_col))
     if sets is None:
         rows = rows.withColumn("set_spec", F.lit(None).cast("string"))

@@ -18,11 +18,13 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..operators.merge import KEY, latest_per_key, upsert
+from ..operators.merge import KEY, latest_per_key, upsert, upsert_small_batch
 from ..schemas import RECORD_COLUMNS, TABLE
 from ..session import checkpoint_dir, path_exists
 
 DEFAULT_BUCKETS = 64
+# A merged batch of at most this many records is broadcast (see merge_into).
+BROADCAST_BATCH_ROWS = 500_000
 
 
 def bucket_of(key: Column | str = KEY, num_buckets: int = DEFAULT_BUCKETS) -> Column:
@@ -45,15 +47,19 @@ def read_metadata(spark: SparkSession, path: str) -> DataFrame:
 
 
 def write_metadata(df: DataFrame, path: str, num_buckets: int = DEFAULT_BUCKETS,
-                   max_records_per_file: int | None = None) -> None:
+                   max_records_per_file: int | None = None, shuffle: bool = True) -> None:
     """K2: write rows into their bucket folders, replacing only those buckets.
 
-    Rows are hash-partitioned by bucket so each bucket folder gets files from
-    one task; ``max_records_per_file`` caps file size.
+    With ``shuffle`` rows are hash-partitioned by bucket so each bucket folder
+    gets files from one task; without it every task writes the buckets it
+    holds (for input already laid out by bucket). ``max_records_per_file``
+    caps file size.
     """
     out = df.withColumn("bucket", bucket_of(KEY, num_buckets)) \
             .select(*[f.name for f in TABLE.fields])
-    w = out.repartition("bucket").write.mode("overwrite") \
+    if shuffle:
+        out = out.repartition("bucket")
+    w = out.write.mode("overwrite") \
            .option("partitionOverwriteMode", "dynamic").partitionBy("bucket")
     if max_records_per_file:
         w = w.option("maxRecordsPerFile", int(max_records_per_file))
@@ -72,18 +78,31 @@ def merge_into(spark: SparkSession, path: str, incoming: DataFrame,
 
     The batch is deduplicated (last in ``seq`` wins) and checkpointed to the
     shared checkpoint folder, so the pages are parsed once even though the
-    batch is used twice. Only the list of touched buckets (at most
-    ``num_buckets`` integers) reaches the driver.
+    batch is used several times. Only the batch's row count and the list of
+    touched buckets (at most ``num_buckets`` integers) reach the driver.
+
+    A batch counted at most ``BROADCAST_BATCH_ROWS`` rows is merged with
+    broadcast joins: the touched buckets are scanned and rewritten but never
+    shuffled (the batch's own rows are grouped by bucket, one small file per
+    bucket). A larger batch takes the shuffle (full outer) merge.
     """
     checkpoint_dir(spark)
     ensure_table(spark, path)
     wanted = list(dict.fromkeys([*RECORD_COLUMNS, *[c for c in seq if isinstance(c, str)]]))
     batch = latest_per_key(incoming.select(*wanted), seq, KEY) \
         .withColumn("bucket", bucket_of(KEY, num_buckets)).checkpoint(eager=True)
+    n = batch.count()
     touched = sorted(r[0] for r in batch.select("bucket").distinct().collect())
     if not touched:
-        return {"touched_buckets": 0}
+        return {"touched_buckets": 0, "batch_rows": 0, "strategy": "none"}
     base = read_metadata(spark, path).filter(F.col("bucket").isin(touched))
-    merged = upsert(base, batch.drop("bucket"), as_of, seq=None)
-    write_metadata(merged, path, num_buckets)
-    return {"touched_buckets": len(touched)}
+    if n <= BROADCAST_BATCH_ROWS:
+        merged = upsert_small_batch(base, batch.drop("bucket").repartition(
+            bucket_of(KEY, num_buckets)), as_of)
+        write_metadata(merged, path, num_buckets, shuffle=False)
+        strategy = "broadcast"
+    else:
+        merged = upsert(base, batch.drop("bucket"), as_of, seq=None)
+        write_metadata(merged, path, num_buckets)
+        strategy = "shuffle"
+    return {"touched_buckets": len(touched), "batch_rows": n, "strategy": strategy}
