@@ -22,6 +22,32 @@ LEGACY_RETRYABLE = (503, 429)
 DEFAULT_DELAY_MS = 3000
 
 
+def page_ledger(parsed: DataFrame, run_id: str = "") -> DataFrame:
+    """The run ledger of landed pages: one row per request (set, from, until
+    as echoed by the server), ``n`` = records kept (identifier present, not
+    deleted) over all its pages, ``0`` for an empty answer, ``-1`` if any page
+    was malformed or an error other than no-records. ``elapsed_s`` is unknown
+    from pages and left NULL.
+    """
+    from ..sources.pages import STATUS_ERROR, STATUS_MALFORMED, status_of
+
+    recs = F.coalesce(F.size(F.filter(
+        "records", lambda r: (F.length(F.try_element_at(r["header"]["identifier"], F.lit(-1))) > 0)
+        & (F.coalesce(r["header"]["_status"], F.lit("")) != F.lit("deleted")))), F.lit(0))
+    pages = parsed.select(
+        F.col("request_set").alias("set_spec"),
+        F.to_date(F.col("request_from").try_cast("timestamp_ntz")).alias("d"),
+        F.col("request_until"),
+        status_of().isin(STATUS_MALFORMED, STATUS_ERROR).alias("_failed"),
+        recs.alias("_kept"))
+    g = pages.groupBy("set_spec", "d", "request_until").agg(
+        F.bool_or("_failed").alias("_failed"), F.sum("_kept").alias("_kept"))
+    return g.select(F.lit(run_id).alias("run_id"), "set_spec", "d",
+                    F.when(F.col("_failed"), F.lit(-1)).otherwise(F.col("_kept")).cast("bigint")
+                     .alias("n"),
+                    F.lit(None).cast("double").alias("elapsed_s"))
+
+
 def harvest_summary(ledger: DataFrame, by: Sequence[str] = ("run_id",)) -> DataFrame:
     """A3: requests processed, successful (n >= 0), failed (n < 0), and the
     total of records stored (sum of positive n)."""

@@ -11,6 +11,7 @@ from __future__ import annotations
 
 import datetime as _dt
 from collections.abc import Sequence
+from dataclasses import dataclass, replace
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -100,3 +101,34 @@ def query(df: DataFrame, where: Sequence[Column] = (), order_col: str | None = N
     if limit is not None:
         out = out.limit(int(limit))
     return out
+
+
+def limit(df: DataFrame, n: int) -> DataFrame:
+    """O2: at most ``n`` rows."""
+    return df.limit(int(n))
+
+
+@dataclass(frozen=True)
+class Select:
+    """The ``SELECT * FROM t WHERE .. ORDER BY .. LIMIT ..`` template as values.
+
+    ``where`` adds a conjunct; a later ``order_by`` or ``limit`` replaces the
+    earlier one. ``apply`` turns it into DataFrame operations (O3).
+    """
+
+    conds: tuple = ()
+    order: tuple | None = None
+    n: int | None = None
+
+    def where(self, cond: Column) -> "Select":
+        return replace(self, conds=self.conds + (cond,))
+
+    def order_by(self, col: str, asc: bool = True) -> "Select":
+        return replace(self, order=(col, asc))
+
+    def limit(self, n: int) -> "Select":
+        return replace(self, n=int(n))
+
+    def apply(self, df: DataFrame, tie_break: Sequence[str] = ()) -> DataFrame:
+        col, asc = self.order if self.order else (None, True)
+        return query(df, self.conds, col, asc, self.n, tie_break)

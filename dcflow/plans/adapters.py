@@ -60,7 +60,7 @@ def records_v(spark: SparkSession, sf_dir: str) -> DataFrame:
     did = F.col("doc_id")
     return d.select(
         did,
-        (did / PAGE_SIZE).cast("bigint").alias("page_no"),
+        F.expr(f"doc_id div {PAGE_SIZE}").alias("page_no"),
         F.when(did % NO_ID_MOD == NO_ID_REM, F.lit(""))
          .otherwise(F.concat(F.lit("oai:doc:"), _s(did))).alias("identifier"),
         (did % DELETED_MOD == DELETED_REM).alias("deleted"),

@@ -680,7 +680,7 @@ def q_stream_harvest(spark: SparkSession, sf: str) -> DataFrame:
     table_path = scratch_path(spark, "stream-table")
     land_pages(A.pages_v(spark, sf), landing)
     q = stream_harvest(spark, landing, table_path, as_of="2024-06-01 00:00:00",
-                       max_files_per_trigger=64)
+                       max_files_per_trigger=200)
     q.awaitTermination()
     t = read_metadata(spark, table_path)
     return t.select("header_identifier", "header_datestamp",

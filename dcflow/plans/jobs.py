@@ -74,17 +74,16 @@ def ingest_pages(spark: SparkSession, pages: DataFrame, table_path: str,
     """
     checkpoint_dir(spark)
     parsed = parse_pages(pages).checkpoint(eager=True)
-    statuses = page_status(parsed).groupBy("status").count()
     tagged = validate_records(flatten_records(explode_records(parsed))) \
         .withColumn("run_id", F.lit(run_id))
     if quarantine_path:
         rejected(tagged).write.mode("append").parquet(quarantine_path)
-    good = accepted(tagged)
-    res = merge_into(spark, table_path, good, as_of, ["run_id", "path", "pos"], num_buckets)
-    counts = tagged.groupBy("accepted").count().collect()
-    res["accepted"] = sum(r["count"] for r in counts if r["accepted"])
-    res["rejected"] = sum(r["count"] for r in counts if not r["accepted"])
-    res["pages"] = {r["status"]: r["count"] for r in statuses.collect()}
+    res = merge_into(spark, table_path, accepted(tagged), as_of, ["run_id", "path", "pos"],
+                     num_buckets)
+    stats = page_status(parsed).groupBy("status").count().collect()
+    res["pages"] = {r["status"]: r["count"] for r in stats}
+    counts = {r["accepted"]: r["count"] for r in tagged.groupBy("accepted").count().collect()}
+    res["accepted"], res["rejected"] = counts.get(True, 0), counts.get(False, 0)
     return res
 
 

@@ -43,6 +43,15 @@ PAGE_XML = T.StructType([
         T.StructField("_code", S),
         T.StructField("_VALUE", S),
     ])),
+    # the server's echo of the request arguments
+    T.StructField("request", T.StructType([
+        T.StructField("_VALUE", S),
+        T.StructField("_verb", S),
+        T.StructField("_set", S),
+        T.StructField("_from", S),
+        T.StructField("_until", S),
+        T.StructField("_metadataPrefix", S),
+    ])),
     T.StructField("_corrupt_record", S),
 ])
 

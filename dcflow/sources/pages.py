@@ -46,7 +46,8 @@ def parse_pages(pages: DataFrame, value_col: str = "value") -> DataFrame:
     """Parse each page. Drops the raw text, keeps every other column.
 
     Adds ``records`` (array of record structs), ``error_code``, ``error_text``,
-    ``resumption_token``, ``token_cursor``, ``complete_list_size`` and
+    ``resumption_token``, ``token_cursor``, ``complete_list_size``, the echoed
+    request arguments ``request_set``, ``request_from``, ``request_until`` and
     ``malformed``. The corrupt text itself is not carried on.
     """
     p = F.from_xml(F.col(value_col), PAGE_XML, XML_OPTIONS)
@@ -61,6 +62,9 @@ def parse_pages(pages: DataFrame, value_col: str = "value") -> DataFrame:
         F.col("_p.ListRecords.resumptionToken._cursor").try_cast("bigint").alias("token_cursor"),
         F.col("_p.ListRecords.resumptionToken._completeListSize").try_cast("bigint")
          .alias("complete_list_size"),
+        F.col("_p.request._set").alias("request_set"),
+        F.col("_p.request._from").alias("request_from"),
+        F.col("_p.request._until").alias("request_until"),
         (F.col("_p._corrupt_record").isNotNull() | F.col("_p").isNull()).alias("malformed"),
     )
 

@@ -91,8 +91,9 @@ def merge_into(spark: SparkSession, path: str, incoming: DataFrame,
     wanted = list(dict.fromkeys([*RECORD_COLUMNS, *[c for c in seq if isinstance(c, str)]]))
     batch = latest_per_key(incoming.select(*wanted), seq, KEY) \
         .withColumn("bucket", bucket_of(KEY, num_buckets)).checkpoint(eager=True)
-    n = batch.count()
-    touched = sorted(r[0] for r in batch.select("bucket").distinct().collect())
+    per_bucket = batch.groupBy("bucket").count().collect()   # at most num_buckets rows
+    n = sum(r["count"] for r in per_bucket)
+    touched = sorted(r["bucket"] for r in per_bucket)
     if not touched:
         return {"touched_buckets": 0, "batch_rows": 0, "strategy": "none"}
     base = read_metadata(spark, path).filter(F.col("bucket").isin(touched))

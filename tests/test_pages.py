@@ -107,3 +107,32 @@ def test_read_pages_whole_files_and_zero_length(spark, tmp_dir):
     recs = flatten_records(explode_records(parse_pages(pages)))
     assert sorted(r.header_identifier for r in recs.collect()) == ["a", "b"]
     assert recs.select(F.col("path").endswith("p1.xml")).first()[0]
+
+
+def test_page_ledger_from_request_echo(spark):
+    from dcflow.operators.ledger import harvest_summary, page_ledger
+
+    def pg(set_, day, body):
+        return (f'<?xml version="1.0"?><OAI-PMH {NS}><request verb="ListRecords" set="{set_}" '
+                f'from="{day}" until="{day}" metadataPrefix="oai_dc">https://x/oai</request>'
+                f"{body}</OAI-PMH>")
+    ok1 = pg("cs", "2024-01-02", f"<ListRecords>{rec('a')}{rec('b', status='deleted', dc=None)}"
+                                 "<resumptionToken>t</resumptionToken></ListRecords>")
+    ok2 = pg("cs", "2024-01-02", f"<ListRecords>{rec('c')}</ListRecords>")
+    none = pg("math", "2024-01-02", '<error code="noRecordsMatch">x</error>')
+    bad = pg("stat", "2024-01-02", "<ListRecords><record>")
+    df = spark.createDataFrame([("1", ok1), ("2", ok2), ("3", none), ("4", bad)],
+                               "path string, value string")
+    led = page_ledger(parse_pages(df), "run-1")
+    got = {r.set_spec: r.n for r in led.collect()}
+    assert got == {"cs": 2, "math": 0, None: -1}   # the malformed page's echo is lost too
+    s = harvest_summary(led).first()
+    assert (s.sets_processed, s.successful, s.failed, s.total_records) == (3, 2, 1, 2)
+
+
+def test_select_builder_later_calls_replace(spark):
+    from dcflow.operators.query import Select
+    df = spark.range(20).withColumnRenamed("id", "k")
+    q = Select().where(F.col("k") > 3).where(F.col("k") < 15).order_by("k").order_by("k", asc=False) \
+        .limit(10).limit(3)
+    assert [r.k for r in q.apply(df).collect()] == [14, 13, 12]
