@@ -34,7 +34,9 @@ def lit_ts(ts: str | _dt.datetime | Column) -> Column:
     if isinstance(ts, Column):
         return ts
     if isinstance(ts, _dt.datetime):
-        return F.lit(ts).cast("timestamp_ntz")
+        # through ISO text: a datetime literal would be a zoned TIMESTAMP and
+        # its cast to TIMESTAMP_NTZ would depend on the session time zone
+        ts = ts.replace(tzinfo=None).isoformat(sep=" ")
     return F.lit(ts).try_cast("timestamp_ntz")
 
 

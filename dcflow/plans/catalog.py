@@ -27,7 +27,8 @@ from ..operators.query import (date_between, in_set, list_records, query, select
 from ..operators.records import accepted, clean_records, flatten_records, validate_records
 from ..schemas import RECORD
 from ..session import scratch_path
-from ..sources.pages import explode_records, page_status, parse_pages
+from ..sources.pages import (compact_pages, explode_records, page_status, parse_pages,
+                             read_page_archive, read_pages)
 from ..sources.table import ensure_table, merge_into, read_metadata, write_batches
 from ..streaming.harvest import land_pages, stream_harvest
 from . import adapters as A
@@ -698,9 +699,21 @@ FROM documents WHERE {SQL_STORED}
 """
 
 
+# S1 (+ K4 on pages): land pages as files, read them back, archive and re-read
+def q_landed_pages(spark: SparkSession, sf: str) -> DataFrame:
+    landing = scratch_path(spark, "landed")
+    archive = scratch_path(spark, "archive")
+    land_pages(A.pages_v(spark, sf), landing)
+    compact_pages(read_pages(spark, landing, recursive=True), archive, pages_per_file=25)
+    p = page_status(parse_pages(read_page_archive(spark, archive)))
+    return p.groupBy("status").agg(F.count(F.lit(1)).alias("n_pages"),
+                                   F.sum("n_records").cast("bigint").alias("n_records"))
+
+
 QUERIES: dict[str, QueryFn] = {
     "parse_records": q_parse_records,
     "page_status": q_page_status,
+    "landed_pages": q_landed_pages,
     "validate_records": q_validate_records,
     "collapse_ws": q_collapse_ws,
     "first_last_value": q_first_last_value,
@@ -739,6 +752,7 @@ QUERIES: dict[str, QueryFn] = {
 ORACLE_SQL: dict[str, str] = {
     "parse_records": SQL_PARSE_RECORDS,
     "page_status": SQL_PAGE_STATUS,
+    "landed_pages": SQL_PAGE_STATUS,
     "validate_records": SQL_VALIDATE_RECORDS,
     "collapse_ws": SQL_COLLAPSE_WS,
     "first_last_value": SQL_FIRST_LAST_VALUE,

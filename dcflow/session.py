@@ -46,11 +46,15 @@ def checkpoint_dir(spark: SparkSession) -> str:
     """The shared checkpoint folder of this session.
 
     Read from ``spark.checkpoint.dir`` (or the context's checkpoint dir); if
-    neither is set, create a private folder and register it (local mode only).
+    neither is set, create a private folder and register it in local mode, and
+    refuse to run on a cluster (a machine-local folder would not survive the
+    loss of an executor).
     """
     sc = spark.sparkContext
     d = spark.conf.get(CHECKPOINT_CONF, None) or sc.getCheckpointDir()
     if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError(f"set {CHECKPOINT_CONF} to a folder every executor can reach")
         d = tempfile.mkdtemp(prefix="dcflow-ckpt-")
         spark.conf.set(CHECKPOINT_CONF, d)
     if not sc.getCheckpointDir():

@@ -42,6 +42,20 @@ def read_pages(spark: SparkSession, path: str | list[str],
     return df.select(F.col("_metadata.file_path").alias("path"), "value")
 
 
+def compact_pages(pages: DataFrame, out_path: str, pages_per_file: int = 2000,
+                  mode: str = "append") -> None:
+    """Archive landed pages as Parquet ``(path, value)`` files of at most
+    ``pages_per_file`` pages, so later runs list a few large files instead of
+    one small file per response. Pages are written in path order."""
+    pages.select("path", "value").sortWithinPartitions("path").write.mode(mode) \
+        .option("maxRecordsPerFile", int(pages_per_file)).parquet(out_path)
+
+
+def read_page_archive(spark: SparkSession, path: str) -> DataFrame:
+    """Pages archived by ``compact_pages``: rows ``(path, value)``."""
+    return spark.read.schema("path string, value string").parquet(path)
+
+
 def parse_pages(pages: DataFrame, value_col: str = "value") -> DataFrame:
     """Parse each page. Drops the raw text, keeps every other column.
 
