@@ -48,16 +48,20 @@ def page_ledger(parsed: DataFrame, run_id: str = "") -> DataFrame:
                     F.lit(None).cast("double").alias("elapsed_s"))
 
 
-def harvest_summary(ledger: DataFrame, by: Sequence[str] = ("run_id",)) -> DataFrame:
-    """A3: requests processed, successful (n >= 0), failed (n < 0), and the
-    total of records stored (sum of positive n)."""
+def _summary_aggs() -> list[Column]:
     n = F.col("n")
-    return ledger.groupBy(*by).agg(
+    return [
         F.count(F.lit(1)).alias("sets_processed"),
         F.count_if(n >= 0).alias("successful"),
         F.count_if(n < 0).alias("failed"),
         F.coalesce(F.sum(F.greatest(n, F.lit(0))), F.lit(0)).cast("bigint").alias("total_records"),
-    )
+    ]
+
+
+def harvest_summary(ledger: DataFrame, by: Sequence[str] = ("run_id",)) -> DataFrame:
+    """A3: requests processed, successful (n >= 0), failed (n < 0), and the
+    total of records stored (sum of positive n)."""
+    return ledger.groupBy(*by).agg(*_summary_aggs())
 
 
 def throughput(total: Column | str, elapsed_s: Column | str) -> Column:
@@ -68,11 +72,11 @@ def throughput(total: Column | str, elapsed_s: Column | str) -> Column:
 
 
 def run_throughput(ledger: DataFrame, by: Sequence[str] = ("run_id",)) -> DataFrame:
-    """A3 + A4 per run, with the run's elapsed time as the sum of its requests'."""
-    s = harvest_summary(ledger, by)
-    el = ledger.groupBy(*by).agg(F.sum("elapsed_s").alias("elapsed_s"))
-    return s.join(el, list(by)).withColumn(
-        "records_per_minute", throughput("total_records", "elapsed_s"))
+    """A3 + A4 per run in one aggregate; the run's elapsed time is the sum of
+    its requests' (NULL elapsed counts as 0)."""
+    g = ledger.groupBy(*by).agg(*_summary_aggs(),
+                                F.coalesce(F.sum("elapsed_s"), F.lit(0.0)).alias("elapsed_s"))
+    return g.withColumn("records_per_minute", throughput("total_records", "elapsed_s"))
 
 
 def batch_summary(df: DataFrame, set_col: str = "set_spec",

@@ -17,17 +17,25 @@ REASON_BAD_DATESTAMP = "bad_datestamp"
 REASON_DELETED = "deleted"
 
 
-def flatten_records(exploded: DataFrame, record_col: str = "r") -> DataFrame:
+def flatten_records(exploded: DataFrame, record_col: str = "r",
+                    description: str = "first", collapse: bool = True) -> DataFrame:
     """A ``<record>`` struct -> the ten flat record columns.
 
-    Rules: header identifier and datestamp, description and type take the
-    last occurrence... except description, which takes the first (the abstract)
-    collapsed; ``title`` is the first title collapsed while ``metadata_title``
-    keeps every title raw. Missing repeated elements become ``[]``. Adds
-    ``deleted`` (header status) and keeps every other input column.
+    Rules: header identifier and datestamp and the type take their last
+    occurrence; the description takes the first one (the abstract; later ones
+    are comments), whitespace collapsed. ``description="last", collapse=False``
+    gives the other rule (last occurrence, raw text). ``title`` is the first
+    title collapsed while ``metadata_title`` keeps every title raw. Missing
+    repeated elements become ``[]``. Adds ``deleted`` (header status) and keeps
+    every other input column.
     """
     r = F.col(record_col)
     h, dc = r["header"], r["metadata"]["dc"]
+    if description not in ("first", "last"):
+        raise ValueError(f"description must be 'first' or 'last', not {description!r}")
+    desc = (first_value if description == "first" else last_value)(dc["description"])
+    if collapse:
+        desc = collapse_ws(desc)
     keep = [c for c in exploded.columns if c != record_col]
     return exploded.select(
         *keep,
@@ -36,7 +44,7 @@ def flatten_records(exploded: DataFrame, record_col: str = "r") -> DataFrame:
         empty_if_null(h["setSpec"]).alias("header_setSpecs"),
         empty_if_null(dc["creator"]).alias("metadata_creator"),
         empty_if_null(dc["date"]).alias("metadata_date"),
-        collapse_ws(first_value(dc["description"])).alias("metadata_description"),
+        desc.alias("metadata_description"),
         empty_if_null(dc["identifier"]).alias("metadata_identifier"),
         empty_if_null(dc["subject"]).alias("metadata_subject"),
         empty_if_null(dc["title"]).alias("metadata_title"),

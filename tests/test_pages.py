@@ -136,3 +136,12 @@ def test_select_builder_later_calls_replace(spark):
     q = Select().where(F.col("k") > 3).where(F.col("k") < 15).order_by("k").order_by("k", asc=False) \
         .limit(10).limit(3)
     assert [r.k for r in q.apply(df).collect()] == [14, 13, 12]
+
+
+def test_description_rule_options(spark):
+    dc = "<dc:description> first  one </dc:description><dc:description> last\\n one </dc:description>"
+    df = spark.createDataFrame([("p", page(rec(dc=dc)))], "path string, value string")
+    ex = explode_records(parse_pages(df))
+    assert flatten_records(ex).first().metadata_description == "first one"
+    assert flatten_records(ex, description="last", collapse=False).first().metadata_description \
+        == " last\\n one "

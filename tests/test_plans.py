@@ -30,6 +30,21 @@ def test_plan_has_no_cartesian_or_python(spark, name):
     assert "BroadcastNestedLoopJoin" not in txt
     for node in ("BatchEvalPython", "ArrowEvalPython", "FlatMapGroupsInPandas", "MapInPandas"):
         assert node not in txt
+    # nothing funnels a whole input into one task
+    assert "SinglePartition" not in txt
+
+
+def test_hot_key_is_combined_before_the_shuffle(spark):
+    from pyspark.sql import functions as F
+    from dcflow.operators.merge import latest_per_key
+    from dcflow.plans import adapters as A
+    _, incoming = A.keyed_v(spark, SF_SMALL)
+    hot = incoming.withColumn("header_identifier", F.lit("one-key"))   # every row, one key
+    plan = latest_per_key(hot, ["ts", "event_id"])
+    txt = plan._jdf.queryExecution().executedPlan().toString()
+    head, _, below = txt.partition("Exchange hashpartitioning")
+    assert "partial_max_by" in below          # map-side combine under the exchange
+    assert plan.count() == 1
 
 
 @pytest.mark.parametrize("name", list(E.queries()))
