@@ -33,8 +33,3 @@ def last_value(arr: Column | str) -> Column:
 def empty_if_null(arr: Column | str) -> Column:
     """A missing repeated element becomes an empty array."""
     return F.coalesce(_c(arr), F.array().cast("array<string>"))
-
-
-def escape_like(s: str) -> str:
-    """Escape LIKE wildcards so a set name matches literally."""
-    return s.replace("\\", "\\\\").replace("%", "\\%").replace("_", "\\_")

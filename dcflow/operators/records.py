@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions.dates import parse_datestamp
 from ..functions.text import collapse_ws, empty_if_null, first_value, last_value
-from ..schemas import MAX_IDENTIFIER_CHARS, MAX_TYPE_CHARS, RECORD_COLUMNS
+from ..schemas import MAX_IDENTIFIER_CHARS, MAX_TYPE_CHARS
 
 # Reasons a record is quarantined instead of stored.
 REASON_MISSING_ID = "missing_identifier"
@@ -94,8 +94,3 @@ def rejected(tagged: DataFrame) -> DataFrame:
 def clean_records(exploded: DataFrame, record_col: str = "r") -> DataFrame:
     """P1 -> F1 -> F2: the records a harvest keeps (no length checks)."""
     return exclude_deleted(has_identifier(flatten_records(exploded, record_col)))
-
-
-def to_record_columns(df: DataFrame, extra: list[str] | None = None) -> DataFrame:
-    """Project to the stored record columns (plus ``extra``)."""
-    return df.select(*RECORD_COLUMNS, *(extra or []))

@@ -73,15 +73,6 @@ def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
 
 
-def local_path(path: str) -> str:
-    """Strip a ``file:`` scheme so plain-Python checks can look at a local path."""
-    if path.startswith("file://"):
-        return path[len("file://"):]
-    if path.startswith("file:"):
-        return path[len("file:"):]
-    return path
-
-
 def path_exists(spark: SparkSession, path: str) -> bool:
     """Existence check through Hadoop's FileSystem, so it works for any scheme."""
     jvm = spark.sparkContext._jvm
@@ -91,9 +82,5 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return bool(fs.exists(p))
 
 
-def is_local_fs(path: str) -> bool:
-    return "://" not in path or path.startswith("file:")
-
-
 __all__ = ["build_session", "checkpoint_dir", "scratch_path", "shuffle_partitions",
-           "path_exists", "local_path", "is_local_fs"]
+           "path_exists"]

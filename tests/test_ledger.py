@@ -78,3 +78,22 @@ def test_assign_batches_and_summary(spark):
     s = {r.set_spec: (r.n_records, r.n_batches, r.last_batch_size)
          for r in batch_summary(df, "set_spec", 10).collect()}
     assert s == {"a": (33, 4, 3), "b": (12, 2, 2)}
+
+
+def test_adapters_conform_to_fixed_schemas(spark):
+    from dcflow.operators.ledger import LEGACY_RETRYABLE
+    from dcflow.plans import adapters as A
+    from dcflow.plans.jobs import backfill_plan
+    from dcflow.plans.catalog import SETS, stored_records
+    from dcflow.schemas import LEDGER, REQUEST_LOG, REQUESTS
+    sf = "/root/testdata/sf0.001"
+
+    def conforms(df, schema):
+        types = dict(df.dtypes)
+        return all(types.get(f.name) == f.dataType.simpleString() for f in schema.fields)
+
+    assert conforms(A.ledger_v(spark, sf), LEDGER)
+    assert conforms(A.log_v(spark, sf), REQUEST_LOG)
+    assert conforms(backfill_plan(stored_records(spark, sf), SETS, "2024-01-01", "2024-01-31"),
+                    REQUESTS)
+    assert LEGACY_RETRYABLE == (503, 429)
