@@ -50,3 +50,21 @@ def test_stream_equals_batch_and_late_pages_merge(spark):
         .select("header_identifier").first()[0]
     row = streamed.filter(F.col("header_identifier") == p0).first()
     assert row.created_at == t1 and row.updated_at == t2
+
+
+def test_run_modes(spark):
+    from dcflow.plans.run import main
+    from dcflow.sources.pages import compact_pages
+
+    archive = scratch_path(spark, "run-archive")
+    compact_pages(A.pages_v(spark, SF_SMALL), archive)
+    table_path = scratch_path(spark, "run-table")
+    r = main(["--mode", "recent", "--table", table_path, "--page-archive", archive,
+              "--as-of", "2024-06-01 00:00:00"])
+    assert r["recent"]["accepted"] == read_metadata(spark, table_path).count() > 0
+    plan_out = scratch_path(spark, "run-plan")
+    b = main(["--mode", "both", "--table", table_path, "--set-specs", "en", "fr",
+              "--start-date", "2024-01-01", "--end-date", "2024-03-01", "--plan-out", plan_out,
+              "--as-of", "2024-03-02 00:00:00"])
+    assert b["plan"]["requests"]["recent"] == 2
+    assert spark.read.parquet(plan_out).count() == sum(b["plan"]["requests"].values())
