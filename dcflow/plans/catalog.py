@@ -50,11 +50,16 @@ def kept_records(spark: SparkSession, sf: str) -> DataFrame:
 
 # SQL fragments repeating the adapters' rules on ``documents``.
 SQL_IDENT = "'oai:doc:' || CAST(doc_id AS VARCHAR)"
-SQL_DAY = "(DATE '2024-01-01' + CAST((doc_id * 7919) % 61 AS INTEGER))"
-SQL_TS = f"CASE WHEN doc_id % 29 = 11 THEN NULL ELSE CAST({SQL_DAY} AS TIMESTAMP) END"
-SQL_KEPT = "doc_id % 13 <> 5 AND doc_id % 17 <> 3"
+SQL_DAY = (f"(DATE '{A.DATESTAMP_BASE}' + "
+           f"CAST((doc_id * {A.DATESTAMP_MULT}) % {A.DATESTAMP_SPAN} AS INTEGER))")
+SQL_BAD_DATE = f"doc_id % {A.BAD_DATE_MOD} = {A.BAD_DATE_REM}"
+SQL_DELETED = f"doc_id % {A.DELETED_MOD} = {A.DELETED_REM}"
+SQL_NO_ID = f"doc_id % {A.NO_ID_MOD} = {A.NO_ID_REM}"
+SQL_TS = f"CASE WHEN {SQL_BAD_DATE} THEN NULL ELSE CAST({SQL_DAY} AS TIMESTAMP) END"
+SQL_KEPT = f"NOT ({SQL_DELETED}) AND NOT ({SQL_NO_ID})"
 SQL_WS = r"trim(regexp_replace({x}, '\s+', ' ', 'g'))"
-SQL_PAGE_PATH = "'pages/p' || lpad(CAST(doc_id // 20 AS VARCHAR), 7, '0') || '.xml'"
+SQL_PAGE_NO = f"doc_id // {A.PAGE_SIZE}"
+SQL_PAGE_PATH = f"'pages/p' || lpad(CAST({SQL_PAGE_NO} AS VARCHAR), 7, '0') || '.xml'"
 
 
 # ---------------------------------------------------------------------------
@@ -83,7 +88,7 @@ SELECT {SQL_IDENT} AS header_identifier,
        {SQL_WS.format(x="text")} AS description,
        'text' AS metadata_type,
        {SQL_PAGE_PATH} AS page_path,
-       CAST(row_number() OVER (PARTITION BY doc_id // 20 ORDER BY doc_id) - 1 AS BIGINT) AS pos
+       CAST(row_number() OVER (PARTITION BY {SQL_PAGE_NO} ORDER BY doc_id) - 1 AS BIGINT) AS pos
 FROM documents
 QUALIFY {SQL_KEPT}
 """
@@ -95,15 +100,15 @@ def q_page_status(spark: SparkSession, sf: str) -> DataFrame:
                                    F.sum("n_records").cast("bigint").alias("n_records"))
 
 
-SQL_PAGE_STATUS = """
-WITH pg AS (SELECT doc_id // 20 AS page_no, count(*) AS n FROM documents GROUP BY 1)
+SQL_PAGE_STATUS = f"""
+WITH pg AS (SELECT {SQL_PAGE_NO} AS page_no, count(*) AS n FROM documents GROUP BY 1)
 SELECT 'ok' AS status, count(*) AS n_pages, CAST(sum(n) AS BIGINT) AS n_records FROM pg
 UNION ALL
-SELECT 'no_records', count(*), CAST(0 AS BIGINT) FROM pg WHERE page_no % 10 = 8
-HAVING count(*) > 0
+SELECT 'no_records', count(*), CAST(0 AS BIGINT) FROM pg
+WHERE page_no % {A.EMPTY_PAGE_MOD} = {A.EMPTY_PAGE_REM} HAVING count(*) > 0
 UNION ALL
-SELECT 'malformed', count(*), CAST(0 AS BIGINT) FROM pg WHERE page_no % 10 = 9
-HAVING count(*) > 0
+SELECT 'malformed', count(*), CAST(0 AS BIGINT) FROM pg
+WHERE page_no % {A.BAD_PAGE_MOD} = {A.BAD_PAGE_REM} HAVING count(*) > 0
 """
 
 
@@ -119,7 +124,7 @@ def stored_records(spark: SparkSession, sf: str) -> DataFrame:
     return accepted(validate_records(kept_records(spark, sf)))
 
 
-SQL_STORED = f"{SQL_KEPT} AND doc_id % 29 <> 11"
+SQL_STORED = f"{SQL_KEPT} AND NOT ({SQL_BAD_DATE})"
 SQL_SETS = "(VALUES ('en'), ('fr'), ('en:src1'), ('fr:src1')) s(set_spec)"
 SQL_SPINE = ("(SELECT CAST(g.d AS DATE) AS d FROM generate_series(DATE '2024-01-01', "
              "DATE '2024-03-01', INTERVAL 1 DAY) g(d))")
@@ -194,7 +199,8 @@ SQL_ARRAY_TO_JSON = f"""
 SELECT {SQL_IDENT} AS header_identifier,
        to_json([lang, lang || ':' || source]) AS sets_json,
        to_json([source, lang]) AS subjects_json,
-       to_json([CASE WHEN doc_id % 29 = 11 THEN '2024-02-30' ELSE strftime({SQL_DAY}, '%Y-%m-%d') END])
+       to_json([CASE WHEN {SQL_BAD_DATE} THEN '{A.BAD_DATESTAMP}'
+                     ELSE strftime({SQL_DAY}, '%Y-%m-%d') END])
          AS dates_json,
        to_json(['doc:' || CAST(doc_id AS VARCHAR)]) AS ids_json,
        '[]' AS none_json
@@ -341,13 +347,13 @@ def q_validate_records(spark: SparkSession, sf: str) -> DataFrame:
 
 
 SQL_VALIDATE_RECORDS = f"""
-SELECT CASE WHEN doc_id % 17 = 3 THEN '' ELSE {SQL_IDENT} END AS header_identifier,
+SELECT CASE WHEN {SQL_NO_ID} THEN '' ELSE {SQL_IDENT} END AS header_identifier,
        {SQL_PAGE_PATH} AS page_path,
-       CAST(row_number() OVER (PARTITION BY doc_id // 20 ORDER BY doc_id) - 1 AS BIGINT) AS pos,
-       NOT (doc_id % 17 = 3 OR doc_id % 29 = 11 OR doc_id % 13 = 5) AS accepted,
-       concat_ws(',', CASE WHEN doc_id % 17 = 3 THEN 'missing_identifier' END,
-                      CASE WHEN doc_id % 29 = 11 THEN 'bad_datestamp' END,
-                      CASE WHEN doc_id % 13 = 5 THEN 'deleted' END) AS reasons
+       CAST(row_number() OVER (PARTITION BY {SQL_PAGE_NO} ORDER BY doc_id) - 1 AS BIGINT) AS pos,
+       NOT ({SQL_NO_ID} OR {SQL_BAD_DATE} OR {SQL_DELETED}) AS accepted,
+       concat_ws(',', CASE WHEN {SQL_NO_ID} THEN 'missing_identifier' END,
+                      CASE WHEN {SQL_BAD_DATE} THEN 'bad_datestamp' END,
+                      CASE WHEN {SQL_DELETED} THEN 'deleted' END) AS reasons
 FROM documents
 """
 
@@ -541,7 +547,7 @@ def q_assign_batches(spark: SparkSession, sf: str) -> DataFrame:
 
 
 SQL_ASSIGN_BATCHES = f"""
-SELECT header_identifier, set_spec, row_no, CAST((row_no - 1) // 20 AS BIGINT) AS batch_no
+SELECT header_identifier, set_spec, row_no, CAST((row_no - 1) // {BATCH} AS BIGINT) AS batch_no
 FROM (SELECT {SQL_IDENT} AS header_identifier, lang AS set_spec,
              row_number() OVER (PARTITION BY lang ORDER BY doc_id) AS row_no
       FROM documents WHERE {SQL_KEPT})
@@ -553,8 +559,8 @@ def q_batch_summary(spark: SparkSession, sf: str) -> DataFrame:
 
 
 SQL_BATCH_SUMMARY = f"""
-SELECT set_spec, n_records, CAST(ceil(n_records / 20) AS BIGINT) AS n_batches,
-       CAST(n_records - (ceil(n_records / 20) - 1) * 20 AS BIGINT) AS last_batch_size
+SELECT set_spec, n_records, CAST(ceil(n_records / {BATCH}) AS BIGINT) AS n_batches,
+       CAST(n_records - (ceil(n_records / {BATCH}) - 1) * {BATCH} AS BIGINT) AS last_batch_size
 FROM (SELECT lang AS set_spec, count(*) AS n_records FROM documents WHERE {SQL_KEPT} GROUP BY lang)
 """
 
