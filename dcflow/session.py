@@ -73,6 +73,13 @@ def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
 
 
+def make_dirs(spark: SparkSession, path: str) -> None:
+    """Create a folder (and parents) through Hadoop's FileSystem."""
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).mkdirs(p)
+
+
 def path_exists(spark: SparkSession, path: str) -> bool:
     """Existence check through Hadoop's FileSystem, so it works for any scheme."""
     jvm = spark.sparkContext._jvm
@@ -83,4 +90,4 @@ def path_exists(spark: SparkSession, path: str) -> bool:
 
 
 __all__ = ["build_session", "checkpoint_dir", "scratch_path", "shuffle_partitions",
-           "path_exists"]
+           "path_exists", "make_dirs"]

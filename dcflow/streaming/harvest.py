@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from ..plans.jobs import ingest_pages
-from ..session import checkpoint_dir
+from ..session import checkpoint_dir, make_dirs, path_exists
 from ..sources.table import DEFAULT_BUCKETS, ensure_table
 
 AsOf = str | _dt.datetime | Callable[[int], str | _dt.datetime] | None
@@ -58,6 +58,8 @@ def stream_harvest(spark: SparkSession, landing_dir: str, table_path: str,
     """
     checkpoint_dir(spark)
     ensure_table(spark, table_path)
+    if not path_exists(spark, landing_dir):
+        make_dirs(spark, landing_dir)        # nothing landed yet: start empty
     ckpt = checkpoint_location or table_path.rstrip("/") + "_stream_checkpoint"
 
     def as_of_for(batch_id: int):

@@ -68,3 +68,11 @@ def test_run_modes(spark):
               "--as-of", "2024-03-02 00:00:00"])
     assert b["plan"]["requests"]["recent"] == 2
     assert spark.read.parquet(plan_out).count() == sum(b["plan"]["requests"].values())
+
+
+def test_stream_starts_before_anything_landed(spark):
+    landing = scratch_path(spark, "t-empty-landing")
+    table_path = scratch_path(spark, "t-empty-table")
+    q = stream_harvest(spark, landing, table_path, as_of="2024-06-01 00:00:00")
+    q.awaitTermination()
+    assert read_metadata(spark, table_path).count() == 0
