@@ -33,3 +33,10 @@ def last_value(arr: Column | str) -> Column:
 def empty_if_null(arr: Column | str) -> Column:
     """A missing repeated element becomes an empty array."""
     return F.coalesce(_c(arr), F.array().cast("array<string>"))
+
+
+def array_len(arr: Column | str) -> Column:
+    """Number of elements; 0 for NULL whatever the session's ANSI setting
+    (outside ANSI mode ``size(NULL)`` is -1)."""
+    c = _c(arr)
+    return F.when(c.isNull(), F.lit(0)).otherwise(F.size(c))

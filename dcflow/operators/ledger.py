@@ -12,6 +12,7 @@ from collections.abc import Iterable, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.text import array_len
 from .numbering import number_rows, previous_row
 
 # The batch size of a flush, the default attempts per request,
@@ -31,9 +32,9 @@ def page_ledger(parsed: DataFrame, run_id: str = "") -> DataFrame:
     """
     from ..sources.pages import STATUS_ERROR, STATUS_MALFORMED, status_of
 
-    recs = F.coalesce(F.size(F.filter(
+    recs = array_len(F.filter(
         "records", lambda r: (F.length(F.try_element_at(r["header"]["identifier"], F.lit(-1))) > 0)
-        & (F.coalesce(r["header"]["_status"], F.lit("")) != F.lit("deleted")))), F.lit(0))
+        & (F.coalesce(r["header"]["_status"], F.lit("")) != F.lit("deleted"))))
     pages = parsed.select(
         F.col("request_set").alias("set_spec"),
         F.to_date(F.col("request_from").try_cast("timestamp_ntz")).alias("d"),

@@ -10,6 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions.text import array_len
 from ..schemas import PAGE_XML
 
 # Fixed values of the protocol: the error code a server answers with when a
@@ -85,7 +86,7 @@ def parse_pages(pages: DataFrame, value_col: str = "value") -> DataFrame:
 
 def status_of() -> Column:
     """S4 rule as a column over ``parse_pages`` output."""
-    n = F.coalesce(F.size("records"), F.lit(0))
+    n = array_len("records")
     return (F.when(F.col("malformed"), F.lit(STATUS_MALFORMED))
              .when(F.col("error_code") == F.lit(NO_RECORDS_CODE), F.lit(STATUS_NO_RECORDS))
              .when(F.col("error_code").isNotNull(), F.lit(STATUS_ERROR))
@@ -99,7 +100,7 @@ def page_status(parsed: DataFrame) -> DataFrame:
     Adds ``status`` and ``n_records`` (record elements on the page).
     """
     return parsed.withColumn("status", status_of()) \
-                 .withColumn("n_records", F.coalesce(F.size("records"), F.lit(0)))
+                 .withColumn("n_records", array_len("records"))
 
 
 def explode_records(parsed: DataFrame) -> DataFrame:
