@@ -492,7 +492,7 @@ def q_upsert(spark: SparkSession, sf: str) -> DataFrame:
 def q_write_roundtrip(spark: SparkSession, sf: str) -> DataFrame:
     base, incoming = A.keyed_v(spark, sf)
     path = scratch_path(spark, "metadata")
-    ensure_table(spark, path)
+    ensure_table(spark, path, 16)
     merge_into(spark, path, base, AS_OF_BASE, SEQ, num_buckets=16)
     merge_into(spark, path, incoming, AS_OF_INCOMING, SEQ, num_buckets=16)
     write_batches(latest_per_key(incoming, SEQ).select(*RECORD.fieldNames()),

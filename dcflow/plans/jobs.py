@@ -65,14 +65,16 @@ def both_plan(stored: DataFrame, sets: Sequence[str], as_of: str | _dt.date,
 def ingest_pages(spark: SparkSession, pages: DataFrame, table_path: str,
                  as_of: str | _dt.datetime, run_id: str = "",
                  quarantine_path: str | None = None,
-                 num_buckets: int = DEFAULT_BUCKETS, with_ledger: bool = False) -> dict:
+                 num_buckets: int = DEFAULT_BUCKETS, with_ledger: bool = False,
+                 with_counts: bool = True) -> dict:
     """The harvest job over one batch of landed pages.
 
     S2 -> S3 -> P1 -> F8 (tags; rejected rows go to ``quarantine_path``) ->
     W3 + K1 + K2 into the table. Pages are parsed once: the parsed pages are
     checkpointed to the shared folder and every output reads that.
-    Returns page and record counts; with ``with_ledger`` also the run's
-    request summary (A3 over ``page_ledger``), read from the same checkpoint.
+    Returns page and record counts (``with_counts``); with ``with_ledger``
+    also the run's request summary (A3 over ``page_ledger``), read from the
+    same checkpoint.
     """
     checkpoint_dir(spark)
     parsed = parse_pages(pages).checkpoint(eager=True)
@@ -82,10 +84,11 @@ def ingest_pages(spark: SparkSession, pages: DataFrame, table_path: str,
         rejected(tagged).write.mode("append").parquet(quarantine_path)
     res = merge_into(spark, table_path, accepted(tagged), as_of, ["run_id", "path", "pos"],
                      num_buckets)
-    stats = page_status(parsed).groupBy("status").count().collect()
-    res["pages"] = {r["status"]: r["count"] for r in stats}
-    counts = {r["accepted"]: r["count"] for r in tagged.groupBy("accepted").count().collect()}
-    res["accepted"], res["rejected"] = counts.get(True, 0), counts.get(False, 0)
+    if with_counts:
+        stats = page_status(parsed).groupBy("status").count().collect()
+        res["pages"] = {r["status"]: r["count"] for r in stats}
+        counts = {r["accepted"]: r["count"] for r in tagged.groupBy("accepted").count().collect()}
+        res["accepted"], res["rejected"] = counts.get(True, 0), counts.get(False, 0)
     if with_ledger:
         s = harvest_summary(page_ledger(parsed, run_id)).first()
         res.update(requests=s.sets_processed if s else 0, successful=s.successful if s else 0,

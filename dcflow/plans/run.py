@@ -64,7 +64,7 @@ def main(argv: list[str] | None = None) -> dict:
         out["recent"] = res
         total += res.get("accepted", 0)
     if a.mode in ("backfill", "both"):
-        ensure_table(spark, a.table)
+        ensure_table(spark, a.table, a.buckets)
         stored = read_metadata(spark, a.table)
         day = as_of[:10]
         if a.mode == "both":

@@ -35,15 +35,34 @@ def bucket_of(key: Column | str = KEY, num_buckets: int = DEFAULT_BUCKETS) -> Co
     return F.pmod(F.xxhash64(k), F.lit(num_buckets)).cast("int")
 
 
-def ensure_table(spark: SparkSession, path: str) -> bool:
-    """K3: create an empty table at ``path`` if none is there. True if created."""
+LAYOUT_DIR = "_dcflow_layout"   # ignored by the Parquet reader (leading underscore)
+
+
+def ensure_table(spark: SparkSession, path: str, num_buckets: int = DEFAULT_BUCKETS) -> bool:
+    """K3: create an empty table at ``path`` if none is there. True if created.
+
+    The bucket count is recorded next to the data, and a later merge with a
+    different count is refused (it would place a key's new version in another
+    bucket than its old one).
+    """
     if path_exists(spark, path):
         return False
     spark.createDataFrame([], TABLE).write.mode("errorifexists") \
         .partitionBy("bucket").parquet(path)
+    spark.createDataFrame([(str(int(num_buckets)),)], "value string").coalesce(1) \
+        .write.mode("overwrite").text(f"{path.rstrip('/')}/{LAYOUT_DIR}")
     return True
 
 
+def table_buckets(spark: SparkSession, path: str) -> int | None:
+    """The bucket count recorded by ``ensure_table`` (None if not recorded)."""
+    meta = f"{path.rstrip('/')}/{LAYOUT_DIR}"
+    if not path_exists(spark, meta):
+        return None
+    row = spark.read.text(meta).first()
+    return int(row[0]) if row else None
+
+
 def read_metadata(spark: SparkSession, path: str) -> DataFrame:
     """Scan the stored table with its fixed schema (no inference)."""
     return spark.read.schema(TABLE).parquet(path)
@@ -98,7 +117,10 @@ def merge_into(spark: SparkSession, path: str, incoming: DataFrame,
     bucket). A larger batch takes the shuffle (full outer) merge.
     """
     checkpoint_dir(spark)
-    ensure_table(spark, path)
+    ensure_table(spark, path, num_buckets)
+    recorded = table_buckets(spark, path)
+    if recorded is not None and recorded != num_buckets:
+        raise ValueError(f"table at {path} has {recorded} buckets, not {num_buckets}")
     wanted = list(dict.fromkeys([*RECORD_COLUMNS, *[c for c in seq if isinstance(c, str)]]))
     batch = latest_per_key(incoming.select(*wanted), seq, KEY) \
         .withColumn("bucket", bucket_of(KEY, num_buckets)).checkpoint(eager=True)

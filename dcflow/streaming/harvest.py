@@ -57,7 +57,7 @@ def stream_harvest(spark: SparkSession, landing_dir: str, table_path: str,
     lives in ``checkpoint_location`` (default: next to the table).
     """
     checkpoint_dir(spark)
-    ensure_table(spark, table_path)
+    ensure_table(spark, table_path, num_buckets)
     if not path_exists(spark, landing_dir):
         make_dirs(spark, landing_dir)        # nothing landed yet: start empty
     ckpt = checkpoint_location or table_path.rstrip("/") + "_stream_checkpoint"
@@ -72,7 +72,7 @@ def stream_harvest(spark: SparkSession, landing_dir: str, table_path: str,
     def run_batch(batch: DataFrame, batch_id: int) -> None:
         ingest_pages(batch.sparkSession, batch, table_path, as_of_for(batch_id),
                      run_id=f"batch-{batch_id:012d}", quarantine_path=quarantine_path,
-                     num_buckets=num_buckets)
+                     num_buckets=num_buckets, with_counts=False)
 
     w = page_stream(spark, landing_dir, max_files_per_trigger).writeStream \
         .foreachBatch(run_batch).option("checkpointLocation", ckpt)

@@ -91,8 +91,8 @@ def test_merge_into_broadcast_and_shuffle_paths_agree(spark, tmp_dir, monkeypatc
     for limit in (10**9, 0):
         monkeypatch.setattr(T, "BROADCAST_BATCH_ROWS", limit)
         path = os.path.join(tmp_dir, f"t{limit}")
-        assert ensure_table(spark, path) is True
-        assert ensure_table(spark, path) is False
+        assert ensure_table(spark, path, 4) is True
+        assert ensure_table(spark, path, 4) is False
         r1 = merge_into(spark, path, base, T0, ["seq"], num_buckets=4)
         r2 = merge_into(spark, path, inc, T1, ["seq"], num_buckets=4)
         assert r2["strategy"] == ("broadcast" if limit else "shuffle")
@@ -107,3 +107,13 @@ def test_merge_into_broadcast_and_shuffle_paths_agree(spark, tmp_dir, monkeypatc
         # every row sits in the bucket its key hashes to
         assert t.filter(F.col("bucket") != T.bucket_of("header_identifier", 4)).count() == 0
     assert outs[0] == outs[1]
+
+
+def test_merge_refuses_another_bucket_count(spark, tmp_dir):
+    import pytest
+    path = os.path.join(tmp_dir, "layout")
+    merge_into(spark, path, recs(spark, [("a", T0, "x", 1)]), T0, ["seq"], num_buckets=4)
+    assert T.table_buckets(spark, path) == 4
+    with pytest.raises(ValueError):
+        merge_into(spark, path, recs(spark, [("b", T0, "x", 2)]), T1, ["seq"], num_buckets=8)
+    assert read_metadata(spark, path).count() == 1
