@@ -66,7 +66,7 @@ def ingest_pages(spark: SparkSession, pages: DataFrame, table_path: str,
                  as_of: str | _dt.datetime, run_id: str = "",
                  quarantine_path: str | None = None,
                  num_buckets: int = DEFAULT_BUCKETS, with_ledger: bool = False,
-                 with_counts: bool = True) -> dict:
+                 with_counts: bool = True, ledger_path: str | None = None) -> dict:
     """The harvest job over one batch of landed pages.
 
     S2 -> S3 -> P1 -> F8 (tags; rejected rows go to ``quarantine_path``) ->
@@ -74,7 +74,8 @@ def ingest_pages(spark: SparkSession, pages: DataFrame, table_path: str,
     checkpointed to the shared folder and every output reads that.
     Returns page and record counts (``with_counts``); with ``with_ledger``
     also the run's request summary (A3 over ``page_ledger``), read from the
-    same checkpoint.
+    same checkpoint. ``ledger_path`` appends the run's ledger rows (one per
+    request) to a ledger table, so A3/A4/A7 can run over many runs.
     """
     checkpoint_dir(spark)
     parsed = parse_pages(pages).checkpoint(eager=True)
@@ -89,6 +90,8 @@ def ingest_pages(spark: SparkSession, pages: DataFrame, table_path: str,
         res["pages"] = {r["status"]: r["count"] for r in stats}
         counts = {r["accepted"]: r["count"] for r in tagged.groupBy("accepted").count().collect()}
         res["accepted"], res["rejected"] = counts.get(True, 0), counts.get(False, 0)
+    if ledger_path:
+        page_ledger(parsed, run_id).write.mode("append").parquet(ledger_path)
     if with_ledger:
         s = harvest_summary(page_ledger(parsed, run_id)).first()
         res.update(requests=s.sets_processed if s else 0, successful=s.successful if s else 0,

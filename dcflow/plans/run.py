@@ -36,6 +36,7 @@ def main(argv: list[str] | None = None) -> dict:
     ap.add_argument("--pages", help="landed page files (recent/both)")
     ap.add_argument("--page-archive", help="pages archived as Parquet (path, value)")
     ap.add_argument("--quarantine", help="where rejected records are appended")
+    ap.add_argument("--ledger", help="where the run's request ledger is appended")
     ap.add_argument("--plan-out", help="where the request plan is written (backfill/both)")
     ap.add_argument("--set-specs", nargs="+", default=DEFAULT_SETS)
     ap.add_argument("--start-date")
@@ -60,7 +61,8 @@ def main(argv: list[str] | None = None) -> dict:
         else:
             pages = read_pages(spark, a.pages, recursive=True)
         res = ingest_pages(spark, pages, a.table, as_of, run_id=run_id,
-                           quarantine_path=a.quarantine, num_buckets=a.buckets, with_ledger=True)
+                           quarantine_path=a.quarantine, num_buckets=a.buckets, with_ledger=True,
+                           ledger_path=a.ledger)
         out["recent"] = res
         total += res.get("accepted", 0)
     if a.mode in ("backfill", "both"):

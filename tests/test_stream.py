@@ -59,9 +59,14 @@ def test_run_modes(spark):
     archive = scratch_path(spark, "run-archive")
     compact_pages(A.pages_v(spark, SF_SMALL), archive)
     table_path = scratch_path(spark, "run-table")
+    ledger = scratch_path(spark, "run-ledger")
+    quarantine = scratch_path(spark, "run-quarantine")
     r = main(["--mode", "recent", "--table", table_path, "--page-archive", archive,
-              "--as-of", "2024-06-01 00:00:00"])
+              "--as-of", "2024-06-01 00:00:00", "--ledger", ledger, "--quarantine", quarantine])
     assert r["recent"]["accepted"] == read_metadata(spark, table_path).count() > 0
+    assert spark.read.parquet(quarantine).count() == r["recent"]["rejected"] > 0
+    led = spark.read.parquet(ledger)
+    assert led.count() == 1 and led.first().n == -1      # no request echo; malformed pages
     plan_out = scratch_path(spark, "run-plan")
     b = main(["--mode", "both", "--table", table_path, "--set-specs", "en", "fr",
               "--start-date", "2024-01-01", "--end-date", "2024-03-01", "--plan-out", plan_out,
