@@ -40,16 +40,32 @@ def set_date_spine(spark: SparkSession, sets: Sequence[str] | DataFrame, lo: Dat
     return sets_frame(spark, sets).select("set_spec", F.explode(days).alias("d"))
 
 
-def records_in_sets(df: DataFrame, sets: Sequence[str], match: str = "exact",
+# A requested-sets DataFrame of at most this many names is broadcast.
+SETS_BROADCAST_LIMIT = 1_000_000
+
+
+def _sets_side(sets: DataFrame) -> DataFrame:
+    names = sets.select(F.col(sets.columns[0]).cast("string").alias("set_spec")).distinct()
+    return F.broadcast(names) if names.count() <= SETS_BROADCAST_LIMIT else names
+
+
+def records_in_sets(df: DataFrame, sets: Sequence[str] | DataFrame, match: str = "exact",
                     col: str = "header_setSpecs") -> DataFrame:
     """One row per (record, requested set the record belongs to), column
     ``set_spec`` added.
 
     ``exact``: the set is one of the record's sets. ``substring``: the name
-    occurs in the JSON text of the record's set list. The requested sets are a
-    short argument list, so the match is an array expression per record (a
-    generator, no join and no shuffle).
+    occurs in the JSON text of the record's set list. A list of set names is
+    matched by an array expression per record (a generator, no join and no
+    shuffle). A DataFrame of names (exact only) is semi-joined on the exploded
+    set, broadcast when counted small; substring matching against a DataFrame
+    would be a nested-loop theta join and is refused.
     """
+    if isinstance(sets, DataFrame):
+        if match != "exact":
+            raise ValueError("substring matching takes a list of set names")
+        exploded = df.withColumn("set_spec", F.explode(F.array_distinct(F.col(col))))
+        return exploded.join(_sets_side(sets), "set_spec", "left_semi")
     wanted = F.array(*[F.lit(s) for s in sets]) if sets else F.array().cast("array<string>")
     if match == "exact":
         hits = F.array_intersect(F.col(col), wanted)
@@ -61,23 +77,32 @@ def records_in_sets(df: DataFrame, sets: Sequence[str], match: str = "exact",
     return df.withColumn("set_spec", F.explode(hits))
 
 
-def existing_dates(df: DataFrame, sets: Sequence[str] | None, lo: DateLike, hi: DateLike,
-                   match: str = "exact", ts_col: str = "header_datestamp") -> DataFrame:
+def existing_dates(df: DataFrame, sets: Sequence[str] | DataFrame | None, lo: DateLike,
+                   hi: DateLike, match: str = "exact",
+                   ts_col: str = "header_datestamp") -> DataFrame:
     """A1: ``SELECT DISTINCT DATE(ts)`` per requested set within ``[lo, hi]``.
 
     With ``sets=None`` there is no set predicate and ``set_spec`` is NULL.
     The date range is applied to the timestamp first (pushed to the scan).
+    With a DataFrame of sets, records are first reduced to distinct
+    ``(set, day)`` pairs (partial aggregate), and only those meet the sets.
     """
     a, b = ordered_bounds(lit_date(lo), lit_date(hi))
     rows = df.select(ts_col, "header_setSpecs").filter(date_between(a, b, ts_col))
     if sets is None:
         rows = rows.withColumn("set_spec", F.lit(None).cast("string"))
+    elif isinstance(sets, DataFrame):
+        if match != "exact":
+            raise ValueError("substring matching takes a list of set names")
+        pairs = rows.select(F.explode(F.array_distinct("header_setSpecs")).alias("set_spec"),
+                            harvest_date(ts_col).alias("d")).distinct()
+        return pairs.join(_sets_side(sets), "set_spec", "left_semi")
     else:
         rows = records_in_sets(rows, sets, match)
     return rows.select("set_spec", harvest_date(ts_col).alias("d")).distinct()
 
 
-def missing_dates(df: DataFrame, sets: Sequence[str], lo: DateLike, hi: DateLike,
+def missing_dates(df: DataFrame, sets: Sequence[str] | DataFrame, lo: DateLike, hi: DateLike,
                   match: str = "exact", end_inclusive: bool = True) -> DataFrame:
     """Days of the spine with no stored record, per set: ``(set_spec, d)``."""
     spark = df.sparkSession
@@ -101,7 +126,7 @@ def date_difference(all_days: DataFrame, existing: DataFrame) -> DataFrame:
     return all_days.exceptAll(existing)
 
 
-def coverage_summary(df: DataFrame, sets: Sequence[str], lo: DateLike, hi: DateLike,
+def coverage_summary(df: DataFrame, sets: Sequence[str] | DataFrame, lo: DateLike, hi: DateLike,
                      match: str = "exact", end_inclusive: bool = True) -> DataFrame:
     """A2: per set, days in range, days with records, days missing."""
     spark = df.sparkSession

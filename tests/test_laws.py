@@ -55,3 +55,18 @@ def test_reversed_and_leap_ranges(spark):
     spine = set_date_spine(spark, ["x"], "2024-03-01", "2024-02-27")
     assert [r.d for r in spine.orderBy("d").collect()] == [
         dt.date(2024, 2, 27), dt.date(2024, 2, 28), dt.date(2024, 2, 29), dt.date(2024, 3, 1)]
+
+
+def test_sets_as_dataframe_equal_sets_as_list(spark):
+    import pytest
+    from dcflow.operators.coverage import coverage_summary, records_in_sets
+    recs = stored_records(spark, SF)
+    sets_df = spark.createDataFrame([(s,) for s in SETS], "name string")
+    lo, hi = "2024-01-01", "2024-03-01"
+    for fn in (missing_dates, existing_dates, coverage_summary):
+        a = sorted(map(tuple, fn(recs, SETS, lo, hi).collect()))
+        b = sorted(map(tuple, fn(recs, sets_df, lo, hi).collect()))
+        assert a == b
+    assert records_in_sets(recs, sets_df).count() == records_in_sets(recs, SETS).count()
+    with pytest.raises(ValueError):
+        records_in_sets(recs, sets_df, match="substring")
