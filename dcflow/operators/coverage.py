@@ -44,9 +44,22 @@ def set_date_spine(spark: SparkSession, sets: Sequence[str] | DataFrame, lo: Dat
 SETS_BROADCAST_LIMIT = 1_000_000
 
 
+def prepared_sets(sets: Sequence[str] | DataFrame | None):
+    """A requested-sets DataFrame reduced to distinct names, checkpointed once
+    (it may be derived from a large scan and is used by the spine and by the
+    join) and marked for broadcast when counted at most
+    ``SETS_BROADCAST_LIMIT``. Lists and None pass through."""
+    if not isinstance(sets, DataFrame) or getattr(sets, "_dcflow_prepared", False):
+        return sets
+    names = sets.select(F.col(sets.columns[0]).cast("string").alias("set_spec")) \
+                .distinct().checkpoint(eager=True)
+    out = F.broadcast(names) if names.count() <= SETS_BROADCAST_LIMIT else names
+    out._dcflow_prepared = True
+    return out
+
+
 def _sets_side(sets: DataFrame) -> DataFrame:
-    names = sets.select(F.col(sets.columns[0]).cast("string").alias("set_spec")).distinct()
-    return F.broadcast(names) if names.count() <= SETS_BROADCAST_LIMIT else names
+    return prepared_sets(sets)
 
 
 def records_in_sets(df: DataFrame, sets: Sequence[str] | DataFrame, match: str = "exact",
@@ -106,6 +119,7 @@ def missing_dates(df: DataFrame, sets: Sequence[str] | DataFrame, lo: DateLike,
                   match: str = "exact", end_inclusive: bool = True) -> DataFrame:
     """Days of the spine with no stored record, per set: ``(set_spec, d)``."""
     spark = df.sparkSession
+    sets = prepared_sets(sets)
     spine = set_date_spine(spark, sets, lo, hi, end_inclusive)
     have = existing_dates(df, sets, lo, hi, match)
     return spine.join(have, ["set_spec", "d"], "left_anti")
@@ -130,6 +144,7 @@ def coverage_summary(df: DataFrame, sets: Sequence[str] | DataFrame, lo: DateLik
                      match: str = "exact", end_inclusive: bool = True) -> DataFrame:
     """A2: per set, days in range, days with records, days missing."""
     spark = df.sparkSession
+    sets = prepared_sets(sets)
     spine = set_date_spine(spark, sets, lo, hi, end_inclusive)
     have = existing_dates(df, sets, lo, hi, match).withColumn("_has", F.lit(True))
     joined = spine.join(have, ["set_spec", "d"], "left")

@@ -406,6 +406,28 @@ GROUP BY s.set_spec
 """
 
 
+# A2 with the requested sets taken from the data (a DataFrame of every set seen)
+def q_coverage_all_sets(spark: SparkSession, sf: str) -> DataFrame:
+    recs = stored_records(spark, sf)
+    sets = recs.select(F.explode("header_setSpecs").alias("set_spec")).distinct()
+    return coverage_summary(recs, sets, LO, HI)
+
+
+SQL_COVERAGE_ALL_SETS = f"""
+WITH rec AS (SELECT lang, source, CAST({SQL_DAY} AS DATE) AS d FROM documents WHERE {SQL_STORED}),
+sets AS (SELECT DISTINCT lang AS set_spec FROM rec
+         UNION SELECT DISTINCT lang || ':' || source FROM rec),
+have AS (SELECT DISTINCT s.set_spec, rec.d FROM rec JOIN sets s
+           ON s.set_spec IN (rec.lang, rec.lang || ':' || rec.source)
+         WHERE rec.d BETWEEN DATE '{LO}' AND DATE '{HI}')
+SELECT s.set_spec, count(*) AS total_days, count(h.d) AS existing_days,
+       count(*) - count(h.d) AS missing_days
+FROM sets s CROSS JOIN {SQL_SPINE} sp
+LEFT JOIN have h ON h.set_spec = s.set_spec AND h.d = sp.d
+GROUP BY s.set_spec
+"""
+
+
 # J1, J2
 def q_missing_dates(spark: SparkSession, sf: str) -> DataFrame:
     return missing_dates(stored_records(spark, sf), SETS, LO, HI)
@@ -735,6 +757,7 @@ QUERIES: dict[str, QueryFn] = {
     "existing_dates": q_existing_dates,
     "records_in_sets": q_records_in_sets,
     "coverage_summary": q_coverage_summary,
+    "coverage_all_sets": q_coverage_all_sets,
     "missing_dates": q_missing_dates,
     "missing_any_set": q_missing_any_set,
     "date_difference": q_date_difference,
@@ -774,6 +797,7 @@ ORACLE_SQL: dict[str, str] = {
     "existing_dates": SQL_EXISTING_DATES,
     "records_in_sets": SQL_RECORDS_IN_SETS,
     "coverage_summary": SQL_COVERAGE_SUMMARY,
+    "coverage_all_sets": SQL_COVERAGE_ALL_SETS,
     "missing_dates": SQL_MISSING_DATES,
     "missing_any_set": SQL_MISSING_ANY_SET,
     "date_difference": SQL_DATE_DIFFERENCE,
