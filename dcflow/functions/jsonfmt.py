@@ -1,5 +1,5 @@
-"""JSON text scalars for the list-valued columns (stored as JSON by the
-reference's table). Built on Spark's VARIANT functions, so they stay JVM-side."""
+"""JSON text scalars for the list-valued columns (stored as JSON text in a
+relational table). Built on Spark's VARIANT functions, so they stay JVM-side."""
 
 from __future__ import annotations
 

@@ -51,15 +51,21 @@ def recent_plan(spark: SparkSession, sets: Sequence[str], as_of: str | _dt.date
     return build_requests(plan, base_url, metadata_prefix).select(*PLAN_COLUMNS)
 
 
+def union_runs(recent: DataFrame, backfill: DataFrame) -> DataFrame:
+    """The recent run's rows followed by the backfill run's, by column name,
+    tagged with ``mode``."""
+    return recent.withColumn("mode", F.lit("recent")) \
+                 .unionByName(backfill.withColumn("mode", F.lit("backfill")))
+
+
 def both_plan(stored: DataFrame, sets: Sequence[str], as_of: str | _dt.date,
               start: str | None = None, end: str | None = None, **kw) -> DataFrame:
     """The recent requests followed by the backfill requests, with ``mode``."""
     spark = stored.sparkSession
     base_url = kw.pop("base_url", DEFAULT_BASE_URL)
-    r = recent_plan(spark, sets, as_of, base_url).withColumn("mode", F.lit("recent"))
-    b = backfill_plan(stored, sets, start, end, as_of, base_url=base_url, **kw) \
-        .withColumn("mode", F.lit("backfill"))
-    return r.unionByName(b).select("mode", *PLAN_COLUMNS)
+    r = recent_plan(spark, sets, as_of, base_url)
+    b = backfill_plan(stored, sets, start, end, as_of, base_url=base_url, **kw)
+    return union_runs(r, b).select("mode", *PLAN_COLUMNS)
 
 
 def ingest_pages(spark: SparkSession, pages: DataFrame, table_path: str,
@@ -99,4 +105,4 @@ def ingest_pages(spark: SparkSession, pages: DataFrame, table_path: str,
     return res
 
 
-__all__ = ["backfill_plan", "recent_plan", "both_plan", "ingest_pages"]
+__all__ = ["backfill_plan", "recent_plan", "both_plan", "union_runs", "ingest_pages"]

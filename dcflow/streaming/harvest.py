@@ -4,7 +4,7 @@ merge into the bucketed table).
 
 There is no watermark: a late or repeated page simply merges again (the
 merge is idempotent for the same batch and last-write-wins across batches),
-which is the rule the reference applies to re-pulled days. ``as_of`` may be a
+which is how re-pulled days are made harmless in batch runs too. ``as_of`` may be a
 fixed value or a function of the micro-batch id; a fixed function keeps
 ``updated_at`` stable when Spark replays a batch after a failure.
 """
