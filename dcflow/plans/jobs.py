@@ -68,8 +68,18 @@ def both_plan(stored: DataFrame, sets: Sequence[str], as_of: str | _dt.date,
     return union_runs(r, b).select("mode", *PLAN_COLUMNS)
 
 
+def landing_time(pages: DataFrame) -> _dt.datetime:
+    """The latest ``landed_at`` of the pages as a UTC wall-clock time (one
+    scalar to the driver); now if the pages carry no landing time."""
+    if "landed_at" in pages.columns:
+        us = pages.agg(F.max(F.unix_micros("landed_at"))).first()[0]
+        if us is not None:
+            return _dt.datetime(1970, 1, 1) + _dt.timedelta(microseconds=us)
+    return _dt.datetime.now(_dt.timezone.utc).replace(tzinfo=None, microsecond=0)
+
+
 def ingest_pages(spark: SparkSession, pages: DataFrame, table_path: str,
-                 as_of: str | _dt.datetime, run_id: str = "",
+                 as_of: str | _dt.datetime | None, run_id: str = "",
                  quarantine_path: str | None = None,
                  num_buckets: int = DEFAULT_BUCKETS, with_ledger: bool = False,
                  with_counts: bool = True, ledger_path: str | None = None) -> dict:
@@ -78,6 +88,8 @@ def ingest_pages(spark: SparkSession, pages: DataFrame, table_path: str,
     S2 -> S3 -> P1 -> F8 (tags; rejected rows go to ``quarantine_path``) ->
     W3 + K1 + K2 into the table. Pages are parsed once: the parsed pages are
     checkpointed to the shared folder and every output reads that.
+    ``as_of=None`` takes the latest ``landed_at`` of the pages (deterministic
+    for a replayed batch), or the current time if pages carry no landing time.
     Returns page and record counts (``with_counts``); with ``with_ledger``
     also the run's request summary (A3 over ``page_ledger``), read from the
     same checkpoint. ``ledger_path`` appends the run's ledger rows (one per
@@ -85,12 +97,15 @@ def ingest_pages(spark: SparkSession, pages: DataFrame, table_path: str,
     """
     checkpoint_dir(spark)
     parsed = parse_pages(pages).checkpoint(eager=True)
+    if as_of is None:
+        as_of = landing_time(parsed)
     tagged = validate_records(flatten_records(explode_records(parsed))) \
         .withColumn("run_id", F.lit(run_id))
     if quarantine_path:
         rejected(tagged).write.mode("append").parquet(quarantine_path)
     res = merge_into(spark, table_path, accepted(tagged), as_of, ["run_id", "path", "pos"],
                      num_buckets)
+    res["as_of"] = as_of
     if with_counts:
         stats = page_status(parsed).groupBy("status").count().collect()
         res["pages"] = {r["status"]: r["count"] for r in stats}

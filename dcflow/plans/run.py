@@ -41,30 +41,35 @@ def main(argv: list[str] | None = None) -> dict:
     ap.add_argument("--set-specs", nargs="+", default=DEFAULT_SETS)
     ap.add_argument("--start-date")
     ap.add_argument("--end-date")
-    ap.add_argument("--as-of", default=None, help="run time, default now (UTC)")
+    ap.add_argument("--as-of", default=None,
+                    help="run time (UTC); default: the pages' latest landing time, else now")
     ap.add_argument("--buckets", type=int, default=DEFAULT_BUCKETS)
     ap.add_argument("--master", default=None)
     a = ap.parse_args(argv)
 
     spark = build_session(a.master)
-    as_of = a.as_of or _dt.datetime.now(_dt.timezone.utc).replace(tzinfo=None, microsecond=0) \
-        .isoformat(sep=" ")
-    run_id = f"run-{as_of}"
-    t0 = time.perf_counter()
-    out: dict = {"mode": a.mode, "as_of": as_of}
-    total = 0
     if a.mode == "recent" and not (a.pages or a.page_archive):
         ap.error("--pages or --page-archive is needed for recent")
-    if a.pages or a.page_archive:
-        if a.page_archive:
-            pages = read_page_archive(spark, a.page_archive)
-        else:
-            pages = read_pages(spark, a.pages, recursive=True)
-        res = ingest_pages(spark, pages, a.table, as_of, run_id=run_id,
-                           quarantine_path=a.quarantine, num_buckets=a.buckets, with_ledger=True,
-                           ledger_path=a.ledger)
+    pages = None
+    if a.page_archive:
+        pages = read_page_archive(spark, a.page_archive)
+    elif a.pages:
+        pages = read_pages(spark, a.pages, recursive=True)
+    as_of = a.as_of
+    t0 = time.perf_counter()
+    out: dict = {"mode": a.mode}
+    total = 0
+    if pages is not None:
+        # as_of None: ingest takes the pages' latest landing time from its parse
+        res = ingest_pages(spark, pages, a.table, as_of,
+                           run_id=f"run-{as_of or 'landed'}", quarantine_path=a.quarantine,
+                           num_buckets=a.buckets, with_ledger=True, ledger_path=a.ledger)
         out["recent"] = res
+        as_of = str(res["as_of"])
         total += res.get("accepted", 0)
+    if as_of is None:
+        as_of = str(_dt.datetime.now(_dt.timezone.utc).replace(tzinfo=None, microsecond=0))
+    out["as_of"] = as_of
     if a.mode in ("backfill", "both"):
         ensure_table(spark, a.table, a.buckets)
         stored = read_metadata(spark, a.table)

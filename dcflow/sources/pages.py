@@ -31,7 +31,8 @@ XML_OPTIONS = {
 
 def read_pages(spark: SparkSession, path: str | list[str],
                recursive: bool = False) -> DataFrame:
-    """Every landed response file as one row ``(path, value)``.
+    """Every landed response file as one row ``(path, landed_at, value)``;
+    ``landed_at`` is the file's modification time.
 
     Zero-length files give no row. ``recursive`` also reads sub-folders.
     """
@@ -40,21 +41,24 @@ def read_pages(spark: SparkSession, path: str | list[str],
         reader = reader.option("recursiveFileLookup", "true")
     paths = [path] if isinstance(path, str) else list(path)
     df = reader.text(paths, wholetext=True)
-    return df.select(F.col("_metadata.file_path").alias("path"), "value")
+    return df.select(F.col("_metadata.file_path").alias("path"),
+                     F.col("_metadata.file_modification_time").alias("landed_at"), "value")
 
 
 def compact_pages(pages: DataFrame, out_path: str, pages_per_file: int = 2000,
                   mode: str = "append") -> None:
-    """Archive landed pages as Parquet ``(path, value)`` files of at most
-    ``pages_per_file`` pages, so later runs list a few large files instead of
-    one small file per response. Pages are written in path order."""
-    pages.select("path", "value").sortWithinPartitions("path").write.mode(mode) \
+    """Archive landed pages as Parquet ``(path, landed_at, value)`` files of at
+    most ``pages_per_file`` pages, so later runs list a few large files instead
+    of one small file per response. Pages are written in path order."""
+    landed = F.col("landed_at") if "landed_at" in pages.columns else F.lit(None)
+    pages.select("path", landed.cast("timestamp").alias("landed_at"), "value") \
+        .sortWithinPartitions("path").write.mode(mode) \
         .option("maxRecordsPerFile", int(pages_per_file)).parquet(out_path)
 
 
 def read_page_archive(spark: SparkSession, path: str) -> DataFrame:
-    """Pages archived by ``compact_pages``: rows ``(path, value)``."""
-    return spark.read.schema("path string, value string").parquet(path)
+    """Pages archived by ``compact_pages``: rows ``(path, landed_at, value)``."""
+    return spark.read.schema("path string, landed_at timestamp, value string").parquet(path)
 
 
 def parse_pages(pages: DataFrame, value_col: str = "value") -> DataFrame:

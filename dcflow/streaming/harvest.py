@@ -4,9 +4,10 @@ merge into the bucketed table).
 
 There is no watermark: a late or repeated page simply merges again (the
 merge is idempotent for the same batch and last-write-wins across batches),
-which is how re-pulled days are made harmless in batch runs too. ``as_of`` may be a
-fixed value or a function of the micro-batch id; a fixed function keeps
-``updated_at`` stable when Spark replays a batch after a failure.
+which is how re-pulled days are made harmless in batch runs too. ``as_of`` may
+be a fixed value or a function of the micro-batch id; by default it is the
+latest landing time of the batch's files, so a batch Spark replays after a
+failure writes exactly the same rows again.
 """
 
 from __future__ import annotations
@@ -37,12 +38,13 @@ def land_pages(pages: DataFrame, landing_dir: str, path_col: str = "path",
 
 def page_stream(spark: SparkSession, landing_dir: str,
                 max_files_per_trigger: int | None = 1000) -> DataFrame:
-    """Newly landed files as rows ``(path, value)``, one per file."""
+    """Newly landed files as rows ``(path, landed_at, value)``, one per file."""
     r = spark.readStream
     if max_files_per_trigger:
         r = r.option("maxFilesPerTrigger", int(max_files_per_trigger))
     df = r.text(landing_dir, wholetext=True)
-    return df.select(F.col("_metadata.file_path").alias("path"), "value")
+    return df.select(F.col("_metadata.file_path").alias("path"),
+                     F.col("_metadata.file_modification_time").alias("landed_at"), "value")
 
 
 def stream_harvest(spark: SparkSession, landing_dir: str, table_path: str,
@@ -65,9 +67,7 @@ def stream_harvest(spark: SparkSession, landing_dir: str, table_path: str,
     def as_of_for(batch_id: int):
         if callable(as_of):
             return as_of(batch_id)
-        if as_of is not None:
-            return as_of
-        return _dt.datetime.now(_dt.timezone.utc).replace(tzinfo=None, microsecond=0)
+        return as_of        # None: the batch's latest landing time (see ingest_pages)
 
     def run_batch(batch: DataFrame, batch_id: int) -> None:
         ingest_pages(batch.sparkSession, batch, table_path, as_of_for(batch_id),

@@ -81,3 +81,34 @@ def test_stream_starts_before_anything_landed(spark):
     q = stream_harvest(spark, landing, table_path, as_of="2024-06-01 00:00:00")
     q.awaitTermination()
     assert read_metadata(spark, table_path).count() == 0
+
+
+def test_default_as_of_is_the_landing_time(spark):
+    import os
+    landing = scratch_path(spark, "t-asof-landing")
+    table_path = scratch_path(spark, "t-asof-table")
+    land_pages(A.pages_v(spark, SF_SMALL).filter(F.col("page_no") < 2), landing)
+    q = stream_harvest(spark, landing, table_path)
+    q.awaitTermination()
+    t = read_metadata(spark, table_path)
+    local = landing.replace("file:", "")
+    newest = max(os.path.getmtime(os.path.join(d, f)) for d, _, fs in os.walk(local)
+                 for f in fs if f.endswith(".txt"))
+    got = t.agg(F.max("updated_at")).first()[0]
+    want = dt.datetime(1970, 1, 1) + dt.timedelta(seconds=newest)
+    assert abs((got - want).total_seconds()) < 1.0
+    assert t.select("created_at").distinct().count() == 1
+
+
+def test_rerun_of_the_same_pages_is_exactly_idempotent(spark):
+    from dcflow.sources.pages import compact_pages, read_page_archive, read_pages
+    landing = scratch_path(spark, "t-rerun-landing")
+    land_pages(A.pages_v(spark, SF_SMALL).filter(F.col("page_no") < 3), landing)
+    archive = scratch_path(spark, "t-rerun-archive")
+    compact_pages(read_pages(spark, landing, recursive=True), archive)
+    table_path = scratch_path(spark, "t-rerun-table")
+    r1 = ingest_pages(spark, read_page_archive(spark, archive), table_path, None)
+    first = sorted(map(tuple, read_metadata(spark, table_path).collect()))
+    r2 = ingest_pages(spark, read_page_archive(spark, archive), table_path, None)
+    second = sorted(map(tuple, read_metadata(spark, table_path).collect()))
+    assert r1["as_of"] == r2["as_of"] and first == second and len(first) > 0
