@@ -31,6 +31,7 @@ RECORD_XML = T.StructType([
     T.StructField("metadata", T.StructType([T.StructField("dc", DUBLIN_CORE)])),
 ])
 PAGE_XML = T.StructType([
+    T.StructField("responseDate", S),   # present in every OAI-PMH response
     T.StructField("ListRecords", T.StructType([
         T.StructField("record", T.ArrayType(RECORD_XML)),
         T.StructField("resumptionToken", T.StructType([

@@ -66,8 +66,9 @@ def parse_pages(pages: DataFrame, value_col: str = "value") -> DataFrame:
 
     Adds ``records`` (array of record structs), ``error_code``, ``error_text``,
     ``resumption_token``, ``token_cursor``, ``complete_list_size``, the echoed
-    request arguments ``request_set``, ``request_from``, ``request_until`` and
-    ``malformed``. The corrupt text itself is not carried on.
+    request arguments ``request_set``, ``request_from``, ``request_until``,
+    ``response_date`` and ``malformed`` (unparseable, or XML that is not an
+    OAI-PMH response). The corrupt text itself is not carried on.
     """
     p = F.from_xml(F.col(value_col), PAGE_XML, XML_OPTIONS)
     keep = [c for c in pages.columns if c != value_col]
@@ -84,7 +85,11 @@ def parse_pages(pages: DataFrame, value_col: str = "value") -> DataFrame:
         F.col("_p.request._set").alias("request_set"),
         F.col("_p.request._from").alias("request_from"),
         F.col("_p.request._until").alias("request_until"),
-        (F.col("_p._corrupt_record").isNotNull() | F.col("_p").isNull()).alias("malformed"),
+        F.col("_p.responseDate").alias("response_date"),
+        # unparseable, or well-formed XML that is no OAI-PMH response at all
+        (F.col("_p._corrupt_record").isNotNull() | F.col("_p").isNull()
+         | (F.col("_p.responseDate").isNull() & F.col("_p.ListRecords").isNull()
+            & F.col("_p.error").isNull())).alias("malformed"),
     )
 
 

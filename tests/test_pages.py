@@ -86,12 +86,13 @@ def test_page_statuses_and_token(spark):
     other = f'<?xml version="1.0"?><OAI-PMH {NS}><error code="badArgument">bad</error></OAI-PMH>'
     trunc = ok[:150]
     empty_list = page("")
-    df = spark.createDataFrame([("a", ok), ("b", none), ("c", other), ("d", trunc), ("e", empty_list)],
-                               "path string, value string")
+    html = "<html><head><title>503 Service Unavailable</title></head><body>busy</body></html>"
+    df = spark.createDataFrame([("a", ok), ("b", none), ("c", other), ("d", trunc), ("e", empty_list),
+                                ("f", html)], "path string, value string")
     p = page_status(parse_pages(df))
     got = {r.path: (r.status, r.n_records) for r in p.collect()}
     assert got == {"a": ("ok", 1), "b": ("no_records", 0), "c": ("error", 0),
-                   "d": ("malformed", 0), "e": ("no_records", 0)}
+                   "d": ("malformed", 0), "e": ("no_records", 0), "f": ("malformed", 0)}
     tok = p.filter("path = 'a'").select("resumption_token", "token_cursor",
                                         "complete_list_size").first()
     assert tuple(tok) == ("tok-1", 0, 40)
