@@ -77,3 +77,12 @@ def test_chunk_dates_sizes(spark):
     df = spark.createDataFrame([("s", d) for d in days], "set_spec string, d date")
     sizes = [r[1] for r in chunk_dates(df, 7).groupBy("chunk_no").count().orderBy("chunk_no").collect()]
     assert sizes == [7, 7, 1]
+
+
+def test_safe_serialize_known_differences_and_more(spark):
+    # documented differences: repeated keys do not parse -> JSON string; 1e400 -> "Infinity"
+    vals = ['{"a":1,"a":2}', "1e400", '  [ "x" ]  ', '"s"', "null", '{"é":"ü"}', "-0", "1E2"]
+    got = one_col(spark, vals, "string", safe_serialize)
+    assert got == ['"{\\"a\\":1,\\"a\\":2}"', '"Infinity"', '["x"]', '"s"', "null", '{"é":"ü"}',
+                   "0", "100.0"]
+    assert one_col(spark, ['  [ "x" ]  ', '"s"'], "string", json_to_array) == [["x"], []]
