@@ -1,7 +1,7 @@
 """Scale probe: ingest, merge and coverage on k copies of a scale factor's
 documents (ids shifted per copy, so every copy is a distinct record).
 
-    python tools/scale_probe.py [sf_dir] [copies] [cpus]
+    python tools/scale_probe.py [sf_dir] [copies] [cpus] [shuffle]
 
 Prints one JSON line with seconds and rates. Not a registered query: it is a
 larger-volume check of the same jobs the bench times at sf0.1.
@@ -30,6 +30,9 @@ def main() -> None:
     sf = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.1"
     copies = int(sys.argv[2]) if len(sys.argv) > 2 else 10
     cpus = int(sys.argv[3]) if len(sys.argv) > 3 else 8
+    if len(sys.argv) > 4 and sys.argv[4] == "shuffle":     # force the shuffle merge path
+        import dcflow.sources.table as table_mod
+        table_mod.BROADCAST_BATCH_ROWS = 0
     spark = build_session(f"local[{cpus}]", app="dcflow-scale", shuffle_partitions=cpus * 4,
                           extra={"spark.driver.memory": "16g"})
     docs = A.table(spark, sf, "documents")
