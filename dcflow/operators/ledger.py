@@ -9,11 +9,11 @@ from __future__ import annotations
 
 from collections.abc import Iterable, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.text import array_len
-from .numbering import number_rows, previous_row
+from .numbering import fits_one_task, number_rows, previous_row
 
 # The batch size of a flush, the default attempts per request,
 # the status codes the older client retried on, the pause between requests.
@@ -90,13 +90,13 @@ def batch_summary(df: DataFrame, set_col: str = "set_spec",
 
 
 def assign_batches(df: DataFrame, order: Sequence[Column | str], set_col: str = "set_spec",
-                   size: int = DEFAULT_BATCH_SIZE) -> DataFrame:
+                   size: int = DEFAULT_BATCH_SIZE, max_group_rows: int | None = None) -> DataFrame:
     """``batch_no`` (0-based) and ``row_no`` (1-based) within each set's
     harvest in arrival ``order``; batches hold ``size`` rows, the last is partial.
 
-    Numbering is skew-safe: one huge set is split over many tasks.
+    Numbering is skew-safe: a set too big for one task is split over many.
     """
-    out = number_rows(df, [set_col], order, out="row_no")
+    out = number_rows(df, [set_col], order, out="row_no", max_group_rows=max_group_rows)
     return out.withColumn("batch_no", F.floor((F.col("row_no") - 1) / F.lit(size)).cast("bigint"))
 
 
@@ -148,19 +148,26 @@ def outcome_by_day(ledger: DataFrame) -> DataFrame:
 
 
 def pacing_audit(log: DataFrame, delay_ms: int = DEFAULT_DELAY_MS, client: str = "client",
-                 order: Sequence[str] = ("ts", "request_id", "attempt")) -> DataFrame:
+                 order: Sequence[str] = ("ts", "request_id", "attempt"),
+                 max_group_rows: int | None = None) -> DataFrame:
     """The wait each request still owed: ``max(0, delay - elapsed since
     the client's previous request)``; 0 for a client's first request.
 
     Adds ``wait_us`` (microseconds, exact) and ``violation`` (wait > 0).
-    The previous request comes from skew-safe numbering plus an equi-join on
-    ``(client, n - 1)``, so one busy client is spread over many tasks.
+    When the busiest client fits one task (see ``numbering.MAX_GROUP_ROWS``)
+    the previous request is a plain ``lag`` window; otherwise it comes from
+    skew-safe numbering plus an equi-join on ``(client, n - 1)``, so one busy
+    client is spread over many tasks.
     """
-    numbered = number_rows(log, [client], list(order), out="_n")
-    with_prev = previous_row(numbered, [client], ["ts"], rn="_n")
+    if fits_one_task(log, [client], max_group_rows):
+        w = Window.partitionBy(client).orderBy(*order)
+        with_prev = log.withColumn("prev_ts", F.lag("ts").over(w))
+    else:
+        numbered = number_rows(log, [client], list(order), out="_n", max_group_rows=0)
+        with_prev = previous_row(numbered, [client], ["ts"], rn="_n").drop("_n")
     gap = F.timestamp_diff("MICROSECOND", F.col("prev_ts"), F.col("ts"))
     wait = F.when(F.col("prev_ts").isNull(), F.lit(0)) \
             .otherwise(F.greatest(F.lit(0), F.lit(delay_ms * 1000) - gap))
     return with_prev.withColumn("wait_us", wait.cast("bigint")) \
                     .withColumn("violation", F.col("wait_us") > 0) \
-                    .drop("prev_ts", "_n")
+                    .drop("prev_ts")

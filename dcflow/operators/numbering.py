@@ -2,7 +2,9 @@
 
 ``row_number().over(partitionBy(g).orderBy(o))`` sends a whole group to one
 task; if one set or client holds a third of all rows, that task holds a third
-of the data. Instead:
+of the data. So the size of the largest group is measured first (one partial
+aggregate): up to ``MAX_GROUP_ROWS`` the plain window is used, which is the
+cheapest plan when every group fits a task. Beyond it:
 
 1. range-partition on ``(g, o)`` and sort within partitions, so a hot group is
    cut into many contiguous, ordered slices; record each row's partition and
@@ -29,6 +31,20 @@ from ..session import checkpoint_dir, shuffle_partitions
 
 # Above this many (partition, group) cells the offsets are joined by shuffle.
 BROADCAST_CELL_LIMIT = 2_000_000
+# Largest group one task may number with a plain window (rows).
+MAX_GROUP_ROWS = 5_000_000
+
+
+def largest_group(df: DataFrame, group: Sequence[str]) -> int:
+    """Rows in the biggest group (a partial aggregate; one number to the driver)."""
+    return df.groupBy(*group).count().agg(F.max("count")).first()[0] or 0
+
+
+def fits_one_task(df: DataFrame, group: Sequence[str], max_group_rows: int | None) -> bool:
+    """True if the largest group has at most ``max_group_rows`` rows
+    (default ``MAX_GROUP_ROWS``); a limit of 0 or less is False without a job."""
+    limit = MAX_GROUP_ROWS if max_group_rows is None else max_group_rows
+    return limit > 0 and largest_group(df, group) <= limit
 
 
 def _col(c: Column | str) -> Column:
@@ -36,8 +52,21 @@ def _col(c: Column | str) -> Column:
 
 
 def number_rows(df: DataFrame, group: Sequence[str], order: Sequence[Column | str],
-                out: str = "rn", num_partitions: int | None = None) -> DataFrame:
-    """Add ``out`` = 1-based row number of each row within its ``group`` in ``order``."""
+                out: str = "rn", num_partitions: int | None = None,
+                max_group_rows: int | None = None) -> DataFrame:
+    """Add ``out`` = 1-based row number of each row within its ``group`` in ``order``.
+
+    ``max_group_rows`` (default ``MAX_GROUP_ROWS``) is the largest group the
+    plain window may take; 0 always takes the range-partitioned path.
+    """
+    if fits_one_task(df, group, max_group_rows):
+        w = Window.partitionBy(*group).orderBy(*[_col(o) for o in order])
+        return df.withColumn(out, F.row_number().over(w).cast("bigint"))
+    return _number_rows_ranged(df, group, order, out, num_partitions)
+
+
+def _number_rows_ranged(df: DataFrame, group: Sequence[str], order: Sequence[Column | str],
+                        out: str, num_partitions: int | None) -> DataFrame:
     spark = df.sparkSession
     checkpoint_dir(spark)
     n = num_partitions or shuffle_partitions(spark)

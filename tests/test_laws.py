@@ -46,7 +46,7 @@ def test_results_do_not_depend_on_partitioning(spark):
 def test_number_rows_any_skew(spark, rows, parts):
     data = [(g, v, i) for i, (g, v) in enumerate(rows)]
     df = spark.createDataFrame(data, "g string, v int, id long")
-    got = number_rows(df, ["g"], ["v", "id"], num_partitions=parts)
+    got = number_rows(df, ["g"], ["v", "id"], num_partitions=parts, max_group_rows=0)
     want = df.withColumn("rn", F.row_number().over(Window.partitionBy("g").orderBy("v", "id")))
     assert sorted(map(tuple, got.collect()), key=repr) == sorted(map(tuple, want.collect()), key=repr)
 

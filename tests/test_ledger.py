@@ -41,10 +41,12 @@ def test_resolve_attempts_cases(spark):
 
 def test_pacing_audit_first_and_exact_gap(spark):
     rows = [("r1", 1, 0.0, 200), ("r2", 1, 3.0, 200), ("r3", 1, 4.5, 200)]
-    got = {r.request_id: (r.wait_us, r.violation) for r in pacing_audit(log(spark, rows)).collect()}
-    assert got["r1"] == (0, False)                # first request: no wait
-    assert got["r2"] == (0, False)                # gap exactly 3000 ms: no wait
-    assert got["r3"] == (1_500_000, True)
+    for limit in (None, 0):                       # plain lag window / skew-safe path
+        got = {r.request_id: (r.wait_us, r.violation)
+               for r in pacing_audit(log(spark, rows), max_group_rows=limit).collect()}
+        assert got["r1"] == (0, False)            # first request: no wait
+        assert got["r2"] == (0, False)            # gap exactly 3000 ms: no wait
+        assert got["r3"] == (1_500_000, True)
 
 
 def test_summary_throughput_outcomes(spark):
@@ -65,9 +67,11 @@ def test_number_rows_matches_window_under_skew(spark):
     rows = [("hot" if random.random() < 0.6 else f"g{random.randint(0, 20)}", i, random.random())
             for i in range(3000)]
     df = spark.createDataFrame(rows, "g string, id long, v double")
-    got = number_rows(df, ["g"], ["v", "id"], out="rn", num_partitions=16)
     want = df.withColumn("rn", F.row_number().over(Window.partitionBy("g").orderBy("v", "id")))
-    assert sorted(map(tuple, got.collect())) == sorted(map(tuple, want.collect()))
+    ranged = number_rows(df, ["g"], ["v", "id"], out="rn", num_partitions=16, max_group_rows=0)
+    plain = number_rows(df, ["g"], ["v", "id"], out="rn")
+    for got in (ranged, plain):
+        assert sorted(map(tuple, got.collect())) == sorted(map(tuple, want.collect()))
 
 
 def test_assign_batches_and_summary(spark):
