@@ -727,6 +727,19 @@ FROM documents WHERE {SQL_STORED}
 """
 
 
+# S2, S4 on foreign input: the driver's raw web pages are no OAI-PMH responses
+def q_foreign_pages(spark: SparkSession, sf: str) -> DataFrame:
+    raw = A.table(spark, sf, "pages").select(F.col("url").alias("path"), F.col("html").alias("value"))
+    p = page_status(parse_pages(raw))
+    return p.groupBy("status").agg(F.count(F.lit(1)).alias("n_pages"),
+                                   F.sum("n_records").cast("bigint").alias("n_records"))
+
+
+SQL_FOREIGN_PAGES = """
+SELECT 'malformed' AS status, count(*) AS n_pages, CAST(0 AS BIGINT) AS n_records FROM pages
+"""
+
+
 # S1 (+ K4 on pages): land pages as files, read them back, archive and re-read
 def q_landed_pages(spark: SparkSession, sf: str) -> DataFrame:
     landing = scratch_path(spark, "landed")
@@ -742,6 +755,7 @@ QUERIES: dict[str, QueryFn] = {
     "parse_records": q_parse_records,
     "page_status": q_page_status,
     "landed_pages": q_landed_pages,
+    "foreign_pages": q_foreign_pages,
     "validate_records": q_validate_records,
     "collapse_ws": q_collapse_ws,
     "first_last_value": q_first_last_value,
@@ -782,6 +796,7 @@ ORACLE_SQL: dict[str, str] = {
     "parse_records": SQL_PARSE_RECORDS,
     "page_status": SQL_PAGE_STATUS,
     "landed_pages": SQL_PAGE_STATUS,
+    "foreign_pages": SQL_FOREIGN_PAGES,
     "validate_records": SQL_VALIDATE_RECORDS,
     "collapse_ws": SQL_COLLAPSE_WS,
     "first_last_value": SQL_FIRST_LAST_VALUE,
