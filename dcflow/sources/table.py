@@ -18,6 +18,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions.dates import lit_ts
 from ..operators.merge import KEY, latest_per_key, upsert, upsert_small_batch
 from ..schemas import RECORD_COLUMNS, TABLE
 from ..session import checkpoint_dir, path_exists
@@ -108,13 +109,18 @@ def merge_into(spark: SparkSession, path: str, incoming: DataFrame,
 
     The batch is deduplicated (last in ``seq`` wins) and checkpointed to the
     shared checkpoint folder, so the pages are parsed once even though the
-    batch is used several times. Only the batch's row count and the list of
-    touched buckets (at most ``num_buckets`` integers) reach the driver.
-
-    A batch counted at most ``BROADCAST_BATCH_ROWS`` rows is merged with
-    broadcast joins: the touched buckets are scanned and rewritten but never
-    shuffled (the batch's own rows are grouped by bucket, one small file per
-    bucket). A larger batch takes the shuffle (full outer) merge.
+    batch is used several times. Only counts and bucket numbers (at most
+    ``num_buckets`` integers) reach the driver.
+
+    A batch counted at most ``BROADCAST_BATCH_ROWS`` rows takes the broadcast
+    path: a broadcast semi join on the batch keys (reading only the key,
+    bucket and ``created_at`` columns of the touched buckets) finds the keys
+    already stored; only the buckets holding such updates are rewritten
+    (dynamic overwrite, stored rows split by broadcast joins and never
+    shuffled), and new keys are appended to their buckets as new files without
+    rewriting anything. A larger batch takes the shuffle (full outer) merge of
+    the touched buckets. Re-running a batch is idempotent: keys appended by an
+    earlier run are then found as stored and rewritten to the same values.
     """
     checkpoint_dir(spark)
     ensure_table(spark, path, num_buckets)
@@ -130,13 +136,60 @@ def merge_into(spark: SparkSession, path: str, incoming: DataFrame,
     if not touched:
         return {"touched_buckets": 0, "batch_rows": 0, "strategy": "none"}
     base = read_metadata(spark, path).filter(F.col("bucket").isin(touched))
-    if n <= BROADCAST_BATCH_ROWS:
-        merged = upsert_small_batch(base, batch.drop("bucket").repartition(
-            bucket_of(KEY, num_buckets)), as_of)
-        write_metadata(merged, path, num_buckets, shuffle=False)
-        strategy = "broadcast"
-    else:
+    if n > BROADCAST_BATCH_ROWS:
         merged = upsert(base, batch.drop("bucket"), as_of, seq=None)
         write_metadata(merged, path, num_buckets)
-        strategy = "shuffle"
-    return {"touched_buckets": len(touched), "batch_rows": n, "strategy": strategy}
+        return {"touched_buckets": len(touched), "batch_rows": n, "strategy": "shuffle"}
+
+    keys = F.broadcast(batch.select(KEY))
+    stored = base.select(KEY, "bucket").join(keys, KEY, "left_semi") \
+        .checkpoint(eager=True)                                # at most n rows
+    upd = stored.groupBy("bucket").count().collect()            # at most num_buckets rows
+    upd_buckets, n_upd = sorted(r["bucket"] for r in upd), sum(r["count"] for r in upd)
+    if upd_buckets:
+        updates = batch.join(F.broadcast(stored.select(KEY)), KEY, "left_semi").drop("bucket")
+        old = base.filter(F.col("bucket").isin(upd_buckets))
+        merged = upsert_small_batch(old, updates.repartition(bucket_of(KEY, num_buckets)), as_of)
+        write_metadata(merged, path, num_buckets, shuffle=False)
+    if n_upd < n:
+        inserts = batch.join(F.broadcast(stored.select(KEY)), KEY, "left_anti").drop("bucket")
+        at = lit_ts(as_of)
+        append_metadata(inserts.withColumn("created_at", at).withColumn("updated_at", at),
+                        path, num_buckets)
+    return {"touched_buckets": len(touched), "batch_rows": n, "strategy": "broadcast",
+            "rewritten_buckets": len(upd_buckets), "updated_rows": n_upd,
+            "appended_rows": n - n_upd}
+
+
+def append_metadata(df: DataFrame, path: str, num_buckets: int = DEFAULT_BUCKETS) -> None:
+    """Add rows whose keys are not stored yet as new files in their buckets
+    (one file per bucket per call); nothing existing is rewritten."""
+    out = df.withColumn("bucket", bucket_of(KEY, num_buckets)) \
+            .select(*[f.name for f in TABLE.fields]) \
+            .repartition("bucket").sortWithinPartitions("bucket", "header_datestamp")
+    out.write.mode("append") \
+        .option(f"parquet.bloom.filter.enabled#{KEY}", "true") \
+        .option(f"parquet.bloom.filter.expected.ndv#{KEY}", str(BLOOM_NDV)) \
+        .partitionBy("bucket").parquet(path)
+
+
+def bucket_files(spark: SparkSession, path: str) -> DataFrame:
+    """Files per bucket: ``(bucket, files)`` (one row per bucket)."""
+    t = read_metadata(spark, path).select("bucket", F.col("_metadata.file_path").alias("f"))
+    return t.groupBy("bucket").agg(F.count_distinct("f").alias("files"))
+
+
+def compact_table(spark: SparkSession, path: str, num_buckets: int = DEFAULT_BUCKETS,
+                  max_files: int = 8) -> int:
+    """Rewrite every bucket holding more than ``max_files`` files (appends
+    accumulate them) into one sorted file set; returns the buckets rewritten.
+    Row content is unchanged."""
+    recorded = table_buckets(spark, path)
+    if recorded is not None and recorded != num_buckets:
+        raise ValueError(f"table at {path} has {recorded} buckets, not {num_buckets}")
+    many = sorted(r["bucket"] for r in
+                  bucket_files(spark, path).filter(F.col("files") > max_files).collect())
+    if many:
+        rows = read_metadata(spark, path).filter(F.col("bucket").isin(many)).drop("bucket")
+        write_metadata(rows, path, num_buckets)
+    return len(many)

@@ -117,3 +117,33 @@ def test_merge_refuses_another_bucket_count(spark, tmp_dir):
     with pytest.raises(ValueError):
         merge_into(spark, path, recs(spark, [("b", T0, "x", 2)]), T1, ["seq"], num_buckets=8)
     assert read_metadata(spark, path).count() == 1
+
+
+def test_inserts_append_and_updates_rewrite_only_their_buckets(spark, tmp_dir):
+    path = os.path.join(tmp_dir, "appends")
+    base = recs(spark, [(f"id{i}", T0, "x", i) for i in range(40)])
+    r1 = merge_into(spark, path, base, T0, ["seq"], num_buckets=8)
+    assert r1["rewritten_buckets"] == 0                     # all new: appended only
+    files_before = {r.bucket: r.files for r in T.bucket_files(spark, path).collect()}
+    one_update = recs(spark, [("id3", T1, "y", 100)])
+    r2 = merge_into(spark, path, one_update, T1, ["seq"], num_buckets=8)
+    assert r2["rewritten_buckets"] == 1 and r2["updated_rows"] == 1
+    new_only = recs(spark, [("new1", T1, "z", 200)])
+    r3 = merge_into(spark, path, new_only, T1, ["seq"], num_buckets=8)
+    assert r3["rewritten_buckets"] == 0
+    t = read_metadata(spark, path)
+    snapshot = sorted(map(tuple, t.collect()))      # files are replaced by later merges
+    assert len(snapshot) == 41
+    row = t.filter("header_identifier = 'id3'").first()
+    assert (row.metadata_type, row.created_at, row.updated_at) == ("y", T0, T1)
+    files_after = {r.bucket: r.files for r in T.bucket_files(spark, path).collect()}
+    assert sum(files_after.values()) >= sum(files_before.values())
+    # re-running the same batches changes nothing
+    merge_into(spark, path, new_only, T1, ["seq"], num_buckets=8)
+    merge_into(spark, path, one_update, T1, ["seq"], num_buckets=8)
+    assert sorted(map(tuple, read_metadata(spark, path).collect())) == snapshot
+    # compaction leaves one file set per bucket and the same rows
+    before = sorted(map(tuple, read_metadata(spark, path).collect()))
+    assert T.compact_table(spark, path, 8, max_files=1) > 0
+    assert max(r.files for r in T.bucket_files(spark, path).collect()) == 1
+    assert sorted(map(tuple, read_metadata(spark, path).collect())) == before

@@ -109,6 +109,19 @@ def main() -> None:
     out.update(update_sec=round(time.perf_counter() - t, 2), update_rows=r2["batch_rows"],
                update_strategy=r2["strategy"])
 
+    # a daily harvest: 5% new records and 1% updates of stored ones
+    cur = read_metadata(spark, table).drop("created_at", "updated_at", "bucket")
+    h = F.pmod(F.xxhash64("header_identifier", F.lit("day")), F.lit(100))
+    new = cur.filter(h < 5).withColumn("header_identifier",
+                                       F.concat(F.col("header_identifier"), F.lit(":v2")))
+    upd2 = cur.filter(h == 5).withColumn("metadata_type", F.lit("revised"))
+    day = new.unionByName(upd2).withColumn("seq", F.lit(2))
+    t = time.perf_counter()
+    r3 = merge_into(spark, table, day, "2024-06-03 00:00:00", ["seq"], num_buckets=64)
+    out.update(daily_sec=round(time.perf_counter() - t, 2), daily_rows=r3["batch_rows"],
+               daily_appended=r3.get("appended_rows"), daily_updated=r3.get("updated_rows"),
+               daily_rewritten_buckets=r3.get("rewritten_buckets"))
+
     t = time.perf_counter()
     m = missing_dates(read_metadata(spark, table), ["en", "fr", "de", "es"], "2023-12-01",
                       "2024-03-31").count()
