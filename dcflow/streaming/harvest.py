@@ -39,7 +39,10 @@ def land_pages(pages: DataFrame, landing_dir: str, path_col: str = "path",
 def page_stream(spark: SparkSession, landing_dir: str,
                 max_files_per_trigger: int | None = 1000) -> DataFrame:
     """Newly landed files as rows ``(path, landed_at, value)``, one per file."""
-    r = spark.readStream
+    # recursive lookup: files in any sub-folder, and no partition columns
+    # inferred from folder names (a stream started on an empty folder would
+    # otherwise see its schema change when the first files arrive)
+    r = spark.readStream.option("recursiveFileLookup", "true")
     if max_files_per_trigger:
         r = r.option("maxFilesPerTrigger", int(max_files_per_trigger))
     df = r.text(landing_dir, wholetext=True)

@@ -112,3 +112,20 @@ def test_rerun_of_the_same_pages_is_exactly_idempotent(spark):
     r2 = ingest_pages(spark, read_page_archive(spark, archive), table_path, None)
     second = sorted(map(tuple, read_metadata(spark, table_path).collect()))
     assert r1["as_of"] == r2["as_of"] and first == second and len(first) > 0
+
+
+def test_polling_stream_picks_up_new_pages(spark):
+    landing = scratch_path(spark, "t-poll-landing")
+    table_path = scratch_path(spark, "t-poll-table")
+    q = stream_harvest(spark, landing, table_path, as_of="2024-06-01 00:00:00",
+                       available_now=False, processing_time="1 second")
+    try:
+        land_pages(A.pages_v(spark, SF_SMALL).filter(F.col("page_no") == 0), landing)
+        q.processAllAvailable()
+        n1 = read_metadata(spark, table_path).count()
+        land_pages(A.pages_v(spark, SF_SMALL).filter(F.col("page_no") == 1), landing)
+        q.processAllAvailable()
+        n2 = read_metadata(spark, table_path).count()
+    finally:
+        q.stop()
+    assert 0 < n1 < n2
