@@ -82,6 +82,16 @@ def make_dirs(spark: SparkSession, path: str) -> None:
     p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).mkdirs(p)
 
 
+def list_names(spark: SparkSession, path: str) -> list[str]:
+    """Names of the entries of a folder (empty if it does not exist)."""
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if not fs.exists(p):
+        return []
+    return [st.getPath().getName() for st in fs.listStatus(p)]
+
+
 def path_exists(spark: SparkSession, path: str) -> bool:
     """Existence check through Hadoop's FileSystem, so it works for any scheme."""
     jvm = spark.sparkContext._jvm
@@ -92,4 +102,4 @@ def path_exists(spark: SparkSession, path: str) -> bool:
 
 
 __all__ = ["build_session", "checkpoint_dir", "scratch_path", "shuffle_partitions",
-           "path_exists", "make_dirs"]
+           "path_exists", "make_dirs", "list_names"]

@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 from ..functions.dates import lit_ts
 from ..operators.merge import KEY, latest_per_key, upsert, upsert_small_batch
 from ..schemas import RECORD_COLUMNS, TABLE
-from ..session import checkpoint_dir, path_exists
+from ..session import checkpoint_dir, list_names, make_dirs, path_exists
 
 DEFAULT_BUCKETS = 64
 # A merged batch of at most this many records is broadcast (see merge_into).
@@ -42,26 +42,24 @@ LAYOUT_DIR = "_dcflow_layout"   # ignored by the Parquet reader (leading undersc
 def ensure_table(spark: SparkSession, path: str, num_buckets: int = DEFAULT_BUCKETS) -> bool:
     """K3: create an empty table at ``path`` if none is there. True if created.
 
-    The bucket count is recorded next to the data, and a later merge with a
-    different count is refused (it would place a key's new version in another
-    bucket than its old one).
+    The bucket count is recorded next to the data (as a folder name, read
+    without a Spark job), and a later merge with a different count is refused:
+    it would place a key's new version in another bucket than its old one.
     """
     if path_exists(spark, path):
         return False
     spark.createDataFrame([], TABLE).write.mode("errorifexists") \
         .partitionBy("bucket").parquet(path)
-    spark.createDataFrame([(str(int(num_buckets)),)], "value string").coalesce(1) \
-        .write.mode("overwrite").text(f"{path.rstrip('/')}/{LAYOUT_DIR}")
+    make_dirs(spark, f"{path.rstrip('/')}/{LAYOUT_DIR}/buckets={int(num_buckets)}")
     return True
 
 
 def table_buckets(spark: SparkSession, path: str) -> int | None:
     """The bucket count recorded by ``ensure_table`` (None if not recorded)."""
-    meta = f"{path.rstrip('/')}/{LAYOUT_DIR}"
-    if not path_exists(spark, meta):
-        return None
-    row = spark.read.text(meta).first()
-    return int(row[0]) if row else None
+    for name in list_names(spark, f"{path.rstrip('/')}/{LAYOUT_DIR}"):
+        if name.startswith("buckets="):
+            return int(name.split("=", 1)[1])
+    return None
 
 
 def read_metadata(spark: SparkSession, path: str) -> DataFrame:
