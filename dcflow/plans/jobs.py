@@ -78,11 +78,18 @@ def landing_time(pages: DataFrame) -> _dt.datetime:
     return _dt.datetime.now(_dt.timezone.utc).replace(tzinfo=None, microsecond=0)
 
 
+def _replace_run(df: DataFrame, path: str) -> None:
+    """Write one run's rows into its ``run_id`` partition, replacing it."""
+    df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic") \
+        .partitionBy("run_id").parquet(path)
+
+
 def ingest_pages(spark: SparkSession, pages: DataFrame, table_path: str,
-                 as_of: str | _dt.datetime | None, run_id: str = "",
+                 as_of: str | _dt.datetime | None, run_id: str | None = None,
                  quarantine_path: str | None = None,
                  num_buckets: int = DEFAULT_BUCKETS, with_ledger: bool = False,
-                 with_counts: bool = True, ledger_path: str | None = None) -> dict:
+                 with_counts: bool = True, ledger_path: str | None = None,
+                 run_suffix: str = "") -> dict:
     """The harvest job over one batch of landed pages.
 
     S2 -> S3 -> P1 -> F8 (tags; rejected rows go to ``quarantine_path``) ->
@@ -92,27 +99,31 @@ def ingest_pages(spark: SparkSession, pages: DataFrame, table_path: str,
     for a replayed batch), or the current time if pages carry no landing time.
     Returns page and record counts (``with_counts``); with ``with_ledger``
     also the run's request summary (A3 over ``page_ledger``), read from the
-    same checkpoint. ``ledger_path`` appends the run's ledger rows (one per
-    request) to a ledger table, so A3/A4/A7 can run over many runs.
+    same checkpoint. ``ledger_path`` keeps the run's ledger rows (one per
+    request) in a ledger table, so A3/A4/A7 can run over many runs.
+    Quarantine and ledger rows are partitioned by ``run_id`` (default
+    ``run-<as_of><run_suffix>``) and replace that run's partition, so a
+    replayed batch does not add them twice.
     """
     checkpoint_dir(spark)
     parsed = parse_pages(pages).checkpoint(eager=True)
     if as_of is None:
         as_of = landing_time(parsed)
+    run_id = run_id or f"run-{as_of}{run_suffix}"
     tagged = validate_records(flatten_records(explode_records(parsed))) \
         .withColumn("run_id", F.lit(run_id))
     if quarantine_path:
-        rejected(tagged).write.mode("append").parquet(quarantine_path)
+        _replace_run(rejected(tagged), quarantine_path)
     res = merge_into(spark, table_path, accepted(tagged), as_of, ["run_id", "path", "pos"],
                      num_buckets)
-    res["as_of"] = as_of
+    res["as_of"], res["run_id"] = as_of, run_id
     if with_counts:
         stats = page_status(parsed).groupBy("status").count().collect()
         res["pages"] = {r["status"]: r["count"] for r in stats}
         counts = {r["accepted"]: r["count"] for r in tagged.groupBy("accepted").count().collect()}
         res["accepted"], res["rejected"] = counts.get(True, 0), counts.get(False, 0)
     if ledger_path:
-        page_ledger(parsed, run_id).write.mode("append").parquet(ledger_path)
+        _replace_run(page_ledger(parsed, run_id), ledger_path)
     if with_ledger:
         s = harvest_summary(page_ledger(parsed, run_id)).first()
         res.update(requests=s.sets_processed if s else 0, successful=s.successful if s else 0,

@@ -61,8 +61,7 @@ def main(argv: list[str] | None = None) -> dict:
     total = 0
     if pages is not None:
         # as_of None: ingest takes the pages' latest landing time from its parse
-        res = ingest_pages(spark, pages, a.table, as_of,
-                           run_id=f"run-{as_of or 'landed'}", quarantine_path=a.quarantine,
+        res = ingest_pages(spark, pages, a.table, as_of, quarantine_path=a.quarantine,
                            num_buckets=a.buckets, with_ledger=True, ledger_path=a.ledger)
         out["recent"] = res
         as_of = str(res["as_of"])

@@ -74,7 +74,7 @@ def stream_harvest(spark: SparkSession, landing_dir: str, table_path: str,
 
     def run_batch(batch: DataFrame, batch_id: int) -> None:
         ingest_pages(batch.sparkSession, batch, table_path, as_of_for(batch_id),
-                     run_id=f"batch-{batch_id:012d}", quarantine_path=quarantine_path,
+                     run_suffix=f"-batch-{batch_id:012d}", quarantine_path=quarantine_path,
                      num_buckets=num_buckets, with_counts=False)
 
     w = page_stream(spark, landing_dir, max_files_per_trigger).writeStream \

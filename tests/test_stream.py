@@ -67,6 +67,12 @@ def test_run_modes(spark):
     assert spark.read.parquet(quarantine).count() == r["recent"]["rejected"] > 0
     led = spark.read.parquet(ledger)
     assert led.count() == 1 and led.first().n == -1      # no request echo; malformed pages
+    assert led.first().run_id == r["recent"]["run_id"] != "run-landed"
+    # the same run again replaces its quarantine and ledger partitions
+    main(["--mode", "recent", "--table", table_path, "--page-archive", archive,
+          "--as-of", "2024-06-01 00:00:00", "--ledger", ledger, "--quarantine", quarantine])
+    assert spark.read.parquet(quarantine).count() == r["recent"]["rejected"]
+    assert spark.read.parquet(ledger).count() == 1
     plan_out = scratch_path(spark, "run-plan")
     b = main(["--mode", "both", "--table", table_path, "--set-specs", "en", "fr",
               "--start-date", "2024-01-01", "--end-date", "2024-03-01", "--plan-out", plan_out,
