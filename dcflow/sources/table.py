@@ -128,7 +128,11 @@ def merge_into(spark: SparkSession, path: str, incoming: DataFrame,
     wanted = list(dict.fromkeys([*RECORD_COLUMNS, *[c for c in seq if isinstance(c, str)]]))
     batch = latest_per_key(incoming.select(*wanted), seq, KEY) \
         .withColumn("bucket", bucket_of(KEY, num_buckets)).checkpoint(eager=True)
-    per_bucket = batch.groupBy("bucket").count().collect()   # at most num_buckets rows
+    per_bucket = batch.groupBy("bucket").agg(            # at most num_buckets rows
+        F.count(F.lit(1)).alias("count"), F.count_if(F.col(KEY).isNull()).alias("no_key")
+    ).collect()
+    if any(r["no_key"] for r in per_bucket):
+        raise ValueError("records without header_identifier; run validate_records first")
     n = sum(r["count"] for r in per_bucket)
     touched = sorted(r["bucket"] for r in per_bucket)
     if not touched:

@@ -147,3 +147,10 @@ def test_inserts_append_and_updates_rewrite_only_their_buckets(spark, tmp_dir):
     assert T.compact_table(spark, path, 8, max_files=1) > 0
     assert max(r.files for r in T.bucket_files(spark, path).collect()) == 1
     assert sorted(map(tuple, read_metadata(spark, path).collect())) == before
+
+
+def test_merge_refuses_records_without_key(spark, tmp_dir):
+    import pytest
+    with pytest.raises(ValueError):
+        merge_into(spark, os.path.join(tmp_dir, "nokey"),
+                   recs(spark, [(None, T0, "x", 1), ("a", T0, "x", 2)]), T0, ["seq"], num_buckets=4)
