@@ -29,7 +29,7 @@ from ..schemas import RECORD
 from ..session import scratch_path
 from ..sources.pages import (compact_pages, explode_records, page_status, parse_pages,
                              read_page_archive, read_pages)
-from ..sources.table import ensure_table, merge_into, read_metadata, write_batches
+from ..sources.table import compact_table, ensure_table, merge_into, read_metadata, write_batches
 from ..streaming.harvest import land_pages, stream_harvest
 from . import adapters as A
 from .jobs import backfill_plan, both_plan
@@ -517,6 +517,7 @@ def q_write_roundtrip(spark: SparkSession, sf: str) -> DataFrame:
     ensure_table(spark, path, 16)
     merge_into(spark, path, base, AS_OF_BASE, SEQ, num_buckets=16)
     merge_into(spark, path, incoming, AS_OF_INCOMING, SEQ, num_buckets=16)
+    compact_table(spark, path, 16, max_files=1)          # row content must be unchanged
     write_batches(latest_per_key(incoming, SEQ).select(*RECORD.fieldNames()),
                   scratch_path(spark, "batches"), size=20)
     return _state_out(read_metadata(spark, path))

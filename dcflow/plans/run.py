@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 
 from ..session import build_session
 from ..sources.pages import read_page_archive, read_pages
-from ..sources.table import DEFAULT_BUCKETS, ensure_table, read_metadata
+from ..sources.table import DEFAULT_BUCKETS, compact_table, ensure_table, read_metadata
 from .jobs import backfill_plan, both_plan, ingest_pages
 
 # Fixed value: the set list used when none is given.
@@ -44,6 +44,8 @@ def main(argv: list[str] | None = None) -> dict:
     ap.add_argument("--as-of", default=None,
                     help="run time (UTC); default: the pages' latest landing time, else now")
     ap.add_argument("--buckets", type=int, default=DEFAULT_BUCKETS)
+    ap.add_argument("--compact-max-files", type=int, default=None,
+                    help="after ingest, rewrite buckets holding more files than this")
     ap.add_argument("--master", default=None)
     a = ap.parse_args(argv)
 
@@ -64,6 +66,9 @@ def main(argv: list[str] | None = None) -> dict:
         res = ingest_pages(spark, pages, a.table, as_of, quarantine_path=a.quarantine,
                            num_buckets=a.buckets, with_ledger=True, ledger_path=a.ledger)
         out["recent"] = res
+        if a.compact_max_files is not None:
+            out["compacted_buckets"] = compact_table(spark, a.table, a.buckets,
+                                                     a.compact_max_files)
         as_of = str(res["as_of"])
         total += res.get("accepted", 0)
     if as_of is None:

@@ -69,8 +69,11 @@ def test_run_modes(spark):
     assert led.count() == 1 and led.first().n == -1      # no request echo; malformed pages
     assert led.first().run_id == r["recent"]["run_id"] != "run-landed"
     # the same run again replaces its quarantine and ledger partitions
-    main(["--mode", "recent", "--table", table_path, "--page-archive", archive,
-          "--as-of", "2024-06-01 00:00:00", "--ledger", ledger, "--quarantine", quarantine])
+    r2 = main(["--mode", "recent", "--table", table_path, "--page-archive", archive,
+               "--as-of", "2024-06-01 00:00:00", "--ledger", ledger, "--quarantine", quarantine,
+               "--compact-max-files", "1"])
+    assert r2["compacted_buckets"] >= 0
+    assert read_metadata(spark, table_path).count() == r["recent"]["accepted"]
     assert spark.read.parquet(quarantine).count() == r["recent"]["rejected"]
     assert spark.read.parquet(ledger).count() == 1
     plan_out = scratch_path(spark, "run-plan")
