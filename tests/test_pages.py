@@ -146,3 +146,13 @@ def test_description_rule_options(spark):
     assert flatten_records(ex).first().metadata_description == "first one"
     assert flatten_records(ex, description="last", collapse=False).first().metadata_description \
         == " last\\n one "
+
+
+def test_read_pages_gzip_files(spark, tmp_dir):
+    import gzip
+    with gzip.open(os.path.join(tmp_dir, "p2.xml.gz"), "wt", encoding="utf-8") as f:
+        f.write(page(rec("gz-1") + rec("gz-2")))
+    with open(os.path.join(tmp_dir, "p3.xml"), "w") as f:
+        f.write(page(rec("plain-1")))
+    recs = flatten_records(explode_records(parse_pages(read_pages(spark, tmp_dir))))
+    assert sorted(r.header_identifier for r in recs.collect()) == ["gz-1", "gz-2", "plain-1"]
