@@ -54,12 +54,15 @@ def stream_harvest(spark: SparkSession, landing_dir: str, table_path: str,
                    checkpoint_location: str | None = None, as_of: AsOf = None,
                    max_files_per_trigger: int | None = 1000, available_now: bool = True,
                    processing_time: str | None = None, quarantine_path: str | None = None,
+                   ledger_path: str | None = None,
                    num_buckets: int = DEFAULT_BUCKETS) -> StreamingQuery:
     """Start the incremental harvest; returns the running query.
 
     ``available_now=True`` processes what has landed and stops (a scheduled
     run); otherwise it polls every ``processing_time``. The stream's progress
-    lives in ``checkpoint_location`` (default: next to the table).
+    lives in ``checkpoint_location`` (default: next to the table). Rejected
+    records go to ``quarantine_path`` and each micro-batch's request ledger to
+    ``ledger_path``, one ``run_id`` partition per micro-batch.
     """
     checkpoint_dir(spark)
     ensure_table(spark, table_path, num_buckets)
@@ -75,7 +78,7 @@ def stream_harvest(spark: SparkSession, landing_dir: str, table_path: str,
     def run_batch(batch: DataFrame, batch_id: int) -> None:
         ingest_pages(batch.sparkSession, batch, table_path, as_of_for(batch_id),
                      run_suffix=f"-batch-{batch_id:012d}", quarantine_path=quarantine_path,
-                     num_buckets=num_buckets, with_counts=False)
+                     ledger_path=ledger_path, num_buckets=num_buckets, with_counts=False)
 
     w = page_stream(spark, landing_dir, max_files_per_trigger).writeStream \
         .foreachBatch(run_batch).option("checkpointLocation", ckpt)

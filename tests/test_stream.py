@@ -138,3 +138,17 @@ def test_polling_stream_picks_up_new_pages(spark):
     finally:
         q.stop()
     assert 0 < n1 < n2
+
+
+def test_stream_writes_a_ledger_per_micro_batch(spark):
+    landing = scratch_path(spark, "t-led-landing")
+    land_pages(A.pages_v(spark, SF_SMALL), landing)
+    ledger = scratch_path(spark, "t-led-ledger")
+    quarantine = scratch_path(spark, "t-led-quarantine")
+    q = stream_harvest(spark, landing, scratch_path(spark, "t-led-table"),
+                       as_of="2024-06-01 00:00:00", max_files_per_trigger=4,
+                       ledger_path=ledger, quarantine_path=quarantine)
+    q.awaitTermination()
+    batches = len(q.recentProgress)
+    assert spark.read.parquet(ledger).select("run_id").distinct().count() == batches > 1
+    assert spark.read.parquet(quarantine).count() > 0
