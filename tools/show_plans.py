@@ -70,7 +70,12 @@ def main() -> None:
     batch = latest_per_key(stored_records(spark, SF).select(
         *[c for c in t.columns if c not in ("created_at", "updated_at", "bucket")], "path", "pos"),
         ["path", "pos"]).drop("path", "pos").checkpoint(eager=True)   # as merge_into does
-    show("Merge of a size-checked batch (K1, broadcast path)",
+    show("Which batch keys are stored already (K1, broadcast path, first step)",
+         "A broadcast semi join on the batch keys; the table side reads only the identifier and "
+         "the bucket (partition) column and is not shuffled.",
+         t.select("header_identifier", "bucket").join(F.broadcast(batch.select("header_identifier")),
+                                                     "header_identifier", "left_semi"))
+    show("Merge of a size-checked batch (K1, broadcast path, buckets holding updates)",
          "The stored rows are split by broadcast anti/semi joins on the batch keys: the base side "
          "has no exchange; only the small batch is shuffled (grouped by bucket).",
          upsert_small_batch(t, batch.repartition(bucket_of("header_identifier", 8)),
