@@ -30,11 +30,12 @@ XML_OPTIONS = {
 
 
 def read_pages(spark: SparkSession, path: str | list[str],
-               recursive: bool = False) -> DataFrame:
+               recursive: bool = True) -> DataFrame:
     """Every landed response file as one row ``(path, landed_at, value)``;
     ``landed_at`` is the file's modification time.
 
-    Zero-length files give no row. ``recursive`` also reads sub-folders.
+    Zero-length files give no row. ``recursive`` (default, as in the stream)
+    reads every sub-folder and infers no partition columns from folder names.
     """
     reader = spark.read
     if recursive:
