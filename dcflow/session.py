@@ -30,7 +30,6 @@ def build_session(master: str | None = None, app: str = "dcflow",
         "spark.sql.adaptive.enabled": "true",
         "spark.sql.adaptive.coalescePartitions.enabled": "true",
         "spark.sql.adaptive.skewJoin.enabled": "true",
-        "spark.sql.sources.partitionOverwriteMode": "dynamic",
         # checkpoints written per batch are removed once nothing refers to them
         "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
     }
