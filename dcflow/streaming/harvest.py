@@ -21,7 +21,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from ..plans.jobs import ingest_pages
 from ..session import checkpoint_dir, make_dirs, path_exists
-from ..sources.table import DEFAULT_BUCKETS, ensure_table
+from ..sources.table import DEFAULT_BUCKETS, compact_table, ensure_table
 
 AsOf = str | _dt.datetime | Callable[[int], str | _dt.datetime] | None
 
@@ -55,14 +55,17 @@ def stream_harvest(spark: SparkSession, landing_dir: str, table_path: str,
                    max_files_per_trigger: int | None = 1000, available_now: bool = True,
                    processing_time: str | None = None, quarantine_path: str | None = None,
                    ledger_path: str | None = None,
-                   num_buckets: int = DEFAULT_BUCKETS) -> StreamingQuery:
+                   num_buckets: int = DEFAULT_BUCKETS, compact_every: int = 0,
+                   compact_max_files: int = 8) -> StreamingQuery:
     """Start the incremental harvest; returns the running query.
 
     ``available_now=True`` processes what has landed and stops (a scheduled
     run); otherwise it polls every ``processing_time``. The stream's progress
     lives in ``checkpoint_location`` (default: next to the table). Rejected
     records go to ``quarantine_path`` and each micro-batch's request ledger to
-    ``ledger_path``, one ``run_id`` partition per micro-batch.
+    ``ledger_path``, one ``run_id`` partition per micro-batch. Every
+    ``compact_every`` micro-batches (0: never) buckets holding more than
+    ``compact_max_files`` files, which appends accumulate, are rewritten.
     """
     checkpoint_dir(spark)
     ensure_table(spark, table_path, num_buckets)
@@ -79,6 +82,8 @@ def stream_harvest(spark: SparkSession, landing_dir: str, table_path: str,
         ingest_pages(batch.sparkSession, batch, table_path, as_of_for(batch_id),
                      run_suffix=f"-batch-{batch_id:012d}", quarantine_path=quarantine_path,
                      ledger_path=ledger_path, num_buckets=num_buckets, with_counts=False)
+        if compact_every and (batch_id + 1) % compact_every == 0:
+            compact_table(batch.sparkSession, table_path, num_buckets, compact_max_files)
 
     w = page_stream(spark, landing_dir, max_files_per_trigger).writeStream \
         .foreachBatch(run_batch).option("checkpointLocation", ckpt)

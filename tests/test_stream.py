@@ -152,3 +152,20 @@ def test_stream_writes_a_ledger_per_micro_batch(spark):
     batches = len(q.recentProgress)
     assert spark.read.parquet(ledger).select("run_id").distinct().count() == batches > 1
     assert spark.read.parquet(quarantine).count() > 0
+
+
+def test_stream_compacts_every_few_batches(spark):
+    from dcflow.sources.table import bucket_files
+    landing = scratch_path(spark, "t-cmp-landing")
+    land_pages(A.pages_v(spark, SF_SMALL), landing)
+    table_path = scratch_path(spark, "t-cmp-table")
+    q = stream_harvest(spark, landing, table_path, as_of="2024-06-01 00:00:00",
+                       max_files_per_trigger=2, num_buckets=4, compact_every=2,
+                       compact_max_files=1)
+    q.awaitTermination()
+    files = [r.files for r in bucket_files(spark, table_path).collect()]
+    batches = len(q.recentProgress)
+    assert batches >= 4
+    assert max(files) <= 1 + (batches % 2)       # compacted after every second batch
+    assert read_metadata(spark, table_path).count() == \
+        kept_records(spark, SF_SMALL).filter("header_datestamp IS NOT NULL").count()
