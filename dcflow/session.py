@@ -56,8 +56,9 @@ def checkpoint_dir(spark: SparkSession) -> str:
     if not d:
         if not sc.master.startswith("local"):
             raise RuntimeError(f"set {CHECKPOINT_CONF} to a folder every executor can reach")
+        # spark.checkpoint.dir cannot be changed at runtime; the context's
+        # checkpoint dir can, and it is what checkpoint() uses
         d = tempfile.mkdtemp(prefix="dcflow-ckpt-")
-        spark.conf.set(CHECKPOINT_CONF, d)
     if not sc.getCheckpointDir():
         sc.setCheckpointDir(d)
     return d

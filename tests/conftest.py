@@ -18,9 +18,8 @@ SF_ORACLE = "/root/testdata/sf0.01"
 def spark():
     s = build_session("local[*]", app="dcflow-tests", shuffle_partitions=8)
     if not (s.conf.get("spark.checkpoint.dir", None) or s.sparkContext.getCheckpointDir()):
-        d = tempfile.mkdtemp(prefix="dcflow-test-ckpt-")
-        s.conf.set("spark.checkpoint.dir", d)
-        s.sparkContext.setCheckpointDir(d)
+        # only where the setting is unset, as in a bare local run
+        s.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="dcflow-test-ckpt-"))
     yield s
     s.stop()
 
