@@ -83,8 +83,10 @@ def _number_rows_ranged(df: DataFrame, group: Sequence[str], order: Sequence[Col
                                                F.min("_pos").alias("_first"))
     before = Window.partitionBy(*group).orderBy("_pid") \
                    .rowsBetween(Window.unboundedPreceding, -1)
+    # derived from the checkpointed ranged rows, so recomputing it (for the
+    # count and for the join) always gives the same cells
     cells = cells.withColumn("_off", F.coalesce(F.sum("_cnt").over(before), F.lit(0))) \
-                 .drop("_cnt").checkpoint(eager=True)
+                 .drop("_cnt")
     if cells.count() <= BROADCAST_CELL_LIMIT:
         cells = F.broadcast(cells)
 
