@@ -80,10 +80,12 @@ def main() -> None:
          "has no exchange; only the small batch is shuffled (grouped by bucket).",
          upsert_small_batch(t, batch.repartition(bucket_of("header_identifier", 8)),
                             "2024-06-02 00:00:00"))
-    show("Pacing audit with skew-safe numbering (W4)",
-         "`number_rows` has already range-partitioned and checkpointed the log; the previous "
-         "request is an equi-join on `(client, n - 1)`, whose keys are unique.",
-         pacing_audit(A.log_v(spark, SF)))
+    show("Pacing audit, skew-safe path (W4, `max_group_rows=0`)",
+         "The path taken when the measured largest client exceeds `MAX_GROUP_ROWS`: "
+         "`number_rows` has range-partitioned and checkpointed the log (the scan below is that "
+         "checkpoint); the previous request is an equi-join on `(client, n - 1)`, whose keys "
+         "are unique. Below the limit the plain `lag()` window is used.",
+         pacing_audit(A.log_v(spark, SF), max_group_rows=0))
 
 
 if __name__ == "__main__":
