@@ -86,3 +86,14 @@ def test_safe_serialize_known_differences_and_more(spark):
     assert got == ['"{\\"a\\":1,\\"a\\":2}"', '"Infinity"', '["x"]', '"s"', "null", '{"é":"ü"}',
                    "0", "100.0"]
     assert one_col(spark, ['  [ "x" ]  ', '"s"'], "string", json_to_array) == [["x"], []]
+
+
+def test_substring_set_match_treats_wildcards_literally(spark):
+    from dcflow.operators.coverage import records_in_sets
+    from dcflow.operators.query import set_like
+    df = spark.createDataFrame([(1, ["q_bio"]), (2, ["qxbio"]), (3, ["50%off"]), (4, ["50off"])],
+                               "id int, header_setSpecs array<string>")
+    assert [r.id for r in df.filter(set_like("q_bio")).collect()] == [1]
+    assert [r.id for r in df.filter(set_like("50%")).collect()] == [3]
+    got = sorted((r.id, r.set_spec) for r in records_in_sets(df, ["q_bio", "50%"], "substring").collect())
+    assert got == [(1, "q_bio"), (3, "50%")]
