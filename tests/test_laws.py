@@ -70,3 +70,15 @@ def test_sets_as_dataframe_equal_sets_as_list(spark):
     assert records_in_sets(recs, sets_df).count() == records_in_sets(recs, SETS).count()
     with pytest.raises(ValueError):
         records_in_sets(recs, sets_df, match="substring")
+
+
+def test_legacy_range_and_day_window_options(spark):
+    from dcflow.plans.jobs import backfill_plan
+    recs = stored_records(spark, SF)
+    closed = missing_dates(recs, ["zz"], "2024-01-01", "2024-01-10")          # set with no records
+    half = missing_dates(recs, ["zz"], "2024-01-01", "2024-01-10", end_inclusive=False)
+    assert closed.count() == 10 and half.count() == 9
+    plan = backfill_plan(recs, ["zz"], "2024-01-01", "2024-01-03", legacy_day_range=True)
+    rows = sorted((r.from_date, r.until_date) for r in plan.collect())
+    assert all((u - f).days == 1 for f, u in rows) and len(rows) == 3
+    assert "&until=2024-01-02" in plan.orderBy("from_date").first().url
