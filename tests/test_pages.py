@@ -156,3 +156,12 @@ def test_read_pages_gzip_files(spark, tmp_dir):
         f.write(page(rec("plain-1")))
     recs = flatten_records(explode_records(parse_pages(read_pages(spark, tmp_dir))))
     assert sorted(r.header_identifier for r in recs.collect()) == ["gz-1", "gz-2", "plain-1"]
+
+
+def test_type_and_datestamp_take_the_last_occurrence(spark):
+    body = ("<record><header><identifier>t1</identifier><datestamp>2024-01-01</datestamp>"
+            "<datestamp>2024-01-09</datestamp></header>"
+            f"<metadata>{DC}<dc:type>text</dc:type><dc:type>Article</dc:type></oai_dc:dc></metadata>"
+            "</record>")
+    r = flat(spark, [page(body)]).collect()[0]
+    assert r.metadata_type == "Article" and str(r.header_datestamp) == "2024-01-09 00:00:00"
