@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.text import array_len
-from .numbering import fits_one_task, number_rows, previous_row
+from .numbering import number_rows, previous_row, split_hot
 
 # The batch size of a flush, the default attempts per request,
 # the status codes the older client retried on, the pause between requests.
@@ -154,17 +154,21 @@ def pacing_audit(log: DataFrame, delay_ms: int = DEFAULT_DELAY_MS, client: str =
     the client's previous request)``; 0 for a client's first request.
 
     Adds ``wait_us`` (microseconds, exact) and ``violation`` (wait > 0).
-    When the busiest client fits one task (see ``numbering.MAX_GROUP_ROWS``)
-    the previous request is a plain ``lag`` window; otherwise it comes from
-    skew-safe numbering plus an equi-join on ``(client, n - 1)``, so one busy
-    client is spread over many tasks.
+    For clients that fit one task (see ``numbering.MAX_GROUP_ROWS``) the
+    previous request is a plain ``lag`` window; for larger (hot) clients it
+    comes from skew-safe numbering plus an equi-join on ``(client, n - 1)``,
+    so one busy client is spread over many tasks.
     """
-    if fits_one_task(log, [client], max_group_rows):
-        w = Window.partitionBy(client).orderBy(*order)
+    w = Window.partitionBy(client).orderBy(*order)
+    parts = split_hot(log, [client], max_group_rows)
+    if parts is None:
         with_prev = log.withColumn("prev_ts", F.lag("ts").over(w))
     else:
-        numbered = number_rows(log, [client], list(order), out="_n", max_group_rows=0)
+        cold, hot = parts
+        numbered = number_rows(hot, [client], list(order), out="_n", max_group_rows=0)
         with_prev = previous_row(numbered, [client], ["ts"], rn="_n").drop("_n")
+        if max_group_rows is None or max_group_rows > 0:
+            with_prev = cold.withColumn("prev_ts", F.lag("ts").over(w)).unionByName(with_prev)
     gap = F.timestamp_diff("MICROSECOND", F.col("prev_ts"), F.col("ts"))
     wait = F.when(F.col("prev_ts").isNull(), F.lit(0)) \
             .otherwise(F.greatest(F.lit(0), F.lit(delay_ms * 1000) - gap))

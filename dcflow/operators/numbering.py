@@ -2,9 +2,9 @@
 
 ``row_number().over(partitionBy(g).orderBy(o))`` sends a whole group to one
 task; if one set or client holds a third of all rows, that task holds a third
-of the data. So the size of the largest group is measured first (one partial
-aggregate): up to ``MAX_GROUP_ROWS`` the plain window is used, which is the
-cheapest plan when every group fits a task. Beyond it:
+of the data. So group sizes are measured first (one partial aggregate):
+groups of up to ``MAX_GROUP_ROWS`` rows keep the plain window, which is the
+cheapest plan for a group that fits a task. Only the larger (hot) groups go:
 
 1. range-partition on ``(g, o)`` and sort within partitions, so a hot group is
    cut into many contiguous, ordered slices; record each row's partition and
@@ -35,20 +35,33 @@ BROADCAST_CELL_LIMIT = 2_000_000
 MAX_GROUP_ROWS = 5_000_000
 
 
-def largest_group(df: DataFrame, group: Sequence[str]) -> int:
-    """Rows in the biggest group (a partial aggregate; one number to the driver)."""
-    return df.groupBy(*group).count().agg(F.max("count")).first()[0] or 0
+def _col(c: Column | str) -> Column:
+    return F.col(c) if isinstance(c, str) else c
 
 
-def fits_one_task(df: DataFrame, group: Sequence[str], max_group_rows: int | None) -> bool:
-    """True if the largest group has at most ``max_group_rows`` rows
-    (default ``MAX_GROUP_ROWS``); a limit of 0 or less is False without a job."""
+def split_hot(df: DataFrame, group: Sequence[str],
+              max_group_rows: int | None = None) -> tuple[DataFrame, DataFrame] | None:
+    """``(cold, hot)`` rows of the groups with at most / more than
+    ``max_group_rows`` rows (default ``MAX_GROUP_ROWS``); None if no group is
+    hot. The hot keys (at most ``rows / max_group_rows`` of them) are
+    checkpointed, counted and broadcast; keys match NULL-safely. A limit of
+    0 or less makes every row hot."""
     limit = MAX_GROUP_ROWS if max_group_rows is None else max_group_rows
-    return limit > 0 and largest_group(df, group) <= limit
-
-
-def _col(c: Column | str) -> Column:
-    return F.col(c) if isinstance(c, str) else c
+    if limit <= 0:
+        return df.limit(0), df
+    hot = df.groupBy(*group).count().filter(F.col("count") > limit).select(*group) \
+            .checkpoint(eager=True)
+    n_hot = hot.count()
+    if n_hot == 0:
+        return None
+    keys = hot.select(*[F.col(g).alias(f"_h_{g}") for g in group])
+    if n_hot <= BROADCAST_CELL_LIMIT:
+        keys = F.broadcast(keys)
+    cond = None
+    for g in group:
+        c = F.col(g).eqNullSafe(F.col(f"_h_{g}"))
+        cond = c if cond is None else cond & c
+    return df.join(keys, cond, "left_anti"), df.join(keys, cond, "left_semi")
 
 
 def number_rows(df: DataFrame, group: Sequence[str], order: Sequence[Column | str],
@@ -56,13 +69,19 @@ def number_rows(df: DataFrame, group: Sequence[str], order: Sequence[Column | st
                 max_group_rows: int | None = None) -> DataFrame:
     """Add ``out`` = 1-based row number of each row within its ``group`` in ``order``.
 
-    ``max_group_rows`` (default ``MAX_GROUP_ROWS``) is the largest group the
-    plain window may take; 0 always takes the range-partitioned path.
+    Groups with at most ``max_group_rows`` rows (default ``MAX_GROUP_ROWS``)
+    are numbered by a plain window; only the larger (hot) groups take the
+    range-partitioned path. 0 sends every group down that path.
     """
-    if fits_one_task(df, group, max_group_rows):
-        w = Window.partitionBy(*group).orderBy(*[_col(o) for o in order])
+    parts = split_hot(df, group, max_group_rows)
+    w = Window.partitionBy(*group).orderBy(*[_col(o) for o in order])
+    if parts is None:
         return df.withColumn(out, F.row_number().over(w).cast("bigint"))
-    return _number_rows_ranged(df, group, order, out, num_partitions)
+    cold, hot = parts
+    numbered_hot = _number_rows_ranged(hot, group, order, out, num_partitions)
+    if max_group_rows is not None and max_group_rows <= 0:
+        return numbered_hot
+    return cold.withColumn(out, F.row_number().over(w).cast("bigint")).unionByName(numbered_hot)
 
 
 def _number_rows_ranged(df: DataFrame, group: Sequence[str], order: Sequence[Column | str],
