@@ -23,7 +23,7 @@ from .common import WORD_SPACE, WORD_SPACE_CLASS, count_chars, free_prefix
 
 #: statistics the rules may test, all ratios so that they mean the same for any length
 FEATURES = ("mean_word", "symbol_ratio", "upper_ratio", "digit_ratio", "shout_ratio",
-            "dup_line_ratio", "repeat_ratio", "distinct_ratio", "words_log")
+            "dup_line_ratio", "repeat_ratio", "words_log")
 #: at most so many labelled rows are used to fit the list (a documented bound)
 SAMPLE_ROWS = 6000
 MIN_WORDS = 50
@@ -62,11 +62,12 @@ def with_stats(df: DataFrame, text_col: str = "text") -> tuple[DataFrame, str]:
     out = out.withColumn(p + "same", F.zip_with(
         c("sorted"), _neighbours(c("sorted")),
         lambda x, y: x["h"].eqNullSafe(y["h"])))
-    flagged = F.zip_with(
-        F.zip_with(c("sorted"), c("same"), lambda x, e: F.struct(x["i"].alias("i"), e.alias("e"))),
-        F.slice(F.concat(F.array(F.lit(False)), c("same")), F.lit(1), F.size(c("same"))),
-        lambda x, before: F.when(x["e"] | before, x["i"]))
-    out = out.withColumn(p + "at", F.sort_array(F.filter(flagged, lambda i: i.isNotNull())))
+    same_at = lambda i: F.coalesce(F.get(c("same"), i), F.lit(False))
+    repeated = F.filter(c("sorted"), lambda x, i: same_at(i) | same_at(i - 1))
+    out = out.withColumns({
+        p + "at": F.sort_array(F.transform(repeated, lambda x: x["i"])),
+        # what is left without lower-case letters and spaces: short, so counting in it is cheap
+        p + "rest": F.regexp_replace(c("t"), r"[a-z\x20]+", "")})
     covered = F.aggregate(
         F.zip_with(c("at"), _neighbours(c("at")),
                    lambda a, b: F.least(F.lit(3), F.coalesce(b - a, F.lit(3)))),
@@ -76,14 +77,13 @@ def with_stats(df: DataFrame, text_col: str = "text") -> tuple[DataFrame, str]:
     stats = F.struct(
         n.cast("long").alias(p + "n_words"),
         F.length(F.concat_ws("", c("words"))).cast("long").alias(p + "word_chars"),
-        count_chars(c("t"), "[#*$%&|<>]").cast("long").alias(p + "n_symbols"),
+        count_chars(c("rest"), "[#*$%&|<>]").cast("long").alias(p + "n_symbols"),
         (F.size(c("lines")) - F.size(F.array_distinct(c("lines")))).cast("long").alias(p + "n_dup_lines"),
         F.size(c("lines")).cast("long").alias(p + "n_lines"),
         covered.alias(p + "n_repeat_words"),
-        count_chars(c("t"), "[A-Z]").cast("long").alias(p + "n_upper"),
-        count_chars(c("t"), "[0-9]").cast("long").alias(p + "n_digit"),
-        count_chars(c("t"), "[!?]").cast("long").alias(p + "n_shout"),
-        F.size(F.array_distinct(c("words"))).cast("long").alias(p + "n_distinct"))
+        count_chars(c("rest"), "[A-Z]").cast("long").alias(p + "n_upper"),
+        count_chars(c("rest"), "[0-9]").cast("long").alias(p + "n_digit"),
+        count_chars(c("rest"), "[!?]").cast("long").alias(p + "n_shout"))
     out = out.select(*[F.col(f"`{x}`") for x in df.columns], F.inline(F.array(stats)))
     return out, p
 
@@ -96,7 +96,6 @@ def features(p: str) -> dict[str, Column]:
             "upper_ratio": ratio("n_upper", "word_chars"), "digit_ratio": ratio("n_digit", "word_chars"),
             "shout_ratio": ratio("n_shout", "n_words"), "dup_line_ratio": ratio("n_dup_lines", "n_lines"),
             "repeat_ratio": ratio("n_repeat_words", "n_words"),
-            "distinct_ratio": ratio("n_distinct", "n_words"),
             "words_log": F.log1p(c("n_words").cast("double"))}
 
 
