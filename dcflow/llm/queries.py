@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from . import quality
+from . import linededup, quality, simhash
 from .common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -23,3 +24,57 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Base statistics and the learned verdict of every document."""
     docs = table(spark, sf_dir, "documents")
     return quality.judge(docs, quality.learn_rules(docs, table(spark, sf_dir, "labels")))
+
+
+@_query
+def op8_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprint and near-duplicate component of every document."""
+    return simhash.near_duplicates(table(spark, sf_dir, "documents"))
+
+
+@_query
+def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What each document loses as later copies of repeated line runs."""
+    out, p = linededup.dedup_lines(table(spark, sf_dir, "documents"))
+    return out.select("doc_id", F.col(p + "n_lines").alias("n_lines"), F.col(p + "n_deleted").alias("n_deleted"),
+                      F.sha2(F.coalesce("text", F.lit("")), 256).alias("kept_sha256"))
+
+
+# Every shortest window of 50 words, spelt out as text: what the ranks stand for.
+ORACLE_SQL["op5_line_dedup"] = r"""
+WITH docs AS (
+  SELECT doc_id, coalesce(text, '') AS text FROM documents),
+lines AS (
+  SELECT doc_id, unnest(string_split(text, chr(10))) AS line,
+         generate_subscripts(string_split(text, chr(10)), 1) AS pos
+  FROM docs),
+worded AS (
+  SELECT doc_id, pos, line, len(regexp_extract_all(line, '[^\x20\x09-\x0D]+')) AS words,
+         row_number() OVER (PARTITION BY doc_id ORDER BY pos) AS i
+  FROM lines WHERE regexp_matches(line, '[^\x20\x09-\x0D]')),
+framed AS (
+  SELECT doc_id, i, pos,
+         list({'l': line, 'w': words}) OVER (PARTITION BY doc_id ORDER BY i ROWS BETWEEN CURRENT ROW AND 49 FOLLOWING) AS fore,
+         list({'l': line, 'w': words}) OVER (PARTITION BY doc_id ORDER BY i ROWS BETWEEN 49 PRECEDING AND CURRENT ROW) AS aft
+  FROM worded),
+sized AS (
+  SELECT doc_id, i, fore, aft,
+         list_min([m FOR m IN range(1, len(fore) + 1) IF list_sum([x.w FOR x IN fore[1:m]]) >= 50]) AS mf,
+         list_min([m FOR m IN range(1, len(aft) + 1) IF list_sum([x.w FOR x IN aft[len(aft) - m + 1:]]) >= 50]) AS ma
+  FROM framed),
+windows AS (
+  SELECT doc_id, i AS s, mf AS m, [x.l FOR x IN fore[1:mf]] AS body FROM sized WHERE mf IS NOT NULL
+  UNION
+  SELECT doc_id, i - ma + 1, ma, [x.l FOR x IN aft[len(aft) - ma + 1:]] FROM sized WHERE ma IS NOT NULL),
+placed AS (
+  SELECT doc_id, s, m, row_number() OVER (PARTITION BY body ORDER BY doc_id, s) AS copy FROM windows),
+gone AS (
+  SELECT DISTINCT doc_id, unnest(range(s, s + m)) AS i FROM placed WHERE copy > 1),
+kept AS (
+  SELECT l.doc_id, count(w.i) AS n_lines, count(g.i) AS n_deleted,
+         coalesce(string_agg(l.line, chr(10) ORDER BY l.pos) FILTER (WHERE g.i IS NULL), '') AS text
+  FROM lines l LEFT JOIN worded w ON l.doc_id = w.doc_id AND l.pos = w.pos
+  LEFT JOIN gone g ON w.doc_id = g.doc_id AND w.i = g.i
+  GROUP BY l.doc_id)
+SELECT doc_id, n_lines, n_deleted, sha256(text) AS kept_sha256 FROM kept
+"""

@@ -52,8 +52,8 @@ def test_rules_reject_and_columns_pass_through(spark):
 
 def test_held_out_accuracy(spark):
     """Rules fitted on part of the labels agree with the others."""
-    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
-    labels = spark.read.parquet("/root/testdata/sf0.01/labels.parquet")
+    docs = spark.read.parquet("/root/testdata/sf0.1/documents.parquet")
+    labels = spark.read.parquet("/root/testdata/sf0.1/labels.parquet")
     rules = Q.learn_rules(docs, labels.where("doc_id % 2 = 0"))
     held = Q.judge(docs, rules).join(labels.where("doc_id % 2 = 1"), "doc_id").where("NOT base_failed").collect()
     right = sum(r["kept"] == (r["quality"] == 1) for r in held)
