@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import linededup, quality, simhash
+from . import decontam, linededup, quality, simhash, spcodec
 from .common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -78,3 +79,16 @@ kept AS (
   GROUP BY l.doc_id)
 SELECT doc_id, n_lines, n_deleted, sha256(text) AS kept_sha256 FROM kept
 """
+
+
+@_query
+def op4_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The documents that hold a copy of a test item, edited or not, and the score."""
+    found = decontam.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return found.select("doc_id", "item_id", "item_words", "score")
+
+
+@_query
+def op2_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ids, decoded text and piece spans of every document, as digests."""
+    return spcodec.digests(table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
