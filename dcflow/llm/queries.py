@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontam, linededup, quality, simhash, spcodec
+from . import chat, decontam, linededup, quality, simhash, spcodec, tokcount, warc
 from .common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -92,3 +92,49 @@ def op4_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame
 def op2_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Ids, decoded text and piece spans of every document, as digests."""
     return spcodec.digests(table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
+
+
+@_query
+def op6_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bytes and tokens of every document."""
+    return tokcount.token_counts(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.PATTERN)
+
+
+@_query
+def op1_warc_revisits(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What the deduplicated archive of all pages holds."""
+    return warc.deduplicate(spark, table(spark, sf_dir, "pages")).select(
+        "page_id", "payload_bytes", F.col("digest").alias("payload_digest"), F.col("type").alias("record_type"), "refers_to")
+
+
+ORACLE_SQL["op1_warc_revisits"] = """
+WITH p AS (
+  SELECT page_id, coalesce(html, '') AS html, CAST(strlen(coalesce(html, '')) AS BIGINT) AS payload_bytes FROM pages),
+m AS (
+  SELECT *, max(page_id) OVER (PARTITION BY html) AS first FROM p)
+SELECT page_id, payload_bytes, sha1(html) AS payload_digest,
+       CASE WHEN payload_bytes >= 1000 AND page_id < first THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN payload_bytes >= 1000 AND page_id < first THEN first END AS refers_to
+FROM m
+"""
+
+
+@_query
+def op9_chat_collapse(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every conversation that is no prefix of another, rendered."""
+    return chat.collapse(table(spark, sf_dir, "conversations"))
+
+
+ORACLE_SQL["op9_chat_collapse"] = """
+WITH t AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations),
+c AS (
+  SELECT conv_id, count(*) AS n, list({'r': role, 't': text} ORDER BY turn, role, text) AS turns FROM t GROUP BY conv_id),
+whole AS (
+  SELECT turns, n, min(conv_id) AS conv_id FROM c GROUP BY turns, n),
+inside AS (
+  SELECT DISTINCT turns[1:k] AS turns FROM (SELECT turns, unnest(range(1, n)) AS k FROM c))
+SELECT w.conv_id, w.n AS n_turns,
+       array_to_string([concat('<|im_start|>', x.r, chr(10), x.t, '<|im_end|>', chr(10)) FOR x IN w.turns], '') AS text
+FROM whole w ANTI JOIN inside i ON w.turns = i.turns
+"""
