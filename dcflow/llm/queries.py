@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, decontam, linededup, quality, simhash, spcodec, tokcount, warc
+from . import chat, decontam, linededup, quality, simhash, spcodec, template, tokcount, warc
 from .common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -138,3 +138,9 @@ SELECT w.conv_id, w.n AS n_turns,
        array_to_string([concat('<|im_start|>', x.r, chr(10), x.t, '<|im_end|>', chr(10)) FOR x IN w.turns], '') AS text
 FROM whole w ANTI JOIN inside i ON w.turns = i.turns
 """
+
+
+@_query
+def op7_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The main text of every page."""
+    return template.main_text(table(spark, sf_dir, "pages"))

@@ -140,7 +140,7 @@ def token_counts(docs: DataFrame, path: str, pattern: str, limit: int = LIMIT) -
     cut = staged(blocks(docs, path, pattern), "pretokens", partition_by="kind")
     lists = cut.where("kind = 1").select("block", "place", "token")
     pieces = piece_counts(lists.select("token").distinct(), path)
-    priced = lists.join(pieces, "token").select("block", "place", "pieces")
+    priced = lists.join(pieces, "token").select(F.col("block").alias("of"), "place", "pieces")
     rows = cut.where("kind = 0").select("block", "doc_id", "n_bytes", "special", "refs")
 
     def total(left: pa.Table, right: pa.Table) -> pa.Table:
@@ -153,5 +153,5 @@ def token_counts(docs: DataFrame, path: str, pattern: str, limit: int = LIMIT) -
             n.append(special + int(price[at] @ freq.astype(np.int64)))
         return pa.table({"doc_id": left.column("doc_id"), "n_bytes": left.column("n_bytes"), "n_tokens": pa.array(n, pa.int64())})
 
-    out = rows.groupBy("block").cogroup(priced.groupBy("block")).applyInArrow(total, "doc_id long, n_bytes long, n_tokens long")
+    out = rows.groupBy("block").cogroup(priced.groupBy("of")).applyInArrow(total, "doc_id long, n_bytes long, n_tokens long")
     return out.withColumn("over_limit", F.col("n_tokens") > limit)
