@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, decontam, linededup, quality, simhash, spcodec, template, tokcount, warc
+from . import chat, decontam, linededup, pii, quality, simhash, spcodec, template, tokcount, warc
 from .common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -144,3 +144,14 @@ FROM whole w ANTI JOIN inside i ON w.turns = i.turns
 def op7_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The main text of every page."""
     return template.main_text(table(spark, sf_dir, "pages"))
+
+
+@_query
+def op3_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Personal data in every document."""
+    found = pii.search(table(spark, sf_dir, "documents"))
+    base = F.filter("spans", lambda x: x["base"])
+    spelt = lambda xs: F.array_join(F.transform(xs, lambda x: F.concat_ws(":", x["kind"], x["start"], x["end"])), ",")
+    count = lambda kind: F.size(F.filter(base, lambda x: x["kind"] == kind)).cast("long")
+    return found.select("doc_id", *[count(k).alias(f"n_{k}") for k in pii.BASE],
+        F.sha2(spelt(base), 256).alias("base_sha256"), spelt(F.col("spans")).alias("spans"))
