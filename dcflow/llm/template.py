@@ -24,7 +24,9 @@ nested over 48 deep count as part of the 48th; extra columns are ignored.
 from __future__ import annotations
 
 import html as entities
+import json
 import re
+import zlib
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -121,13 +123,17 @@ def parse(page: str) -> tuple[list[tuple], list[tuple]]:
 
 
 SCHEMA = ("page_id long, url string, host string, page long, "
-          "tokens array<struct<token:long,n:int,chars:long,rank:int,depth:int>>, "
-          "blocks array<struct<up:array<long>,mark:long,text:string>>, own long")
+          "tokens array<struct<token:long,n:int,chars:long,rank:int,depth:int>>, body binary")
+
+
+def _mark(container: int, text: str) -> int:
+    """The token of a text block in its place."""
+    return _chain(container, " " + text)
 
 
 def parsed(pages: DataFrame) -> DataFrame:
-    """Pages with their tokens (container or text block, n times), blocks (chain of container
-    tokens, mark of place and text, text) and the token of their own article or main element."""
+    """Pages with their tokens (container or text block, n times) and their compressed body: the
+    containers' (token, parent), the blocks, and the page's own article or main element."""
     host = F.lower(F.regexp_extract(F.coalesce(F.col("url").cast("string"), F.lit("")), r"^[A-Za-z][A-Za-z0-9+.-]*://([^/?#]*)", 1))
     html = F.coalesce(F.col("html").cast("string"), F.lit(""))
     src = pages.select(F.col("page_id").cast("bigint").alias("page_id"), F.col("url").cast("string").alias("url"),
@@ -138,24 +144,20 @@ def parsed(pages: DataFrame) -> DataFrame:
         for b in batches:
             for lo in range(0, b.num_rows, 256):
                 part = b.slice(lo, 256)
-                cols: tuple[list, list, list] = ([], [], [])
+                tokens, bodies = [], []
                 for page in part.column(4):
                     nodes, blocks = parse(page.as_py())
-                    chains, seen, out = [], {}, []
-                    for token, up, rank, chars, depth in nodes:
-                        chains.append([*(chains[up] if up >= 0 else ()), token])
+                    seen: dict[int, list[int]] = {}
+                    for token, _, rank, chars, depth in ((n[0], n[1], n[2], n[3], n[4]) for n in nodes):
                         e = seen.setdefault(token, [0, 0, rank, depth])
                         e[0] += 1
                         e[1] += chars
                     for k, text in blocks:
-                        mark = _chain(nodes[k][0], " " + text)
-                        out.append({"up": chains[k], "mark": mark, "text": text})
-                        seen.setdefault(mark, [0, 0, -1, 0])[0] += 1
-                    cols[0].append([{"token": t, "n": n, "chars": c, "rank": r, "depth": d} for t, (n, c, r, d) in seen.items()])
-                    cols[1].append(out)
-                    best = max(((rank, -k, token) for k, (token, _, rank, _, _) in enumerate(nodes) if rank > 1), default=(0, 0, None))
-                    cols[2].append(best[2])
-                yield pa.RecordBatch.from_arrays([*part.columns[:4], *[pa.array(c, f.type) for c, f in zip(cols, list(out_schema)[4:])]], names=names)
+                        seen.setdefault(_mark(nodes[k][0], text), [0, 0, -1, 0])[0] += 1
+                    tokens.append([{"token": t, "n": n, "chars": c, "rank": r, "depth": d} for t, (n, c, r, d) in seen.items()])
+                    own = max(((n[2], -k, n[0]) for k, n in enumerate(nodes) if n[2] > 1), default=(0, 0, None))[2]
+                    bodies.append(zlib.compress(json.dumps([[n[:2] for n in nodes], blocks, own], ensure_ascii=False).encode("utf-8", "surrogatepass"), 3))
+                yield pa.RecordBatch.from_arrays([*part.columns[:4], pa.array(tokens, out_schema.field("tokens").type), pa.array(bodies, pa.binary())], names=names)
 
     from pyspark.sql.pandas.types import to_arrow_schema
     from pyspark.sql.types import StructType
@@ -173,8 +175,9 @@ def templates(pages: DataFrame) -> DataFrame:
         F.count("*").alias("support"), F.max("n").alias("most"), F.sum("chars").alias("chars"), F.max("rank").alias("rank"),
         F.min("depth").alias("depth"), F.bit_xor(F.xxhash64(F.lit(1), "page", "n")).alias("v1"),
         F.bit_xor(F.xxhash64(F.lit(2), "page", "n")).alias("v2")))
-    # the root container is on every page once, so its class holds the host's whole text
-    classes = vectors.join(size, "host").where(
+    # a text block on fewer than nine pages is no template text, whatever the host's size; the
+    # root container is on every page once, so its class holds the host's whole text
+    classes = vectors.where("rank >= 0 OR support >= 9").join(size, "host").where(
         "(rank >= 0 AND most = 1 AND 2 * support >= pages) OR (rank < 0 AND most = 1 AND pages >= 10 AND 10 * support >= 9 * pages)")
     classes = classes.groupBy("host", "v1", "v2").agg(F.collect_list(F.struct("rank", "depth", "chars", "token")).alias("members"))
     flat = classes.select("host", F.explode("members").alias("x")).select("host", "x.*")
@@ -187,13 +190,31 @@ def templates(pages: DataFrame) -> DataFrame:
             .select("host", F.col("slot").getItem("token").alias("main"), "fixed"))
 
 
+def slot_text(body: bytes, main: int | None, fixed: set[int]) -> str:
+    """The text of a page's main slot, without template text."""
+    nodes, blocks, own = json.loads(zlib.decompress(body))
+    if main is None or all(token != main for token, _ in nodes):
+        main = own
+    inside = [main is None] * len(nodes)
+    for k, (token, up) in enumerate(nodes):  # parents come first
+        inside[k] = inside[k] or token == main or up >= 0 and inside[up]
+    return " ".join(text for k, text in blocks if inside[k] and (not fixed or _mark(nodes[k][0], text) not in fixed))
+
+
 def main_text(pages: DataFrame) -> DataFrame:
     """page_id, url, text and n_chars, one row per row of ``pages``."""
     rows = staged(parsed(pages), "pages-parsed")
-    joined = rows.drop("page").join(templates(rows), "host", "left")
-    has_main = F.exists("tokens", lambda x: x["token"] == F.col("main"))
-    joined = joined.withColumn("slot", F.when(has_main, F.col("main")).otherwise(F.col("own")))
-    kept = F.filter("blocks", lambda b: (F.col("slot").isNull() | F.array_contains(b["up"], F.col("slot")))
-                    & ~F.coalesce(F.array_contains(F.col("fixed"), b["mark"]), F.lit(False)))
-    text = F.array_join(F.transform(kept, lambda b: b["text"]), " ")
-    return joined.select("page_id", "url", text.alias("text")).withColumn("n_chars", F.length("text").cast("long"))
+    # written, so that the join below has an exchange on either side and a host with a third
+    # of all pages can be split
+    known = staged(templates(rows), "page-templates")
+    joined = rows.select("page_id", "url", "host", "body").join(known, "host", "left").select("page_id", "url", "body", "main", "fixed")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            for lo in range(0, b.num_rows, 512):
+                part = b.slice(lo, 512)
+                text = [slot_text(x.as_py(), m.as_py(), {*(f.as_py() or ())}) for x, m, f in zip(*part.columns[2:])]
+                yield pa.RecordBatch.from_arrays([*part.columns[:2], pa.array(text, pa.string()), pa.array(map(len, text), pa.int64())],
+                                                 names=["page_id", "url", "text", "n_chars"])
+
+    return joined.mapInArrow(run, "page_id long, url string, text string, n_chars long")
