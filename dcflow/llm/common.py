@@ -26,7 +26,7 @@ def staged(df: DataFrame, name: str, partition_by: str | None = None) -> DataFra
     """Write a result to the shared scratch folder and read it back: the lineage ends
     there, so a lost executor costs a re-read and not a re-run of what came before."""
     path = scratch_path(df.sparkSession, name)
-    w = df.write.mode("error")
+    w = df.write.mode("error").option("compression", "zstd")
     (w.partitionBy(partition_by) if partition_by else w).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 

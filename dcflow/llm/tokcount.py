@@ -2,10 +2,11 @@
 
 Documents are cut into blocks of bounded size as they are scanned. A block keeps, for each
 document, how often each of the block's pre-tokens occurs, and the block's own list of
-distinct pre-tokens. The distinct pre-tokens of all blocks are encoded once each; the counts
-join the blocks' lists by pre-token, and each block then sums its documents. What moves is
-one row per (block, distinct pre-token) and one compact row per document, never a row per
-word, so a pre-token that is everywhere costs one row per block.
+distinct pre-tokens. The lists of all blocks are brought together by pre-token, each distinct
+pre-token is encoded once, and its count goes back to the blocks that have it, where it meets
+the documents' frequencies. What moves is one row per (block, distinct pre-token) and one
+compact row per document, never a row per word. A block lists a pre-token once, so even one
+that is everywhere has a tiny share of the rows.
 
 Defined results: a null or empty text has no tokens; texts are counted whole; repeated rows
 each get a row; an added special string inside a text is one token, as is the library's
@@ -17,6 +18,7 @@ from __future__ import annotations
 import json
 import os
 import re
+import zlib
 from collections import Counter
 from collections.abc import Iterator
 from functools import cache
@@ -35,8 +37,8 @@ from .common import doc_texts, staged
 LIMIT = 512
 #: a block ends after so many distinct pre-tokens or bytes of text (a longer text is a block
 #: of its own)
-BLOCK_PRETOKENS = 50_000
-BLOCK_BYTES = 16 << 20
+BLOCK_PRETOKENS = 400_000
+BLOCK_BYTES = 64 << 20
 
 
 @cache
@@ -74,6 +76,20 @@ class PreTokens:
         return out, len(parts) - 1
 
 
+def pack(places: list[int], freq: list[int]) -> bytes:
+    """Places in order as differences, and frequencies, byte by byte so that they compress."""
+    at, n = np.array(places, np.uint32), np.array(freq, np.uint32)
+    order = np.argsort(at)
+    pairs = np.stack([np.diff(at[order], prepend=np.uint32(0)), n[order]])
+    return zlib.compress(pairs.astype("<u4").view(np.uint8).reshape(2, -1, 4).transpose(0, 2, 1).tobytes(), 1)
+
+
+def unpack(refs: bytes) -> tuple[np.ndarray, np.ndarray]:
+    planes = np.frombuffer(zlib.decompress(refs), np.uint8).reshape(2, 4, -1)
+    step, n = np.ascontiguousarray(planes.transpose(0, 2, 1)).view("<u4").reshape(2, -1)
+    return np.cumsum(step, dtype=np.int64), n.astype(np.int64)
+
+
 def blocks(docs: DataFrame, path: str, pattern: str) -> DataFrame:
     """kind 0: (block, doc_id, n_bytes, special, refs) per document, refs being pairs of (place
     in the block's list, frequency); kind 1: (block, place, token)."""
@@ -102,13 +118,8 @@ def blocks(docs: DataFrame, path: str, pattern: str) -> DataFrame:
                     block, size, rows = block + 1, 0, []
                     seen.clear()
                 freq, special = count(text)
-                pairs = np.empty((2, len(freq)), np.uint32)
-                for k, tok in enumerate(freq):
-                    pairs[0, k] = seen.setdefault(tok, len(seen))
-                pairs[1] = np.fromiter(freq.values(), np.uint32, len(freq))
-                # two bytes a number where they all fit, told apart by the first byte
-                narrow = not len(freq) or pairs.max() < 65536
-                rows.append((doc_id.as_py(), n_bytes, special, bytes([int(narrow)]) + pairs.astype("<u2" if narrow else "<u4").tobytes()))
+                places = [seen.setdefault(tok, len(seen)) for tok in freq]
+                rows.append((doc_id.as_py(), n_bytes, special, pack(places, [*freq.values()])))
                 size += n_bytes
         if rows:
             yield flush()
@@ -117,8 +128,9 @@ def blocks(docs: DataFrame, path: str, pattern: str) -> DataFrame:
         run, "kind int, block long, doc_id long, n_bytes long, special long, refs binary, place int, token string")
 
 
-def piece_counts(tokens: DataFrame, path: str) -> DataFrame:
-    """(token, pieces) of distinct pre-tokens."""
+def priced(lists: DataFrame, path: str) -> DataFrame:
+    """(block, place, pieces) of the blocks' lists: equal pre-tokens come one after another, and
+    each distinct one is encoded once."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark deals the work out already
         tok = Tokenizer.from_file(path)
@@ -126,21 +138,23 @@ def piece_counts(tokens: DataFrame, path: str) -> DataFrame:
         tok.no_padding()
         tok.encode_special_tokens = True
         tok.pre_tokenizer = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)  # they are cut already
+        last: dict[str, int] = {}
         for b in batches:
-            for lo in range(0, b.num_rows, 2048):
-                part = b.slice(lo, 2048)
-                got = tok.encode_batch_fast(part.column(0).to_pylist(), add_special_tokens=False)
-                yield pa.RecordBatch.from_arrays([part.column(0), pa.array([len(e) for e in got], pa.int32())], names=["token", "pieces"])
+            tokens = b.column(2).to_pylist()
+            new = [t for t in dict.fromkeys(tokens) if t not in last]
+            for lo in range(0, len(new), 2048):
+                part = new[lo:lo + 2048]
+                last.update(zip(part, map(len, tok.encode_batch_fast(part, add_special_tokens=False))))
+            yield pa.RecordBatch.from_arrays([*b.columns[:2], pa.array([last[t] for t in tokens], pa.int32())], names=["block", "place", "pieces"])
+            last = {t: last[t] for t in tokens[-1:]}  # a run may go on in the next batch
 
-    return tokens.mapInArrow(run, "token string, pieces int")
+    return lists.repartition("token").sortWithinPartitions("token").mapInArrow(run, "block long, place int, pieces int")
 
 
 def token_counts(docs: DataFrame, path: str, pattern: str, limit: int = LIMIT) -> DataFrame:
     """doc_id, n_bytes, n_tokens and over_limit, one row per row of ``docs``."""
     cut = staged(blocks(docs, path, pattern), "pretokens", partition_by="kind")
-    lists = cut.where("kind = 1").select("block", "place", "token")
-    pieces = piece_counts(lists.select("token").distinct(), path)
-    priced = lists.join(pieces, "token").select(F.col("block").alias("of"), "place", "pieces")
+    prices = priced(cut.where("kind = 1").select("block", "place", "token"), path).withColumnRenamed("block", "of")
     rows = cut.where("kind = 0").select("block", "doc_id", "n_bytes", "special", "refs")
 
     def total(left: pa.Table, right: pa.Table) -> pa.Table:
@@ -149,9 +163,9 @@ def token_counts(docs: DataFrame, path: str, pattern: str, limit: int = LIMIT) -
         price[place] = right.column("pieces").to_numpy()
         n = []
         for special, refs in zip(left.column("special").to_pylist(), left.column("refs").to_pylist()):
-            at, freq = np.frombuffer(refs, "<u2" if refs[0] else "<u4", offset=1).reshape(2, -1)
-            n.append(special + int(price[at] @ freq.astype(np.int64)))
+            at, freq = unpack(refs)
+            n.append(special + int(price[at] @ freq))
         return pa.table({"doc_id": left.column("doc_id"), "n_bytes": left.column("n_bytes"), "n_tokens": pa.array(n, pa.int64())})
 
-    out = rows.groupBy("block").cogroup(priced.groupBy("of")).applyInArrow(total, "doc_id long, n_bytes long, n_tokens long")
+    out = rows.groupBy("block").cogroup(prices.groupBy("of")).applyInArrow(total, "doc_id long, n_bytes long, n_tokens long")
     return out.withColumn("over_limit", F.col("n_tokens") > limit)
