@@ -76,7 +76,7 @@ class PreTokens:
         return out, len(parts) - 1
 
 
-def pack(places: list[int], freq: list[int]) -> bytes:
+def pack(places, freq) -> bytes:
     """Places in order as differences, and frequencies, byte by byte so that they compress."""
     at, n = np.array(places, np.uint32), np.array(freq, np.uint32)
     order = np.argsort(at)
@@ -129,8 +129,8 @@ def blocks(docs: DataFrame, path: str, pattern: str) -> DataFrame:
 
 
 def priced(lists: DataFrame, path: str) -> DataFrame:
-    """(block, place, pieces) of the blocks' lists: equal pre-tokens come one after another, and
-    each distinct one is encoded once."""
+    """(block, prices) of the blocks' lists, prices being packed (place, pieces) pairs: equal
+    pre-tokens come one after another, and each distinct one is encoded once."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark deals the work out already
         tok = Tokenizer.from_file(path)
@@ -145,10 +145,15 @@ def priced(lists: DataFrame, path: str) -> DataFrame:
             for lo in range(0, len(new), 2048):
                 part = new[lo:lo + 2048]
                 last.update(zip(part, map(len, tok.encode_batch_fast(part, add_special_tokens=False))))
-            yield pa.RecordBatch.from_arrays([*b.columns[:2], pa.array([last[t] for t in tokens], pa.int32())], names=["block", "place", "pieces"])
+            block, place = b.column(0).to_numpy(), b.column(1).to_numpy()
+            pieces = np.fromiter((last[t] for t in tokens), np.int64, len(tokens))
+            order = np.argsort(block, kind="stable")
+            groups = np.split(order, np.nonzero(np.diff(block[order]))[0] + 1) if len(order) else []
+            yield pa.RecordBatch.from_arrays([pa.array([block[g[0]] for g in groups], pa.int64()),
+                                              pa.array([pack(place[g], pieces[g]) for g in groups], pa.binary())], names=["block", "prices"])
             last = {t: last[t] for t in tokens[-1:]}  # a run may go on in the next batch
 
-    return lists.repartition("token").sortWithinPartitions("token").mapInArrow(run, "block long, place int, pieces int")
+    return lists.repartition("token").sortWithinPartitions("token").mapInArrow(run, "block long, prices binary")
 
 
 def token_counts(docs: DataFrame, path: str, pattern: str, limit: int = LIMIT) -> DataFrame:
@@ -158,9 +163,10 @@ def token_counts(docs: DataFrame, path: str, pattern: str, limit: int = LIMIT) -
     rows = cut.where("kind = 0").select("block", "doc_id", "n_bytes", "special", "refs")
 
     def total(left: pa.Table, right: pa.Table) -> pa.Table:
-        place = right.column("place").to_numpy()
-        price = np.zeros(int(place.max()) + 1 if len(place) else 0, np.int64)
-        price[place] = right.column("pieces").to_numpy()
+        told = [unpack(x) for x in right.column("prices").to_pylist()]
+        price = np.zeros(1 + max((int(at[-1]) for at, _ in told), default=-1), np.int64)
+        for at, pieces in told:
+            price[at] = pieces
         n = []
         for special, refs in zip(left.column("special").to_pylist(), left.column("refs").to_pylist()):
             at, freq = unpack(refs)
