@@ -49,9 +49,10 @@ def parse_datestamp(s: Column | str) -> Column:
     """Datestamp text -> TIMESTAMP_NTZ; day granularity gives midnight.
 
     A trailing ``Z`` (UTC, the protocol's only zone) is accepted; text that is
-    not a valid date or time gives NULL instead of failing the job.
+    not a valid date or time, or names no day, gives NULL instead of failing the job.
     """
-    return _c(s).try_cast("timestamp_ntz")
+    c = _c(s)
+    return F.when(c.rlike(r"^\s*[+-]?\d{4,}-\d{1,2}-\d{1,2}"), c.try_cast("timestamp_ntz"))
 
 
 def parse_iso_date(s: Column | str) -> Column:

@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 
 from ..functions.dates import days_between, harvest_date, lit_date, ordered_bounds
 from ..functions.jsonfmt import array_to_json
+from ..session import checkpoint_dir
 from .query import date_between
 
 DateLike = str | _dt.date | Column | None
@@ -27,7 +28,7 @@ def sets_frame(spark: SparkSession, sets: Sequence[str] | DataFrame) -> DataFram
     """The requested set names as a one-column DataFrame ``set_spec``."""
     if isinstance(sets, DataFrame):
         return sets.select(F.col(sets.columns[0]).cast("string").alias("set_spec"))
-    return spark.createDataFrame([(s,) for s in sets], "set_spec string")
+    return spark.createDataFrame([(s,) for s in dict.fromkeys(sets)], "set_spec string")
 
 
 def set_date_spine(spark: SparkSession, sets: Sequence[str] | DataFrame, lo: DateLike,
@@ -51,6 +52,7 @@ def prepared_sets(sets: Sequence[str] | DataFrame | None):
     ``SETS_BROADCAST_LIMIT``. Lists and None pass through."""
     if not isinstance(sets, DataFrame) or getattr(sets, "_dcflow_prepared", False):
         return sets
+    checkpoint_dir(sets.sparkSession)
     names = sets.select(F.col(sets.columns[0]).cast("string").alias("set_spec")) \
                 .distinct().checkpoint(eager=True)
     out = F.broadcast(names) if names.count() <= SETS_BROADCAST_LIMIT else names
@@ -79,7 +81,7 @@ def records_in_sets(df: DataFrame, sets: Sequence[str] | DataFrame, match: str =
             raise ValueError("substring matching takes a list of set names")
         exploded = df.withColumn("set_spec", F.explode(F.array_distinct(F.col(col))))
         return exploded.join(_sets_side(sets), "set_spec", "left_semi")
-    wanted = F.array(*[F.lit(s) for s in sets]) if sets else F.array().cast("array<string>")
+    wanted = F.array(*[F.lit(s) for s in dict.fromkeys(sets)]) if sets else F.array().cast("array<string>")
     if match == "exact":
         hits = F.array_intersect(F.col(col), wanted)
     elif match == "substring":

@@ -109,22 +109,23 @@ def resolve_attempts(log: DataFrame, max_retries: int = DEFAULT_MAX_RETRIES,
     stops at the first success (status < 400) or at the first failure that is
     not retryable (``retryable=None`` retries every failure; ``(503, 429)`` is
     the older client's rule). Output per request: ``succeeded``,
-    ``attempts_used``, ``last_status``. A plain aggregate (no window), so it is
-    combined map-side and a request with many attempts costs nothing extra.
+    ``attempts_used``, ``last_status``.
     """
-    a, st = F.col("attempt"), F.col("status")
-    within = a <= F.lit(max_retries)
+    # the first rows by order, however they are numbered; the filter on row_number() is
+    # applied before the shuffle too, so a request with many attempts stays small
+    order = Window.partitionBy(*by).orderBy("attempt")
+    a, st = F.col("_nth"), F.col("status")
+    first = log.withColumn("_nth", F.row_number().over(order)).where(a <= F.lit(max_retries))
     if retryable is None:
         terminal = st < 400
     else:
         codes = [int(c) for c in retryable]
         terminal = (st < 400) | ~st.isin(codes)
-    stop_if = within & terminal
-    g = log.groupBy(*by).agg(
-        F.min(F.when(stop_if, a)).alias("_t_att"),
-        F.min_by(st, F.when(stop_if, a)).alias("_t_st"),
-        F.max(F.when(within, a)).alias("_l_att"),
-        F.max_by(st, F.when(within, a)).alias("_l_st"),
+    g = first.groupBy(*by).agg(
+        F.min(F.when(terminal, a)).alias("_t_att"),
+        F.min_by(st, F.when(terminal, a)).alias("_t_st"),
+        F.max(a).alias("_l_att"),
+        F.max_by(st, a).alias("_l_st"),
     )
     used = F.coalesce(F.col("_t_att"), F.col("_l_att"))
     last = F.when(F.col("_t_att").isNotNull(), F.col("_t_st")).otherwise(F.col("_l_st"))

@@ -49,6 +49,7 @@ def split_hot(df: DataFrame, group: Sequence[str],
     limit = MAX_GROUP_ROWS if max_group_rows is None else max_group_rows
     if limit <= 0:
         return df.limit(0), df
+    checkpoint_dir(df.sparkSession)
     hot = df.groupBy(*group).count().filter(F.col("count") > limit).select(*group) \
             .checkpoint(eager=True)
     n_hot = hot.count()

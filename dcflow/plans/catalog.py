@@ -502,8 +502,8 @@ def q_match_existing(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def q_latest_per_key(spark: SparkSession, sf: str) -> DataFrame:
-    _, incoming = A.keyed_v(spark, sf)
-    r = latest_per_key(incoming, SEQ)
+    base, incoming = A.keyed_v(spark, sf)
+    r = latest_per_key(base.unionByName(incoming), SEQ)
     return r.select("header_identifier", "header_datestamp", "event_id", "metadata_type")
 
 
@@ -538,7 +538,8 @@ FROM li
 """
 SQL_LATEST_PER_KEY = f"""
 WITH {SQL_KEYED}
-SELECT k AS header_identifier, ts AS header_datestamp, event_id, event_type AS metadata_type FROM li
+SELECT k AS header_identifier, ts AS header_datestamp, event_id, event_type AS metadata_type FROM ev
+QUALIFY row_number() OVER (PARTITION BY k ORDER BY ts DESC, event_id DESC) = 1
 """
 SQL_UPSERT = f"""
 WITH {SQL_KEYED}

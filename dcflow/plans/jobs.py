@@ -6,6 +6,7 @@ from __future__ import annotations
 
 import datetime as _dt
 from collections.abc import Sequence
+from urllib.parse import unquote
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -14,7 +15,7 @@ from ..functions.dates import backfill_bounds, day_range, recent_window
 from ..operators.coverage import chunk_dates, missing_dates, sets_frame
 from ..operators.ledger import harvest_summary, page_ledger
 from ..operators.records import accepted, flatten_records, rejected, validate_records
-from ..session import checkpoint_dir
+from ..session import checkpoint_dir, list_names, remove_path
 from ..sources.pages import explode_records, page_status, parse_pages
 from ..sources.requests import DEFAULT_BASE_URL, DEFAULT_PREFIX, build_requests
 from ..sources.table import DEFAULT_BUCKETS, merge_into
@@ -63,8 +64,9 @@ def both_plan(stored: DataFrame, sets: Sequence[str], as_of: str | _dt.date,
     """The recent requests followed by the backfill requests, with ``mode``."""
     spark = stored.sparkSession
     base_url = kw.pop("base_url", DEFAULT_BASE_URL)
-    r = recent_plan(spark, sets, as_of, base_url)
-    b = backfill_plan(stored, sets, start, end, as_of, base_url=base_url, **kw)
+    prefix = kw.pop("metadata_prefix", DEFAULT_PREFIX)
+    r = recent_plan(spark, sets, as_of, base_url, prefix)
+    b = backfill_plan(stored, sets, start, end, as_of, base_url=base_url, metadata_prefix=prefix, **kw)
     return union_runs(r, b).select("mode", *PLAN_COLUMNS)
 
 
@@ -78,8 +80,13 @@ def landing_time(pages: DataFrame) -> _dt.datetime:
     return _dt.datetime.now(_dt.timezone.utc).replace(tzinfo=None, microsecond=0)
 
 
-def _replace_run(df: DataFrame, path: str) -> None:
-    """Write one run's rows into its ``run_id`` partition, replacing it."""
+def _replace_run(df: DataFrame, path: str, run_id: str) -> None:
+    """Write one run's rows into its ``run_id`` partition, replacing it. A dynamic overwrite
+    without rows replaces nothing, so an emptied run's old partition is removed."""
+    if df.isEmpty():
+        for name in list_names(df.sparkSession, path):
+            if unquote(name) == f"run_id={run_id}":
+                remove_path(df.sparkSession, f"{path}/{name}")
     df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic") \
         .partitionBy("run_id").parquet(path)
 
@@ -113,9 +120,11 @@ def ingest_pages(spark: SparkSession, pages: DataFrame, table_path: str,
     tagged = validate_records(flatten_records(explode_records(parsed))) \
         .withColumn("run_id", F.lit(run_id))
     if quarantine_path:
-        _replace_run(rejected(tagged), quarantine_path)
-    res = merge_into(spark, table_path, accepted(tagged), as_of, ["run_id", "path", "pos"],
-                     num_buckets)
+        _replace_run(rejected(tagged), quarantine_path, run_id)
+    # arrival order: the later landing wins, so one batch gives what many micro-batches give;
+    # the file name only settles pages that landed at one moment
+    seq = [c for c in ("landed_at", "path", "pos") if c in tagged.columns]
+    res = merge_into(spark, table_path, accepted(tagged), as_of, seq, num_buckets)
     res["as_of"], res["run_id"] = as_of, run_id
     if with_counts:
         stats = page_status(parsed).groupBy("status").count().collect()
@@ -123,7 +132,7 @@ def ingest_pages(spark: SparkSession, pages: DataFrame, table_path: str,
         counts = {r["accepted"]: r["count"] for r in tagged.groupBy("accepted").count().collect()}
         res["accepted"], res["rejected"] = counts.get(True, 0), counts.get(False, 0)
     if ledger_path:
-        _replace_run(page_ledger(parsed, run_id), ledger_path)
+        _replace_run(page_ledger(parsed, run_id), ledger_path, run_id)
     if with_ledger:
         s = harvest_summary(page_ledger(parsed, run_id)).first()
         res.update(requests=s.sets_processed if s else 0, successful=s.successful if s else 0,

@@ -22,8 +22,9 @@ from pyspark.sql import functions as F
 
 from ..session import build_session
 from ..sources.pages import read_page_archive, read_pages
+from ..sources.requests import DEFAULT_BASE_URL, DEFAULT_PREFIX
 from ..sources.table import DEFAULT_BUCKETS, compact_table, ensure_table, read_metadata
-from .jobs import backfill_plan, both_plan, ingest_pages
+from .jobs import DEFAULT_CHUNK, backfill_plan, both_plan, ingest_pages
 
 # Fixed value: the set list used when none is given.
 DEFAULT_SETS = ["physics", "math", "cs", "q-bio", "q-fin", "stat", "eess", "econ"]
@@ -46,6 +47,11 @@ def main(argv: list[str] | None = None) -> dict:
     ap.add_argument("--buckets", type=int, default=DEFAULT_BUCKETS)
     ap.add_argument("--compact-max-files", type=int, default=None,
                     help="after ingest, rewrite buckets holding more files than this")
+    ap.add_argument("--base-url", default=DEFAULT_BASE_URL, help="endpoint of the planned requests")
+    ap.add_argument("--metadata-prefix", default=DEFAULT_PREFIX)
+    ap.add_argument("--match", choices=["exact", "substring"], default="exact", help="how a record belongs to a set")
+    ap.add_argument("--chunk-size", type=int, default=DEFAULT_CHUNK, help="missing days per chunk")
+    ap.add_argument("--end-exclusive", action="store_true", help="the end date itself is not asked for")
     ap.add_argument("--master", default=None)
     a = ap.parse_args(argv)
 
@@ -78,10 +84,12 @@ def main(argv: list[str] | None = None) -> dict:
         ensure_table(spark, a.table, a.buckets)
         stored = read_metadata(spark, a.table)
         day = as_of[:10]
+        options = {"base_url": a.base_url, "metadata_prefix": a.metadata_prefix, "match": a.match,
+                   "chunk_size": a.chunk_size, "end_inclusive": not a.end_exclusive}
         if a.mode == "both":
-            plan = both_plan(stored, a.set_specs, day, a.start_date, a.end_date)
+            plan = both_plan(stored, a.set_specs, day, a.start_date, a.end_date, **options)
         else:
-            plan = backfill_plan(stored, a.set_specs, a.start_date, a.end_date, day) \
+            plan = backfill_plan(stored, a.set_specs, a.start_date, a.end_date, day, **options) \
                 .withColumn("mode", F.lit("backfill"))
         if a.plan_out:
             plan.write.mode("overwrite").parquet(a.plan_out)

@@ -92,6 +92,12 @@ def list_names(spark: SparkSession, path: str) -> list[str]:
     return [st.getPath().getName() for st in fs.listStatus(p)]
 
 
+def remove_path(spark: SparkSession, path: str) -> None:
+    """Delete a file or folder through Hadoop's FileSystem."""
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
+
+
 def path_exists(spark: SparkSession, path: str) -> bool:
     """Existence check through Hadoop's FileSystem, so it works for any scheme."""
     jvm = spark.sparkContext._jvm
@@ -102,4 +108,4 @@ def path_exists(spark: SparkSession, path: str) -> bool:
 
 
 __all__ = ["build_session", "checkpoint_dir", "scratch_path", "shuffle_partitions",
-           "path_exists", "make_dirs", "list_names"]
+           "path_exists", "remove_path", "make_dirs", "list_names"]
