@@ -41,29 +41,18 @@ def set_date_spine(spark: SparkSession, sets: Sequence[str] | DataFrame, lo: Dat
     return sets_frame(spark, sets).select("set_spec", F.explode(days).alias("d"))
 
 
-# A requested-sets DataFrame of at most this many names is broadcast.
-SETS_BROADCAST_LIMIT = 1_000_000
-
-
 def prepared_sets(sets: Sequence[str] | DataFrame | None):
-    """A requested-sets DataFrame reduced to distinct names, checkpointed once
-    (it may be derived from a large scan and is used by the spine and by the
-    join) and marked for broadcast when counted at most
-    ``SETS_BROADCAST_LIMIT``. Lists and None pass through."""
+    """A requested-sets DataFrame reduced to distinct names and checkpointed once: it may be
+    derived from a large scan and is used by the spine and by the join. Whether the names are
+    broadcast is left to AQE. Lists and None pass through."""
     if not isinstance(sets, DataFrame) or getattr(sets, "_dcflow_prepared", False):
         return sets
     checkpoint_dir(sets.sparkSession)
-    names = sets.select(F.col(sets.columns[0]).cast("string").alias("set_spec")) \
-                .distinct().checkpoint(eager=True)
-    out = F.broadcast(names) if names.count() <= SETS_BROADCAST_LIMIT else names
+    out = sets.select(F.col(sets.columns[0]).cast("string").alias("set_spec")).distinct().checkpoint(eager=True)
     out._dcflow_prepared = True
     return out
 
 
-def _sets_side(sets: DataFrame) -> DataFrame:
-    return prepared_sets(sets)
-
-
 def records_in_sets(df: DataFrame, sets: Sequence[str] | DataFrame, match: str = "exact",
                     col: str = "header_setSpecs") -> DataFrame:
     """One row per (record, requested set the record belongs to), column
@@ -73,14 +62,14 @@ def records_in_sets(df: DataFrame, sets: Sequence[str] | DataFrame, match: str =
     occurs in the JSON text of the record's set list. A list of set names is
     matched by an array expression per record (a generator, no join and no
     shuffle). A DataFrame of names (exact only) is semi-joined on the exploded
-    set, broadcast when counted small; substring matching against a DataFrame
+    set; substring matching against a DataFrame
     would be a nested-loop theta join and is refused.
     """
     if isinstance(sets, DataFrame):
         if match != "exact":
             raise ValueError("substring matching takes a list of set names")
         exploded = df.withColumn("set_spec", F.explode(F.array_distinct(F.col(col))))
-        return exploded.join(_sets_side(sets), "set_spec", "left_semi")
+        return exploded.join(prepared_sets(sets), "set_spec", "left_semi")
     wanted = F.array(*[F.lit(s) for s in dict.fromkeys(sets)]) if sets else F.array().cast("array<string>")
     if match == "exact":
         hits = F.array_intersect(F.col(col), wanted)
@@ -111,7 +100,7 @@ def existing_dates(df: DataFrame, sets: Sequence[str] | DataFrame | None, lo: Da
             raise ValueError("substring matching takes a list of set names")
         pairs = rows.select(F.explode(F.array_distinct("header_setSpecs")).alias("set_spec"),
                             harvest_date(ts_col).alias("d")).distinct()
-        return pairs.join(_sets_side(sets), "set_spec", "left_semi")
+        return pairs.join(prepared_sets(sets), "set_spec", "left_semi")
     else:
         rows = records_in_sets(rows, sets, match)
     return rows.select("set_spec", harvest_date(ts_col).alias("d")).distinct()

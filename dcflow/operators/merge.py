@@ -38,18 +38,14 @@ def latest_per_key(df: DataFrame, seq: Sequence[str | Column], key: str = KEY) -
     return df.groupBy(key).agg(latest).select(key, *[F.col(f"_v.{c}").alias(c) for c in others])
 
 
-def match_existing(base: DataFrame, incoming: DataFrame, key: str = KEY,
-                   broadcast_limit: int = 1_000_000) -> DataFrame:
+def match_existing(base: DataFrame, incoming: DataFrame, key: str = KEY) -> DataFrame:
     """Tag each incoming row ``insert`` (key not stored) or ``update``.
 
     The stored keys are semi-joined against the incoming keys, so only keys
-    that are in both ever leave the base side. When the incoming keys are
-    counted below ``broadcast_limit`` they are broadcast and the base is only
-    scanned, never shuffled; above it the semi join shuffles by key.
+    that are in both ever leave the base side. The joins are left to Spark's
+    statistics and AQE; no extra pass counts the incoming keys.
     """
     keys = incoming.select(key).distinct()
-    if broadcast_limit and keys.count() <= broadcast_limit:
-        keys = F.broadcast(keys)
     hit = base.select(key).join(keys, key, "left_semi").distinct() \
               .withColumn("_stored", F.lit(True))
     return incoming.join(hit, key, "left").withColumn(
@@ -87,25 +83,5 @@ def upsert(base: DataFrame, incoming: DataFrame, as_of: str | _dt.datetime | Col
     return j.select(*out)
 
 
-def upsert_small_batch(base: DataFrame, batch: DataFrame, as_of: str | _dt.datetime | Column,
-                       key: str = KEY, columns: Sequence[str] = UPDATE_COLUMNS) -> DataFrame:
-    """K1 for a batch whose size was checked to fit a broadcast.
-
-    Same result as ``upsert`` with unique batch keys, but the base is never
-    shuffled: its rows are split by a broadcast anti/semi join on the batch
-    keys (kept as they are / replaced), and only the replaced rows'
-    ``created_at`` (at most one per batch row) travels to the batch side.
-    """
-    at = lit_ts(as_of)
-    keys = F.broadcast(batch.select(key))
-    untouched = base.join(keys, key, "left_anti").select(key, *columns, "created_at", "updated_at")
-    seen = base.join(keys, key, "left_semi").select(key, F.col("created_at").alias("_created"))
-    fresh = batch.select(key, *columns).join(F.broadcast(seen), key, "left").select(
-        key, *columns,
-        F.least(F.col("_created"), at).alias("created_at"),
-        at.alias("updated_at"))
-    return untouched.unionByName(fresh)
-
-
 def _seq_cols(seq: Sequence[str | Column] | None) -> list[str]:
     return [c for c in (seq or []) if isinstance(c, str)]

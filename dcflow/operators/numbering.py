@@ -2,19 +2,19 @@
 
 ``row_number().over(partitionBy(g).orderBy(o))`` sends a whole group to one
 task; if one set or client holds a third of all rows, that task holds a third
-of the data. So group sizes are measured first (one partial aggregate):
-groups of up to ``MAX_GROUP_ROWS`` rows keep the plain window, which is the
-cheapest plan for a group that fits a task. Only the larger (hot) groups go:
+of the data. So every group, of whatever size, is numbered like this:
 
-1. range-partition on ``(g, o)`` and sort within partitions, so a hot group is
+0. write the rows to the shared scratch folder, since range partitioning reads its
+   input twice (once to sample it);
+1. range-partition on ``(g, o)`` and sort within partitions, so a large group is
    cut into many contiguous, ordered slices; record each row's partition and
-   position; checkpoint (to the shared checkpoint folder) so positions are fixed
-   even if a task or executor is lost and recomputed later;
+   position; write that to the shared scratch folder as Parquet, so positions are
+   fixed even if a task or executor is lost later;
 2. per ``(partition, group)`` cell count rows and note the first position: at
    most ``partitions + groups`` cells;
 3. a running sum over the cells of each group gives every cell its offset;
-4. join the cells back (broadcast when the counted number of cells is below a
-   limit, else a shuffle join whose keys are bounded by a partition's size).
+4. join the cells back on the partition and the group; a cell's rows are at most
+   a partition's, and AQE chooses the join.
 
 The order columns must form a total order within each group (add a unique
 tie-break) so the numbering is deterministic.
@@ -27,88 +27,40 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..session import checkpoint_dir, shuffle_partitions
-
-# Above this many (partition, group) cells the offsets are joined by shuffle.
-BROADCAST_CELL_LIMIT = 2_000_000
-# Largest group one task may number with a plain window (rows).
-MAX_GROUP_ROWS = 5_000_000
+from ..session import scratch_path, shuffle_partitions
 
 
 def _col(c: Column | str) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
-def split_hot(df: DataFrame, group: Sequence[str],
-              max_group_rows: int | None = None) -> tuple[DataFrame, DataFrame] | None:
-    """``(cold, hot)`` rows of the groups with at most / more than
-    ``max_group_rows`` rows (default ``MAX_GROUP_ROWS``); None if no group is
-    hot. The hot keys (at most ``rows / max_group_rows`` of them) are
-    checkpointed, counted and broadcast; keys match NULL-safely. A limit of
-    0 or less makes every row hot."""
-    limit = MAX_GROUP_ROWS if max_group_rows is None else max_group_rows
-    if limit <= 0:
-        return df.limit(0), df
-    checkpoint_dir(df.sparkSession)
-    hot = df.groupBy(*group).count().filter(F.col("count") > limit).select(*group) \
-            .checkpoint(eager=True)
-    n_hot = hot.count()
-    if n_hot == 0:
-        return None
-    keys = hot.select(*[F.col(g).alias(f"_h_{g}") for g in group])
-    if n_hot <= BROADCAST_CELL_LIMIT:
-        keys = F.broadcast(keys)
-    cond = None
-    for g in group:
-        c = F.col(g).eqNullSafe(F.col(f"_h_{g}"))
-        cond = c if cond is None else cond & c
-    return df.join(keys, cond, "left_anti"), df.join(keys, cond, "left_semi")
+def _written(df: DataFrame, name: str) -> DataFrame:
+    """``df`` written to the shared scratch folder and read back, so its plan runs once."""
+    path = scratch_path(df.sparkSession, name)
+    df.write.option("compression", "zstd").parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def number_rows(df: DataFrame, group: Sequence[str], order: Sequence[Column | str],
-                out: str = "rn", num_partitions: int | None = None,
-                max_group_rows: int | None = None) -> DataFrame:
-    """Add ``out`` = 1-based row number of each row within its ``group`` in ``order``.
-
-    Groups with at most ``max_group_rows`` rows (default ``MAX_GROUP_ROWS``)
-    are numbered by a plain window; only the larger (hot) groups take the
-    range-partitioned path. 0 sends every group down that path.
-    """
-    parts = split_hot(df, group, max_group_rows)
-    w = Window.partitionBy(*group).orderBy(*[_col(o) for o in order])
-    if parts is None:
-        return df.withColumn(out, F.row_number().over(w).cast("bigint"))
-    cold, hot = parts
-    numbered_hot = _number_rows_ranged(hot, group, order, out, num_partitions)
-    if max_group_rows is not None and max_group_rows <= 0:
-        return numbered_hot
-    return cold.withColumn(out, F.row_number().over(w).cast("bigint")).unionByName(numbered_hot)
-
-
-def _number_rows_ranged(df: DataFrame, group: Sequence[str], order: Sequence[Column | str],
-                        out: str, num_partitions: int | None) -> DataFrame:
+                out: str = "rn", num_partitions: int | None = None) -> DataFrame:
+    """Add ``out`` = 1-based row number of each row within its ``group`` in ``order``."""
     spark = df.sparkSession
-    checkpoint_dir(spark)
     n = num_partitions or shuffle_partitions(spark)
     keys = [F.col(g) for g in group] + [_col(o) for o in order]
     pid = F.spark_partition_id()
-    ranged = (df.repartitionByRange(n, *keys)
+    ranged = (_written(df, "unnumbered").repartitionByRange(n, *keys)
                 .sortWithinPartitions(*keys)
                 .withColumn("_pid", pid)
                 .withColumn("_pos", F.monotonically_increasing_id()
                             - F.shiftleft(pid.cast("bigint"), 33)))
-    ranged = ranged.checkpoint(eager=True)
+    ranged = _written(ranged, "numbered")
 
     cells = ranged.groupBy("_pid", *group).agg(F.count(F.lit(1)).alias("_cnt"),
                                                F.min("_pos").alias("_first"))
     before = Window.partitionBy(*group).orderBy("_pid") \
                    .rowsBetween(Window.unboundedPreceding, -1)
-    # derived from the checkpointed ranged rows, so recomputing it (for the
-    # count and for the join) always gives the same cells
     cells = cells.withColumn("_off", F.coalesce(F.sum("_cnt").over(before), F.lit(0))) \
                  .drop("_cnt")
-    if cells.count() <= BROADCAST_CELL_LIMIT:
-        cells = F.broadcast(cells)
 
     a, b = ranged.alias("_a"), cells.alias("_b")
     cond = F.col("_a._pid") == F.col("_b._pid")

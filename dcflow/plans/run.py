@@ -46,7 +46,7 @@ def main(argv: list[str] | None = None) -> dict:
                     help="run time (UTC); default: the pages' latest landing time, else now")
     ap.add_argument("--buckets", type=int, default=DEFAULT_BUCKETS)
     ap.add_argument("--compact-max-files", type=int, default=None,
-                    help="after ingest, rewrite buckets holding more files than this")
+                    help="after ingest, fold the merged versions into the base if more than this have gathered")
     ap.add_argument("--base-url", default=DEFAULT_BASE_URL, help="endpoint of the planned requests")
     ap.add_argument("--metadata-prefix", default=DEFAULT_PREFIX)
     ap.add_argument("--match", choices=["exact", "substring"], default="exact", help="how a record belongs to a set")
@@ -73,7 +73,7 @@ def main(argv: list[str] | None = None) -> dict:
                            num_buckets=a.buckets, with_ledger=True, ledger_path=a.ledger)
         out["recent"] = res
         if a.compact_max_files is not None:
-            out["compacted_buckets"] = compact_table(spark, a.table, a.buckets,
+            out["compacted_versions"] = compact_table(spark, a.table, a.buckets,
                                                      a.compact_max_files)
         as_of = str(res["as_of"])
         total += res.get("accepted", 0)

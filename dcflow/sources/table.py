@@ -1,13 +1,16 @@
-"""The stored metadata table: Parquet, directory-partitioned by a hash bucket of
-the identifier (S6, K2, K3, K4 and the merge that ties them together).
-
-Layout: ``<path>/bucket=<b>/part-*.parquet`` with ``b = pmod(xxhash64(id), N)``.
-A merge reads only the buckets its batch touches (partition pruning), merges
-them with the batch, and replaces just those bucket folders with Spark's
-dynamic partition overwrite: new files are written to a staging folder and
-swapped in at job commit, so a lost task or executor re-reads the old files.
-One writer at a time; a re-run of the same batch repairs a half-done swap
-because the merge is idempotent.
+"""The stored metadata table: Parquet, a bucketed base and the batches merged since
+(S6, K2, K3, K4 and the merge that ties them together).
+
+Layout: ``<path>/base/bucket=<b>/part-*.parquet`` with ``b = pmod(xxhash64(id), N)`` holds one
+row per identifier. A merge only appends: its batch, one row per identifier, becomes the
+folder ``<path>/delta/version=<v>``, and no stored file is read or rewritten, whatever the
+batch's size. ``read_metadata`` lays the latest version of each identifier over the base.
+``compact_table`` folds the deltas into the buckets they touch and removes them; until then
+a read pays one join of the base with the rows merged since.
+
+One writer at a time. A merge that dies leaves no committed version or a whole one, and a
+re-run adds the same rows under the next version. A compaction that dies after its swap
+leaves deltas that the base already holds, and reading them over it changes nothing.
 """
 
 from __future__ import annotations
@@ -17,15 +20,14 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions.dates import lit_ts
-from ..operators.merge import KEY, latest_per_key, upsert, upsert_small_batch
+from ..operators.merge import KEY, latest_per_key
 from ..schemas import RECORD_COLUMNS, TABLE
-from ..session import checkpoint_dir, list_names, make_dirs, path_exists
+from ..session import list_names, make_dirs, path_exists, remove_path
 
 DEFAULT_BUCKETS = 64
-# A merged batch of at most this many records is broadcast (see merge_into).
-BROADCAST_BATCH_ROWS = 500_000
 # Identifiers expected per Parquet row group (128 MB of ~1 KB records), which
 # sizes each identifier bloom filter at about 240 KB for a 1% false-positive rate.
 BLOOM_NDV = 200_000
@@ -36,63 +38,94 @@ def bucket_of(key: Column | str = KEY, num_buckets: int = DEFAULT_BUCKETS) -> Co
     return F.pmod(F.xxhash64(k), F.lit(num_buckets)).cast("int")
 
 
-LAYOUT_DIR = "_dcflow_layout"   # ignored by the Parquet reader (leading underscore)
+LAYOUT_DIR = "_dcflow_layout"
+ROW_COLUMNS = [f.name for f in TABLE.fields if f.name != "bucket"]
+DELTA = T.StructType([f for f in TABLE.fields if f.name != "bucket"] + [T.StructField("version", T.LongType())])
+
+
+def _part(path: str, name: str) -> str:
+    return f"{path.rstrip('/')}/{name}"
 
 
 def ensure_table(spark: SparkSession, path: str, num_buckets: int = DEFAULT_BUCKETS) -> bool:
     """K3: create an empty table at ``path`` if none is there. True if created.
 
     The bucket count is recorded next to the data (as a folder name, read
-    without a Spark job), and a later merge with a different count is refused:
-    it would place a key's new version in another bucket than its old one.
+    without a Spark job), and a later merge with a different count is refused;
+    ``rebucket_table`` copies a table into another count.
     """
     if path_exists(spark, path):
         return False
     spark.createDataFrame([], TABLE).write.mode("errorifexists") \
-        .partitionBy("bucket").parquet(path)
-    make_dirs(spark, f"{path.rstrip('/')}/{LAYOUT_DIR}/buckets={int(num_buckets)}")
+        .partitionBy("bucket").parquet(_part(path, "base"))
+    make_dirs(spark, _part(path, f"{LAYOUT_DIR}/buckets={int(num_buckets)}"))
     return True
 
 
 def table_buckets(spark: SparkSession, path: str) -> int | None:
     """The bucket count recorded by ``ensure_table`` (None if not recorded)."""
-    for name in list_names(spark, f"{path.rstrip('/')}/{LAYOUT_DIR}"):
+    for name in list_names(spark, _part(path, LAYOUT_DIR)):
         if name.startswith("buckets="):
             return int(name.split("=", 1)[1])
     return None
 
 
+def _same_buckets(spark: SparkSession, path: str, num_buckets: int) -> None:
+    recorded = table_buckets(spark, path)
+    if recorded is not None and recorded != num_buckets:
+        raise ValueError(f"table at {path} has {recorded} buckets, not {num_buckets}")
+
+
+def delta_versions(spark: SparkSession, path: str) -> list[int]:
+    """The versions merged since the last compaction, oldest first (a folder listing)."""
+    names = list_names(spark, _part(path, "delta"))
+    return sorted(int(n.split("=", 1)[1]) for n in names if n.startswith("version="))
+
+
 def read_metadata(spark: SparkSession, path: str) -> DataFrame:
-    """Scan the stored table with its fixed schema (no inference)."""
-    return spark.read.schema(TABLE).parquet(path)
+    """The table as of its last merge, with its fixed schema (no inference).
+
+    Without deltas this is a plain scan of the base. With deltas, the base rows they do not
+    replace come with predicates pushed into the scan, and each delta row takes the earliest
+    ``created_at`` of its identifier from the base.
+    """
+    base = spark.read.schema(TABLE).parquet(_part(path, "base"))
+    if not delta_versions(spark, path):
+        return base
+    buckets = table_buckets(spark, path) or DEFAULT_BUCKETS
+    others = [c for c in ROW_COLUMNS if c not in (KEY, "created_at")]
+    delta = spark.read.schema(DELTA).parquet(_part(path, "delta"))
+    last = delta.groupBy(KEY).agg(F.max_by(F.struct(*others), "version").alias("_v"),
+                                  F.min("created_at").alias("_first"))
+    born = base.select(KEY, F.col("created_at").alias("_born"))
+    fresh = last.join(born, KEY, "left").select(
+        KEY, *[F.col(f"_v.{c}").alias(c) for c in others],
+        F.least("_first", "_born").alias("created_at"), bucket_of(KEY, buckets).alias("bucket"))
+    return base.join(last.select(KEY), KEY, "left_anti").unionByName(fresh).select(*base.columns)
 
 
 def write_metadata(df: DataFrame, path: str, num_buckets: int = DEFAULT_BUCKETS,
-                   max_records_per_file: int | None = None, shuffle: bool = True) -> None:
-    """K2: write rows into their bucket folders, replacing only those buckets.
-
-    With ``shuffle`` rows are hash-partitioned by bucket so each bucket folder
-    gets files from one task; without it every task writes the buckets it
-    holds (for input already laid out by bucket). Within a file rows are
-    sorted by datestamp (date filters skip row groups) and the identifier
-    carries a Parquet bloom filter (lookups by identifier skip row groups).
+                   max_records_per_file: int | None = None, tasks_per_bucket: int = 1) -> None:
+    """K2: write rows into the base, replacing only the buckets they fall into.
+
+    A bucket is written by ``tasks_per_bucket`` tasks, among which its rows are dealt by
+    hash. Within a file rows are sorted by datestamp (date filters skip row groups) and the
+    identifier carries a Parquet bloom filter (lookups by identifier skip row groups).
     ``max_records_per_file`` caps file size.
     """
-    out = df.withColumn("bucket", bucket_of(KEY, num_buckets)) \
-            .select(*[f.name for f in TABLE.fields])
-    if shuffle:
-        out = out.repartition("bucket")
-    # rows sorted by datestamp inside each file: the row groups' min/max
-    # statistics then let pushed date ranges (coverage, listings) skip data
-    out = out.sortWithinPartitions("bucket", "header_datestamp")
-    w = out.write.mode("overwrite") \
-           .option("partitionOverwriteMode", "dynamic") \
-           .option(f"parquet.bloom.filter.enabled#{KEY}", "true") \
-           .option(f"parquet.bloom.filter.expected.ndv#{KEY}", str(BLOOM_NDV)) \
-           .partitionBy("bucket")
+    out = df.withColumn("bucket", bucket_of(KEY, num_buckets)).select(*[f.name for f in TABLE.fields])
+    # the slice hash differs from the bucket hash, or a bucket would stay in one slice
+    part = F.pmod(F.hash(KEY), F.lit(int(tasks_per_bucket)))
+    out = out.repartition("bucket", part).sortWithinPartitions("bucket", "header_datestamp")
+    w = _with_bloom(out).mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("bucket")
     if max_records_per_file:
         w = w.option("maxRecordsPerFile", int(max_records_per_file))
-    w.parquet(path)
+    w.parquet(_part(path, "base"))
+
+
+def _with_bloom(df: DataFrame):
+    return df.write.option(f"parquet.bloom.filter.enabled#{KEY}", "true") \
+        .option(f"parquet.bloom.filter.expected.ndv#{KEY}", str(BLOOM_NDV))
 
 
 def write_batches(df: DataFrame, path: str, size: int = 2000, mode: str = "errorifexists") -> None:
@@ -105,93 +138,55 @@ def merge_into(spark: SparkSession, path: str, incoming: DataFrame,
                num_buckets: int = DEFAULT_BUCKETS) -> dict:
     """K1 + K2: upsert one batch of records into the table at ``path``.
 
-    The batch is deduplicated (last in ``seq`` wins) and checkpointed to the
-    shared checkpoint folder, so the pages are parsed once even though the
-    batch is used several times. Only counts and bucket numbers (at most
-    ``num_buckets`` integers) reach the driver.
-
-    A batch counted at most ``BROADCAST_BATCH_ROWS`` rows takes the broadcast
-    path: a broadcast semi join on the batch keys (reading only the key,
-    bucket and ``created_at`` columns of the touched buckets) finds the keys
-    already stored; only the buckets holding such updates are rewritten
-    (dynamic overwrite, stored rows split by broadcast joins and never
-    shuffled), and new keys are appended to their buckets as new files without
-    rewriting anything. A larger batch takes the shuffle (full outer) merge of
-    the touched buckets. Re-running a batch is idempotent: keys appended by an
-    earlier run are then found as stored and rewritten to the same values.
+    The batch is reduced to the last row per key in ``seq`` and appended as the next
+    version, in one pass over ``incoming``; nothing stored is read or rewritten. Later
+    merges win over earlier ones and ``created_at`` stays the earliest. A record without a
+    key fails the write before anything is committed. A batch without rows adds no version.
     """
-    checkpoint_dir(spark)
     ensure_table(spark, path, num_buckets)
-    recorded = table_buckets(spark, path)
-    if recorded is not None and recorded != num_buckets:
-        raise ValueError(f"table at {path} has {recorded} buckets, not {num_buckets}")
+    _same_buckets(spark, path, num_buckets)
     wanted = list(dict.fromkeys([*RECORD_COLUMNS, *[c for c in seq if isinstance(c, str)]]))
-    batch = latest_per_key(incoming.select(*wanted), seq, KEY) \
-        .withColumn("bucket", bucket_of(KEY, num_buckets)).checkpoint(eager=True)
-    per_bucket = batch.groupBy("bucket").agg(            # at most num_buckets rows
-        F.count(F.lit(1)).alias("count"), F.count_if(F.col(KEY).isNull()).alias("no_key")
-    ).collect()
-    if any(r["no_key"] for r in per_bucket):
-        raise ValueError("records without header_identifier; run validate_records first")
-    n = sum(r["count"] for r in per_bucket)
-    touched = sorted(r["bucket"] for r in per_bucket)
-    if not touched:
-        return {"touched_buckets": 0, "batch_rows": 0, "strategy": "none"}
-    base = read_metadata(spark, path).filter(F.col("bucket").isin(touched))
-    if n > BROADCAST_BATCH_ROWS:
-        merged = upsert(base, batch.drop("bucket"), as_of, seq=None)
-        write_metadata(merged, path, num_buckets)
-        return {"touched_buckets": len(touched), "batch_rows": n, "strategy": "shuffle"}
-
-    keys = F.broadcast(batch.select(KEY))
-    stored = base.select(KEY, "bucket").join(keys, KEY, "left_semi") \
-        .checkpoint(eager=True)                                # at most n rows
-    upd = stored.groupBy("bucket").count().collect()            # at most num_buckets rows
-    upd_buckets, n_upd = sorted(r["bucket"] for r in upd), sum(r["count"] for r in upd)
-    if upd_buckets:
-        updates = batch.join(F.broadcast(stored.select(KEY)), KEY, "left_semi").drop("bucket")
-        old = base.filter(F.col("bucket").isin(upd_buckets))
-        merged = upsert_small_batch(old, updates.repartition(bucket_of(KEY, num_buckets)), as_of)
-        write_metadata(merged, path, num_buckets, shuffle=False)
-    if n_upd < n:
-        inserts = batch.join(F.broadcast(stored.select(KEY)), KEY, "left_anti").drop("bucket")
-        at = lit_ts(as_of)
-        append_metadata(inserts.withColumn("created_at", at).withColumn("updated_at", at),
-                        path, num_buckets)
-    return {"touched_buckets": len(touched), "batch_rows": n, "strategy": "broadcast",
-            "rewritten_buckets": len(upd_buckets), "updated_rows": n_upd,
-            "appended_rows": n - n_upd}
-
-
-def append_metadata(df: DataFrame, path: str, num_buckets: int = DEFAULT_BUCKETS) -> None:
-    """Add rows whose keys are not stored yet as new files in their buckets
-    (one file per bucket per call); nothing existing is rewritten."""
-    out = df.withColumn("bucket", bucket_of(KEY, num_buckets)) \
-            .select(*[f.name for f in TABLE.fields]) \
-            .repartition("bucket").sortWithinPartitions("bucket", "header_datestamp")
-    out.write.mode("append") \
-        .option(f"parquet.bloom.filter.enabled#{KEY}", "true") \
-        .option(f"parquet.bloom.filter.expected.ndv#{KEY}", str(BLOOM_NDV)) \
-        .partitionBy("bucket").parquet(path)
-
-
-def bucket_files(spark: SparkSession, path: str) -> DataFrame:
-    """Files per bucket: ``(bucket, files)`` (one row per bucket)."""
-    t = read_metadata(spark, path).select("bucket", F.col("_metadata.file_path").alias("f"))
-    return t.groupBy("bucket").agg(F.count_distinct("f").alias("files"))
+    key = F.coalesce(KEY, F.raise_error(F.lit(f"records without {KEY}; run validate_records first")))
+    batch = latest_per_key(incoming.select(*wanted).withColumn(KEY, key), seq, KEY)
+    version = max(delta_versions(spark, path), default=0) + 1
+    folder = _part(path, f"delta/version={version}")
+    append_metadata(batch, folder, as_of)
+    n = spark.read.schema(DELTA).parquet(folder).count()        # from the new files' footers
+    if not n:
+        remove_path(spark, folder)
+    return {"batch_rows": n, "version": version if n else None}
+
+
+def append_metadata(df: DataFrame, folder: str, as_of: str | _dt.datetime | Column) -> None:
+    """Write one version's rows, one per key, stamped with ``as_of``."""
+    at = lit_ts(as_of)
+    rows = df.withColumn("created_at", at).withColumn("updated_at", at).select(*ROW_COLUMNS)
+    _with_bloom(rows.sortWithinPartitions("header_datestamp")).mode("errorifexists").parquet(folder)
 
 
 def compact_table(spark: SparkSession, path: str, num_buckets: int = DEFAULT_BUCKETS,
-                  max_files: int = 8) -> int:
-    """Rewrite every bucket holding more than ``max_files`` files (appends
-    accumulate them) into one sorted file set; returns the buckets rewritten.
-    Row content is unchanged."""
-    recorded = table_buckets(spark, path)
-    if recorded is not None and recorded != num_buckets:
-        raise ValueError(f"table at {path} has {recorded} buckets, not {num_buckets}")
-    many = sorted(r["bucket"] for r in
-                  bucket_files(spark, path).filter(F.col("files") > max_files).collect())
-    if many:
-        rows = read_metadata(spark, path).filter(F.col("bucket").isin(many)).drop("bucket")
-        write_metadata(rows, path, num_buckets)
-    return len(many)
+                  max_files: int = 8, tasks_per_bucket: int = 1) -> int:
+    """Fold the deltas into the base once more than ``max_files`` versions have gathered;
+    returns how many were folded. Only buckets that hold a key of a delta are rewritten, each
+    by ``tasks_per_bucket`` tasks. What a read gives is unchanged."""
+    _same_buckets(spark, path, num_buckets)
+    versions = delta_versions(spark, path)
+    if len(versions) <= max_files:
+        return 0
+    # at most num_buckets integers
+    touched = spark.read.schema(DELTA).parquet(_part(path, "delta")) \
+        .select(bucket_of(KEY, num_buckets).alias("bucket")).distinct()
+    rows = read_metadata(spark, path).join(F.broadcast(touched), "bucket", "left_semi")
+    write_metadata(rows, path, num_buckets, tasks_per_bucket=tasks_per_bucket)
+    # oldest first: after a stop in between, the newest versions are still the ones laid over
+    for v in versions:
+        remove_path(spark, _part(path, f"delta/version={v}"))
+    return len(versions)
+
+
+def rebucket_table(spark: SparkSession, path: str, new_path: str, num_buckets: int,
+                   tasks_per_bucket: int = 1) -> None:
+    """Copy a table, deltas folded, into a new one of ``num_buckets`` buckets."""
+    if not ensure_table(spark, new_path, num_buckets):
+        raise ValueError(f"{new_path} exists")
+    write_metadata(read_metadata(spark, path), new_path, num_buckets, tasks_per_bucket=tasks_per_bucket)

@@ -64,8 +64,8 @@ def stream_harvest(spark: SparkSession, landing_dir: str, table_path: str,
     lives in ``checkpoint_location`` (default: next to the table). Rejected
     records go to ``quarantine_path`` and each micro-batch's request ledger to
     ``ledger_path``, one ``run_id`` partition per micro-batch. Every
-    ``compact_every`` micro-batches (0: never) buckets holding more than
-    ``compact_max_files`` files, which appends accumulate, are rewritten.
+    ``compact_every`` micro-batches (0: never) the merged versions are folded into the base
+    if more than ``compact_max_files`` have gathered.
     """
     checkpoint_dir(spark)
     ensure_table(spark, table_path, num_buckets)

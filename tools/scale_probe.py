@@ -48,10 +48,7 @@ def skew(spark, sf: str, copies: int) -> dict:
     log = spark.read.parquet(log_dir)
     out = {"rows": log.count(), "hot_rows": log.filter("client = 'hot'").count()}
     t = time.perf_counter()
-    pacing_audit(log).write.format("noop").mode("overwrite").save()
-    out["adaptive_sec"] = round(time.perf_counter() - t, 2)     # measured: hot group fits a task
-    t = time.perf_counter()
-    safe = pacing_audit(log, max_group_rows=0)                 # forced range-partitioned path
+    safe = pacing_audit(log)
     safe.write.format("noop").mode("overwrite").save()
     out["skew_safe_sec"] = round(time.perf_counter() - t, 2)
     w = Window.partitionBy("client").orderBy("ts", "request_id", "attempt")
@@ -70,9 +67,6 @@ def main() -> None:
     sf = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.1"
     copies = int(sys.argv[2]) if len(sys.argv) > 2 else 10
     cpus = int(sys.argv[3]) if len(sys.argv) > 3 else 8
-    if len(sys.argv) > 4 and sys.argv[4] == "shuffle":     # force the shuffle merge path
-        import dcflow.sources.table as table_mod
-        table_mod.BROADCAST_BATCH_ROWS = 0
     spark = build_session(f"local[{cpus}]", app="dcflow-scale", shuffle_partitions=cpus * 4,
                           extra={"spark.driver.memory": "16g"})
     if len(sys.argv) > 4 and sys.argv[4] == "skew":
@@ -97,8 +91,7 @@ def main() -> None:
                        num_buckets=64, with_counts=True)
     sec = time.perf_counter() - t
     out.update(ingest_sec=round(sec, 2), ingest_records=res["accepted"],
-               ingest_records_per_min=round(res["accepted"] * 60 / sec),
-               ingest_strategy=res["strategy"])
+               ingest_records_per_min=round(res["accepted"] * 60 / sec))
 
     # a second batch updating 10% of the records (fresh datestamps)
     upd = read_metadata(spark, table).filter(F.pmod(F.xxhash64("header_identifier"), F.lit(10)) == 0) \
@@ -106,8 +99,7 @@ def main() -> None:
         .withColumn("seq", F.lit(1)).drop("created_at", "updated_at", "bucket")
     t = time.perf_counter()
     r2 = merge_into(spark, table, upd, "2024-06-02 00:00:00", ["seq"], num_buckets=64)
-    out.update(update_sec=round(time.perf_counter() - t, 2), update_rows=r2["batch_rows"],
-               update_strategy=r2["strategy"])
+    out.update(update_sec=round(time.perf_counter() - t, 2), update_rows=r2["batch_rows"])
 
     # a daily harvest: 5% new records and 1% updates of stored ones
     cur = read_metadata(spark, table).drop("created_at", "updated_at", "bucket")
@@ -118,9 +110,7 @@ def main() -> None:
     day = new.unionByName(upd2).withColumn("seq", F.lit(2))
     t = time.perf_counter()
     r3 = merge_into(spark, table, day, "2024-06-03 00:00:00", ["seq"], num_buckets=64)
-    out.update(daily_sec=round(time.perf_counter() - t, 2), daily_rows=r3["batch_rows"],
-               daily_appended=r3.get("appended_rows"), daily_updated=r3.get("updated_rows"),
-               daily_rewritten_buckets=r3.get("rewritten_buckets"))
+    out.update(daily_sec=round(time.perf_counter() - t, 2), daily_rows=r3["batch_rows"])
 
     t = time.perf_counter()
     m = missing_dates(read_metadata(spark, table), ["en", "fr", "de", "es"], "2023-12-01",

@@ -14,7 +14,7 @@ sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 from pyspark.sql import functions as F  # noqa: E402
 
 from dcflow.operators.coverage import missing_dates  # noqa: E402
-from dcflow.operators.merge import latest_per_key, upsert_small_batch  # noqa: E402
+from dcflow.operators.merge import latest_per_key  # noqa: E402
 from dcflow.operators.query import list_records  # noqa: E402
 from dcflow.plans import adapters as A  # noqa: E402
 from dcflow.plans.catalog import SETS, stored_records  # noqa: E402
@@ -22,7 +22,7 @@ from dcflow.session import build_session, scratch_path  # noqa: E402
 from dcflow.sources.pages import explode_records, parse_pages, read_page_archive, compact_pages  # noqa: E402
 from dcflow.operators.records import clean_records  # noqa: E402
 from dcflow.operators.ledger import pacing_audit  # noqa: E402
-from dcflow.sources.table import bucket_of, merge_into, read_metadata  # noqa: E402
+from dcflow.sources.table import compact_table, merge_into, read_metadata  # noqa: E402
 
 SF = "/root/testdata/sf0.01"
 
@@ -53,6 +53,7 @@ def main() -> None:
          clean_records(explode_records(parse_pages(pages))).select("header_identifier", "title"))
     path = scratch_path(spark, "plans-table")
     merge_into(spark, path, stored_records(spark, SF), "2024-06-01 00:00:00", ["path", "pos"], 8)
+    compact_table(spark, path, 8, max_files=0)
     t = read_metadata(spark, path)
     show("Selective listing on the stored table (F5, F6)",
          "The date range reaches the Parquet reader as `PushedFilters`, only three columns are "
@@ -67,25 +68,14 @@ def main() -> None:
          "Every row carries the same key: `partial_max_by` reduces it to one row per task "
          "below the exchange.",
          latest_per_key(incoming.withColumn("header_identifier", F.lit("hot")), ["ts", "event_id"]))
-    batch = latest_per_key(stored_records(spark, SF).select(
-        *[c for c in t.columns if c not in ("created_at", "updated_at", "bucket")], "path", "pos"),
-        ["path", "pos"]).drop("path", "pos").checkpoint(eager=True)   # as merge_into does
-    show("Which batch keys are stored already (K1, broadcast path, first step)",
-         "A broadcast semi join on the batch keys; the table side reads only the identifier and "
-         "the bucket (partition) column and is not shuffled.",
-         t.select("header_identifier", "bucket").join(F.broadcast(batch.select("header_identifier")),
-                                                     "header_identifier", "left_semi"))
-    show("Merge of a size-checked batch (K1, broadcast path, buckets holding updates)",
-         "The stored rows are split by broadcast anti/semi joins on the batch keys: the base side "
-         "has no exchange; only the small batch is shuffled (grouped by bucket).",
-         upsert_small_batch(t, batch.repartition(bucket_of("header_identifier", 8)),
-                            "2024-06-02 00:00:00"))
-    show("Pacing audit, skew-safe path (W4, `max_group_rows=0`)",
-         "The path taken when the measured largest client exceeds `MAX_GROUP_ROWS`: "
-         "`number_rows` has range-partitioned and checkpointed the log (the scan below is that "
-         "checkpoint); the previous request is an equi-join on `(client, n - 1)`, whose keys "
-         "are unique. Below the limit the plain `lag()` window is used.",
-         pacing_audit(A.log_v(spark, SF), max_group_rows=0))
+    merge_into(spark, path, stored_records(spark, SF), "2024-06-02 00:00:00", ["path", "pos"], 8)
+    show("The table with a merged batch laid over its base (K1, S6)",
+         "The batch was appended; a read joins it with the base until compaction folds it in.",
+         read_metadata(spark, path).select("header_identifier", "created_at", "updated_at"))
+    show("Pacing audit (W4)",
+         "`number_rows` has written the range-partitioned log (the scan below is that table); the "
+         "previous request is an equi-join on `(client, n - 1)`, whose keys are unique.",
+         pacing_audit(A.log_v(spark, SF)))
 
 
 if __name__ == "__main__":
