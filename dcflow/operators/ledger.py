@@ -2,7 +2,7 @@
 (A3-A7, W1, W4).
 
 Ledger rows are one request outcome each: ``n > 0`` records stored, ``0`` none,
-``< 0`` failed. Request-log rows are one HTTP attempt each.
+``< 0`` failed (or ``failed``, where a ledger carries that column). Request-log rows are one HTTP attempt each.
 """
 
 from __future__ import annotations
@@ -12,8 +12,8 @@ from collections.abc import Iterable, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.text import array_len
 from .numbering import number_rows, previous_row
+from .records import accepted, flatten_records, validate_records
 
 # The batch size of a flush, the default attempts per request,
 # the status codes the older client retried on, the pause between requests.
@@ -23,46 +23,55 @@ LEGACY_RETRYABLE = (503, 429)
 DEFAULT_DELAY_MS = 3000
 
 
-def page_ledger(parsed: DataFrame, run_id: str = "") -> DataFrame:
-    """The run ledger of landed pages: one row per request (set, from, until
-    as echoed by the server), ``n`` = records kept (identifier present, not
-    deleted) over all its pages, ``0`` for an empty answer, ``-1`` if any page
-    was malformed or an error other than no-records. ``elapsed_s`` is unknown
-    from pages and left NULL.
+def page_ledger(parsed: DataFrame, run_id: str = "", tagged: DataFrame | None = None) -> DataFrame:
+    """The run ledger of landed pages: one row per request.
+
+    A request is what the server echoed (set, from, until); a page without an echo, as a
+    malformed one may be, is a request of its own, named by its path in ``page``. ``n`` counts
+    the records that ``validate_records`` accepts, over all the request's pages; ``failed``
+    says that one of them was malformed or an error other than no-records, and leaves ``n`` as
+    it is. ``elapsed_s`` runs from the request's first landed page to its last (NULL without
+    landing times). ``tagged``: the pages' validated records, where there are any already.
     """
-    from ..sources.pages import STATUS_ERROR, STATUS_MALFORMED, status_of
-
-    recs = array_len(F.filter(
-        "records", lambda r: (F.length(F.try_element_at(r["header"]["identifier"], F.lit(-1))) > 0)
-        & (F.coalesce(r["header"]["_status"], F.lit("")) != F.lit("deleted"))))
-    pages = parsed.select(
-        F.col("request_set").alias("set_spec"),
-        F.to_date(F.col("request_from").try_cast("timestamp_ntz")).alias("d"),
-        F.col("request_until"),
-        status_of().isin(STATUS_MALFORMED, STATUS_ERROR).alias("_failed"),
-        recs.alias("_kept"))
-    g = pages.groupBy("set_spec", "d", "request_until").agg(
-        F.bool_or("_failed").alias("_failed"), F.sum("_kept").alias("_kept"))
-    return g.select(F.lit(run_id).alias("run_id"), "set_spec", "d",
-                    F.when(F.col("_failed"), F.lit(-1)).otherwise(F.col("_kept")).cast("bigint")
-                     .alias("n"),
-                    F.lit(None).cast("double").alias("elapsed_s"))
-
-
-def _summary_aggs() -> list[Column]:
-    n = F.col("n")
+    from ..sources.pages import STATUS_ERROR, STATUS_MALFORMED, explode_records, status_of
+
+    if tagged is None:
+        tagged = validate_records(flatten_records(explode_records(parsed)))
+    page = F.when(F.coalesce("request_set", "request_from", "request_until").isNull(), F.col("path"))
+    keys = [F.col("request_set").alias("set_spec"), "request_from", "request_until", page.alias("page")]
+    landed = F.col("landed_at").cast("double") if "landed_at" in parsed.columns else F.lit(None).cast("double")
+    pages = parsed.select(*keys, F.lit(0).alias("n"), status_of().isin(STATUS_MALFORMED, STATUS_ERROR).alias("failed"),
+                          landed.alias("at"))
+    kept = accepted(tagged).select(*keys, F.lit(1).alias("n"), F.lit(False).alias("failed"),
+                                   F.lit(None).cast("double").alias("at"))
+    by = ["set_spec", "request_from", "request_until", "page"]
+    g = pages.unionByName(kept).groupBy(*by).agg(
+        F.sum("n").cast("bigint").alias("n"), F.bool_or("failed").alias("failed"),
+        (F.max("at") - F.min("at")).alias("elapsed_s"))
+    return g.select(F.lit(run_id).alias("run_id"), "set_spec",
+                    F.to_date(F.col("request_from").try_cast("timestamp_ntz")).alias("d"),
+                    "page", "n", "failed", "elapsed_s")
+
+
+def _failed(ledger: DataFrame) -> Column:
+    """A request's failure: its own column, or ``n < 0`` in a ledger without one."""
+    return F.col("failed") if "failed" in ledger.columns else F.col("n") < 0
+
+
+def _summary_aggs(ledger: DataFrame) -> list[Column]:
+    bad = _failed(ledger)
     return [
         F.count(F.lit(1)).alias("sets_processed"),
-        F.count_if(n >= 0).alias("successful"),
-        F.count_if(n < 0).alias("failed"),
-        F.coalesce(F.sum(F.greatest(n, F.lit(0))), F.lit(0)).cast("bigint").alias("total_records"),
+        F.count_if(~bad).alias("successful"),
+        F.count_if(bad).alias("failed"),
+        F.coalesce(F.sum(F.greatest("n", F.lit(0))), F.lit(0)).cast("bigint").alias("total_records"),
     ]
 
 
 def harvest_summary(ledger: DataFrame, by: Sequence[str] = ("run_id",)) -> DataFrame:
     """A3: requests processed, successful (n >= 0), failed (n < 0), and the
     total of records stored (sum of positive n)."""
-    return ledger.groupBy(*by).agg(*_summary_aggs())
+    return ledger.groupBy(*by).agg(*_summary_aggs(ledger))
 
 
 def throughput(total: Column | str, elapsed_s: Column | str) -> Column:
@@ -75,7 +84,7 @@ def throughput(total: Column | str, elapsed_s: Column | str) -> Column:
 def run_throughput(ledger: DataFrame, by: Sequence[str] = ("run_id",)) -> DataFrame:
     """A3 + A4 per run in one aggregate; the run's elapsed time is the sum of
     its requests' (NULL elapsed counts as 0)."""
-    g = ledger.groupBy(*by).agg(*_summary_aggs(),
+    g = ledger.groupBy(*by).agg(*_summary_aggs(ledger),
                                 F.coalesce(F.sum("elapsed_s"), F.lit(0.0)).alias("elapsed_s"))
     return g.withColumn("records_per_minute", throughput("total_records", "elapsed_s"))
 
@@ -140,7 +149,7 @@ def outcome_by_day(ledger: DataFrame) -> DataFrame:
     g = ledger.groupBy("set_spec", "d").agg(
         F.count(F.lit(1)).alias("requests"),
         F.coalesce(F.sum(F.greatest(n, F.lit(0))), F.lit(0)).cast("bigint").alias("records"),
-        F.count_if(n < 0).alias("failures"),
+        F.count_if(_failed(ledger)).alias("failures"),
     )
     outcome = (F.when(F.col("failures") > 0, F.lit("failed"))
                 .when(F.col("records") == 0, F.lit("none"))

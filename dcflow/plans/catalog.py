@@ -19,7 +19,7 @@ from ..functions.jsonfmt import array_to_json, json_to_array, safe_serialize, sa
 from ..functions.text import collapse_ws, first_value, last_value
 from ..operators.coverage import (chunk_dates, coverage_summary, date_difference, existing_dates,
                                   missing_any_set, missing_dates, records_in_sets, set_date_spine)
-from ..operators.ledger import (assign_batches, batch_summary, harvest_summary, outcome_by_day,
+from ..operators.ledger import (assign_batches, batch_summary, harvest_summary, outcome_by_day, page_ledger,
                                 pacing_audit, resolve_attempts, run_throughput)
 from ..operators.merge import latest_per_key, match_existing, upsert
 from ..operators.query import (date_between, in_set, list_records, query, select_where, set_like,
@@ -518,11 +518,19 @@ def q_write_roundtrip(spark: SparkSession, sf: str) -> DataFrame:
     merge_into(spark, path, base, AS_OF_BASE, SEQ, num_buckets=16)
     merge_into(spark, path, incoming, AS_OF_INCOMING, SEQ, num_buckets=16)
     compact_table(spark, path, 16, max_files=1)          # row content must be unchanged
-    write_batches(latest_per_key(incoming, SEQ).select(*RECORD.fieldNames()),
-                  scratch_path(spark, "batches"), size=20)
     return _state_out(read_metadata(spark, path))
 
 
+# K4: the batch files read back, and whether the file a row is in keeps to the size
+def q_write_batches(spark: SparkSession, sf: str) -> DataFrame:
+    base, incoming = A.keyed_v(spark, sf)
+    path = scratch_path(spark, "batches")
+    write_batches(latest_per_key(base.unionByName(incoming), SEQ).select(*RECORD.fieldNames()), path, size=20)
+    back = spark.read.schema(RECORD).parquet(path).select("*", F.col("_metadata.file_path").alias("file"))
+    sizes = back.groupBy("file").agg((F.count("*") <= 20).alias("fits"))
+    return back.join(sizes, "file").select("header_identifier", "header_datestamp", "metadata_type", "fits")
+
+
 SQL_KEYED = """
 ev AS (SELECT 'user:' || CAST(user_id AS VARCHAR) AS k, ts, event_id, event_type FROM events),
 lb AS (SELECT * FROM ev WHERE ts < TIMESTAMP '2024-01-15 00:00:00'
@@ -541,6 +549,9 @@ WITH {SQL_KEYED}
 SELECT k AS header_identifier, ts AS header_datestamp, event_id, event_type AS metadata_type FROM ev
 QUALIFY row_number() OVER (PARTITION BY k ORDER BY ts DESC, event_id DESC) = 1
 """
+SQL_WRITE_BATCHES = f"""
+SELECT header_identifier, header_datestamp, metadata_type, true AS fits FROM ({SQL_LATEST_PER_KEY}) latest
+"""
 SQL_UPSERT = f"""
 WITH {SQL_KEYED}
 SELECT coalesce(li.k, lb.k) AS header_identifier,
@@ -687,6 +698,24 @@ FROM led GROUP BY set_spec, d
 """
 
 
+# The ledger of landed pages: the adapter's pages echo no arguments, so each is a request
+def q_page_ledger(spark: SparkSession, sf: str) -> DataFrame:
+    return page_ledger(parsed_pages(spark, sf), "run").select("run_id", "page", "n", "failed")
+
+
+SQL_PAGE_LEDGER = f"""
+WITH pg AS (SELECT {SQL_PAGE_NO} AS page_no, {SQL_PAGE_PATH} AS page,
+                   count(*) FILTER (WHERE {SQL_STORED}) AS n FROM documents GROUP BY 1, 2)
+SELECT 'run' AS run_id, page, n, false AS failed FROM pg
+UNION ALL
+SELECT 'run', replace(page, '.xml', '-empty.xml'), 0, false FROM pg
+WHERE page_no % {A.EMPTY_PAGE_MOD} = {A.EMPTY_PAGE_REM}
+UNION ALL
+SELECT 'run', replace(page, '.xml', '-bad.xml'), 0, true FROM pg
+WHERE page_no % {A.BAD_PAGE_MOD} = {A.BAD_PAGE_REM}
+"""
+
+
 # The request plan of a run in mode "both"
 def q_union_runs(spark: SparkSession, sf: str) -> DataFrame:
     return both_plan(stored_records(spark, sf), SETS, AS_OF_RECENT, LO, HI)
@@ -784,6 +813,7 @@ QUERIES: dict[str, QueryFn] = {
     "latest_per_key": q_latest_per_key,
     "upsert": q_upsert,
     "write_roundtrip": q_write_roundtrip,
+    "write_batches": q_write_batches,
     "assign_batches": q_assign_batches,
     "batch_summary": q_batch_summary,
     "pacing_audit": q_pacing_audit,
@@ -791,6 +821,7 @@ QUERIES: dict[str, QueryFn] = {
     "harvest_summary": q_harvest_summary,
     "throughput": q_throughput,
     "outcome_by_day": q_outcome_by_day,
+    "page_ledger": q_page_ledger,
     "stream_harvest": q_stream_harvest,
 }
 
@@ -825,6 +856,7 @@ ORACLE_SQL: dict[str, str] = {
     "latest_per_key": SQL_LATEST_PER_KEY,
     "upsert": SQL_UPSERT,
     "write_roundtrip": SQL_UPSERT,
+    "write_batches": SQL_WRITE_BATCHES,
     "assign_batches": SQL_ASSIGN_BATCHES,
     "batch_summary": SQL_BATCH_SUMMARY,
     "pacing_audit": SQL_PACING_AUDIT,
@@ -832,5 +864,6 @@ ORACLE_SQL: dict[str, str] = {
     "harvest_summary": SQL_HARVEST_SUMMARY,
     "throughput": SQL_THROUGHPUT,
     "outcome_by_day": SQL_OUTCOME_BY_DAY,
+    "page_ledger": SQL_PAGE_LEDGER,
     "stream_harvest": SQL_STREAM_HARVEST,
 }

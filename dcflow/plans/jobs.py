@@ -132,9 +132,9 @@ def ingest_pages(spark: SparkSession, pages: DataFrame, table_path: str,
         counts = {r["accepted"]: r["count"] for r in tagged.groupBy("accepted").count().collect()}
         res["accepted"], res["rejected"] = counts.get(True, 0), counts.get(False, 0)
     if ledger_path:
-        _replace_run(page_ledger(parsed, run_id), ledger_path, run_id)
+        _replace_run(page_ledger(parsed, run_id, tagged), ledger_path, run_id)
     if with_ledger:
-        s = harvest_summary(page_ledger(parsed, run_id)).first()
+        s = harvest_summary(page_ledger(parsed, run_id, tagged)).first()
         res.update(requests=s.sets_processed if s else 0, successful=s.successful if s else 0,
                    failed=s.failed if s else 0)
     return res

@@ -111,7 +111,9 @@ def test_read_pages_whole_files_and_zero_length(spark, tmp_dir):
 
 
 def test_page_ledger_from_request_echo(spark):
-    from dcflow.operators.ledger import harvest_summary, page_ledger
+    import datetime as dt
+
+    from dcflow.operators.ledger import harvest_summary, page_ledger, run_throughput
 
     def pg(set_, day, body):
         return (f'<?xml version="1.0"?><OAI-PMH {NS}><request verb="ListRecords" set="{set_}" '
@@ -125,8 +127,12 @@ def test_page_ledger_from_request_echo(spark):
     df = spark.createDataFrame([("1", ok1), ("2", ok2), ("3", none), ("4", bad)],
                                "path string, value string")
     led = page_ledger(parse_pages(df), "run-1")
-    got = {r.set_spec: r.n for r in led.collect()}
-    assert got == {"cs": 2, "math": 0, None: -1}   # the malformed page's echo is lost too
+    got = {(r.set_spec, r.page): (r.n, r.failed) for r in led.collect()}
+    assert got == {("cs", None): (2, False), ("math", None): (0, False), (None, "4"): (0, True)}
+    halves = spark.createDataFrame([("1", ok1, dt.datetime(2024, 1, 3)), ("2", ok2, dt.datetime(2024, 1, 3, 0, 1))],
+                                   "path string, value string, landed_at timestamp")
+    t = run_throughput(page_ledger(parse_pages(halves), "run-1")).first()
+    assert (t.total_records, t.elapsed_s, t.records_per_minute) == (2, 60.0, 2.0)
     s = harvest_summary(led).first()
     assert (s.sets_processed, s.successful, s.failed, s.total_records) == (3, 2, 1, 2)
 
@@ -165,3 +171,12 @@ def test_type_and_datestamp_take_the_last_occurrence(spark):
             "</record>")
     r = flat(spark, [page(body)]).collect()[0]
     assert r.metadata_type == "Article" and str(r.header_datestamp) == "2024-01-09 00:00:00"
+
+
+def test_metadata_in_another_container_is_quarantined(spark):
+    from dcflow.operators.records import validate_records
+    other = "<record><header><identifier>m1</identifier><datestamp>2024-01-01</datestamp></header>" \
+            "<metadata><mods><title>kept elsewhere</title></mods></metadata></record>"
+    bare = "<record><header><identifier>m2</identifier><datestamp>2024-01-01</datestamp></header></record>"
+    got = {r.header_identifier: r.reasons for r in validate_records(flat(spark, [page(other + bare + rec("m3"))])).collect()}
+    assert got == {"m1": ["no_metadata"], "m2": [], "m3": []}

@@ -15,7 +15,7 @@ from dcflow.sources.table import compact_table, merge_into, read_metadata
 SF_SMALL = "/root/testdata/sf0.001"
 
 # queries that write tables or run a stream: checked for results only
-SIDE_EFFECTS = {"write_roundtrip", "stream_harvest", "landed_pages"}
+SIDE_EFFECTS = {"write_roundtrip", "stream_harvest", "landed_pages", "write_batches"}
 PURE = [n for n in QUERIES if n not in SIDE_EFFECTS]
 
 
