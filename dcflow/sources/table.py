@@ -97,7 +97,8 @@ def read_metadata(spark: SparkSession, path: str) -> DataFrame:
     delta = spark.read.schema(DELTA).parquet(_part(path, "delta"))
     last = delta.groupBy(KEY).agg(F.max_by(F.struct(*others), "version").alias("_v"),
                                   F.min("created_at").alias("_first"))
-    born = base.select(KEY, F.col("created_at").alias("_born"))
+    # the base rows of these keys first: a few keys can be broadcast, the base need not move
+    born = base.select(KEY, F.col("created_at").alias("_born")).join(last.select(KEY), KEY, "left_semi")
     fresh = last.join(born, KEY, "left").select(
         KEY, *[F.col(f"_v.{c}").alias(c) for c in others],
         F.least("_first", "_born").alias("created_at"), bucket_of(KEY, buckets).alias("bucket"))
