@@ -27,20 +27,13 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..session import scratch_path, shuffle_partitions
+from ..session import scratch_path, shuffle_partitions, written
 
 
 def _col(c: Column | str) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
-def _written(df: DataFrame, name: str) -> DataFrame:
-    """``df`` written to the shared scratch folder and read back, so its plan runs once."""
-    path = scratch_path(df.sparkSession, name)
-    df.write.option("compression", "zstd").parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
-
-
 def number_rows(df: DataFrame, group: Sequence[str], order: Sequence[Column | str],
                 out: str = "rn", num_partitions: int | None = None) -> DataFrame:
     """Add ``out`` = 1-based row number of each row within its ``group`` in ``order``."""
@@ -48,12 +41,12 @@ def number_rows(df: DataFrame, group: Sequence[str], order: Sequence[Column | st
     n = num_partitions or shuffle_partitions(spark)
     keys = [F.col(g) for g in group] + [_col(o) for o in order]
     pid = F.spark_partition_id()
-    ranged = (_written(df, "unnumbered").repartitionByRange(n, *keys)
+    ranged = (written(df, scratch_path(spark, "unnumbered")).repartitionByRange(n, *keys)
                 .sortWithinPartitions(*keys)
                 .withColumn("_pid", pid)
                 .withColumn("_pos", F.monotonically_increasing_id()
                             - F.shiftleft(pid.cast("bigint"), 33)))
-    ranged = _written(ranged, "numbered")
+    ranged = written(ranged, scratch_path(spark, "numbered"))
 
     cells = ranged.groupBy("_pid", *group).agg(F.count(F.lit(1)).alias("_cnt"),
                                                F.min("_pos").alias("_first"))

@@ -5,7 +5,7 @@ them by a fixed rule that the SQL oracle repeats:
 
 * ``records_v`` - one bibliographic record per ``documents`` row;
 * ``pages_v``   - those records rendered as OAI-PMH pages of 20, plus extra
-  ``noRecordsMatch`` and malformed pages (every document is still rendered
+  ``noRecordsMatch``, malformed and cut-in pages (every document is still rendered
   whole into exactly one well-formed page);
 * ``log_v``     - a request log from ``events``;
 * ``ledger_v``  - a run ledger from ``events``;
@@ -31,6 +31,11 @@ BAD_DATE_MOD, BAD_DATE_REM = 29, 11     # datestamp 2024-02-30 (not a date)
 BAD_DATESTAMP = "2024-02-30"
 EMPTY_PAGE_MOD, EMPTY_PAGE_REM = 10, 8  # an extra noRecordsMatch page
 BAD_PAGE_MOD, BAD_PAGE_REM = 10, 9      # an extra malformed copy of the page
+JUNK_PAGE_MOD, JUNK_PAGE_REM = 10, 7    # an extra copy with text after the root element
+OTHER_PAGE_MOD, OTHER_PAGE_REM = 10, 6  # an extra copy with another metadata container
+REQUEST_PAGES = 5                       # pages that answer one request
+REQUEST_FROM, REQUEST_UNTIL = "2024-01-01", "2024-03-01"
+LANDED_EPOCH = 1717200000               # 2024-06-01 00:00:00 UTC; page p lands p seconds later
 KEYED_SPLIT = "2024-01-15 00:00:00"
 OAI_NS = "http://www.openarchives.org/OAI/2.0/"
 OAI_DC_NS = "http://www.openarchives.org/OAI/2.0/oai_dc/"
@@ -114,44 +119,75 @@ def record_xml(r: DataFrame) -> DataFrame:
     return r.select("doc_id", "page_no", body.alias("xml"))
 
 
-def _envelope(inner: Column) -> Column:
+def _envelope(inner: Column, set_spec: Column) -> Column:
     return F.concat(
         F.lit(f'<?xml version="1.0" encoding="UTF-8"?><OAI-PMH xmlns="{OAI_NS}">'
               f"<responseDate>{RESPONSE_DATE}</responseDate>"
-              '<request verb="ListRecords" metadataPrefix="oai_dc">https://example.org/oai</request>'),
-        inner, F.lit("</OAI-PMH>"))
+              f'<request verb="ListRecords" metadataPrefix="oai_dc" from="{REQUEST_FROM}"'
+              f' until="{REQUEST_UNTIL}" set="'),
+        set_spec, F.lit('">https://example.org/oai</request>'), inner, F.lit("</OAI-PMH>"))
 
 
-def _page_path(page_no: Column, suffix: str = "") -> Column:
-    return F.concat(F.lit("pages/p"), F.lpad(_s(page_no), 7, "0"), F.lit(f"{suffix}.xml"))
+def pages_v(spark: SparkSession, sf_dir: str, other_containers: bool = False) -> DataFrame:
+    """Response pages ``(path, page_no, landed_at, value)``, from one pass over the documents.
 
-
-def pages_v(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Response pages ``(path, page_no, value)``.
-
-    Records are grouped 20 to a page in ``doc_id`` order (a group is bounded
-    by the page size). Extra pages: a ``noRecordsMatch`` answer next to every
-    page with ``page_no % 10 = 8`` and a malformed copy (mismatched closing
-    tag) of every page with ``page_no % 10 = 9``.
+    Records are grouped 20 to a page in ``doc_id`` order (a group is bounded by the page
+    size), and five pages echo one request. Extra pages, by ``page_no % 10``: a
+    ``noRecordsMatch`` answer next to every page with 8, a malformed copy (mismatched closing
+    tag) of every page with 9, and a copy with text after its root element of every page with
+    7; with ``other_containers`` also a copy whose metadata is in a container other than
+    ``dc`` of every page with 6.
     """
     recs = record_xml(records_v(spark, sf_dir))
+    no = F.col("page_no")
+    kinds = [F.lit(""), F.when(no % EMPTY_PAGE_MOD == EMPTY_PAGE_REM, "-empty"),
+             F.when(no % BAD_PAGE_MOD == BAD_PAGE_REM, "-bad"),
+             F.when(no % JUNK_PAGE_MOD == JUNK_PAGE_REM, "-junk")]
+    if other_containers:
+        kinds.append(F.when(no % OTHER_PAGE_MOD == OTHER_PAGE_REM, "-other"))
     grouped = recs.groupBy("page_no").agg(
         F.array_sort(F.collect_list(F.struct("doc_id", "xml"))).alias("rs"))
-    inner = F.concat(
-        F.lit("<ListRecords>"),
-        F.array_join(F.transform(F.col("rs"), lambda x: x["xml"]), ""),
-        F.lit('<resumptionToken cursor="'), _s(F.col("page_no") * PAGE_SIZE), F.lit('">'),
-        _s(F.col("page_no") + 1), F.lit("</resumptionToken></ListRecords>"),
-    )
-    ok = grouped.select(_page_path(F.col("page_no")).alias("path"), "page_no",
-                        _envelope(inner).alias("value"))
-    empty = ok.filter(F.col("page_no") % EMPTY_PAGE_MOD == EMPTY_PAGE_REM).select(
-        _page_path(F.col("page_no"), "-empty").alias("path"), "page_no",
-        _envelope(F.lit(f'<error code="noRecordsMatch">{NO_MATCH_TEXT}</error>')).alias("value"))
-    bad = ok.filter(F.col("page_no") % BAD_PAGE_MOD == BAD_PAGE_REM).select(
-        _page_path(F.col("page_no"), "-bad").alias("path"), "page_no",
-        F.replace(F.col("value"), F.lit("</ListRecords>"), F.lit("</ListRecordz>")).alias("value"))
-    return ok.unionByName(empty).unionByName(bad)
+    each = grouped.select("page_no", "rs", F.explode(F.array_compact(F.array(*kinds))).alias("kind"))
+    records = F.array_join(F.transform(F.col("rs"), lambda x: x["xml"]), "")
+    records = F.when(F.col("kind") != "-other", records).otherwise(F.replace(F.replace(
+        records, F.lit("<oai_dc:dc "), F.lit("<oai_dc:other ")), F.lit("</oai_dc:dc>"), F.lit("</oai_dc:other>")))
+    closing = F.when(F.col("kind") == "-bad", "</resumptionToken></ListRecordz>").otherwise(
+        "</resumptionToken></ListRecords>")
+    inner = F.when(F.col("kind") == "-empty", f'<error code="noRecordsMatch">{NO_MATCH_TEXT}</error>').otherwise(
+        F.concat(F.lit("<ListRecords>"), records, F.lit('<resumptionToken cursor="'),
+                 _s(no * PAGE_SIZE), F.lit('">'), _s(no + 1), closing))
+    request = F.concat(F.lit("r"), _s(F.expr(f"page_no div {REQUEST_PAGES}")))
+    junk = F.when(F.col("kind") == "-junk", " trailing text").otherwise("")
+    return each.select(
+        F.concat(F.lit("pages/p"), F.lpad(_s(no), 7, "0"), F.col("kind"), F.lit(".xml")).alias("path"),
+        "page_no", F.timestamp_seconds(F.lit(LANDED_EPOCH) + no).alias("landed_at"),
+        F.concat(_envelope(inner, request), junk).alias("value"))
+
+
+def stale_and_late(pages: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Copies of pages that land at other times: an outdated one of every page with
+    ``page_no % 10 = 6``, landed a day earlier under a path that sorts later, and, a day
+    later, a corrected one of every page with 5 and an unchanged one of every page with 4."""
+    def copy(rem: int, mark: str, suffix: str, days: int) -> DataFrame:
+        return pages.where((F.col("page_no") % 10 == rem) & F.col("path").rlike(r"p[0-9]+\.xml$")).select(
+            F.replace(F.col("path"), F.lit(".xml"), F.lit(suffix + ".xml")).alias("path"), "page_no",
+            F.timestamp_seconds(F.lit(LANDED_EPOCH + 86400 * days) + F.col("page_no")).alias("landed_at"),
+            F.replace(F.col("value"), F.lit("<dc:title>"), F.lit("<dc:title>" + mark)).alias("value"))
+
+    return copy(6, "stale ", "_old", -1), copy(5, "late ", "_late", 1).unionByName(copy(4, "", "_again", 1))
+
+
+def foreign_v(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The driver's web pages as ``(page_id, kind, value)``: as they are, which is no
+    response, and as the description of a response's only record."""
+    html = F.coalesce(F.col("html"), F.lit(""))
+    record = F.concat(
+        F.lit(f'<ListRecords><record><metadata><oai_dc:dc xmlns:oai_dc="{OAI_DC_NS}" xmlns:dc="{DC_NS}"><dc:description>'),
+        xml_escape(html), F.lit("</dc:description></oai_dc:dc></metadata></record></ListRecords>"))
+    p = table(spark, sf_dir, "pages").select("page_id", F.col("html").alias("html"),
+                                             F.explode(F.array(F.lit("raw"), F.lit("wrapped"))).alias("kind"))
+    return p.select("page_id", "kind", F.when(F.col("kind") == "raw", F.col("html"))
+                    .otherwise(_envelope(record, F.lit("web"))).alias("value"))
 
 
 def log_v(spark: SparkSession, sf_dir: str) -> DataFrame:

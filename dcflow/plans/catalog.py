@@ -108,7 +108,8 @@ SELECT 'no_records', count(*), CAST(0 AS BIGINT) FROM pg
 WHERE page_no % {A.EMPTY_PAGE_MOD} = {A.EMPTY_PAGE_REM} HAVING count(*) > 0
 UNION ALL
 SELECT 'malformed', count(*), CAST(0 AS BIGINT) FROM pg
-WHERE page_no % {A.BAD_PAGE_MOD} = {A.BAD_PAGE_REM} HAVING count(*) > 0
+WHERE page_no % {A.BAD_PAGE_MOD} = {A.BAD_PAGE_REM} OR page_no % {A.JUNK_PAGE_MOD} = {A.JUNK_PAGE_REM}
+HAVING count(*) > 0
 """
 
 
@@ -340,21 +341,32 @@ WHERE {SQL_STORED} AND source = 'src3' AND {SQL_DAY} BETWEEN DATE '2024-01-01' A
 
 # F1, F2, F8
 def q_validate_records(spark: SparkSession, sf: str) -> DataFrame:
-    r = validate_records(flatten_records(explode_records(parsed_pages(spark, sf))))
+    pages = parse_pages(A.pages_v(spark, sf, other_containers=True))
+    r = validate_records(flatten_records(explode_records(pages)))
     return r.select("header_identifier", F.col("path").alias("page_path"),
                     F.col("pos").cast("bigint").alias("pos"), "accepted",
                     F.array_join("reasons", ",").alias("reasons"))
 
 
+# a copy of some pages keeps its metadata in a container that is not read
 SQL_VALIDATE_RECORDS = f"""
-SELECT CASE WHEN {SQL_NO_ID} THEN '' ELSE {SQL_IDENT} END AS header_identifier,
-       {SQL_PAGE_PATH} AS page_path,
-       CAST(row_number() OVER (PARTITION BY {SQL_PAGE_NO} ORDER BY doc_id) - 1 AS BIGINT) AS pos,
-       NOT ({SQL_NO_ID} OR {SQL_BAD_DATE} OR {SQL_DELETED}) AS accepted,
+WITH r AS (
+  SELECT doc_id, {SQL_PAGE_NO} AS page_no, {SQL_PAGE_PATH} AS page_path,
+         CAST(row_number() OVER (PARTITION BY {SQL_PAGE_NO} ORDER BY doc_id) - 1 AS BIGINT) AS pos,
+         false AS other
+  FROM documents),
+both_kinds AS (
+  SELECT * FROM r
+  UNION ALL
+  SELECT doc_id, page_no, replace(page_path, '.xml', '-other.xml'), pos, true FROM r
+  WHERE page_no % {A.OTHER_PAGE_MOD} = {A.OTHER_PAGE_REM})
+SELECT CASE WHEN {SQL_NO_ID} THEN '' ELSE {SQL_IDENT} END AS header_identifier, page_path, pos,
+       NOT (other OR {SQL_NO_ID} OR {SQL_BAD_DATE} OR {SQL_DELETED}) AS accepted,
        concat_ws(',', CASE WHEN {SQL_NO_ID} THEN 'missing_identifier' END,
                       CASE WHEN {SQL_BAD_DATE} THEN 'bad_datestamp' END,
+                      CASE WHEN other AND NOT {SQL_DELETED} THEN 'no_metadata' END,
                       CASE WHEN {SQL_DELETED} THEN 'deleted' END) AS reasons
-FROM documents
+FROM both_kinds
 """
 
 
@@ -698,21 +710,39 @@ FROM led GROUP BY set_spec, d
 """
 
 
-# The ledger of landed pages: the adapter's pages echo no arguments, so each is a request
+# The ledger of landed pages: five pages echo one request; a malformed page is one of its own
 def q_page_ledger(spark: SparkSession, sf: str) -> DataFrame:
-    return page_ledger(parsed_pages(spark, sf), "run").select("run_id", "page", "n", "failed")
+    return page_ledger(parsed_pages(spark, sf), "run")
 
 
 SQL_PAGE_LEDGER = f"""
 WITH pg AS (SELECT {SQL_PAGE_NO} AS page_no, {SQL_PAGE_PATH} AS page,
                    count(*) FILTER (WHERE {SQL_STORED}) AS n FROM documents GROUP BY 1, 2)
-SELECT 'run' AS run_id, page, n, false AS failed FROM pg
+SELECT 'run' AS run_id, 'r' || CAST(page_no // {A.REQUEST_PAGES} AS VARCHAR) AS set_spec,
+       DATE '{A.REQUEST_FROM}' AS d, CAST(NULL AS VARCHAR) AS page, CAST(sum(n) AS BIGINT) AS n,
+       false AS failed, CAST(max(page_no) - min(page_no) AS DOUBLE) AS elapsed_s
+FROM pg GROUP BY page_no // {A.REQUEST_PAGES}
 UNION ALL
-SELECT 'run', replace(page, '.xml', '-empty.xml'), 0, false FROM pg
-WHERE page_no % {A.EMPTY_PAGE_MOD} = {A.EMPTY_PAGE_REM}
-UNION ALL
-SELECT 'run', replace(page, '.xml', '-bad.xml'), 0, true FROM pg
+SELECT 'run', NULL, NULL, replace(page, '.xml', '-bad.xml'), 0, true, 0.0 FROM pg
 WHERE page_no % {A.BAD_PAGE_MOD} = {A.BAD_PAGE_REM}
+UNION ALL
+SELECT 'run', NULL, NULL, replace(page, '.xml', '-junk.xml'), 0, true, 0.0 FROM pg
+WHERE page_no % {A.JUNK_PAGE_MOD} = {A.JUNK_PAGE_REM}
+"""
+
+
+# A3, A4 on the ledger of landed pages
+def q_page_throughput(spark: SparkSession, sf: str) -> DataFrame:
+    return run_throughput(page_ledger(parsed_pages(spark, sf), "run"))
+
+
+SQL_PAGE_THROUGHPUT = f"""
+WITH led AS ({SQL_PAGE_LEDGER})
+SELECT run_id, count(*) AS sets_processed, count(*) FILTER (WHERE NOT failed) AS successful,
+       count(*) FILTER (WHERE failed) AS failed, CAST(sum(n) AS BIGINT) AS total_records,
+       sum(elapsed_s) AS elapsed_s,
+       round(CASE WHEN sum(elapsed_s) > 0 THEN sum(n) * 60.0 / sum(elapsed_s) ELSE 0.0 END, 2) AS records_per_minute
+FROM led GROUP BY run_id
 """
 
 
@@ -734,40 +764,51 @@ FROM {SQL_MISSING} m
 """
 
 
-# Incremental harvest of landed pages into the table
+# Incremental harvest of landed pages into the table, in two runs. The first holds
+# outdated copies of some pages, whose paths sort after the pages that replace them; the
+# second holds late corrections and repeats.
 def q_stream_harvest(spark: SparkSession, sf: str) -> DataFrame:
     landing = scratch_path(spark, "landing")
     table_path = scratch_path(spark, "stream-table")
-    land_pages(A.pages_v(spark, sf), landing)
-    q = stream_harvest(spark, landing, table_path, as_of="2024-06-01 00:00:00",
-                       max_files_per_trigger=200)
-    q.awaitTermination()
+    pages = A.pages_v(spark, sf)
+    stale, late = A.stale_and_late(pages)
+    for part in (pages.unionByName(stale), late):
+        compact_pages(part, landing)
+        stream_harvest(spark, landing, table_path, max_files_per_trigger=None, archive=True).awaitTermination()
     t = read_metadata(spark, table_path)
     return t.select("header_identifier", "header_datestamp",
                     array_to_json("header_setSpecs").alias("set_specs"),
                     F.get("metadata_title", 0).alias("raw_title"),
-                    "metadata_description")
+                    "metadata_description", "created_at", "updated_at")
 
 
 SQL_STREAM_HARVEST = f"""
+WITH landed AS (
+  SELECT TIMESTAMP '2024-06-01' + to_seconds(max({SQL_PAGE_NO})) AS first_run,
+         TIMESTAMP '2024-06-02' + to_seconds(max({SQL_PAGE_NO}) FILTER (WHERE {SQL_PAGE_NO} % 10 IN (4, 5))) AS second_run
+  FROM documents)
 SELECT {SQL_IDENT} AS header_identifier, CAST({SQL_DAY} AS TIMESTAMP) AS header_datestamp,
        to_json([lang, lang || ':' || source]) AS set_specs,
-       split_part(text, chr(10), 1) AS raw_title,
-       {SQL_WS.format(x='text')} AS metadata_description
-FROM documents WHERE {SQL_STORED}
+       CASE WHEN {SQL_PAGE_NO} % 10 = 5 THEN 'late ' ELSE '' END || split_part(text, chr(10), 1) AS raw_title,
+       {SQL_WS.format(x='text')} AS metadata_description, first_run AS created_at,
+       CASE WHEN {SQL_PAGE_NO} % 10 IN (4, 5) THEN second_run ELSE first_run END AS updated_at
+FROM documents, landed WHERE {SQL_STORED}
 """
 
 
-# S2, S4 on foreign input: the driver's raw web pages are no OAI-PMH responses
+# S2, S4 on foreign input: the driver's raw web pages are no OAI-PMH responses, and their whole
+# markup comes back unchanged as the text of a record
 def q_foreign_pages(spark: SparkSession, sf: str) -> DataFrame:
-    raw = A.table(spark, sf, "pages").select(F.col("url").alias("path"), F.col("html").alias("value"))
-    p = page_status(parse_pages(raw))
-    return p.groupBy("status").agg(F.count(F.lit(1)).alias("n_pages"),
-                                   F.sum("n_records").cast("bigint").alias("n_records"))
+    p = page_status(parse_pages(A.foreign_v(spark, sf)))
+    text = F.get(F.get("records", 0)["metadata"]["dc"]["description"], 0)
+    return p.select("page_id", "kind", "status", F.col("n_records").cast("bigint").alias("n_records"),
+                    F.when(F.col("kind") == "wrapped", F.md5(F.coalesce(text, F.lit("")).cast("binary"))).alias("text_md5"))
 
 
 SQL_FOREIGN_PAGES = """
-SELECT 'malformed' AS status, count(*) AS n_pages, CAST(0 AS BIGINT) AS n_records FROM pages
+SELECT page_id, 'raw' AS kind, 'malformed' AS status, CAST(0 AS BIGINT) AS n_records, CAST(NULL AS VARCHAR) AS text_md5 FROM pages
+UNION ALL
+SELECT page_id, 'wrapped', 'ok', 1, md5(coalesce(html, '')) FROM pages
 """
 
 
@@ -822,6 +863,7 @@ QUERIES: dict[str, QueryFn] = {
     "throughput": q_throughput,
     "outcome_by_day": q_outcome_by_day,
     "page_ledger": q_page_ledger,
+    "page_throughput": q_page_throughput,
     "stream_harvest": q_stream_harvest,
 }
 
@@ -865,5 +907,6 @@ ORACLE_SQL: dict[str, str] = {
     "throughput": SQL_THROUGHPUT,
     "outcome_by_day": SQL_OUTCOME_BY_DAY,
     "page_ledger": SQL_PAGE_LEDGER,
+    "page_throughput": SQL_PAGE_THROUGHPUT,
     "stream_harvest": SQL_STREAM_HARVEST,
 }

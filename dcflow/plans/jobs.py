@@ -15,7 +15,7 @@ from ..functions.dates import backfill_bounds, day_range, recent_window
 from ..operators.coverage import chunk_dates, missing_dates, sets_frame
 from ..operators.ledger import harvest_summary, page_ledger
 from ..operators.records import accepted, flatten_records, rejected, validate_records
-from ..session import checkpoint_dir, list_names, remove_path
+from ..session import list_names, remove_path, scratch_path, written
 from ..sources.pages import explode_records, page_status, parse_pages
 from ..sources.requests import DEFAULT_BASE_URL, DEFAULT_PREFIX, build_requests
 from ..sources.table import DEFAULT_BUCKETS, merge_into
@@ -91,29 +91,8 @@ def _replace_run(df: DataFrame, path: str, run_id: str) -> None:
         .partitionBy("run_id").parquet(path)
 
 
-def ingest_pages(spark: SparkSession, pages: DataFrame, table_path: str,
-                 as_of: str | _dt.datetime | None, run_id: str | None = None,
-                 quarantine_path: str | None = None,
-                 num_buckets: int = DEFAULT_BUCKETS, with_ledger: bool = False,
-                 with_counts: bool = True, ledger_path: str | None = None,
-                 run_suffix: str = "") -> dict:
-    """The harvest job over one batch of landed pages.
-
-    S2 -> S3 -> P1 -> F8 (tags; rejected rows go to ``quarantine_path``) ->
-    W3 + K1 + K2 into the table. Pages are parsed once: the parsed pages are
-    checkpointed to the shared folder and every output reads that.
-    ``as_of=None`` takes the latest ``landed_at`` of the pages (deterministic
-    for a replayed batch), or the current time if pages carry no landing time.
-    Returns page and record counts (``with_counts``); with ``with_ledger``
-    also the run's request summary (A3 over ``page_ledger``), read from the
-    same checkpoint. ``ledger_path`` keeps the run's ledger rows (one per
-    request) in a ledger table, so A3/A4/A7 can run over many runs.
-    Quarantine and ledger rows are partitioned by ``run_id`` (default
-    ``run-<as_of><run_suffix>``) and replace that run's partition, so a
-    replayed batch does not add them twice.
-    """
-    checkpoint_dir(spark)
-    parsed = parse_pages(pages).checkpoint(eager=True)
+def _ingest(spark: SparkSession, parsed: DataFrame, table_path: str, as_of, run_id, quarantine_path,
+            num_buckets, with_ledger, with_counts, ledger_path, run_suffix) -> dict:
     if as_of is None:
         as_of = landing_time(parsed)
     run_id = run_id or f"run-{as_of}{run_suffix}"
@@ -140,4 +119,33 @@ def ingest_pages(spark: SparkSession, pages: DataFrame, table_path: str,
     return res
 
 
+def ingest_pages(spark: SparkSession, pages: DataFrame, table_path: str,
+                 as_of: str | _dt.datetime | None, run_id: str | None = None,
+                 quarantine_path: str | None = None,
+                 num_buckets: int = DEFAULT_BUCKETS, with_ledger: bool = False,
+                 with_counts: bool = True, ledger_path: str | None = None,
+                 run_suffix: str = "") -> dict:
+    """The harvest job over one batch of landed pages.
+
+    S2 -> S3 -> P1 -> F8 (tags; rejected rows go to ``quarantine_path``) ->
+    W3 + K1 + K2 into the table. Pages are parsed once: the parsed pages are written to the
+    shared folder as Parquet, every output reads its columns of that, and it goes at the end.
+    ``as_of=None`` takes the latest ``landed_at`` of the pages (deterministic
+    for a replayed batch), or the current time if pages carry no landing time.
+    Returns page and record counts (``with_counts``); with ``with_ledger``
+    also the run's request summary (A3 over ``page_ledger``), read from the
+    same files. ``ledger_path`` keeps the run's ledger rows (one per
+    request) in a ledger table, so A3/A4/A7 can run over many runs.
+    Quarantine and ledger rows are partitioned by ``run_id`` (default
+    ``run-<as_of><run_suffix>``) and replace that run's partition, so a
+    replayed batch does not add them twice.
+    """
+    stage = scratch_path(spark, "parsed-pages")
+    try:
+        return _ingest(spark, written(parse_pages(pages), stage), table_path, as_of, run_id, quarantine_path,
+                       num_buckets, with_ledger, with_counts, ledger_path, run_suffix)
+    finally:
+        remove_path(spark, stage)
+
+
 __all__ = ["backfill_plan", "recent_plan", "both_plan", "union_runs", "ingest_pages"]

@@ -11,7 +11,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 CHECKPOINT_CONF = "spark.checkpoint.dir"
 
@@ -65,10 +65,22 @@ def checkpoint_dir(spark: SparkSession) -> str:
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh, unique folder below the shared checkpoint folder."""
+    """A fresh, unique path in this application's folder below the shared checkpoint
+    folder. The application's folder is deleted when its driver ends."""
     base = checkpoint_dir(spark)
     sep = "" if base.endswith("/") else "/"
-    return f"{base}{sep}dcflow/{name}-{uuid.uuid4().hex[:12]}"
+    own = f"{base}{sep}dcflow/{spark.sparkContext.applicationId}"
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(own)
+    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    fs.mkdirs(p)
+    fs.deleteOnExit(p)
+    return f"{own}/{name}-{uuid.uuid4().hex[:12]}"
+
+
+def written(df: DataFrame, path: str) -> DataFrame:
+    """``df`` written to ``path`` and read back, so its plan runs once."""
+    df.write.option("compression", "zstd").parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def shuffle_partitions(spark: SparkSession) -> int:
@@ -107,5 +119,5 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return bool(fs.exists(p))
 
 
-__all__ = ["build_session", "checkpoint_dir", "scratch_path", "shuffle_partitions",
+__all__ = ["build_session", "checkpoint_dir", "scratch_path", "written", "shuffle_partitions",
            "path_exists", "remove_path", "make_dirs", "list_names"]

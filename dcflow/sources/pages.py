@@ -21,6 +21,9 @@ STATUS_NO_RECORDS = "no_records"
 STATUS_MALFORMED = "malformed"
 STATUS_ERROR = "error"
 
+ARCHIVE_SCHEMA = "path string, landed_at timestamp, value string"
+# what may follow the last closing tag of a document: white space, comments, instructions
+ROOT_END = r"</(?:[\w.-]+:)?OAI-PMH\s*>(?:\s|<!--(?s:.*?)-->|<\?(?s:.*?)\?>)*$"
 XML_OPTIONS = {
     "ignoreNamespace": "true",          # <dc:title> and <title> both read as title
     "ignoreSurroundingSpaces": "false",  # keep values raw, as the DOM content is
@@ -50,16 +53,17 @@ def compact_pages(pages: DataFrame, out_path: str, pages_per_file: int = 2000,
                   mode: str = "append") -> None:
     """Archive landed pages as Parquet ``(path, landed_at, value)`` files of at
     most ``pages_per_file`` pages, so later runs list a few large files instead
-    of one small file per response. Pages are written in path order."""
+    of one small file per response. Small scan tasks are merged by size (AQE's
+    rebalance), and pages are in path order within a task's files."""
     landed = F.col("landed_at") if "landed_at" in pages.columns else F.lit(None)
     pages.select("path", landed.cast("timestamp").alias("landed_at"), "value") \
-        .sortWithinPartitions("path").write.mode(mode) \
+        .hint("rebalance").sortWithinPartitions("path").write.mode(mode) \
         .option("maxRecordsPerFile", int(pages_per_file)).parquet(out_path)
 
 
 def read_page_archive(spark: SparkSession, path: str) -> DataFrame:
     """Pages archived by ``compact_pages``: rows ``(path, landed_at, value)``."""
-    return spark.read.schema("path string, landed_at timestamp, value string").parquet(path)
+    return spark.read.schema(ARCHIVE_SCHEMA).parquet(path)
 
 
 def parse_pages(pages: DataFrame, value_col: str = "value") -> DataFrame:
@@ -68,12 +72,19 @@ def parse_pages(pages: DataFrame, value_col: str = "value") -> DataFrame:
     Adds ``records`` (array of record structs), ``error_code``, ``error_text``,
     ``resumption_token``, ``token_cursor``, ``complete_list_size``, the echoed
     request arguments ``request_set``, ``request_from``, ``request_until``,
-    ``response_date`` and ``malformed`` (unparseable, or XML that is not an
-    OAI-PMH response). The corrupt text itself is not carried on.
+    ``response_date`` and ``malformed`` (unparseable, XML that is not an
+    OAI-PMH response, or anything but white space, comments and instructions after its root).
+    A malformed page carries nothing else, however far the parser got: no records, no echoed
+    arguments, no corrupt text.
     """
     p = F.from_xml(F.col(value_col), PAGE_XML, XML_OPTIONS)
     keep = [c for c in pages.columns if c != value_col]
-    parsed = pages.select(*keep, p.alias("_p"))
+    # unparseable, or well-formed XML that is no OAI-PMH response at all
+    bad = (F.col("_p._corrupt_record").isNotNull() | F.col("_p").isNull()
+           | (F.col("_p.responseDate").isNull() & F.col("_p.ListRecords").isNull()
+              & F.col("_p.error").isNull()) | ~F.col("_ended"))
+    ended = F.coalesce(F.regexp_like(F.col(value_col), F.lit(ROOT_END)), F.lit(False))
+    parsed = pages.select(*keep, p.alias("_p"), ended.alias("_ended")).select(*keep, bad.alias("malformed"), F.when(~bad, F.col("_p")).alias("_p"))
     return parsed.select(
         *keep,
         F.col("_p.ListRecords.record").alias("records"),
@@ -87,10 +98,7 @@ def parse_pages(pages: DataFrame, value_col: str = "value") -> DataFrame:
         F.col("_p.request._from").alias("request_from"),
         F.col("_p.request._until").alias("request_until"),
         F.col("_p.responseDate").alias("response_date"),
-        # unparseable, or well-formed XML that is no OAI-PMH response at all
-        (F.col("_p._corrupt_record").isNotNull() | F.col("_p").isNull()
-         | (F.col("_p.responseDate").isNull() & F.col("_p.ListRecords").isNull()
-            & F.col("_p.error").isNull())).alias("malformed"),
+        "malformed",
     )
 
 

@@ -21,30 +21,31 @@ from pyspark.sql.streaming import StreamingQuery
 
 from ..plans.jobs import ingest_pages
 from ..session import checkpoint_dir, make_dirs, path_exists
+from ..sources.pages import ARCHIVE_SCHEMA
 from ..sources.table import DEFAULT_BUCKETS, compact_table, ensure_table
 
 AsOf = str | _dt.datetime | Callable[[int], str | _dt.datetime] | None
 
 
-def land_pages(pages: DataFrame, landing_dir: str, path_col: str = "path",
-               value_col: str = "value") -> None:
-    """Write each page to its own file below ``landing_dir`` (one folder per
-    page, named from its path), as a fetcher would land responses."""
-    key = F.regexp_replace(F.col(path_col), r"[^A-Za-z0-9.-]", "_")
-    (pages.select(key.alias("page_key"), F.col(value_col).alias("value"))
-          .repartition("page_key")
-          .write.mode("append").partitionBy("page_key").text(landing_dir))
+def land_pages(pages: DataFrame, landing_dir: str, value_col: str = "value") -> None:
+    """Write each page to its own file in ``landing_dir``, as a fetcher would land raw
+    responses. ``compact_pages`` lands many pages a file, which is what large runs should list."""
+    (pages.select(F.col(value_col).alias("value"))
+          .write.mode("append").option("maxRecordsPerFile", 1).text(landing_dir))
 
 
 def page_stream(spark: SparkSession, landing_dir: str,
-                max_files_per_trigger: int | None = 1000) -> DataFrame:
-    """Newly landed files as rows ``(path, landed_at, value)``, one per file."""
+                max_files_per_trigger: int | None = 1000, archive: bool = False) -> DataFrame:
+    """Newly landed pages as rows ``(path, landed_at, value)``: one per file or, with
+    ``archive``, the rows of each newly landed ``compact_pages`` file."""
     # recursive lookup: files in any sub-folder, and no partition columns
     # inferred from folder names (a stream started on an empty folder would
     # otherwise see its schema change when the first files arrive)
     r = spark.readStream.option("recursiveFileLookup", "true")
     if max_files_per_trigger:
         r = r.option("maxFilesPerTrigger", int(max_files_per_trigger))
+    if archive:
+        return r.schema(ARCHIVE_SCHEMA).parquet(landing_dir)
     df = r.text(landing_dir, wholetext=True)
     return df.select(F.col("_metadata.file_path").alias("path"),
                      F.col("_metadata.file_modification_time").alias("landed_at"), "value")
@@ -56,7 +57,7 @@ def stream_harvest(spark: SparkSession, landing_dir: str, table_path: str,
                    processing_time: str | None = None, quarantine_path: str | None = None,
                    ledger_path: str | None = None,
                    num_buckets: int = DEFAULT_BUCKETS, compact_every: int = 0,
-                   compact_max_files: int = 8) -> StreamingQuery:
+                   compact_max_files: int = 8, archive: bool = False) -> StreamingQuery:
     """Start the incremental harvest; returns the running query.
 
     ``available_now=True`` processes what has landed and stops (a scheduled
@@ -65,7 +66,8 @@ def stream_harvest(spark: SparkSession, landing_dir: str, table_path: str,
     records go to ``quarantine_path`` and each micro-batch's request ledger to
     ``ledger_path``, one ``run_id`` partition per micro-batch. Every
     ``compact_every`` micro-batches (0: never) the merged versions are folded into the base
-    if more than ``compact_max_files`` have gathered.
+    if more than ``compact_max_files`` have gathered. ``archive``: pages land as
+    ``compact_pages`` files and not as raw responses.
     """
     checkpoint_dir(spark)
     ensure_table(spark, table_path, num_buckets)
@@ -85,7 +87,7 @@ def stream_harvest(spark: SparkSession, landing_dir: str, table_path: str,
         if compact_every and (batch_id + 1) % compact_every == 0:
             compact_table(batch.sparkSession, table_path, num_buckets, compact_max_files)
 
-    w = page_stream(spark, landing_dir, max_files_per_trigger).writeStream \
+    w = page_stream(spark, landing_dir, max_files_per_trigger, archive).writeStream \
         .foreachBatch(run_batch).option("checkpointLocation", ckpt)
     if available_now:
         w = w.trigger(availableNow=True)
