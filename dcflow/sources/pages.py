@@ -84,7 +84,10 @@ def parse_pages(pages: DataFrame, value_col: str = "value") -> DataFrame:
            | (F.col("_p.responseDate").isNull() & F.col("_p.ListRecords").isNull()
               & F.col("_p.error").isNull()) | ~F.col("_ended"))
     ended = F.coalesce(F.regexp_like(F.col(value_col), F.lit(ROOT_END)), F.lit(False))
-    parsed = pages.select(*keep, p.alias("_p"), ended.alias("_ended")).select(*keep, bad.alias("malformed"), F.when(~bad, F.col("_p")).alias("_p"))
+    # inline() of a one-element array: what the optimizer infers of the records cannot be pushed
+    # below it, which would parse each page once more for every use of the parsed page
+    once = F.inline(F.array(F.struct(p.alias("_p"), ended.alias("_ended"))))
+    parsed = pages.select(*keep, once).select(*keep, bad.alias("malformed"), F.when(~bad, F.col("_p")).alias("_p"))
     return parsed.select(
         *keep,
         F.col("_p.ListRecords.record").alias("records"),
