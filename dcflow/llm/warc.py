@@ -7,8 +7,8 @@ meet in a partial aggregation that picks the original, and a join hands it to th
 
 Files are gzip-compressed text written by Spark, so they go to any file system Spark writes
 to, and a failed task leaves nothing behind; a record ends with two line breaks, which are
-the line separator of that writer. ``records_per_file`` bounds a file, and so what a reader
-holds at once.
+the line separator of that writer. A reader holds one compressed file, which
+``records_per_file`` bounds, and inflates it piece by piece, a record at a time.
 
 Defined results: a null html is an empty payload; a null page_id or url is left out of the
 headers and read back as null, and a null page_id counts as the smallest; control characters
@@ -20,7 +20,7 @@ from __future__ import annotations
 
 import hashlib
 import zlib
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -75,16 +75,44 @@ def write_archive(pages: DataFrame, path: str, date: str = DATE, records_per_fil
     _write(pages.select(record.alias("value")), path, records_per_file)
 
 
-def parse_records(data: bytes) -> Iterator[tuple[dict[str, str], bytes, bytes]]:
-    """(headers, HTTP header block, payload) of each record of an uncompressed archive."""
-    at = 0
-    while at < len(data):
-        stop = data.index(b"\r\n\r\n", at)
-        head = dict(line.split(": ", 1) for line in data[at:stop].decode("utf-8", "replace").split("\r\n")[1:])
-        body = data[stop + 4:stop + 4 + int(head["Content-Length"])]
-        http, _, payload = body.partition(b"\r\n\r\n")
+def inflate(data: bytes, step: int = 4 << 20) -> Iterator[bytes]:
+    """A gzip file's content in pieces of at most ``step`` bytes."""
+    while data:
+        member = zlib.decompressobj(47)
+        while not member.eof:
+            piece = member.decompress(data, step)
+            data = member.unconsumed_tail
+            if not piece and not data and not member.eof:
+                raise ValueError("the archive ends inside a compressed block")
+            yield piece
+        data = member.unused_data
+
+
+def parse_records(pieces: Iterable[bytes]) -> Iterator[tuple[dict[str, str], bytes, bytes]]:
+    """(headers, HTTP header block, payload) of each record of an uncompressed archive that
+    comes in pieces; one record and one piece are held at a time."""
+    source, held = iter(pieces), bytearray()
+
+    def more() -> bool:
+        piece = next(source, None)
+        held.extend(piece or b"")
+        return piece is not None
+
+    while held or more():
+        while (stop := held.find(b"\r\n\r\n")) < 0:
+            if not more():
+                if held:
+                    raise ValueError("the archive ends inside a header")
+                return
+        head = dict(line.split(": ", 1) for line in held[:stop].decode("utf-8", "replace").split("\r\n")[1:])
+        end = stop + 4 + int(head["Content-Length"])
+        while len(held) < end + 4 and more():
+            pass
+        if len(held) < end:
+            raise ValueError("the archive ends inside a record")
+        http, _, payload = bytes(held[stop + 4:end]).partition(b"\r\n\r\n")
+        del held[:end + 4]
         yield head, http, payload
-        at = stop + 4 + len(body) + 4
 
 
 def read_archive(spark: SparkSession, path: str, payloads: bool = False) -> DataFrame:
@@ -99,7 +127,7 @@ def read_archive(spark: SparkSession, path: str, payloads: bool = False) -> Data
         for b in batches:
             for content in b.column(0):
                 rows, size = [], 0
-                for head, http, payload in parse_records(zlib.decompress(content.as_py(), 47)):
+                for head, http, payload in parse_records(inflate(content.as_py())):
                     whole = head["WARC-Type"] == "response"
                     n = len(payload) if whole else int(http.rpartition(b"Content-Length: ")[2])
                     digest = hashlib.sha1(payload).hexdigest() if whole else head["WARC-Payload-Digest"].removeprefix("sha1:")

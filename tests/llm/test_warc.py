@@ -26,3 +26,27 @@ def test_round_trip_and_revisits(spark):
     assert sorted(bytes(r["payload"]) for r in full if r["type"] == "response") == sorted(kept)
     assert {r["uri"] for r in full if r["page_id"] == 2} == {"http://a/2%0D%0AX:%20y"}
     assert W.deduplicate(spark, pages.limit(0)).count() == 0
+
+
+def test_archives_are_read_piece_by_piece():
+    import gzip
+
+    import pytest
+
+    from dcflow.llm.warc import inflate, parse_records
+
+    def record(payload: bytes) -> bytes:
+        body = b"HTTP/1.1 200 OK\r\n\r\n" + payload
+        return b"WARC/1.1\r\nWARC-Type: response\r\nContent-Length: %d\r\n\r\n%s\r\n\r\n" % (len(body), body)
+
+    payloads = [b"", b"\r\n\r\n", b"x" * 5000, "é€".encode() * 700]
+    whole = b"".join(map(record, payloads))
+    for step in (1, 7, 64, 1 << 20):
+        files = gzip.compress(whole), gzip.compress(record(payloads[0])) + gzip.compress(b"".join(map(record, payloads[1:])))
+        for data in files:
+            assert [p for _, _, p in parse_records(inflate(data, step))] == payloads
+    assert list(parse_records([])) == []
+    with pytest.raises(ValueError):
+        list(parse_records([whole[:-10]]))
+    with pytest.raises(ValueError):
+        list(inflate(gzip.compress(whole)[:-20]))
