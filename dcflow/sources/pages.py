@@ -22,8 +22,8 @@ STATUS_MALFORMED = "malformed"
 STATUS_ERROR = "error"
 
 ARCHIVE_SCHEMA = "path string, landed_at timestamp, value string"
-# what may follow the last closing tag of a document: white space, comments, instructions
-ROOT_END = r"</(?:[\w.-]+:)?OAI-PMH\s*>(?:\s|<!--(?s:.*?)-->|<\?(?s:.*?)\?>)*$"
+# a closing root tag that anything but white space, comments and instructions follows
+ROOT_NOT_LAST = r"</(?:[\w.-]+:)?OAI-PMH\s*>(?!(?:\s++|<!--(?s:.*?)-->|<\?(?s:.*?)\?>)*+$)"
 XML_OPTIONS = {
     "ignoreNamespace": "true",          # <dc:title> and <title> both read as title
     "ignoreSurroundingSpaces": "false",  # keep values raw, as the DOM content is
@@ -82,11 +82,11 @@ def parse_pages(pages: DataFrame, value_col: str = "value") -> DataFrame:
     # unparseable, or well-formed XML that is no OAI-PMH response at all
     bad = (F.col("_p._corrupt_record").isNotNull() | F.col("_p").isNull()
            | (F.col("_p.responseDate").isNull() & F.col("_p.ListRecords").isNull()
-              & F.col("_p.error").isNull()) | ~F.col("_ended"))
-    ended = F.coalesce(F.regexp_like(F.col(value_col), F.lit(ROOT_END)), F.lit(False))
+              & F.col("_p.error").isNull()) | F.col("_more"))
+    more = F.coalesce(F.regexp_like(F.col(value_col), F.lit(ROOT_NOT_LAST)), F.lit(False))
     # inline() of a one-element array: what the optimizer infers of the records cannot be pushed
     # below it, which would parse each page once more for every use of the parsed page
-    once = F.inline(F.array(F.struct(p.alias("_p"), ended.alias("_ended"))))
+    once = F.inline(F.array(F.struct(p.alias("_p"), more.alias("_more"))))
     parsed = pages.select(*keep, once).select(*keep, bad.alias("malformed"), F.when(~bad, F.col("_p")).alias("_p"))
     return parsed.select(
         *keep,
