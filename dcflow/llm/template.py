@@ -4,16 +4,20 @@
    containers that hold them; a container's token is the chain of tags and classes above it.
    Menus, headers, footers, sidebars, notices, adverts, forms, scripts, styles and reader
    comments are known by their tags, roles and class words and never become blocks.
-2. Per host, a token's occurrence vector says how often each distinct page has it. Tokens with
-   equal vectors form an equivalence class (their vectors are compared by 128-bit hashes, so a
-   host of any size is one partial aggregation). Classes that occur once on at least half of
-   a host's pages are valid; nested by their chains they are the template. Its main slot is
-   the article (else the main element, else the deepest container that holds at least four
-   fifths of the text). A text block that stands in one place on at least nine tenths of
-   ten or more distinct pages of a host is template text, not a slot.
-3. The host's template is joined to its pages, and the blocks of the main slot, without
-   template text, are joined by spaces. A page without the host's main slot uses its own
-   article or main element, and failing that all its blocks.
+2. Per host, a token (container or text block in its place) has an occurrence vector: how often
+   each distinct page has it. Tokens with equal vectors form an equivalence class (their vectors
+   are compared by 128-bit hashes, so a host of any size is one partial aggregation). A class is
+   accepted if its members occur once a page, on at least half of a host's pages, and are two
+   or more; a text on one page only is no member.
+3. The host's classes are joined to its distinct pages and their members put in document order.
+   A member that has one place among its class's on nine tenths of their pages is valid; nested
+   by their chains the valid members are the template. Its main container is the article (else
+   the main element, else the deepest container that holds at least four fifths of the text).
+4. The template is joined to the pages. In an article or main element the slot is all of it. In
+   another container it goes from the first to the last block that is no member text, so
+   template text before and after goes and nothing between does. The slot's blocks are joined
+   by spaces. A page without the host's main container uses its own article or main element,
+   and failing that all its blocks.
 
 Defined results: a null or empty html gives an empty text; a null url belongs to an unnamed
 host; repeated rows are one distinct page for the template and a row each in the result;
@@ -51,6 +55,8 @@ SKIPPED_WORDS = {"ad", "ads", "advert", "adverts", "advertisement", "advertising
                  "complementary", "contentinfo", "alert"}
 VOID = {"br", "hr", "img", "input", "meta", "link", "wbr", "source", "area", "base", "col", "embed", "param", "track"}
 MAX_DEPTH = 48
+#: an equivalence class has at least so many members
+LEAST_MEMBERS = 2
 
 MARKUP = re.compile(rf"<!--.*?(?:-->|\Z)|<({RAW})\b[^>]*>.*?(?:</\1\s*>|\Z)|<(/?)([a-z][a-z0-9:-]*+)((?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+)>"
                     r"|<[!?/][^>]*+(?:>|\Z)|<[a-z][^<]*+\Z", re.I | re.S)
@@ -62,12 +68,15 @@ def _chain(up: int, name: str) -> int:
     return xxhash.xxh64_intdigest(f"{up}/{name}") - (1 << 63)
 
 
-def parse(page: str) -> tuple[list[tuple], list[tuple]]:
-    """Containers (token, parent's place or -1, rank, chars) and blocks (container, text).
+def parse(page: str) -> tuple[list[list], list[tuple], list[int]]:
+    """Containers (token, parent's place or -1, rank, chars, depth, place), blocks (container,
+    text) and the blocks' places.
 
-    rank: 3 for an article, 2 for a main element, 1 for others; chars: text inside it."""
-    nodes: list[list] = [[_chain(0, ""), -1, 0, 0, 0]]
+    rank: 3 for an article, 2 for a main element, 1 for others; chars: text inside it; places
+    count containers and blocks in document order."""
+    nodes: list[list] = [[_chain(0, ""), -1, 0, 0, 0, 0]]
     blocks: list[tuple[int, str]] = []
+    places: list[int] = []
     stack: list[tuple[str, int, bool]] = [("", 0, False)]  # name, place, skipped
     pieces: list[str] = []
 
@@ -76,6 +85,7 @@ def parse(page: str) -> tuple[list[tuple], list[tuple]]:
             text = " ".join(entities.unescape("".join(pieces)).split())
             if text:
                 at = stack[-1][1]
+                places.append(len(nodes) + len(blocks))
                 blocks.append((at, text))
                 while at >= 0:
                     nodes[at][3] += len(text)
@@ -114,16 +124,16 @@ def parse(page: str) -> tuple[list[tuple], list[tuple]]:
             continue
         rank = 3 if name == "article" else 2 if name == "main" or attrs.get("role") == "main" else 1
         label = name + "." + re.sub(r"[0-9]+", "#", ".".join(sorted(attrs.get("class", "").split())))
-        nodes.append([_chain(nodes[up][0], label), up, rank, 0, nodes[up][4] + 1])
+        nodes.append([_chain(nodes[up][0], label), up, rank, 0, nodes[up][4] + 1, len(nodes) + len(blocks)])
         stack.append((name, len(nodes) - 1, False))
     if not stack[-1][2]:
         pieces.append(page[at:])
     flush()
-    return nodes, blocks
+    return nodes, blocks, places
 
 
 SCHEMA = ("page_id long, url string, host string, page long, "
-          "tokens array<struct<token:long,n:int,chars:long,rank:int,depth:int>>, body binary")
+          "tokens array<struct<token:long,n:int,chars:long,rank:int,depth:int,place:int>>, body binary")
 
 
 def _mark(container: int, text: str) -> int:
@@ -146,15 +156,15 @@ def parsed(pages: DataFrame) -> DataFrame:
                 part = b.slice(lo, 256)
                 tokens, bodies = [], []
                 for page in part.column(4):
-                    nodes, blocks = parse(page.as_py())
+                    nodes, blocks, places = parse(page.as_py())
                     seen: dict[int, list[int]] = {}
-                    for token, _, rank, chars, depth in ((n[0], n[1], n[2], n[3], n[4]) for n in nodes):
-                        e = seen.setdefault(token, [0, 0, rank, depth])
+                    for token, _, rank, chars, depth, place in nodes:
+                        e = seen.setdefault(token, [0, 0, rank, depth, place])
                         e[0] += 1
                         e[1] += chars
-                    for k, text in blocks:
-                        seen.setdefault(_mark(nodes[k][0], text), [0, 0, -1, 0])[0] += 1
-                    tokens.append([{"token": t, "n": n, "chars": c, "rank": r, "depth": d} for t, (n, c, r, d) in seen.items()])
+                    for (k, text), place in zip(blocks, places):
+                        seen.setdefault(_mark(nodes[k][0], text), [0, 0, -1, 0, place])[0] += 1
+                    tokens.append([dict(zip(("token", "n", "chars", "rank", "depth", "place"), (t, *e))) for t, e in seen.items()])
                     own = max(((n[2], -k, n[0]) for k, n in enumerate(nodes) if n[2] > 1), default=(0, 0, None))[2]
                     bodies.append(zlib.compress(json.dumps([[n[:2] for n in nodes], blocks, own], ensure_ascii=False).encode("utf-8", "surrogatepass"), 3))
                 yield pa.RecordBatch.from_arrays([*part.columns[:4], pa.array(tokens, out_schema.field("tokens").type), pa.array(bodies, pa.binary())], names=names)
@@ -166,39 +176,81 @@ def parsed(pages: DataFrame) -> DataFrame:
     return src.mapInArrow(run, SCHEMA)
 
 
-def templates(pages: DataFrame) -> DataFrame:
-    """(host, main, fixed): the token of the host's main slot, and the marks of template text."""
-    distinct = pages.select("host", "page", "tokens").dropDuplicates(["host", "page"])
+def distinct_pages(pages: DataFrame) -> DataFrame:
+    return pages.select("host", "page", "tokens").dropDuplicates(["host", "page"])
+
+
+def classes(pages: DataFrame) -> DataFrame:
+    """(host, members): the tokens of each host's accepted equivalence classes."""
+    distinct = distinct_pages(pages)
     size = distinct.groupBy("host").agg(F.count("*").alias("pages"))
     tokens = distinct.select("host", "page", F.explode("tokens").alias("x")).select("host", "page", "x.*")
     vectors = (tokens.groupBy("host", "token").agg(
         F.count("*").alias("support"), F.max("n").alias("most"), F.sum("chars").alias("chars"), F.max("rank").alias("rank"),
         F.min("depth").alias("depth"), F.bit_xor(F.xxhash64(F.lit(1), "page", "n")).alias("v1"),
         F.bit_xor(F.xxhash64(F.lit(2), "page", "n")).alias("v2")))
-    # a text block on fewer than nine pages is no template text, whatever the host's size; the
-    # root container is on every page once, so its class holds the host's whole text
-    classes = vectors.where("rank >= 0 OR support >= 9").join(size, "host").where(
-        "(rank >= 0 AND most = 1 AND 2 * support >= pages) OR (rank < 0 AND most = 1 AND pages >= 10 AND 10 * support >= 9 * pages)")
-    classes = classes.groupBy("host", "v1", "v2").agg(F.collect_list(F.struct("rank", "depth", "chars", "token")).alias("members"))
-    flat = classes.select("host", F.explode("members").alias("x")).select("host", "x.*")
+    frequent = vectors.where("most = 1 AND (rank >= 0 OR support > 1)").join(size, "host").where("2 * support >= pages")
+    return (frequent.groupBy("host", "v1", "v2").agg(F.collect_list(F.struct("token", "rank", "depth", "chars", "v1", "v2")).alias("members"))
+            .where(F.size("members") >= LEAST_MEMBERS).groupBy("host").agg(F.flatten(F.collect_list("members")).alias("members")))
+
+
+def placed(pages: DataFrame, accepted: DataFrame) -> DataFrame:
+    """(host, token, rank, depth, chars, place): where a class's members stand in it, page by page.
+    Containers are counted among the containers, texts among all members."""
+    joined = distinct_pages(pages).join(accepted, "host").select("host", "tokens", "members")
+    schema = "host string, token long, rank int, depth int, chars long, place int"
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            for lo in range(0, b.num_rows, 256):
+                out: list[tuple] = []
+                for host, tokens, members in zip(*(c.to_pylist() for c in b.slice(lo, 256).columns)):
+                    at = {x["token"]: x["place"] for x in tokens}
+                    counts: dict[tuple[int, int], list[int]] = {}
+                    for m in sorted((m for m in members if m["token"] in at), key=lambda m: at[m["token"]]):
+                        c = counts.setdefault((m["v1"], m["v2"]), [0, 0])
+                        out.append((host, m["token"], m["rank"], m["depth"], m["chars"], c[m["rank"] < 0]))
+                        c[1] += 1
+                        c[0] += m["rank"] >= 0
+                if out:
+                    yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(zip(*out), types)], names=names)
+
+    types = [pa.string(), pa.int64(), pa.int32(), pa.int32(), pa.int64(), pa.int32()]
+    names = ["host", "token", "rank", "depth", "chars", "place"]
+    return joined.mapInArrow(run, schema)
+
+
+def templates(pages: DataFrame) -> DataFrame:
+    """(host, main, fixed): the token of the host's main container, and the marks of its template
+    text, none if that is an article or main element."""
+    places = placed(pages, staged(classes(pages), "page-classes"))
+    flat = (places.groupBy("host", "token", "rank", "depth", "chars", "place").agg(F.count("*").alias("n"))
+            .groupBy("host", "token", "rank", "depth", "chars").agg(F.max("n").alias("usual"), F.sum("n").alias("n"))
+            .where("10 * usual >= 9 * n"))
+    # the root container is on every page once, so it holds the host's whole text
     whole = flat.where("depth = 0 AND rank = 0").groupBy("host").agg(F.max("chars").alias("whole"))
     order = F.when(F.col("rank") > 1, -F.col("depth")).otherwise(F.col("depth"))  # outermost article, deepest container
     slot = F.when((F.col("rank") > 1) | (F.col("rank") >= 0) & (10 * F.col("chars") >= 8 * F.col("whole")),
                   F.struct(F.greatest("rank", F.lit(1)).alias("rank"), order.alias("order"), "chars", "token"))
-    return (flat.join(whole, "host").withColumn("slot", slot).groupBy("host")
+    return (flat.join(whole, "host", "left").withColumn("slot", slot).groupBy("host")
             .agg(F.max("slot").alias("slot"), F.collect_list(F.when(F.col("rank") < 0, F.col("token"))).alias("fixed"))
-            .select("host", F.col("slot").getItem("token").alias("main"), "fixed"))
+            .select("host", F.col("slot").getItem("token").alias("main"),
+                    F.when(F.col("slot").getItem("rank") > 1, F.array().cast("array<long>")).otherwise(F.col("fixed")).alias("fixed")))
 
 
 def slot_text(body: bytes, main: int | None, fixed: set[int]) -> str:
-    """The text of a page's main slot, without template text."""
+    """The text of a page's slot: its main container from the first to the last block that is
+    no template text."""
     nodes, blocks, own = json.loads(zlib.decompress(body))
     if main is None or all(token != main for token, _ in nodes):
         main = own
+        fixed = fixed if own is None else set()
     inside = [main is None] * len(nodes)
     for k, (token, up) in enumerate(nodes):  # parents come first
         inside[k] = inside[k] or token == main or up >= 0 and inside[up]
-    return " ".join(text for k, text in blocks if inside[k] and (not fixed or _mark(nodes[k][0], text) not in fixed))
+    held = [(k, text) for k, text in blocks if inside[k]]
+    free = [i for i, (k, text) in enumerate(held) if _mark(nodes[k][0], text) not in fixed] if fixed else range(len(held))
+    return " ".join(text for _, text in held[free[0]:free[-1] + 1]) if free else ""
 
 
 def main_text(pages: DataFrame) -> DataFrame:

@@ -48,3 +48,18 @@ def test_given_pages_equal_a_plain_reading(spark):
         parts = re.split(r"</?(?:h1|p|br|article)>", inner)
         parts = [" ".join(html.unescape(re.sub(r"<[^>]*>", "", x)).split()) for x in parts]
         assert got[r["page_id"]] == " ".join(x for x in parts if x), r["page_id"]
+
+
+def test_classes_decide_the_slot(spark):
+    """Chrome that no word list names lies outside the slot; equal text between slots stays."""
+    rows = [(i, "http://c.example/", f"<div class=zork><p>Fixed top</p></div><div class=quux><p>first {i} {'x' * i} word</p><p>In between.</p>"
+             f"<p>last {i} text</p></div><div class=blub><p>Fixed end</p></div>") for i in range(1, 6)]
+    rows += [(10 + i, "http://d.example/", "<div><p>Up</p><p>Down</p></div>".replace("Up", "Down" if i % 2 else "Up", 1)
+              .replace("Down</p></div>", "Up</p></div>" if i % 2 else "Down</p></div>") + f"<p>own {i} words</p>") for i in range(4)]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string")
+    got = {r["page_id"]: r["text"] for r in T.main_text(pages).collect()}
+    assert all(got[i] == f"first {i} {'x' * i} word In between. last {i} text" for i in range(1, 6))
+    # members without one order are no template
+    assert got[10] == "Up Down own 0 words" and got[11] == "Down Up own 1 words"
+    members = T.classes(T.parsed(pages)).where("host = 'c.example'").first()["members"]
+    assert len({(m["v1"], m["v2"]) for m in members}) == 1 and len(members) == 4 + 3
