@@ -4,6 +4,9 @@
    containers that hold them; a container's token is the chain of tags and classes above it.
    Menus, headers, footers, sidebars, notices, adverts, forms, scripts, styles and reader
    comments are known by their tags, roles and class words and never become blocks.
+   A page's content is the text of its article, else its main element, else its deepest
+   container that holds four fifths of its text; pages of a host with equal content are one
+   distinct page, whatever stands around it.
 2. Per host, a token (container or text block in its place) has an occurrence vector: how often
    each distinct page has it. Tokens with equal vectors form an equivalence class (their vectors
    are compared by 128-bit hashes, so a host of any size is one partial aggregation). A class is
@@ -15,8 +18,9 @@
    the main element, else the deepest container that holds at least four fifths of the text).
 4. The template is joined to the pages. In an article or main element the slot is all of it. In
    another container it goes from the first to the last block that is no member text, so
-   template text before and after goes and nothing between does. The slot's blocks are joined
-   by spaces. A page without the host's main container uses its own article or main element,
+   template text before and after goes and nothing between does; nothing goes either if on
+   most distinct pages that would leave less than half of the container's text, which is then
+   no template but copies. The slot's blocks are joined by spaces. A page without the host's main container uses its own article or main element,
    and failing that all its blocks.
 
 Defined results: a null or empty html gives an empty text; a null url belongs to an unnamed
@@ -132,8 +136,24 @@ def parse(page: str) -> tuple[list[list], list[tuple], list[int]]:
     return nodes, blocks, places
 
 
-SCHEMA = ("page_id long, url string, host string, page long, "
-          "tokens array<struct<token:long,n:int,chars:long,rank:int,depth:int,place:int>>, body binary")
+SCHEMA = ("page_id long, url string, host string, page long, content long, "
+          "tokens array<struct<token:long,n:int,chars:long,rank:int,depth:int,place:int,last:int>>, body binary")
+
+
+def _inside(nodes: list, which) -> list[bool]:
+    """Per container, whether it is one of those or lies in one (parents come first)."""
+    inside: list[bool] = []
+    for k, node in enumerate(nodes):
+        inside.append(bool(which(k, node)) or node[1] >= 0 and inside[node[1]])
+    return inside
+
+
+def content_hash(nodes: list, blocks: list[tuple[int, str]]) -> int:
+    """The hash of a page's content."""
+    whole = nodes[0][3]
+    slot = max(range(len(nodes)), key=lambda k: (nodes[k][2], -k) if nodes[k][2] > 1 else (1, nodes[k][4]) if 10 * nodes[k][3] >= 8 * whole else (0, 0))
+    inside = _inside(nodes, lambda k, _: k == slot)
+    return xxhash.xxh64_intdigest("\n".join(text for k, text in blocks if inside[k]).encode("utf-8", "surrogatepass")) - (1 << 63)
 
 
 def _mark(container: int, text: str) -> int:
@@ -154,20 +174,27 @@ def parsed(pages: DataFrame) -> DataFrame:
         for b in batches:
             for lo in range(0, b.num_rows, 256):
                 part = b.slice(lo, 256)
-                tokens, bodies = [], []
+                tokens, contents, bodies = [], [], []
                 for page in part.column(4):
                     nodes, blocks, places = parse(page.as_py())
                     seen: dict[int, list[int]] = {}
                     for token, _, rank, chars, depth, place in nodes:
-                        e = seen.setdefault(token, [0, 0, rank, depth, place])
+                        e = seen.setdefault(token, [0, 0, rank, depth, place, place])
                         e[0] += 1
                         e[1] += chars
                     for (k, text), place in zip(blocks, places):
-                        seen.setdefault(_mark(nodes[k][0], text), [0, 0, -1, 0, place])[0] += 1
-                    tokens.append([dict(zip(("token", "n", "chars", "rank", "depth", "place"), (t, *e))) for t, e in seen.items()])
+                        e = seen.setdefault(_mark(nodes[k][0], text), [0, 0, -1, 0, place, place])
+                        e[0] += 1
+                        e[1] += len(text)
+                        e[5] = place
+                        while k >= 0:
+                            seen[nodes[k][0]][5] = place
+                            k = nodes[k][1]
+                    tokens.append([dict(zip(("token", "n", "chars", "rank", "depth", "place", "last"), (t, *e))) for t, e in seen.items()])
+                    contents.append(content_hash(nodes, blocks))
                     own = max(((n[2], -k, n[0]) for k, n in enumerate(nodes) if n[2] > 1), default=(0, 0, None))[2]
                     bodies.append(zlib.compress(json.dumps([[n[:2] for n in nodes], blocks, own], ensure_ascii=False).encode("utf-8", "surrogatepass"), 3))
-                yield pa.RecordBatch.from_arrays([*part.columns[:4], pa.array(tokens, out_schema.field("tokens").type), pa.array(bodies, pa.binary())], names=names)
+                yield pa.RecordBatch.from_arrays([*part.columns[:4], pa.array(contents, pa.int64()), pa.array(tokens, out_schema.field("tokens").type), pa.array(bodies, pa.binary())], names=names)
 
     from pyspark.sql.pandas.types import to_arrow_schema
     from pyspark.sql.types import StructType
@@ -177,7 +204,8 @@ def parsed(pages: DataFrame) -> DataFrame:
 
 
 def distinct_pages(pages: DataFrame) -> DataFrame:
-    return pages.select("host", "page", "tokens").dropDuplicates(["host", "page"])
+    """(host, page, tokens) of one page of each content."""
+    return pages.groupBy("host", F.col("content").alias("page")).agg(F.min_by("tokens", "page").alias("tokens"))
 
 
 def classes(pages: DataFrame) -> DataFrame:
@@ -195,10 +223,11 @@ def classes(pages: DataFrame) -> DataFrame:
 
 
 def placed(pages: DataFrame, accepted: DataFrame) -> DataFrame:
-    """(host, token, rank, depth, chars, place): where a class's members stand in it, page by page.
+    """(host, token, rank, depth, chars, place, keeps): where a class's members stand in it, page by
+    page, and whether a container keeps half of its text without the member texts before and after.
     Containers are counted among the containers, texts among all members."""
     joined = distinct_pages(pages).join(accepted, "host").select("host", "tokens", "members")
-    schema = "host string, token long, rank int, depth int, chars long, place int"
+    schema = "host string, token long, rank int, depth int, chars long, place int, keeps int"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -206,36 +235,48 @@ def placed(pages: DataFrame, accepted: DataFrame) -> DataFrame:
                 out: list[tuple] = []
                 for host, tokens, members in zip(*(c.to_pylist() for c in b.slice(lo, 256).columns)):
                     at = {x["token"]: x["place"] for x in tokens}
+                    known = {m["token"] for m in members}
+                    page = {x["token"]: x for x in tokens}
+                    texts = [x for x in tokens if x["rank"] < 0]
+
+                    def keeps(box: dict) -> bool:
+                        held = [x for x in texts if box["place"] < x["place"] and x["last"] <= box["last"]]
+                        free = [x for x in held if x["token"] not in known]
+                        lo, hi = min((x["place"] for x in free), default=0), max((x["last"] for x in free), default=-1)
+                        return 2 * sum(x["chars"] for x in held if lo <= x["place"] <= hi) >= sum(x["chars"] for x in held)
+
                     counts: dict[tuple[int, int], list[int]] = {}
                     for m in sorted((m for m in members if m["token"] in at), key=lambda m: at[m["token"]]):
                         c = counts.setdefault((m["v1"], m["v2"]), [0, 0])
-                        out.append((host, m["token"], m["rank"], m["depth"], m["chars"], c[m["rank"] < 0]))
+                        out.append((host, m["token"], m["rank"], m["depth"], m["chars"], c[m["rank"] < 0],
+                                    int(m["rank"] in (0, 1) and keeps(page[m["token"]]))))
                         c[1] += 1
                         c[0] += m["rank"] >= 0
                 if out:
                     yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(zip(*out), types)], names=names)
 
-    types = [pa.string(), pa.int64(), pa.int32(), pa.int32(), pa.int64(), pa.int32()]
-    names = ["host", "token", "rank", "depth", "chars", "place"]
+    types = [pa.string(), pa.int64(), pa.int32(), pa.int32(), pa.int64(), pa.int32(), pa.int32()]
+    names = ["host", "token", "rank", "depth", "chars", "place", "keeps"]
     return joined.mapInArrow(run, schema)
 
 
 def templates(pages: DataFrame) -> DataFrame:
     """(host, main, fixed): the token of the host's main container, and the marks of its template
-    text, none if that is an article or main element."""
+    text, none if that is an article or main element or would lose most of its text."""
     places = placed(pages, staged(classes(pages), "page-classes"))
-    flat = (places.groupBy("host", "token", "rank", "depth", "chars", "place").agg(F.count("*").alias("n"))
-            .groupBy("host", "token", "rank", "depth", "chars").agg(F.max("n").alias("usual"), F.sum("n").alias("n"))
+    flat = (places.groupBy("host", "token", "rank", "depth", "chars", "place").agg(F.count("*").alias("n"), F.sum("keeps").alias("keeps"))
+            .groupBy("host", "token", "rank", "depth", "chars").agg(F.max("n").alias("usual"), F.sum("n").alias("n"), F.sum("keeps").alias("keeps"))
             .where("10 * usual >= 9 * n"))
     # the root container is on every page once, so it holds the host's whole text
     whole = flat.where("depth = 0 AND rank = 0").groupBy("host").agg(F.max("chars").alias("whole"))
     order = F.when(F.col("rank") > 1, -F.col("depth")).otherwise(F.col("depth"))  # outermost article, deepest container
     slot = F.when((F.col("rank") > 1) | (F.col("rank") >= 0) & (10 * F.col("chars") >= 8 * F.col("whole")),
-                  F.struct(F.greatest("rank", F.lit(1)).alias("rank"), order.alias("order"), "chars", "token"))
+                  F.struct(F.greatest("rank", F.lit(1)).alias("rank"), order.alias("order"), "chars", "token", (2 * F.col("keeps") >= F.col("n")).alias("keeps")))
     return (flat.join(whole, "host", "left").withColumn("slot", slot).groupBy("host")
             .agg(F.max("slot").alias("slot"), F.collect_list(F.when(F.col("rank") < 0, F.col("token"))).alias("fixed"))
             .select("host", F.col("slot").getItem("token").alias("main"),
-                    F.when(F.col("slot").getItem("rank") > 1, F.array().cast("array<long>")).otherwise(F.col("fixed")).alias("fixed")))
+                    F.when((F.col("slot").getItem("rank") > 1) | ~F.col("slot").getItem("keeps"), F.array().cast("array<long>"))
+                    .otherwise(F.col("fixed")).alias("fixed")))
 
 
 def slot_text(body: bytes, main: int | None, fixed: set[int]) -> str:
@@ -245,9 +286,7 @@ def slot_text(body: bytes, main: int | None, fixed: set[int]) -> str:
     if main is None or all(token != main for token, _ in nodes):
         main = own
         fixed = fixed if own is None else set()
-    inside = [main is None] * len(nodes)
-    for k, (token, up) in enumerate(nodes):  # parents come first
-        inside[k] = inside[k] or token == main or up >= 0 and inside[up]
+    inside = _inside(nodes, lambda _, node: main is None or node[0] == main)
     held = [(k, text) for k, text in blocks if inside[k]]
     free = [i for i, (k, text) in enumerate(held) if _mark(nodes[k][0], text) not in fixed] if fixed else range(len(held))
     return " ".join(text for _, text in held[free[0]:free[-1] + 1]) if free else ""

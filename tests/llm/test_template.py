@@ -63,3 +63,20 @@ def test_classes_decide_the_slot(spark):
     assert got[10] == "Up Down own 0 words" and got[11] == "Down Up own 1 words"
     members = T.classes(T.parsed(pages)).where("host = 'c.example'").first()["members"]
     assert len({(m["v1"], m["v2"]) for m in members}) == 1 and len(members) == 4 + 3
+
+
+def test_copies_of_one_article_keep_their_text(spark):
+    """Frequency alone drops nothing of the slot, and no count of pages switches the rule."""
+    paras = [f"Paragraph {k} " + " ".join(f"word{k}x{j}" for j in range(40)) for k in range(6)]
+    story = "".join(f"<p>{x}</p>" for x in paras)
+    rows, want = [], {}
+    for n in (9, 10, 30):
+        for i in range(n):
+            for tag in ("article", "div"):
+                rows.append((len(rows), f"http://{tag}{n}.example/", f"<section><p>Menu {i}</p></section><{tag} class=s><p>{paras[0]}</p>{story}<p>copy {i}</p></{tag}>"))
+                want[len(rows) - 1] = " ".join([paras[0], *paras, f"copy {i}"])
+    for i in range(12):  # equal paragraphs inside articles that differ
+        rows.append((len(rows), "http://equal.example/", f"<article><p>{paras[1]}</p><p>{' '.join(f'own{i}y{j}' for j in range(20))}</p></article>"))
+        want[len(rows) - 1] = f"{paras[1]} {' '.join(f'own{i}y{j}' for j in range(20))}"
+    got = T.main_text(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()
+    assert {r["page_id"]: r["text"] for r in got} == want
