@@ -2,8 +2,11 @@
 
 1. Each page is parsed once into blocks (runs of text between block tags) and into the
    containers that hold them; a container's token is the chain of tags and classes above it.
-   Menus, headers, footers, sidebars, notices, adverts, forms, scripts, styles and reader
-   comments are known by their tags, roles and class words and never become blocks.
+   Menus, headers, footers, sidebars, forms, scripts and styles are known by their tags and
+   never become blocks. Containers whose class, id or role has a name made up of listed words
+   alone (``cookie-notice``, not ``no-ads``) are set aside, other than html, body, main,
+   article and what holds them (an article inside an article, as comments are, does not
+   count); a page left empty falls back to all its blocks, and then to what was set aside.
    A page's content is the text of its article, else its main element, else its deepest
    container that holds four fifths of its text; pages of a host with equal content are one
    distinct page, whatever stands around it.
@@ -72,28 +75,26 @@ def _chain(up: int, name: str) -> int:
     return xxhash.xxh64_intdigest(f"{up}/{name}") - (1 << 63)
 
 
-def parse(page: str) -> tuple[list[list], list[tuple], list[int]]:
+def parse(page: str) -> tuple[list[list], list[tuple], list[int], list[str]]:
     """Containers (token, parent's place or -1, rank, chars, depth, place), blocks (container,
-    text) and the blocks' places.
+    text), the blocks' places and the texts set aside.
 
     rank: 3 for an article, 2 for a main element, 1 for others; chars: text inside it; places
     count containers and blocks in document order."""
     nodes: list[list] = [[_chain(0, ""), -1, 0, 0, 0, 0]]
-    blocks: list[tuple[int, str]] = []
+    listing = [False]  # whether a container is listed by its words
+    holds = [True]  # and whether it holds an article, main element or body
+    found: list[tuple[int, str]] = []
+    stack: list[tuple[str, int, bool]] = [("", 0, False)]  # name, place, skipped by tag
     places: list[int] = []
-    stack: list[tuple[str, int, bool]] = [("", 0, False)]  # name, place, skipped
     pieces: list[str] = []
 
     def flush() -> None:
         if pieces:
             text = " ".join(entities.unescape("".join(pieces)).split())
             if text:
-                at = stack[-1][1]
-                places.append(len(nodes) + len(blocks))
-                blocks.append((at, text))
-                while at >= 0:
-                    nodes[at][3] += len(text)
-                    at = nodes[at][1]
+                places.append(len(nodes) + len(found))
+                found.append((stack[-1][1], text))
             pieces.clear()
 
     def close(name: str) -> None:
@@ -119,21 +120,49 @@ def parse(page: str) -> tuple[list[list], list[tuple], list[int]]:
         attrs = {k.lower(): a or b or c for k, a, b, c in ATTRIBUTE.findall(m[4])} if m[4] else {}
         if name == "body":
             close("head")
-        words = {*WORDS.findall(" ".join(attrs.values()).lower())}
-        inside = stack[-1][2] or name in SKIPPED or bool(words & SKIPPED_WORDS)
-        inside |= name == "header" and not any(s[0] in ("article", "main") for s in stack)
+        by_tag = stack[-1][2] or name in SKIPPED
+        by_tag |= name == "header" and not any(s[0] in ("article", "main") for s in stack)
         up = stack[-1][1]
-        if inside or len(stack) > MAX_DEPTH:
-            stack.append((name, up, inside))
-            continue
         rank = 3 if name == "article" else 2 if name == "main" or attrs.get("role") == "main" else 1
+        if by_tag:
+            stack.append((name, up, True))
+            continue
+        listed = bool(attrs) and rank == 1 and name not in ("html", "body") and _listed(attrs)
+        if (rank > 1 or name == "body") and not any(s[0] == "article" for s in stack):
+            k = up
+            while k >= 0 and not holds[k]:
+                holds[k] = True
+                k = nodes[k][1]
+        if len(stack) > MAX_DEPTH and not listed:
+            stack.append((name, up, False))
+            continue
         label = name + "." + re.sub(r"[0-9]+", "#", ".".join(sorted(attrs.get("class", "").split())))
-        nodes.append([_chain(nodes[up][0], label), up, rank, 0, nodes[up][4] + 1, len(nodes) + len(blocks)])
+        token = _chain(nodes[up][0], label) if len(stack) <= MAX_DEPTH else nodes[up][0]
+        nodes.append([token, up, rank, 0, min(nodes[up][4] + 1, MAX_DEPTH), len(nodes) + len(found)])
+        listing.append(listed)
+        holds.append(False)
         stack.append((name, len(nodes) - 1, False))
     if not stack[-1][2]:
         pieces.append(page[at:])
     flush()
-    return nodes, blocks, places
+    aside: list[bool] = []
+    for k, node in enumerate(nodes):
+        aside.append(listing[k] and not holds[k] or node[1] >= 0 and aside[node[1]])
+    number = dict(zip((k for k in range(len(nodes)) if not aside[k]), range(len(nodes))))
+    kept = [(number[k], text, place) for (k, text), place in zip(found, places) if not aside[k]]
+    spare = [text for k, text in found if aside[k]]
+    nodes = [[token, number.get(up, -1), *rest] for (token, up, *rest), out in zip(nodes, aside) if not out]
+    for k, text, _ in kept:
+        nodes[k][3] += len(text)
+    for node in reversed(nodes):  # parents come first
+        if node[1] >= 0:
+            nodes[node[1]][3] += node[3]
+    return nodes, [x[:2] for x in kept], [x[2] for x in kept], spare
+
+
+def _listed(attrs: dict[str, str]) -> bool:
+    """Whether a whole name of a class, id or role is made up of listed words."""
+    return any((words := WORDS.findall(name)) and SKIPPED_WORDS.issuperset(words) for v in attrs.values() for name in v.lower().split())
 
 
 SCHEMA = ("page_id long, url string, host string, page long, content long, "
@@ -176,7 +205,7 @@ def parsed(pages: DataFrame) -> DataFrame:
                 part = b.slice(lo, 256)
                 tokens, contents, bodies = [], [], []
                 for page in part.column(4):
-                    nodes, blocks, places = parse(page.as_py())
+                    nodes, blocks, places, spare = parse(page.as_py())
                     seen: dict[int, list[int]] = {}
                     for token, _, rank, chars, depth, place in nodes:
                         e = seen.setdefault(token, [0, 0, rank, depth, place, place])
@@ -193,7 +222,7 @@ def parsed(pages: DataFrame) -> DataFrame:
                     tokens.append([dict(zip(("token", "n", "chars", "rank", "depth", "place", "last"), (t, *e))) for t, e in seen.items()])
                     contents.append(content_hash(nodes, blocks))
                     own = max(((n[2], -k, n[0]) for k, n in enumerate(nodes) if n[2] > 1), default=(0, 0, None))[2]
-                    bodies.append(zlib.compress(json.dumps([[n[:2] for n in nodes], blocks, own], ensure_ascii=False).encode("utf-8", "surrogatepass"), 3))
+                    bodies.append(zlib.compress(json.dumps([[n[:2] for n in nodes], blocks, own, spare], ensure_ascii=False).encode("utf-8", "surrogatepass"), 3))
                 yield pa.RecordBatch.from_arrays([*part.columns[:4], pa.array(contents, pa.int64()), pa.array(tokens, out_schema.field("tokens").type), pa.array(bodies, pa.binary())], names=names)
 
     from pyspark.sql.pandas.types import to_arrow_schema
@@ -282,14 +311,15 @@ def templates(pages: DataFrame) -> DataFrame:
 def slot_text(body: bytes, main: int | None, fixed: set[int]) -> str:
     """The text of a page's slot: its main container from the first to the last block that is
     no template text."""
-    nodes, blocks, own = json.loads(zlib.decompress(body))
+    nodes, blocks, own, spare = json.loads(zlib.decompress(body))
     if main is None or all(token != main for token, _ in nodes):
         main = own
         fixed = fixed if own is None else set()
     inside = _inside(nodes, lambda _, node: main is None or node[0] == main)
     held = [(k, text) for k, text in blocks if inside[k]]
     free = [i for i, (k, text) in enumerate(held) if _mark(nodes[k][0], text) not in fixed] if fixed else range(len(held))
-    return " ".join(text for _, text in held[free[0]:free[-1] + 1]) if free else ""
+    slot = [text for _, text in held[free[0]:free[-1] + 1]] if free else []
+    return " ".join(slot or [text for _, text in blocks] or spare)
 
 
 def main_text(pages: DataFrame) -> DataFrame:

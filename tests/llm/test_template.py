@@ -80,3 +80,16 @@ def test_copies_of_one_article_keep_their_text(spark):
         want[len(rows) - 1] = f"{paras[1]} {' '.join(f'own{i}y{j}' for j in range(20))}"
     got = T.main_text(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()
     assert {r["page_id"]: r["text"] for r in got} == want
+
+
+def test_listed_words_empty_no_page(spark):
+    pages = {"<body class='home has-sidebar'><p>one</p></body>": "one", "<article class='post comments-open'>two</article>": "two",
+             "<main id='search'>three</main>": "three", "<div class='content no-ads'>four</div>": "four", "<body id=menu><p>five</p>": "five",
+             "<div class='sidebar'><p>side</p><article>six<div class=comments><article>troll</article></div></article></div>": "six",
+             "<div class='widget'>seven</div>": "seven", "<div id=content>eight</div><div class='ad-banner x'>buy</div>": "eight",
+             "<div class=ad>" * 60 + "nine": "nine", "<article></article><div>ten</div>": "ten", "<nav>menu</nav>": ""}
+    rows = [(k, f"http://h{k}.example/", html) for k, html in enumerate(pages)]
+    got = {r["page_id"]: r["text"] for r in T.main_text(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    assert [got[k] for k in range(len(rows))] == [*pages.values()]
+    nodes, blocks, places, spare = T.parse("a<div class=ads>b</div><div class=promo><p>c</p><main>d</main></div>")
+    assert [t for _, t in blocks] == ["a", "c", "d"] and spare == ["b"] and nodes[0][3] == 3 and places == sorted(places)
