@@ -18,12 +18,15 @@
 3. The host's classes are joined to its distinct pages and their members put in document order.
    A member that has one place among its class's on nine tenths of their pages is valid; nested
    by their chains the valid members are the template. Its main container is the article (else
-   the main element, else the deepest container that holds at least four fifths of the text).
+   the main element, else the deepest container that holds at least four fifths of a page's
+   text on at least half of the distinct pages, however long each is).
 4. The template is joined to the pages. In an article or main element the slot is all of it. In
    another container it goes from the first to the last block that is no member text, so
    template text before and after goes and nothing between does; nothing goes either if on
    most distinct pages that would leave less than half of the container's text, which is then
-   no template but copies. The slot's blocks are joined by spaces. A page without the host's main container uses its own article or main element,
+   no template but copies. On a page where the slot holds less than four fifths of the text
+   that is no template text outside it, it widens to the first container around it that holds
+   as much. The slot's blocks are joined by spaces. A page without the host's main container uses its own article or main element,
    and failing that all its blocks.
 
 Defined results: a null or empty html gives an empty text; a null url belongs to an unnamed
@@ -166,7 +169,7 @@ def _listed(attrs: dict[str, str]) -> bool:
 
 
 SCHEMA = ("page_id long, url string, host string, page long, content long, "
-          "tokens array<struct<token:long,n:int,chars:long,rank:int,depth:int,place:int,last:int>>, body binary")
+          "tokens array<struct<token:long,n:int,chars:long,most:boolean,rank:int,depth:int,place:int,last:int>>, body binary")
 
 
 def _inside(nodes: list, which) -> list[bool]:
@@ -219,10 +222,11 @@ def parsed(pages: DataFrame) -> DataFrame:
                         while k >= 0:
                             seen[nodes[k][0]][5] = place
                             k = nodes[k][1]
-                    tokens.append([dict(zip(("token", "n", "chars", "rank", "depth", "place", "last"), (t, *e))) for t, e in seen.items()])
+                    tokens.append([{"token": t, "most": 10 * e[1] >= 8 * nodes[0][3], **dict(zip(("n", "chars", "rank", "depth", "place", "last"), e))}
+                                   for t, e in seen.items()])
                     contents.append(content_hash(nodes, blocks))
                     own = max(((n[2], -k, n[0]) for k, n in enumerate(nodes) if n[2] > 1), default=(0, 0, None))[2]
-                    bodies.append(zlib.compress(json.dumps([[n[:2] for n in nodes], blocks, own, spare], ensure_ascii=False).encode("utf-8", "surrogatepass"), 3))
+                    bodies.append(zlib.compress(json.dumps([[n[:3] for n in nodes], blocks, own, spare], ensure_ascii=False).encode("utf-8", "surrogatepass"), 3))
                 yield pa.RecordBatch.from_arrays([*part.columns[:4], pa.array(contents, pa.int64()), pa.array(tokens, out_schema.field("tokens").type), pa.array(bodies, pa.binary())], names=names)
 
     from pyspark.sql.pandas.types import to_arrow_schema
@@ -243,20 +247,20 @@ def classes(pages: DataFrame) -> DataFrame:
     size = distinct.groupBy("host").agg(F.count("*").alias("pages"))
     tokens = distinct.select("host", "page", F.explode("tokens").alias("x")).select("host", "page", "x.*")
     vectors = (tokens.groupBy("host", "token").agg(
-        F.count("*").alias("support"), F.max("n").alias("most"), F.sum("chars").alias("chars"), F.max("rank").alias("rank"),
+        F.count("*").alias("support"), F.max("n").alias("often"), F.sum(F.col("most").cast("int")).alias("votes"), F.max("rank").alias("rank"),
         F.min("depth").alias("depth"), F.bit_xor(F.xxhash64(F.lit(1), "page", "n")).alias("v1"),
         F.bit_xor(F.xxhash64(F.lit(2), "page", "n")).alias("v2")))
-    frequent = vectors.where("most = 1 AND (rank >= 0 OR support > 1)").join(size, "host").where("2 * support >= pages")
-    return (frequent.groupBy("host", "v1", "v2").agg(F.collect_list(F.struct("token", "rank", "depth", "chars", "v1", "v2")).alias("members"))
+    frequent = vectors.where("often = 1 AND (rank >= 0 OR support > 1)").join(size, "host").where("2 * support >= pages")
+    return (frequent.groupBy("host", "v1", "v2").agg(F.collect_list(F.struct("token", "rank", "depth", (2 * F.col("votes") >= F.col("pages")).alias("most"), "v1", "v2")).alias("members"))
             .where(F.size("members") >= LEAST_MEMBERS).groupBy("host").agg(F.flatten(F.collect_list("members")).alias("members")))
 
 
 def placed(pages: DataFrame, accepted: DataFrame) -> DataFrame:
-    """(host, token, rank, depth, chars, place, keeps): where a class's members stand in it, page by
+    """(host, token, rank, depth, most, place, keeps): where a class's members stand in it, page by
     page, and whether a container keeps half of its text without the member texts before and after.
     Containers are counted among the containers, texts among all members."""
     joined = distinct_pages(pages).join(accepted, "host").select("host", "tokens", "members")
-    schema = "host string, token long, rank int, depth int, chars long, place int, keeps int"
+    schema = "host string, token long, rank int, depth int, most boolean, place int, keeps int"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -277,15 +281,15 @@ def placed(pages: DataFrame, accepted: DataFrame) -> DataFrame:
                     counts: dict[tuple[int, int], list[int]] = {}
                     for m in sorted((m for m in members if m["token"] in at), key=lambda m: at[m["token"]]):
                         c = counts.setdefault((m["v1"], m["v2"]), [0, 0])
-                        out.append((host, m["token"], m["rank"], m["depth"], m["chars"], c[m["rank"] < 0],
+                        out.append((host, m["token"], m["rank"], m["depth"], m["most"], c[m["rank"] < 0],
                                     int(m["rank"] in (0, 1) and keeps(page[m["token"]]))))
                         c[1] += 1
                         c[0] += m["rank"] >= 0
                 if out:
                     yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(zip(*out), types)], names=names)
 
-    types = [pa.string(), pa.int64(), pa.int32(), pa.int32(), pa.int64(), pa.int32(), pa.int32()]
-    names = ["host", "token", "rank", "depth", "chars", "place", "keeps"]
+    types = [pa.string(), pa.int64(), pa.int32(), pa.int32(), pa.bool_(), pa.int32(), pa.int32()]
+    names = ["host", "token", "rank", "depth", "most", "place", "keeps"]
     return joined.mapInArrow(run, schema)
 
 
@@ -293,15 +297,13 @@ def templates(pages: DataFrame) -> DataFrame:
     """(host, main, fixed): the token of the host's main container, and the marks of its template
     text, none if that is an article or main element or would lose most of its text."""
     places = placed(pages, staged(classes(pages), "page-classes"))
-    flat = (places.groupBy("host", "token", "rank", "depth", "chars", "place").agg(F.count("*").alias("n"), F.sum("keeps").alias("keeps"))
-            .groupBy("host", "token", "rank", "depth", "chars").agg(F.max("n").alias("usual"), F.sum("n").alias("n"), F.sum("keeps").alias("keeps"))
+    flat = (places.groupBy("host", "token", "rank", "depth", "most", "place").agg(F.count("*").alias("n"), F.sum("keeps").alias("keeps"))
+            .groupBy("host", "token", "rank", "depth", "most").agg(F.max("n").alias("usual"), F.sum("n").alias("n"), F.sum("keeps").alias("keeps"))
             .where("10 * usual >= 9 * n"))
-    # the root container is on every page once, so it holds the host's whole text
-    whole = flat.where("depth = 0 AND rank = 0").groupBy("host").agg(F.max("chars").alias("whole"))
     order = F.when(F.col("rank") > 1, -F.col("depth")).otherwise(F.col("depth"))  # outermost article, deepest container
-    slot = F.when((F.col("rank") > 1) | (F.col("rank") >= 0) & (10 * F.col("chars") >= 8 * F.col("whole")),
-                  F.struct(F.greatest("rank", F.lit(1)).alias("rank"), order.alias("order"), "chars", "token", (2 * F.col("keeps") >= F.col("n")).alias("keeps")))
-    return (flat.join(whole, "host", "left").withColumn("slot", slot).groupBy("host")
+    slot = F.when((F.col("rank") > 1) | (F.col("rank") >= 0) & F.col("most"),
+                  F.struct(F.greatest("rank", F.lit(1)).alias("rank"), order.alias("order"), "token", (2 * F.col("keeps") >= F.col("n")).alias("keeps")))
+    return (flat.withColumn("slot", slot).groupBy("host")
             .agg(F.max("slot").alias("slot"), F.collect_list(F.when(F.col("rank") < 0, F.col("token"))).alias("fixed"))
             .select("host", F.col("slot").getItem("token").alias("main"),
                     F.when((F.col("slot").getItem("rank") > 1) | ~F.col("slot").getItem("keeps"), F.array().cast("array<long>"))
@@ -310,16 +312,26 @@ def templates(pages: DataFrame) -> DataFrame:
 
 def slot_text(body: bytes, main: int | None, fixed: set[int]) -> str:
     """The text of a page's slot: its main container from the first to the last block that is
-    no template text."""
+    no template text, or what is around it where that holds too little of the page."""
     nodes, blocks, own, spare = json.loads(zlib.decompress(body))
-    if main is None or all(token != main for token, _ in nodes):
+    at = next((k for k, (token, _, _) in enumerate(nodes) if token == main), None)
+    if at is None:
         main = own
         fixed = fixed if own is None else set()
     inside = _inside(nodes, lambda _, node: main is None or node[0] == main)
-    held = [(k, text) for k, text in blocks if inside[k]]
-    free = [i for i, (k, text) in enumerate(held) if _mark(nodes[k][0], text) not in fixed] if fixed else range(len(held))
-    slot = [text for _, text in held[free[0]:free[-1] + 1]] if free else []
-    return " ".join(slot or [text for _, text in blocks] or spare)
+    held = [i for i, (k, _) in enumerate(blocks) if inside[k]]
+    own_text = {i for i, (k, text) in enumerate(blocks) if not fixed or _mark(nodes[k][0], text) not in fixed}
+    free = [i for i in held if i in own_text]
+    slot = held[held.index(free[0]):held.index(free[-1]) + 1] if free else []
+    if at is not None and nodes[at][2] < 2:
+        size = lambda chosen: sum(len(blocks[i][1]) for i in chosen)
+        free = sorted(own_text.union(slot))
+        whole = size(free)
+        while 10 * size(slot) < 8 * whole and nodes[at][1] >= 0:
+            at = nodes[at][1]
+            inside = _inside(nodes, lambda k, _: k == at)
+            slot = [i for i in free if inside[blocks[i][0]]]
+    return " ".join([blocks[i][1] for i in slot] or [text for _, text in blocks] or spare)
 
 
 def main_text(pages: DataFrame) -> DataFrame:

@@ -93,3 +93,15 @@ def test_listed_words_empty_no_page(spark):
     assert [got[k] for k in range(len(rows))] == [*pages.values()]
     nodes, blocks, places, spare = T.parse("a<div class=ads>b</div><div class=promo><p>c</p><main>d</main></div>")
     assert [t for _, t in blocks] == ["a", "c", "d"] and spare == ["b"] and nodes[0][3] == 3 and places == sorted(places)
+
+
+def test_one_long_page_does_not_decide_for_all(spark):
+    words = lambda tag, n: " ".join(f"{tag}{j}" for j in range(n))
+    page = lambda i, a, b: f"<div class=a><p>{words(f'a{i}x', a)}</p></div><div class=b><p>{words(f'b{i}x', b)}</p></div>"
+    rows = [(0, "http://a.example/", page(0, 20000, 1))] + [(i, "http://a.example/", page(i, 2, 20)) for i in range(1, 8)]
+    want = {0: words("a0x", 20000) + " " + words("b0x", 1)} | {i: words(f"b{i}x", 20) for i in range(1, 8)}
+    # most pages have their text in div.b, one has it beside it
+    rows += [(10 + i, "http://b.example/", page(i, 1, 50)) for i in range(6)] + [(20, "http://b.example/", page(9, 50, 5))]
+    want |= {10 + i: words(f"b{i}x", 50) for i in range(6)} | {20: words("a9x", 50) + " " + words("b9x", 5)}
+    got = {r["page_id"]: r["text"] for r in T.main_text(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    assert got == want
