@@ -1,13 +1,13 @@
-"""Benchmark decontamination: rare n-gram seeds, then Smith-Waterman alignment of words.
+"""Benchmark decontamination: n-gram seeds, then Smith-Waterman alignment of words.
 
 1. Test items become word-hash sequences; their n-grams are the seeds. A bitmap of fixed
    size over all seeds is broadcast, so the scan of the documents keeps only passages around
    positions that may hold a seed; false positives fall out in the join that follows.
-2. A seed's corpus frequency comes from those hits. Each item keeps its rare seeds: those met
-   at most ``rare_df`` times, and always the rarer half of its own, so a leaked item whose
-   every n-gram has become frequent is still found.
-3. Hits join the rare seeds by hash. Each (passage, item, diagonal) gives one window of three
-   item lengths, and Smith-Waterman over words (match +1, mismatch and gap -0.5) scores it.
+2. Hits join the seeds by hash, frequent ones too: how often a seed is met in the corpus says
+   nothing about a window, and no number of hits rules a window out.
+3. Each (passage, item, diagonal) gives one window of three item lengths. A score is at most
+   the number of the item's words that the window has, so windows with too few are left out;
+   Smith-Waterman over words (match +1, mismatch and gap -0.5) scores the others.
    A document is contaminated if a score reaches ``threshold`` of the item's words (items of
    fewer than ``least_words`` count as that long, so a few common words leak nothing).
 
@@ -20,19 +20,18 @@ empty tables give an empty result.
 from __future__ import annotations
 
 import re
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
 import xxhash
 from pyspark import TaskContext
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .common import staged
 
 SEED_WORDS = 3
-RARE_DF = 50
 THRESHOLD = 0.5
 LEAST_WORDS = 8
 #: bits of the broadcast seed bitmap: 1 MB, whatever the size of the benchmark
@@ -179,8 +178,9 @@ def smith_waterman(a: np.ndarray, na: np.ndarray, b: np.ndarray, nb: np.ndarray)
     return best
 
 
-def _scores(pairs: DataFrame) -> DataFrame:
-    """Adds the alignment score to rows that hold a window and an item's words."""
+def _scores(pairs: DataFrame, least: Callable[[int], float]) -> DataFrame:
+    """Adds the alignment score to rows that hold a window and an item's words; rows whose window
+    has fewer of the item's words than the ``least`` score for its length are left out."""
     def pad(col: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
         n = np.array([len(x) // 8 for x in col])
         out = np.zeros((len(col), max(1, n.max())), np.uint64)
@@ -190,6 +190,9 @@ def _scores(pairs: DataFrame) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
+            words = zip(*(b.column(c).to_pylist() for c in (3, 4, 5)))
+            b = b.take(pa.array([k for k, (n, a, w) in enumerate(words)
+                                 if np.isin(np.frombuffer(w, np.uint64), np.frombuffer(a, np.uint64)).sum() >= least(n)], pa.int64()))
             at = 0
             while at < b.num_rows:  # at most about 4 MB of window words at once
                 size, to = 0, at
@@ -207,8 +210,8 @@ def _scores(pairs: DataFrame) -> DataFrame:
         run, "doc_id long, t long, item_id long, n int, score double")
 
 
-def contaminated(docs: DataFrame, benchmark: DataFrame, n: int = SEED_WORDS, rare_df: int = RARE_DF,
-                 threshold: float = THRESHOLD, least_words: int = LEAST_WORDS) -> DataFrame:
+def contaminated(docs: DataFrame, benchmark: DataFrame, n: int = SEED_WORDS, threshold: float = THRESHOLD,
+                 least_words: int = LEAST_WORDS) -> DataFrame:
     """(doc_id, t, item_id, item_words, score): the documents that hold a copy, edited or
     not, of a test item; t is the hash of the document's text."""
     items = staged(item_words(benchmark), "items")
@@ -216,11 +219,7 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, n: int = SEED_WORDS, rar
     longest = items.agg(F.max("n")).first()[0] or 0
     found = staged(passages(docs, seed_bitmap(seeds), n, 2 * longest), "passages")
     hits = found.select("pid", F.explode(F.arrays_zip("seeds", "at")).alias("x")).select("pid", F.col("x.seeds").alias("seed"), F.col("x.at").alias("p"))
-    df = hits.join(seeds.select("seed").distinct(), "seed").groupBy("seed").agg(F.count("*").alias("df"))
-    rank = F.percent_rank().over(Window.partitionBy("iid").orderBy("df"))
-    rare = (seeds.join(df, "seed").withColumn("rank", rank)
-            .where((F.col("df") <= rare_df) | (F.col("rank") <= 0.5)).select("iid", "n", "seed", "at"))
-    windows = (hits.join(rare, "seed")
+    windows = (hits.join(seeds, "seed")
                .select("pid", "iid", "n", F.floor((F.col("p") - F.col("at")) / F.col("n")).cast("int").alias("w")).distinct())
     # a window is three item lengths around the diagonal; binary slices count from 1
     start = F.greatest(F.lit(0), F.floor((F.col("w") - 0.5) * F.col("n"))).cast("int")
@@ -231,7 +230,7 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, n: int = SEED_WORDS, rar
              .select("doc_id", "t", "iid", "n", cut.alias("window"))
              .join(items.select("iid", "item_id", F.col("words").alias("item")), "iid")
              .select("doc_id", "t", "item_id", "n", "window", "item").distinct())
-    return (_scores(pairs).groupBy("doc_id", "t", "item_id").agg(F.max("n").alias("item_words"), F.max("score").alias("score"))
+    return (_scores(pairs, lambda k: threshold * max(k, least_words)).groupBy("doc_id", "t", "item_id").agg(F.max("n").alias("item_words"), F.max("score").alias("score"))
             .where(F.col("score") >= threshold * F.greatest(F.col("item_words"), F.lit(least_words))))
 
 

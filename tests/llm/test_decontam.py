@@ -49,3 +49,14 @@ def test_edited_copies_are_found_and_clean_texts_left(spark):
     assert kept.columns == df.columns
     assert {r["doc_id"] for r in kept.collect()} == {i for i, _ in docs} - {i for i, _ in want}
     assert D.contaminated(df.limit(0), bench).count() == D.contaminated(df, bench.limit(0)).count() == 0
+
+
+def test_seeds_of_any_frequency_find_copies(spark):
+    """An item often quoted in half: the quotes reach the threshold by frequent seeds alone."""
+    item = [f"item{k}" for k in range(40)]
+    docs = [(i, f"doc{i} says " + " ".join(item[:20]) + f" and{i} more") for i in range(60)]
+    docs += [(100 + i, " ".join([f"doc{i}", *item])) for i in range(10)] + [(200, " ".join(item[:19])), (201, " ".join(item[:3]))]
+    df = spark.createDataFrame(docs, "doc_id long, text string")
+    bench = spark.createDataFrame([(1, " ".join(item))], "item_id long, text string")
+    got = {r["doc_id"]: r["score"] for r in D.contaminated(df, bench).collect()}
+    assert got == {i: 20.0 for i in range(60)} | {100 + i: 40.0 for i in range(10)}
