@@ -33,7 +33,8 @@ from .common import doc_texts
 
 BASE = ("email", "ip", "card", "phone")
 KINDS = (*BASE, "iban", "secret", "ssn")
-MAX_TOKENS = 14
+#: room for an address spelt out with two local parts and five labels, each bracket a token
+MAX_TOKENS = 23
 #: a token longer than this is shortened before features are taken, never in the span itself
 FEATURE_CHARS = 64
 WEIGHTS = 1 << 14
@@ -95,9 +96,11 @@ def _squeeze(s: str) -> str:
 def _features(text: str, toks: list[tuple[int, int]], i: int, j: int) -> list[int] | None:
     """Feature ids of tokens i..j as one segment; None if it can be no entity."""
     s, e = toks[i][0], toks[j][1]
-    span = text[s:e] if e - s <= 2 * FEATURE_CHARS else text[s:s + FEATURE_CHARS] + text[e - FEATURE_CHARS:e]
-    if not _TRIGGER.search(span) or "\n" in span:
+    span = text[s:e]
+    if "\n" in span or not _TRIGGER.search(span):
         return None
+    if e - s > 2 * FEATURE_CHARS:
+        span = span[:FEATURE_CHARS] + span[-FEATURE_CHARS:]
     shape = span
     for rx, c in _SHAPE:
         shape = rx.sub(c, shape)
@@ -262,14 +265,20 @@ def stretches(text: str, reach: int = 120) -> Iterator[tuple[int, int]]:
     """Parts of a text around triggers, cut at white space, that no candidate can cross."""
     lo = hi = None
     for m in _TRIGGER.finditer(text):
-        if hi is not None and m.start() - reach <= hi:
-            hi = m.end() + reach
-            continue
-        if hi is not None:
-            yield lo, hi
-        lo, hi = max(0, m.start() - reach), m.end() + reach
+        if hi is None or m.start() - reach > hi:
+            if hi is not None:
+                yield lo, hi
+            lo = max(0, m.start() - reach)
+            while lo > (hi or 0) and not text[lo - 1].isspace():
+                lo -= 1
+            hi = lo
+        to = min(len(text), m.end() + reach)
+        if to > hi:
+            while to < len(text) and not text[to].isspace():
+                to += 1
+            hi = to
     if hi is not None:
-        yield lo, min(hi, len(text))
+        yield lo, hi
 
 
 def field_spans(text: str, w: np.ndarray, batch: int = 4000) -> list[tuple[int, int, str]]:

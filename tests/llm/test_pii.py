@@ -93,3 +93,13 @@ def test_rows(spark, weights):
         assert out[r["doc_id"]]["base_sha256"] == hashlib.sha256(P.told(b).encode()).hexdigest()
         assert {*filter(None, P.told(b).split(","))} <= {*out[r["doc_id"]]["spans"].split(",")}
         assert out[r["doc_id"]]["n_phone"] == sum(k == "phone" for *_, k in b)
+
+
+def test_long_spans_are_candidates_and_stretches_end_at_white_space():
+    text = "mail john.doe [at] mail [dot] example [dot] com now"
+    toks, cand, _ = P.segments(text, 0, len(text))
+    assert ("john.doe [at] mail [dot] example [dot] com") in {text[toks[i][0]:toks[j][1]] for i, j in cand}
+    key = "k" * 80 + "7391" + "q" * 80
+    assert P.segments(key, 0, len(key))[1] == [(0, 0)]
+    text = "a" * 300 + "1" + "b" * 300 + " end " + "word " * 200 + "x" * 200 + "@" + "y" * 200 + " tail"
+    assert [text[lo:hi] for lo, hi in P.stretches(text)] == ["a" * 300 + "1" + "b" * 300, "x" * 200 + "@" + "y" * 200]
