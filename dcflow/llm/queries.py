@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, decontam, linededup, pii, quality, simhash, spcodec, template, tokcount, warc
+from . import chat, decontam, idfiles, linededup, pii, quality, simhash, spcodec, template, tokcount, warc
 from .common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -155,3 +155,9 @@ def op3_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     count = lambda kind: F.size(F.filter(base, lambda x: x["kind"] == kind)).cast("long")
     return found.select("doc_id", *[count(k).alias(f"n_{k}") for k in pii.BASE],
         F.sha2(spelt(base), 256).alias("base_sha256"), spelt(F.col("spans")).alias("spans"))
+
+
+@_query
+def op11_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Where the id files hold each document, and the checksum of its ids."""
+    return idfiles.encode_documents(spark, table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.PATTERN, end_id=2)
