@@ -160,4 +160,4 @@ def op3_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
 @_query
 def op11_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Where the id files hold each document, and the checksum of its ids."""
-    return idfiles.encode_documents(spark, table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.PATTERN, end_id=2)
+    return idfiles.encode_documents(spark, table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), end_id=2)

@@ -2,6 +2,7 @@ import random
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import public_tokenizers
 import pytest
 from tokenizers import Tokenizer
@@ -49,7 +50,7 @@ def test_files_hold_the_library_ids_in_order(spark, segment_ids):
     rows, lib = _rows(), Tokenizer.from_file(PATH)
     docs = spark.createDataFrame([(t, i, 7) for i, t in rows], "text string, doc_id long, start int").repartition(3)
     out = I.scratch_path(spark, "test-ids")
-    got = sorted(map(tuple, I.encode_documents(spark, docs, PATH, public_tokenizers.PATTERN, 2, out, segment_ids).collect()), key=lambda r: r[1])
+    got = sorted(map(tuple, I.encode_documents(spark, docs, PATH, 2, out, segment_ids).collect()), key=lambda r: r[1])
     ids = {t: [*lib.encode(t or "", add_special_tokens=False).ids, 2] for _, t in rows}
     texts = {}
     for i, t in rows:
@@ -69,7 +70,7 @@ def test_files_hold_the_library_ids_in_order(spark, segment_ids):
 
 def test_empty_table(spark):
     docs = spark.createDataFrame([], "doc_id long, text string")
-    assert I.encode_documents(spark, docs, PATH, public_tokenizers.PATTERN, 2).collect() == []
+    assert I.encode_documents(spark, docs, PATH, 2).collect() == []
 
 
 def test_a_cut_file_is_refused():
@@ -77,3 +78,17 @@ def test_a_cut_file_is_refused():
     assert [list(x[3]) for x in I.read_segments(whole + whole)] == [[1, 2, 3]] * 2
     with pytest.raises(ValueError):
         list(I.read_segments(whole[:-8]))
+
+
+def test_encoder_equals_the_library():
+    rnd, lib, own = random.Random(8), Tokenizer.from_file(PATH), I.Encoder(PATH)
+    chars = ["a", "the", "I'll", "é", "\n", " ", " ", " ", "  ", "   ", "\t", "\u00a0", "\u3000", "\x1c", "\u180e", "1", "99", "<|endoftext|>", "漢", "😀", ".", "'s", "_", "\u0120"]
+    texts = ["".join(rnd.choice(chars) for _ in range(rnd.randint(0, 60))) for _ in range(4000)] + ["", " ", "  ", "a ", " a", "\n ", " \n", "x" * 9000]
+    for lo in range(0, len(texts), 500):
+        part = texts[lo:lo + 500]
+        for t, ids in zip(part, own(pa.array(part))):
+            assert list(ids) == lib.encode(t, add_special_tokens=False).ids, repr(t)
+    every = [f"a{chr(c)} {chr(c)}b {chr(c)}" for c in range(0x30000) if not 0xD800 <= c < 0xE000]
+    for lo in range(0, len(every), 20000):
+        part = every[lo:lo + 20000]
+        assert [list(x) for x in own(pa.array(part))] == [e.ids for e in lib.encode_batch(part, add_special_tokens=False)]
