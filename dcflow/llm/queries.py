@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, decontam, idfiles, linededup, pii, quality, simhash, spcodec, template, tokcount, warc
+from . import chat, decontam, idfiles, linededup, negatives, pii, quality, simhash, spcodec, template, tokcount, trie, warc
 from .common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -161,3 +161,72 @@ def op3_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op11_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Where the id files hold each document, and the checksum of its ids."""
     return idfiles.encode_documents(spark, table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), end_id=2)
+
+
+@_query
+def op12_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every node of the prefix trie of conversations that share openings."""
+    return trie.prefix_trie(*trie.branched(table(spark, sf_dir, "conversations"), group=100, most=6))
+
+
+# crc32 is spelt out: one step a character, eight shifts each
+ORACLE_SQL["op12_prefix_trie"] = """
+WITH t AS (
+  SELECT conv_id, coalesce(role, '') AS r, coalesce(text, '') AS t, turn FROM conversations WHERE conv_id IS NOT NULL),
+c AS (
+  SELECT conv_id, list({'r': r, 't': t} ORDER BY turn NULLS FIRST, r, t) AS turns FROM t GROUP BY conv_id),
+h AS (
+  SELECT conv_id, turns, conv_id - conv_id % 100 AS base,
+         xor(list_reduce([4294967295] || [CAST(ascii(x) AS BIGINT) FOR x IN string_split(CAST(conv_id AS VARCHAR), '')],
+             lambda s, b: list_reduce([xor(s, b)] || [0, 0, 0, 0, 0, 0, 0, 0],
+                 lambda v, z: xor(v >> 1, CASE WHEN v % 2 = 1 THEN 3988292384 ELSE 0 END))), 4294967295) % 6 AS h
+  FROM c),
+r AS (
+  SELECT h.conv_id, coalesce(b.turns[1:h.h], []) || h.turns[h.h + 1:] AS turns FROM h LEFT JOIN c b ON b.conv_id = h.base),
+p AS (
+  SELECT conv_id, d, turns[1:d] AS path, len(turns) = d AS ends
+  FROM (SELECT conv_id, turns, unnest(range(0, len(turns) + 1)) AS d FROM r)),
+n AS (
+  SELECT path, d, min(conv_id) AS conv_id, count(*) AS n_convs,
+         coalesce(string_agg(CAST(conv_id AS VARCHAR), ',' ORDER BY conv_id) FILTER (WHERE ends), '') AS ends FROM p GROUP BY path, d),
+k AS (
+  SELECT path[1:d - 1] AS path, d - 1 AS d, count(*) AS n_children FROM n WHERE d > 0 GROUP BY 1, 2),
+each AS (
+  SELECT n.*, coalesce(k.n_children, 0) AS n_children, CASE WHEN n.d = 0 THEN 0 ELSE (n_convs - 1) * length(n.path[n.d].t) END AS saved
+  FROM n LEFT JOIN k ON n.path = k.path AND n.d = k.d),
+under AS (
+  SELECT path[1:top] AS path, top AS d, sum(CASE WHEN n_children = 0 THEN 1 ELSE 0 END) AS n_leaves, sum(saved) AS saved_tokens
+  FROM (SELECT *, unnest(range(0, d + 1)) AS top FROM each) GROUP BY 1, 2)
+SELECT e.conv_id, CAST(e.d AS BIGINT) AS depth, up.conv_id AS parent_conv_id, e.n_convs, CAST(e.n_children AS BIGINT) AS n_children,
+       CAST(u.n_leaves AS BIGINT) AS n_leaves, CAST(u.saved_tokens AS BIGINT) AS saved_tokens, sha256(e.ends) AS ends_sha256
+FROM each e JOIN under u ON e.path = u.path AND e.d = u.d LEFT JOIN n up ON e.d > 0 AND up.path = e.path[1:e.d - 1] AND up.d = e.d - 1
+"""
+
+
+@_query
+def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The hard negatives of every 50th vector's positives."""
+    rows = table(spark, sf_dir, "embeddings").select("vec_id", "embedding", F.when(
+        F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label")).alias("label"))
+    return negatives.mine(rows, F.col("vec_id") % 50 == 0)
+
+
+ORACLE_SQL["op13_hard_negatives"] = """
+WITH e AS (
+  SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+         [floor(256 * CAST(x AS DOUBLE)) FOR x IN embedding] AS v
+  FROM embeddings
+  WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+    AND len([x FOR x IN embedding IF x IS NULL OR NOT isfinite(x)]) = 0),
+s AS (
+  SELECT a.vec_id AS anchor_id, b.vec_id AS other_id, a.label = b.label AS same,
+         CAST(coalesce(list_sum([a.v[i] * b.v[i] FOR i IN range(1, len(a.v) + 1)]), 0) AS BIGINT) AS score
+  FROM e a JOIN e b ON a.vec_id <> b.vec_id AND len(a.v) = len(b.v) WHERE a.vec_id % 50 = 0),
+p AS (
+  SELECT anchor_id, other_id AS positive_id, score AS positive_score FROM s WHERE same
+  QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, other_id) <= 5)
+SELECT p.anchor_id, positive_id, CAST(row_number() OVER w AS INTEGER) AS rank, other_id AS negative_id, positive_score, score AS negative_score
+FROM p JOIN s ON s.anchor_id = p.anchor_id AND NOT s.same AND 50 * positive_score <= 100 * score AND 100 * score <= 95 * positive_score
+WINDOW w AS (PARTITION BY p.anchor_id, positive_id ORDER BY score DESC, other_id)
+QUALIFY row_number() OVER w <= 3
+"""
