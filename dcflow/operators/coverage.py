@@ -18,10 +18,12 @@ from pyspark.sql import functions as F
 
 from ..functions.dates import days_between, harvest_date, lit_date, ordered_bounds
 from ..functions.jsonfmt import array_to_json
-from ..session import checkpoint_dir
+from ..session import checkpoint_dir, scratch_path, written
 from .query import date_between
 
 DateLike = str | _dt.date | Column | None
+# Set names are looked up by three of their characters.
+GRAM = 3
 
 
 def sets_frame(spark: SparkSession, sets: Sequence[str] | DataFrame) -> DataFrame:
@@ -61,13 +63,16 @@ def records_in_sets(df: DataFrame, sets: Sequence[str] | DataFrame, match: str =
     ``exact``: the set is one of the record's sets. ``substring``: the name
     occurs in the JSON text of the record's set list. A list of set names is
     matched by an array expression per record (a generator, no join and no
-    shuffle). A DataFrame of names (exact only) is semi-joined on the exploded
-    set; substring matching against a DataFrame
-    would be a nested-loop theta join and is refused.
+    shuffle). A DataFrame of names is semi-joined on the exploded set, or, for
+    substrings, meets the distinct set lists through ``names_in_texts``.
     """
     if isinstance(sets, DataFrame):
+        if match == "substring":
+            rows = df.withColumn("_sets_text", array_to_json(col))
+            hits = names_in_texts(rows.select(F.col("_sets_text").alias("text")).distinct(), prepared_sets(sets))
+            return rows.join(hits.withColumnsRenamed({"text": "_sets_text", "name": "set_spec"}), "_sets_text").select(*df.columns, "set_spec")
         if match != "exact":
-            raise ValueError("substring matching takes a list of set names")
+            raise ValueError(f"match must be 'exact' or 'substring', not {match!r}")
         exploded = df.withColumn("set_spec", F.explode(F.array_distinct(F.col(col))))
         return exploded.join(prepared_sets(sets), "set_spec", "left_semi")
     wanted = F.array(*[F.lit(s) for s in dict.fromkeys(sets)]) if sets else F.array().cast("array<string>")
@@ -81,6 +86,36 @@ def records_in_sets(df: DataFrame, sets: Sequence[str] | DataFrame, match: str =
     return df.withColumn("set_spec", F.explode(hits))
 
 
+def names_in_texts(texts: DataFrame, names: DataFrame, size: int = GRAM) -> DataFrame:
+    """Every (text, name) with the name somewhere in the text, both distinct columns of their
+    frames' first columns, as ``text`` and ``name``.
+
+    A name is looked up by one of its grams of ``size`` characters (a shorter name by itself),
+    the one that the fewest texts hold, in an index of the texts' grams; what the lookup finds
+    is then compared in full. An equi-join on the gram, so no text meets a name that shares
+    nothing with it; a gram of many texts is used only by names all of whose grams are as
+    common. The empty name, whose only gram is empty, is in every text.
+    """
+    t = texts.select(F.col(texts.columns[0]).cast("string").alias("text")).where("text IS NOT NULL")
+    n = names.select(F.col(names.columns[0]).cast("string").alias("name")).where("name IS NOT NULL")
+
+    def grams(c: str, width: Column) -> Column:
+        starts = F.sequence(F.lit(1), F.length(c) - width + 1)
+        return F.when(F.length(c) >= width, F.array_distinct(F.transform(starts, lambda i: F.substr(F.col(c), i, width))))
+
+    none = F.array().cast("array<string>")
+    widths = F.array(*[F.lit(w) for w in range(size + 1)])        # shorter names look themselves up
+    index = t.select("text", F.explode(F.flatten(F.transform(widths, lambda w: F.coalesce(grams("text", w), none)))).alias("gram"))
+    wanted = n.select("name", F.explode(grams("name", F.least(F.length("name"), F.lit(size)))).alias("gram"))
+    found = written(index.join(wanted.select("gram").distinct(), "gram", "left_semi"), scratch_path(t.sparkSession, "grams"))
+    spread = found.groupBy("gram").agg(F.count(F.lit(1)).alias("n"))
+    # a gram that no text holds rules its name out
+    rarest = wanted.join(spread, "gram", "left").groupBy("name").agg(
+        F.min_by("gram", F.struct("n", "gram")).alias("gram"), F.bool_and(F.col("n").isNotNull()).alias("all"))
+    hits = found.join(rarest.where("all").select("name", "gram"), "gram")
+    return hits.where(F.instr(F.col("text"), F.col("name")) > 0).select("text", "name")
+
+
 def existing_dates(df: DataFrame, sets: Sequence[str] | DataFrame | None, lo: DateLike,
                    hi: DateLike, match: str = "exact",
                    ts_col: str = "header_datestamp") -> DataFrame:
@@ -97,7 +132,8 @@ def existing_dates(df: DataFrame, sets: Sequence[str] | DataFrame | None, lo: Da
         rows = rows.withColumn("set_spec", F.lit(None).cast("string"))
     elif isinstance(sets, DataFrame):
         if match != "exact":
-            raise ValueError("substring matching takes a list of set names")
+            pairs = rows.select("header_setSpecs", harvest_date(ts_col).alias("d")).distinct()
+            return records_in_sets(pairs, sets, match).select("set_spec", "d").distinct()
         pairs = rows.select(F.explode(F.array_distinct("header_setSpecs")).alias("set_spec"),
                             harvest_date(ts_col).alias("d")).distinct()
         return pairs.join(prepared_sets(sets), "set_spec", "left_semi")

@@ -26,28 +26,34 @@ DEFAULT_DELAY_MS = 3000
 def page_ledger(parsed: DataFrame, run_id: str = "", tagged: DataFrame | None = None) -> DataFrame:
     """The run ledger of landed pages: one row per request.
 
-    A request is what the server echoed (set, from, until); a page without an echo, as a
-    malformed one may be, is a request of its own, named by its path in ``page``. ``n`` counts
+    A request is what the server echoed (set, from, until), or the token it was asked with, then
+    named in ``page``; a page without an echo, as a malformed one may be, is a request of its
+    own, named by its path there. ``n`` counts
     the records that ``validate_records`` accepts, over all the request's pages; ``failed``
-    says that one of them was malformed or an error other than no-records, and leaves ``n`` as
-    it is. ``elapsed_s`` runs from the request's first landed page to its last (NULL without
+    says that one of them is malformed or an error other than no-records and was not landed
+    again as a good answer later, and leaves ``n`` as it is. ``elapsed_s`` runs from the request's first landed page to its last (NULL without
     landing times). ``tagged``: the pages' validated records, where there are any already.
     """
     from ..sources.pages import STATUS_ERROR, STATUS_MALFORMED, explode_records, status_of
+    from .chains import request_name
 
     if tagged is None:
         tagged = validate_records(flatten_records(explode_records(parsed)))
-    page = F.when(F.coalesce("request_set", "request_from", "request_until").isNull(), F.col("path"))
+    token = F.when(F.length("request_token") > 0, F.concat(F.lit("token:"), F.col("request_token")))
+    page = F.when(F.coalesce("request_set", "request_from", "request_until").isNull(), F.coalesce(token, F.col("path")))
     keys = [F.col("request_set").alias("set_spec"), "request_from", "request_until", page.alias("page")]
+    by = ["set_spec", "request_from", "request_until", "page"]
     landed = F.col("landed_at").cast("double") if "landed_at" in parsed.columns else F.lit(None).cast("double")
-    pages = parsed.select(*keys, F.lit(0).alias("n"), status_of().isin(STATUS_MALFORMED, STATUS_ERROR).alias("failed"),
-                          landed.alias("at"))
+    pages = parsed.select(*keys, request_name().alias("answers"), status_of().isin(STATUS_MALFORMED, STATUS_ERROR).alias("bad"),
+                          landed.alias("at"), "path")
+    # of the landings that answer the same thing, the last one tells whether it failed
+    each = pages.groupBy(*by, "answers").agg(F.max_by("bad", F.struct("at", "path")).alias("failed"),
+                                             F.min("at").alias("first"), F.max("at").alias("last"))
     kept = accepted(tagged).select(*keys, F.lit(1).alias("n"), F.lit(False).alias("failed"),
-                                   F.lit(None).cast("double").alias("at"))
-    by = ["set_spec", "request_from", "request_until", "page"]
-    g = pages.unionByName(kept).groupBy(*by).agg(
+                                   *[F.lit(None).cast("double").alias(c) for c in ("first", "last")])
+    g = each.drop("answers").withColumn("n", F.lit(0)).unionByName(kept).groupBy(*by).agg(
         F.sum("n").cast("bigint").alias("n"), F.bool_or("failed").alias("failed"),
-        (F.max("at") - F.min("at")).alias("elapsed_s"))
+        (F.max("last") - F.min("first")).alias("elapsed_s"))
     return g.select(F.lit(run_id).alias("run_id"), "set_spec",
                     F.to_date(F.col("request_from").try_cast("timestamp_ntz")).alias("d"),
                     "page", "n", "failed", "elapsed_s")

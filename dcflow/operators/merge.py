@@ -5,6 +5,10 @@ runs as a partial aggregate on the map side: a key written many times in one
 batch is reduced to one row per task before the shuffle, so a hot key does not
 pile up in one reducer. The merge itself is a full outer join on a key that is
 unique on both sides, so its shuffle is even.
+
+``arrival_key`` is the order in which a harvest sees its records: landing time, then page,
+then place on the page. It is a value of the row, not of the run that merges it, so rows may
+be merged in any batches and in any order and the same one wins.
 """
 
 from __future__ import annotations
@@ -14,6 +18,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions.dates import lit_ts
 from ..schemas import UPDATE_COLUMNS
@@ -26,6 +31,23 @@ def _order(seq: Sequence[str | Column]) -> Column:
     return cols[0] if len(cols) == 1 else F.struct(*cols)
 
 
+def micros(at: Column, ntz: bool = True) -> Column:
+    """Microseconds since 1970 of a UTC wall-clock time (or of a zoned timestamp)."""
+    epoch = F.lit("1970-01-01").cast("timestamp_ntz")
+    return F.timestamp_diff("MICROSECOND", epoch, at) if ntz else F.unix_micros(at)
+
+
+def arrival_key(df: DataFrame, as_of: str | _dt.datetime | Column) -> Column:
+    """``struct(at, path, pos)`` of each row, from its columns ``landed_at``, ``path`` and ``pos``
+    as far as it has them. A row without landing time arrives at ``as_of``."""
+    at = micros(lit_ts(as_of))
+    if "landed_at" in df.columns:
+        at = F.coalesce(micros(F.col("landed_at"), df.schema["landed_at"].dataType == T.TimestampNTZType()), at)
+    path = F.col("path") if "path" in df.columns else F.lit(None)
+    pos = F.col("pos") if "pos" in df.columns else F.lit(None)
+    return F.struct(at.alias("at"), path.cast("string").alias("path"), pos.cast("bigint").alias("pos"))
+
+
 def latest_per_key(df: DataFrame, seq: Sequence[str | Column], key: str = KEY) -> DataFrame:
     """Per key, the row that is last in arrival order ``seq``.
 
@@ -55,7 +77,8 @@ def match_existing(base: DataFrame, incoming: DataFrame, key: str = KEY) -> Data
 
 def upsert(base: DataFrame, incoming: DataFrame, as_of: str | _dt.datetime | Column,
            seq: Sequence[str | Column] | None = None, key: str = KEY,
-           columns: Sequence[str] = UPDATE_COLUMNS, dedupe: bool = True) -> DataFrame:
+           columns: Sequence[str] = UPDATE_COLUMNS, dedupe: bool = True,
+           arrival: str | None = None) -> DataFrame:
     """K1: ``INSERT ... ON CONFLICT (key) DO UPDATE`` as a DataFrame.
 
     New keys are inserted with ``created_at = updated_at = as_of``; a stored
@@ -63,9 +86,12 @@ def upsert(base: DataFrame, incoming: DataFrame, as_of: str | _dt.datetime | Col
     keeps its ``created_at`` (the earlier of the stored value and ``as_of``);
     stored keys absent from the batch are unchanged. ``base`` must carry
     ``created_at`` and ``updated_at``. Extra base columns (e.g. ``bucket``) are
-    recomputed by the caller.
+    recomputed by the caller. ``arrival`` names an order column both sides carry: then a
+    stored key is only updated by a row that did not arrive before it.
     """
     at = lit_ts(as_of)
+    if arrival:
+        columns = [*columns, arrival]
     if dedupe and seq:
         wanted = list(dict.fromkeys([key, *columns, *_seq_cols(seq)]))
         inc = latest_per_key(incoming.select(*wanted), seq, key)
@@ -75,10 +101,12 @@ def upsert(base: DataFrame, incoming: DataFrame, as_of: str | _dt.datetime | Col
     old = base.select(key, *columns, "created_at", "updated_at").withColumn("_old", F.lit(True))
     j = old.alias("o").join(inc.alias("i"), key, "full_outer")
     fresh = F.col("i._in").isNotNull()
+    if arrival:
+        fresh &= F.col("o._old").isNull() | F.coalesce(F.col(f"i.{arrival}") >= F.col(f"o.{arrival}"), F.lit(True))
     out = [F.col(key)]
     for c in columns:
         out.append(F.when(fresh, F.col(f"i.{c}")).otherwise(F.col(f"o.{c}")).alias(c))
-    out.append(F.least(F.col("o.created_at"), F.when(fresh, at)).alias("created_at"))
+    out.append(F.least(F.col("o.created_at"), F.when(F.col("i._in").isNotNull(), at)).alias("created_at"))
     out.append(F.when(fresh, at).otherwise(F.col("o.updated_at")).alias("updated_at"))
     return j.select(*out)
 

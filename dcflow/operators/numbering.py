@@ -64,6 +64,35 @@ def number_rows(df: DataFrame, group: Sequence[str], order: Sequence[Column | st
     return joined.select(*[F.col(f"_a.{c}") for c in df.columns], rn.cast("bigint").alias(out))
 
 
+def sliced(df: DataFrame, group: Sequence[str], order: Sequence[Column | str],
+           num_partitions: int | None = None) -> DataFrame:
+    """The rows written in slices of ``(group, order)``, with the slice ``_pid`` and the place
+    ``_pos`` in it: what ``running_sum`` works on."""
+    spark = df.sparkSession
+    keys = [F.col(g) for g in group] + [_col(o) for o in order]
+    pid = F.spark_partition_id()
+    ranged = (written(df, scratch_path(spark, "unsliced")).repartitionByRange(num_partitions or shuffle_partitions(spark), *keys)
+                .sortWithinPartitions(*keys).withColumn("_pid", pid)
+                .withColumn("_pos", F.monotonically_increasing_id() - F.shiftleft(pid.cast("bigint"), 33)))
+    return written(ranged, scratch_path(spark, "sliced"))
+
+
+def running_sum(slices: DataFrame, group: Sequence[str], value: str, out: str) -> DataFrame:
+    """Add ``out``, the sum of ``value`` over a row and all before it in its group, to ``sliced``
+    rows. A window sums within a slice, which is a task's share of the rows however large
+    the group, and the slices before it come as one number."""
+    inside = Window.partitionBy("_pid", *group).orderBy("_pos").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    before = Window.partitionBy(*group).orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
+    cells = slices.groupBy("_pid", *group).agg(F.sum(value).alias("_sum")).withColumn(
+        "_off", F.coalesce(F.sum("_sum").over(before), F.lit(0))).drop("_sum")
+    a, b = slices.withColumn(out, F.sum(value).over(inside)).alias("_a"), cells.alias("_b")
+    cond = F.col("_a._pid") == F.col("_b._pid")
+    for g in group:
+        cond = cond & F.col(f"_a.{g}").eqNullSafe(F.col(f"_b.{g}"))
+    total = F.col(f"_a.{out}") + F.col("_b._off")
+    return a.join(b, cond).select(*[F.col(f"_a.{c}") for c in slices.columns], total.alias(out))
+
+
 def previous_row(numbered: DataFrame, group: Sequence[str], cols: Sequence[str],
                  rn: str = "rn", prefix: str = "prev_") -> DataFrame:
     """Attach columns of the previous row of the same group (``lag`` by one).

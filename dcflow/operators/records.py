@@ -15,7 +15,6 @@ REASON_LONG_ID = "identifier_too_long"
 REASON_LONG_TYPE = "type_too_long"
 REASON_BAD_DATESTAMP = "bad_datestamp"
 REASON_DELETED = "deleted"
-REASON_NO_METADATA = "no_metadata"
 
 
 def flatten_records(exploded: DataFrame, record_col: str = "r",
@@ -27,8 +26,7 @@ def flatten_records(exploded: DataFrame, record_col: str = "r",
     are comments), whitespace collapsed. ``description="last", collapse=False``
     gives the other rule (last occurrence, raw text). ``title`` is the first
     title collapsed while ``metadata_title`` keeps every title raw. Missing
-    repeated elements become ``[]``. Adds ``deleted`` (header status) and
-    ``unread_metadata`` (there is metadata, in a container other than ``dc``), and keeps
+    repeated elements become ``[]``. Adds ``deleted`` (header status) and keeps
     every other input column.
     """
     r = F.col(record_col)
@@ -53,7 +51,6 @@ def flatten_records(exploded: DataFrame, record_col: str = "r",
         last_value(dc["type"]).alias("metadata_type"),
         collapse_ws(first_value(dc["title"])).alias("title"),
         (F.coalesce(h["_status"], F.lit("")) == F.lit("deleted")).alias("deleted"),
-        (r["metadata"].isNotNull() & dc.isNull()).alias("unread_metadata"),
     )
 
 
@@ -71,8 +68,8 @@ def validate_records(df: DataFrame, drop_deleted: bool = True) -> DataFrame:
     """F8: tag every record in one pass with ``reasons`` (array) and ``accepted``.
 
     Reasons: missing/empty key, key over 255 characters, type over 100
-    characters, datestamp missing or not a valid date/time, metadata in a container that is
-    not read (storing it would blank what is stored), and (by default) a deleted header. A rejected row is kept for quarantine, never dropped.
+    characters, datestamp missing or not a valid date/time, and (by default) a deleted
+    header. A rejected row is kept for quarantine, never dropped.
     """
     checks = [
         F.when(F.coalesce(F.length("header_identifier"), F.lit(0)) == 0, F.lit(REASON_MISSING_ID)),
@@ -80,8 +77,6 @@ def validate_records(df: DataFrame, drop_deleted: bool = True) -> DataFrame:
         F.when(F.length("metadata_type") > MAX_TYPE_CHARS, F.lit(REASON_LONG_TYPE)),
         F.when(F.col("header_datestamp").isNull(), F.lit(REASON_BAD_DATESTAMP)),
     ]
-    if "unread_metadata" in df.columns:
-        checks.append(F.when(F.col("unread_metadata"), F.lit(REASON_NO_METADATA)))
     if drop_deleted and "deleted" in df.columns:
         checks.append(F.when(F.col("deleted"), F.lit(REASON_DELETED)))
     reasons = F.array_compact(F.array(*checks))

@@ -34,6 +34,7 @@ BAD_PAGE_MOD, BAD_PAGE_REM = 10, 9      # an extra malformed copy of the page
 JUNK_PAGE_MOD, JUNK_PAGE_REM = 10, 7    # an extra copy with text after the root element
 OTHER_PAGE_MOD, OTHER_PAGE_REM = 10, 6  # an extra copy with another metadata container
 REQUEST_PAGES = 5                       # pages that answer one request
+LOST_MOD, LOST_REM, LOST_PAGE = 7, 3, 2  # requests whose third page issues a token nothing answers
 REQUEST_FROM, REQUEST_UNTIL = "2024-01-01", "2024-03-01"
 LANDED_EPOCH = 1717200000               # 2024-06-01 00:00:00 UTC; page p lands p seconds later
 KEYED_SPLIT = "2024-01-15 00:00:00"
@@ -164,6 +165,43 @@ def pages_v(spark: SparkSession, sf_dir: str, other_containers: bool = False) ->
         F.concat(_envelope(inner, request), junk).alias("value"))
 
 
+def chained_pages_v(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The records as lists that resumption tokens lead through, five pages a request, with the
+    landings a harvest of them leaves: ``(path, page_no, landed_at, value)``.
+
+    A request's first page echoes its arguments, the others the token ``t|<page_no>`` they were
+    asked with; all tell the size of the whole list, and the last page's token is empty. In
+    every request whose number is 3 modulo 7 the third page issues a token that no page
+    answers. Page p lands p minutes after the start. By ``page_no % 10``: an error lands 20
+    seconds before every page with 3, three errors before every page with 2, one error two
+    hours before every page with 1, and every page with 0 lands again a day later.
+    """
+    recs = record_xml(records_v(spark, sf_dir))
+    no, req = F.col("page_no"), F.expr(f"page_no div {REQUEST_PAGES}")
+    sizes = recs.groupBy(req.alias("req")).agg(F.count(F.lit(1)).alias("total"), F.max("page_no").alias("last_page"))
+    grouped = recs.groupBy("page_no").agg(F.array_sort(F.collect_list(F.struct("doc_id", "xml"))).alias("rs")).withColumn(
+        "req", req).join(sizes, "req")
+    end = no == F.col("last_page")
+    lost = (F.col("req") % LOST_MOD == LOST_REM) & (no % REQUEST_PAGES == LOST_PAGE)
+    token = F.when(end, F.lit("")).otherwise(F.concat(F.when(lost, F.lit("lost|")).otherwise(F.lit("t|")), _s(no + 1)))
+    echo = F.when(no % REQUEST_PAGES == 0, F.concat(F.lit(f'metadataPrefix="oai_dc" from="{REQUEST_FROM}" until="{REQUEST_UNTIL}" set="r'), _s(F.col("req")),
+                                                    F.lit('"'))).otherwise(F.concat(F.lit('resumptionToken="t|'), _s(no), F.lit('"')))
+    head = F.concat(F.lit(f'<OAI-PMH xmlns="{OAI_NS}"><responseDate>{RESPONSE_DATE}</responseDate><request verb="ListRecords" '), echo,
+                    F.lit(">https://example.org/oai</request>"))
+    body = F.concat(F.lit("<ListRecords>"), F.array_join(F.transform("rs", lambda x: x["xml"]), ""), F.lit('<resumptionToken completeListSize="'),
+                    _s(F.col("total")), F.lit('" cursor="'), _s(no % REQUEST_PAGES * PAGE_SIZE), F.lit('">'), token, F.lit("</resumptionToken></ListRecords>"))
+    landing = lambda kind, seconds: F.struct(F.lit(kind).alias("kind"), F.lit(seconds).alias("shift"))
+    kinds = [landing("", 0)]
+    for rem, copies in {3: [("-err1", -20)], 2: [("-err1", -60), ("-err2", -40), ("-err3", -20)], 1: [("-err1", -7200)], 0: [("-again", 86400)]}.items():
+        kinds += [F.when(no % 10 == rem, landing(*c)) for c in copies]
+    each = grouped.withColumn("landing", F.explode(F.array_compact(F.array(*kinds))))
+    error = F.lit('<error code="badResumptionToken">busy</error>')
+    return each.select(
+        F.concat(F.lit("chains/p"), F.lpad(_s(no), 7, "0"), F.col("landing.kind"), F.lit(".xml")).alias("path"), "page_no",
+        F.timestamp_seconds(F.lit(LANDED_EPOCH) + no * 60 + F.col("landing.shift")).alias("landed_at"),
+        F.concat(head, F.when(F.contains("landing.kind", F.lit("err")), error).otherwise(body), F.lit("</OAI-PMH>")).alias("value"))
+
+
 def stale_and_late(pages: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Copies of pages that land at other times: an outdated one of every page with
     ``page_no % 10 = 6``, landed a day earlier under a path that sorts later, and, a day

@@ -17,6 +17,7 @@ from ..functions.dates import (backfill_bounds, day_range, harvest_date, parse_d
                                parse_iso_date, recent_window)
 from ..functions.jsonfmt import array_to_json, json_to_array, safe_serialize, safe_serialize_array
 from ..functions.text import collapse_ws, first_value, last_value
+from ..operators.chains import page_attempts, token_chains
 from ..operators.coverage import (chunk_dates, coverage_summary, date_difference, existing_dates,
                                   missing_any_set, missing_dates, records_in_sets, set_date_spine)
 from ..operators.ledger import (assign_batches, batch_summary, harvest_summary, outcome_by_day, page_ledger,
@@ -29,7 +30,7 @@ from ..schemas import RECORD
 from ..session import scratch_path
 from ..sources.pages import (compact_pages, explode_records, page_status, parse_pages,
                              read_page_archive, read_pages)
-from ..sources.table import compact_table, ensure_table, merge_into, read_metadata, write_batches
+from ..sources.table import compact_table, ensure_table, merge_into, read_metadata, write_batches, write_set_batches
 from ..streaming.harvest import land_pages, stream_harvest
 from . import adapters as A
 from .jobs import backfill_plan, both_plan
@@ -345,27 +346,28 @@ def q_validate_records(spark: SparkSession, sf: str) -> DataFrame:
     r = validate_records(flatten_records(explode_records(pages)))
     return r.select("header_identifier", F.col("path").alias("page_path"),
                     F.col("pos").cast("bigint").alias("pos"), "accepted",
-                    F.array_join("reasons", ",").alias("reasons"))
+                    F.array_join("reasons", ",").alias("reasons"), "title", array_to_json("metadata_subject").alias("subjects"))
 
 
-# a copy of some pages keeps its metadata in a container that is not read
+# a copy of some pages keeps its metadata in a container of another name, which is read as well
 SQL_VALIDATE_RECORDS = f"""
 WITH r AS (
-  SELECT doc_id, {SQL_PAGE_NO} AS page_no, {SQL_PAGE_PATH} AS page_path,
+  SELECT doc_id, text, lang, source, {SQL_PAGE_NO} AS page_no, {SQL_PAGE_PATH} AS page_path,
          CAST(row_number() OVER (PARTITION BY {SQL_PAGE_NO} ORDER BY doc_id) - 1 AS BIGINT) AS pos,
          false AS other
   FROM documents),
 both_kinds AS (
   SELECT * FROM r
   UNION ALL
-  SELECT doc_id, page_no, replace(page_path, '.xml', '-other.xml'), pos, true FROM r
+  SELECT doc_id, text, lang, source, page_no, replace(page_path, '.xml', '-other.xml'), pos, true FROM r
   WHERE page_no % {A.OTHER_PAGE_MOD} = {A.OTHER_PAGE_REM})
 SELECT CASE WHEN {SQL_NO_ID} THEN '' ELSE {SQL_IDENT} END AS header_identifier, page_path, pos,
-       NOT (other OR {SQL_NO_ID} OR {SQL_BAD_DATE} OR {SQL_DELETED}) AS accepted,
+       NOT ({SQL_NO_ID} OR {SQL_BAD_DATE} OR {SQL_DELETED}) AS accepted,
        concat_ws(',', CASE WHEN {SQL_NO_ID} THEN 'missing_identifier' END,
                       CASE WHEN {SQL_BAD_DATE} THEN 'bad_datestamp' END,
-                      CASE WHEN other AND NOT {SQL_DELETED} THEN 'no_metadata' END,
-                      CASE WHEN {SQL_DELETED} THEN 'deleted' END) AS reasons
+                      CASE WHEN {SQL_DELETED} THEN 'deleted' END) AS reasons,
+       CASE WHEN NOT ({SQL_DELETED}) THEN {SQL_WS.format(x="split_part(text, chr(10), 1)")} END AS title,
+       CASE WHEN {SQL_DELETED} THEN '[]' ELSE CAST(to_json([source, lang]) AS VARCHAR) END AS subjects
 FROM both_kinds
 """
 
@@ -823,6 +825,127 @@ def q_landed_pages(spark: SparkSession, sf: str) -> DataFrame:
                                    F.sum("n_records").cast("bigint").alias("n_records"))
 
 
+# The same pages in runs of any order. Corrections land first, then two thirds of the
+# pages, which are folded into the base, and last the others with all outdated copies; the
+# records are those of one batch over everything.
+def q_harvest_any_order(spark: SparkSession, sf: str) -> DataFrame:
+    pages = A.pages_v(spark, sf)
+    stale, late = A.stale_and_late(pages)
+    landing, table_path = scratch_path(spark, "any-order"), scratch_path(spark, "any-order-table")
+    third = lambda k: pages.where(F.col("page_no") % 3 == k)
+    for n, part in enumerate((late, third(1).unionByName(third(2)), third(0).unionByName(stale))):
+        compact_pages(part, f"{landing}/{n}")
+        stream_harvest(spark, landing, table_path, as_of=AS_OF_RECENT + " 00:00:00", num_buckets=8, max_files_per_trigger=None,
+                       archive=True).awaitTermination()
+        if n == 1:
+            compact_table(spark, table_path, 8, max_files=0)
+    t = read_metadata(spark, table_path)
+    return t.select("header_identifier", "header_datestamp", F.get("metadata_title", 0).alias("raw_title"), "metadata_description",
+                    F.timestamp_micros("arrival.at").cast("timestamp_ntz").alias("landed_at"), F.col("arrival.path").alias("page"))
+
+
+SQL_HARVEST_ANY_ORDER = f"""
+SELECT {SQL_IDENT} AS header_identifier, CAST({SQL_DAY} AS TIMESTAMP) AS header_datestamp,
+       CASE WHEN {SQL_PAGE_NO} % 10 = 5 THEN 'late ' ELSE '' END || split_part(text, chr(10), 1) AS raw_title,
+       {SQL_WS.format(x='text')} AS metadata_description,
+       TIMESTAMP '2024-06-01' + to_seconds({SQL_PAGE_NO} + CASE WHEN {SQL_PAGE_NO} % 10 IN (4, 5) THEN 86400 ELSE 0 END) AS landed_at,
+       replace({SQL_PAGE_PATH}, '.xml', CASE {SQL_PAGE_NO} % 10 WHEN 5 THEN '_late.xml' WHEN 4 THEN '_again.xml' ELSE '.xml' END) AS page
+FROM documents WHERE {SQL_STORED}
+"""
+
+
+# Sets given as data, matched as substrings of the records' set lists
+def q_sets_substring(spark: SparkSession, sf: str) -> DataFrame:
+    recs = stored_records(spark, sf)
+    d = A.table(spark, sf, "documents")
+    sets = d.select(F.explode(F.array("lang", "source", F.concat_ws(":", "lang", "source"), F.concat(F.lit('"'), "lang", F.lit('","')),
+                                      F.concat(F.substr("lang", F.lit(2)), F.lit(":")), F.substr("lang", F.lit(1), F.lit(1)),
+                                      F.concat("source", F.lit("?")))).alias("name")).distinct()
+    found = existing_dates(recs, sets, LO, HI, "substring").groupBy("set_spec").agg(F.count(F.lit(1)).alias("n_days"))
+    n = records_in_sets(recs, sets, "substring").groupBy("set_spec").agg(F.count(F.lit(1)).alias("n_records"))
+    return n.join(found, "set_spec")
+
+
+SQL_SETS_SUBSTRING = f"""
+WITH rec AS (SELECT CAST(to_json([lang, lang || ':' || source]) AS VARCHAR) AS sets, CAST({SQL_DAY} AS DATE) AS d
+             FROM documents WHERE {SQL_STORED}),
+names AS (SELECT DISTINCT unnest([lang, source, lang || ':' || source, '"' || lang || '","', substr(lang, 2) || ':', substr(lang, 1, 1),
+                                  source || '?']) AS set_spec FROM documents)
+SELECT set_spec, count(*) AS n_records, count(DISTINCT d) FILTER (WHERE d BETWEEN DATE '{LO}' AND DATE '{HI}') AS n_days
+FROM names JOIN rec ON contains(rec.sets, names.set_spec) GROUP BY set_spec
+"""
+
+
+# The lists that resumption tokens lead through
+def q_token_chains(spark: SparkSession, sf: str) -> DataFrame:
+    c = token_chains(parse_pages(A.chained_pages_v(spark, sf)))
+    return c.select("head", "request_set", "n_pages", "n_records", "complete_list_size", "failed_pages", "orphan", "complete", "missing", "resume_url")
+
+
+SQL_CHAINS = f"""
+pg AS (SELECT {SQL_PAGE_NO} AS p, count(*) AS n FROM documents GROUP BY 1),
+lists AS (SELECT *, p // {A.REQUEST_PAGES} AS r, p % {A.REQUEST_PAGES} AS i, max(p) OVER w AS last_page, sum(n) OVER w AS total
+          FROM pg WINDOW w AS (PARTITION BY p // {A.REQUEST_PAGES}))
+"""
+SQL_LIST_NAME = """'list:{{"v":"r' || CAST({r} AS VARCHAR) || '"}}{{"v":"%s"}}{{"v":"%s"}}'""" % (A.REQUEST_FROM, A.REQUEST_UNTIL)
+SQL_TOKEN_CHAINS = f"""
+WITH {SQL_CHAINS},
+parts AS (SELECT *, r % {A.LOST_MOD} = {A.LOST_REM} AND i > {A.LOST_PAGE} AS after,
+                 r % {A.LOST_MOD} = {A.LOST_REM} AND i <= {A.LOST_PAGE} AND last_page % {A.REQUEST_PAGES} > {A.LOST_PAGE} AS before FROM lists)
+SELECT CASE WHEN after THEN 'token:t|' || CAST(min(p) AS VARCHAR) ELSE {SQL_LIST_NAME.format(r='r')} END AS head,
+       CASE WHEN NOT after THEN 'r' || CAST(r AS VARCHAR) END AS request_set, count(*) AS n_pages, CAST(sum(n) AS BIGINT) AS n_records,
+       CAST(max(total) AS BIGINT) AS complete_list_size, CAST(0 AS BIGINT) AS failed_pages, after AS orphan, NOT before AS complete,
+       CAST(max(total) - sum(n) AS BIGINT) AS missing,
+       CASE WHEN before THEN 'https://example.org/oai?verb=ListRecords&resumptionToken=lost%7C' || CAST(max(p) + 1 AS VARCHAR) END AS resume_url
+FROM parts GROUP BY r, after, before
+"""
+
+
+# Attempts out of landed pages
+def q_page_attempts(spark: SparkSession, sf: str) -> DataFrame:
+    return resolve_attempts(page_attempts(parse_pages(A.chained_pages_v(spark, sf))), max_retries=3).drop("client")
+
+
+SQL_PAGE_ATTEMPTS = f"""
+WITH {SQL_CHAINS},
+named AS (SELECT p, CASE WHEN i = 0 THEN {SQL_LIST_NAME.format(r='r')} ELSE 'token:t|' || CAST(p AS VARCHAR) END AS request FROM lists)
+SELECT request || '#1' AS request_id, p % 10 NOT IN (1, 2) AS succeeded,
+       CAST(CASE p % 10 WHEN 2 THEN 3 WHEN 3 THEN 2 ELSE 1 END AS INTEGER) AS attempts_used,
+       CASE WHEN p % 10 IN (1, 2) THEN 503 ELSE 200 END AS last_status FROM named
+UNION ALL
+SELECT request || '#2', true, 1, 200 FROM named WHERE p % 10 IN (0, 1)
+"""
+
+
+# A3 feed: a failure that was landed again well is none
+def q_retried_ledger(spark: SparkSession, sf: str) -> DataFrame:
+    led = page_ledger(parse_pages(A.chained_pages_v(spark, sf).where(~F.contains("path", F.lit("-again")))), "run")
+    return led.select("set_spec", "page", "n", "failed")
+
+
+SQL_RETRIED_LEDGER = f"""
+WITH pg AS (SELECT {SQL_PAGE_NO} AS p, count(*) FILTER (WHERE {SQL_STORED}) AS n FROM documents GROUP BY 1)
+SELECT CASE WHEN p % {A.REQUEST_PAGES} = 0 THEN 'r' || CAST(p // {A.REQUEST_PAGES} AS VARCHAR) END AS set_spec,
+       CASE WHEN p % {A.REQUEST_PAGES} > 0 THEN 'token:t|' || CAST(p AS VARCHAR) END AS page, n, false AS failed FROM pg
+"""
+
+
+# The batches a harvest flushes, as files
+def q_set_batches(spark: SparkSession, sf: str) -> DataFrame:
+    path = scratch_path(spark, "set-batches")
+    write_set_batches(_harvest_rows(spark, sf), path, ["path", "pos"], BATCH)
+    back = spark.read.schema("header_identifier string, row_no long, set_spec string, batch_no long").parquet(path).select(
+        "*", F.col("_metadata.file_path").alias("file"))
+    files = back.groupBy("set_spec", "batch_no").agg(F.countDistinct("file").alias("n_files"), F.count(F.lit(1)).alias("n_rows"))
+    return back.join(files, ["set_spec", "batch_no"]).select("header_identifier", "set_spec", "batch_no", "row_no", "n_files", "n_rows")
+
+
+SQL_SET_BATCHES = f"""
+SELECT header_identifier, set_spec, batch_no, row_no, CAST(1 AS BIGINT) AS n_files, count(*) OVER (PARTITION BY set_spec, batch_no) AS n_rows
+FROM ({SQL_ASSIGN_BATCHES}) b
+"""
+
+
 QUERIES: dict[str, QueryFn] = {
     "parse_records": q_parse_records,
     "page_status": q_page_status,
@@ -865,6 +988,12 @@ QUERIES: dict[str, QueryFn] = {
     "page_ledger": q_page_ledger,
     "page_throughput": q_page_throughput,
     "stream_harvest": q_stream_harvest,
+    "harvest_any_order": q_harvest_any_order,
+    "sets_substring": q_sets_substring,
+    "token_chains": q_token_chains,
+    "page_attempts": q_page_attempts,
+    "retried_ledger": q_retried_ledger,
+    "set_batches": q_set_batches,
 }
 
 ORACLE_SQL: dict[str, str] = {
@@ -909,4 +1038,10 @@ ORACLE_SQL: dict[str, str] = {
     "page_ledger": SQL_PAGE_LEDGER,
     "page_throughput": SQL_PAGE_THROUGHPUT,
     "stream_harvest": SQL_STREAM_HARVEST,
+    "harvest_any_order": SQL_HARVEST_ANY_ORDER,
+    "sets_substring": SQL_SETS_SUBSTRING,
+    "token_chains": SQL_TOKEN_CHAINS,
+    "page_attempts": SQL_PAGE_ATTEMPTS,
+    "retried_ledger": SQL_RETRIED_LEDGER,
+    "set_batches": SQL_SET_BATCHES,
 }

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from ..functions.dates import backfill_bounds, day_range, recent_window
 from ..operators.coverage import chunk_dates, missing_dates, sets_frame
 from ..operators.ledger import harvest_summary, page_ledger
+from ..operators.merge import arrival_key
 from ..operators.records import accepted, flatten_records, rejected, validate_records
 from ..session import list_names, remove_path, scratch_path, written
 from ..sources.pages import explode_records, page_status, parse_pages
@@ -81,14 +82,20 @@ def landing_time(pages: DataFrame) -> _dt.datetime:
 
 
 def _replace_run(df: DataFrame, path: str, run_id: str) -> None:
-    """Write one run's rows into its ``run_id`` partition, replacing it. A dynamic overwrite
-    without rows replaces nothing, so an emptied run's old partition is removed."""
-    if df.isEmpty():
-        for name in list_names(df.sparkSession, path):
-            if unquote(name) == f"run_id={run_id}":
-                remove_path(df.sparkSession, f"{path}/{name}")
+    """Write one run's rows into its ``run_id`` partition, replacing it, in one pass over ``df``.
+    A dynamic overwrite without rows replaces nothing, so an emptied run's old partition, whose
+    files are still the ones from before, is removed."""
+    spark = df.sparkSession
+
+    def files() -> set[str]:
+        mine = [n for n in list_names(spark, path) if unquote(n) == f"run_id={run_id}"]
+        return {f"{n}/{f}" for n in mine for f in list_names(spark, f"{path}/{n}")}
+
+    before = files()
     df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic") \
         .partitionBy("run_id").parquet(path)
+    for folder in {f.split("/", 1)[0] for f in before & files()}:
+        remove_path(spark, f"{path}/{folder}")
 
 
 def _ingest(spark: SparkSession, parsed: DataFrame, table_path: str, as_of, run_id, quarantine_path,
@@ -100,10 +107,10 @@ def _ingest(spark: SparkSession, parsed: DataFrame, table_path: str, as_of, run_
         .withColumn("run_id", F.lit(run_id))
     if quarantine_path:
         _replace_run(rejected(tagged), quarantine_path, run_id)
-    # arrival order: the later landing wins, so one batch gives what many micro-batches give;
+    # arrival order: the later landing wins, so one batch gives what any micro-batches give;
     # the file name only settles pages that landed at one moment
-    seq = [c for c in ("landed_at", "path", "pos") if c in tagged.columns]
-    res = merge_into(spark, table_path, accepted(tagged), as_of, seq, num_buckets)
+    kept = accepted(tagged)
+    res = merge_into(spark, table_path, kept.withColumn("arrival", arrival_key(kept, as_of)), as_of, ["arrival"], num_buckets)
     res["as_of"], res["run_id"] = as_of, run_id
     if with_counts:
         stats = page_status(parsed).groupBy("status").count().collect()

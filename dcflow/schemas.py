@@ -26,9 +26,10 @@ DUBLIN_CORE = T.StructType([
     T.StructField("type", ARR),
     T.StructField("identifier", ARR),
 ])
+# The metadata's child elements by name, whatever they are called: each is read for Dublin Core.
 RECORD_XML = T.StructType([
     T.StructField("header", HEADER),
-    T.StructField("metadata", T.StructType([T.StructField("dc", DUBLIN_CORE)])),
+    T.StructField("metadata", T.MapType(S, DUBLIN_CORE)),
 ])
 PAGE_XML = T.StructType([
     T.StructField("responseDate", S),   # present in every OAI-PMH response
@@ -52,6 +53,7 @@ PAGE_XML = T.StructType([
         T.StructField("_from", S),
         T.StructField("_until", S),
         T.StructField("_metadataPrefix", S),
+        T.StructField("_resumptionToken", S),
     ])),
     T.StructField("_corrupt_record", S),
 ])
@@ -84,9 +86,17 @@ RECORD = T.StructType([
     T.StructField("metadata_title", ARR),
     T.StructField("metadata_type", S),
 ])
+# When a stored row arrived: microseconds since 1970 (UTC), and the page and place it came from.
+# Structs compare field by field, so the later arrival is the larger one.
+ARRIVAL = T.StructType([
+    T.StructField("at", T.LongType()),
+    T.StructField("path", S),
+    T.StructField("pos", T.LongType()),
+])
 TABLE = T.StructType(RECORD.fields + [
     T.StructField("created_at", T.TimestampNTZType()),
     T.StructField("updated_at", T.TimestampNTZType()),
+    T.StructField("arrival", ARRIVAL),
     T.StructField("bucket", T.IntegerType()),
 ])
 

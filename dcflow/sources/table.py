@@ -4,9 +4,13 @@
 Layout: ``<path>/base/bucket=<b>/part-*.parquet`` with ``b = pmod(xxhash64(id), N)`` holds one
 row per identifier. A merge only appends: its batch, one row per identifier, becomes the
 folder ``<path>/delta/version=<v>``, and no stored file is read or rewritten, whatever the
-batch's size. ``read_metadata`` lays the latest version of each identifier over the base.
-``compact_table`` folds the deltas into the buckets they touch and removes them; until then
-a read pays one join of the base with the rows merged since.
+batch's size. ``compact_table`` folds the deltas into the buckets they touch and removes them;
+until then a read pays one join of the base with the rows merged since.
+
+Every row keeps its ``arrival``. Of an identifier's copies, in the base and in any number of
+versions, ``read_metadata`` gives the last to arrive, whichever was merged last: a harvest
+dealt into batches in any way, or an archive of older pages merged after a newer one, leaves
+the same records. Between copies of equal arrival the later merge wins.
 
 One writer at a time. A merge that dies leaves no committed version or a whole one, and a
 re-run adds the same rows under the next version. A compaction that dies after its swap
@@ -23,9 +27,10 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.dates import lit_ts
-from ..operators.merge import KEY, latest_per_key
-from ..schemas import RECORD_COLUMNS, TABLE
-from ..session import list_names, make_dirs, path_exists, remove_path
+from ..operators.ledger import assign_batches
+from ..operators.merge import KEY, latest_per_key, micros
+from ..schemas import ARRIVAL, RECORD_COLUMNS, TABLE
+from ..session import list_names, make_dirs, path_exists, remove_path, shuffle_partitions
 
 DEFAULT_BUCKETS = 64
 # Identifiers expected per Parquet row group (128 MB of ~1 KB records), which
@@ -93,16 +98,20 @@ def read_metadata(spark: SparkSession, path: str) -> DataFrame:
     if not delta_versions(spark, path):
         return base
     buckets = table_buckets(spark, path) or DEFAULT_BUCKETS
-    others = [c for c in ROW_COLUMNS if c not in (KEY, "created_at")]
     delta = spark.read.schema(DELTA).parquet(_part(path, "delta"))
-    last = delta.groupBy(KEY).agg(F.max_by(F.struct(*others), "version").alias("_v"),
-                                  F.min("created_at").alias("_first"))
+    keys = delta.select(KEY).distinct()
     # the base rows of these keys first: a few keys can be broadcast, the base need not move
-    born = base.select(KEY, F.col("created_at").alias("_born")).join(last.select(KEY), KEY, "left_semi")
-    fresh = last.join(born, KEY, "left").select(
-        KEY, *[F.col(f"_v.{c}").alias(c) for c in others],
-        F.least("_first", "_born").alias("created_at"), bucket_of(KEY, buckets).alias("bucket"))
-    return base.join(last.select(KEY), KEY, "left_anti").unionByName(fresh).select(*base.columns)
+    held = base.drop("bucket").withColumn("version", F.lit(0).cast("bigint")).join(keys, KEY, "left_semi")
+    fresh = _last_to_arrive(delta.unionByName(held)).withColumn("bucket", bucket_of(KEY, buckets))
+    return base.join(keys, KEY, "left_anti").unionByName(fresh).select(*base.columns)
+
+
+def _last_to_arrive(copies: DataFrame) -> DataFrame:
+    """Per identifier the copy that arrived last, with the earliest ``created_at`` of all."""
+    others = [c for c in ROW_COLUMNS if c not in (KEY, "created_at")]
+    order = F.struct("arrival", "version")
+    last = copies.groupBy(KEY).agg(F.max_by(F.struct(*others), order).alias("_v"), F.min("created_at").alias("created_at"))
+    return last.select(KEY, *[F.col(f"_v.{c}").alias(c) for c in others], "created_at")
 
 
 def write_metadata(df: DataFrame, path: str, num_buckets: int = DEFAULT_BUCKETS,
@@ -114,6 +123,8 @@ def write_metadata(df: DataFrame, path: str, num_buckets: int = DEFAULT_BUCKETS,
     identifier carries a Parquet bloom filter (lookups by identifier skip row groups).
     ``max_records_per_file`` caps file size.
     """
+    if "arrival" not in df.columns:
+        df = df.withColumn("arrival", F.lit(None).cast(ARRIVAL))     # any merged row arrives later
     out = df.withColumn("bucket", bucket_of(KEY, num_buckets)).select(*[f.name for f in TABLE.fields])
     # the slice hash differs from the bucket hash, or a bucket would stay in one slice
     part = F.pmod(F.hash(KEY), F.lit(int(tasks_per_bucket)))
@@ -134,19 +145,39 @@ def write_batches(df: DataFrame, path: str, size: int = 2000, mode: str = "error
     df.write.mode(mode).option("maxRecordsPerFile", int(size)).parquet(path)
 
 
+def write_set_batches(df: DataFrame, path: str, order: Sequence[str | Column], size: int = 2000,
+                      set_col: str = "set_spec", mode: str = "errorifexists") -> None:
+    """K4: write each set's records as the batches a harvest flushes: in arrival ``order``, every
+    batch of ``size`` records, the last what is left, one file a batch at
+    ``<path>/<set_col>=<set>/batch_no=<n>/``, with ``row_no`` in it.
+
+    A range partitioning by (set, batch) keeps a batch in one task and cuts a set of any size
+    into as many tasks as it has batches for.
+    """
+    batches = assign_batches(df, order, set_col, size)
+    by = [set_col, "batch_no"]
+    (batches.repartitionByRange(shuffle_partitions(df.sparkSession), *by).sortWithinPartitions(*by, "row_no")
+     .write.mode(mode).partitionBy(*by).parquet(path))
+
+
 def merge_into(spark: SparkSession, path: str, incoming: DataFrame,
                as_of: str | _dt.datetime | Column, seq: Sequence[str | Column],
                num_buckets: int = DEFAULT_BUCKETS) -> dict:
     """K1 + K2: upsert one batch of records into the table at ``path``.
 
     The batch is reduced to the last row per key in ``seq`` and appended as the next
-    version, in one pass over ``incoming``; nothing stored is read or rewritten. Later
-    merges win over earlier ones and ``created_at`` stays the earliest. A record without a
-    key fails the write before anything is committed. A batch without rows adds no version.
+    version, in one pass over ``incoming``; nothing stored is read or rewritten. A row
+    carries its ``arrival`` (a column of ``incoming``, else the run time ``as_of``): it wins
+    over stored copies that arrived before it, and ``created_at`` stays the earliest. A record
+    without a key fails the write before anything is committed. A batch without rows adds no
+    version.
     """
     ensure_table(spark, path, num_buckets)
     _same_buckets(spark, path, num_buckets)
-    wanted = list(dict.fromkeys([*RECORD_COLUMNS, *[c for c in seq if isinstance(c, str)]]))
+    if "arrival" not in incoming.columns:
+        incoming = incoming.withColumn("arrival", F.struct(
+            micros(lit_ts(as_of)).alias("at"), F.lit(None).cast("string").alias("path"), F.lit(None).cast("bigint").alias("pos")))
+    wanted = list(dict.fromkeys([*RECORD_COLUMNS, "arrival", *[c for c in seq if isinstance(c, str)]]))
     key = F.coalesce(KEY, F.raise_error(F.lit(f"records without {KEY}; run validate_records first")))
     batch = latest_per_key(incoming.select(*wanted).withColumn(KEY, key), seq, KEY)
     version = max(delta_versions(spark, path), default=0) + 1

@@ -173,10 +173,28 @@ def test_type_and_datestamp_take_the_last_occurrence(spark):
     assert r.metadata_type == "Article" and str(r.header_datestamp) == "2024-01-09 00:00:00"
 
 
-def test_metadata_in_another_container_is_quarantined(spark):
+def test_metadata_in_any_container_is_stored(spark):
     from dcflow.operators.records import validate_records
-    other = "<record><header><identifier>m1</identifier><datestamp>2024-01-01</datestamp></header>" \
-            "<metadata><mods><title>kept elsewhere</title></mods></metadata></record>"
-    bare = "<record><header><identifier>m2</identifier><datestamp>2024-01-01</datestamp></header></record>"
-    got = {r.header_identifier: r.reasons for r in validate_records(flat(spark, [page(other + bare + rec("m3"))])).collect()}
-    assert got == {"m1": ["no_metadata"], "m2": [], "m3": []}
+
+    def of(ident, metadata):
+        return f"<record><header><identifier>{ident}</identifier><datestamp>2024-01-01</datestamp></header>{metadata}</record>"
+
+    body = (of("m1", '<metadata xmlns:x="urn:x" id="7">\n <mods><title>kept elsewhere</title><unread>u</unread></mods>\n</metadata>')
+            + of("m2", "") + rec("m3") + of("m4", "<metadata/>") + of("m5", "<metadata>stray<a><title>A</title></a><b k='v'><title>B</title><type>t</type></b></metadata>")
+            + of("m6", "<metadata><x:any xmlns:x='urn:x'><x:title>one</x:title><x:nested><x:title>deeper</x:title></x:nested><x:title>two</x:title></x:any></metadata>")
+            + of("m7", "<metadata><title>no container</title></metadata>"))
+    rows = {r.header_identifier: r for r in validate_records(flat(spark, [page(body)])).collect()}
+    assert {k: r.reasons for k, r in rows.items()} == {f"m{i}": [] for i in range(1, 8)}
+    assert {k: r.metadata_title for k, r in rows.items()} == {
+        "m1": ["kept elsewhere"], "m2": [], "m3": [], "m4": [], "m5": ["A", "B"], "m6": ["one", "two"], "m7": []}
+    assert rows["m5"].metadata_type == "t"
+
+
+def test_a_value_is_its_text_content(spark):
+    dc = ("<dc:title>H<sub>2</sub>O &lt;b&gt; <i a=\"1>2\">it<b>al</b></i>ic<!-- note --> &#60;x&#x3c; &amp;lt;</dc:title>"
+          "<dc:creator><![CDATA[a <b> & ]]>c <![CDATA[<d>]]>\ufdd0</dc:creator><dc:subject><only/></dc:subject><dc:type>a<br/>b</dc:type>")
+    r = flat(spark, [page(rec("a&lt;b", dc=dc, sets=("s&lt;1",)))]).first()
+    assert r.metadata_title == ["H2O <b> italic <x< &lt;"]
+    assert r.metadata_creator == ["a <b> & c <d>\ufdd0"]
+    assert r.metadata_subject == [""] and r.metadata_type == "ab"
+    assert r.header_identifier == "a<b" and r.header_setSpecs == ["s<1"]
