@@ -2,11 +2,15 @@
 
 1. Each page is parsed once into blocks (runs of text between block tags) and into the
    containers that hold them; a container's token is the chain of tags and classes above it.
-   Menus, headers, footers, sidebars, forms, scripts and styles are known by their tags and
-   never become blocks. Containers whose class, id or role has a name made up of listed words
-   alone (``cookie-notice``, not ``no-ads``) are set aside, other than html, body, main,
+   Parsing is linear in the page, however deep it nests. Attributes are read by HTML's rules:
+   a quote opens a value only after an equals sign. Set aside are: menus, headers, footers,
+   sidebars and controls, by their tags; containers whose class, id or role has a name made up
+   of listed words alone (``cookie-notice``, not ``no-ads``), other than html, body, main,
    article and what holds them (an article inside an article, as comments are, does not
-   count); a page left empty falls back to all its blocks, and then to what was set aside.
+   count); and forms that are forms, with at most ``FORM_WORDS`` words a control. What holds the
+   page's only article or main element is never set aside by its tag. An element left open
+   takes in what follows it, so it is set aside only if it holds less than a fifth of the text or mostly
+   links. A page left empty falls back to all its blocks, and then to what was set aside by words.
    A page's content is the text of its article, else its main element, else its deepest
    container that holds four fifths of its text; pages of a host with equal content are one
    distinct page, whatever stands around it.
@@ -31,17 +35,21 @@
 
 Defined results: a null or empty html gives an empty text; a null url belongs to an unnamed
 host; repeated rows are one distinct page for the template and a row each in the result;
-markup cut off at the end of a page is dropped and the text before it kept; containers
-nested over 48 deep count as part of the 48th; extra columns are ignored.
+markup cut off at the end of a page is dropped and the text before it kept; very long and
+very deep pages are read whole; an empty table gives no rows; extra columns are ignored.
 """
 
 from __future__ import annotations
 
+import enum
 import html as entities
 import json
 import re
 import zlib
+from bisect import bisect_left, bisect_right
+from collections import Counter
 from collections.abc import Iterator
+from itertools import accumulate
 
 import pyarrow as pa
 import xxhash
@@ -53,7 +61,7 @@ from .common import staged
 # Element names of HTML and words that pages use in class, id and role.
 SKIPPED = {"head", "nav", "footer", "aside", "form", "menu", "dialog", "select", "button", "svg", "canvas", "object", "audio",
            "video", "datalist", "map"}
-RAW = "script|style|noscript|template|textarea|iframe|title|xmp"
+RAW = "script|style|textarea|iframe|title|xmp"
 CONTAINERS = SKIPPED | {"html", "body", "main", "article", "section", "div", "header", "table", "tbody", "tr", "td", "ul", "ol", "dl",
                         "blockquote", "figure", "details", "center", "fieldset"}
 BLOCKS = CONTAINERS | {"p", "h1", "h2", "h3", "h4", "h5", "h6", "li", "dt", "dd", "br", "hr", "pre", "th", "thead", "tfoot", "caption",
@@ -64,13 +72,15 @@ SKIPPED_WORDS = {"ad", "ads", "advert", "adverts", "advertisement", "advertising
                  "comments", "disqus", "replies", "related", "recommended", "share", "sharing", "social", "login", "search",
                  "complementary", "contentinfo", "alert"}
 VOID = {"br", "hr", "img", "input", "meta", "link", "wbr", "source", "area", "base", "col", "embed", "param", "track"}
-MAX_DEPTH = 48
+CONTROLS = {"input", "select", "textarea", "button", "label", "option"}
+#: a form of more words a control than this is a page's body in a form
+FORM_WORDS = 20
 #: an equivalence class has at least so many members
 LEAST_MEMBERS = 2
 
-MARKUP = re.compile(rf"<!--.*?(?:-->|\Z)|<({RAW})\b[^>]*>.*?(?:</\1\s*>|\Z)|<(/?)([a-z][a-z0-9:-]*+)((?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+)>"
-                    r"|<[!?/][^>]*+(?:>|\Z)|<[a-z][^<]*+\Z", re.I | re.S)
-ATTRIBUTE = re.compile(r"\b(class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)
+MARKUP = re.compile(rf"<!--.*?(?:-->|\Z)|<({RAW})\b[^<>]*+>.*?(?:</\1\s*>|\Z)|<(noscript|template)\b[^<>]*+>.*?</\2\s*>"
+                    r"|<(/?)([a-z][a-z0-9:-]*+)((?:[^<>=]++|=\s*+(?:\"[^\"]*+\"|'[^']*+'|))*+)>|<[!?/][^>]*+(?:>|\Z)|<[a-z][^<]*+\Z", re.I | re.S)
+ATTRIBUTE = re.compile(r"([^\s=>/]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]*)))?")
 WORDS = re.compile(r"[a-z]+")
 
 
@@ -78,6 +88,12 @@ def _chain(up: int, name: str) -> int:
     return xxhash.xxh64_intdigest(f"{up}/{name}") - (1 << 63)
 
 
+class Kind(enum.IntEnum):
+    """Why a container may be set aside."""
+
+    NO, WORDS, TAG, OPEN, FORM = range(5)
+
+
 def parse(page: str) -> tuple[list[list], list[tuple], list[int], list[str]]:
     """Containers (token, parent's place or -1, rank, chars, depth, place), blocks (container,
     text), the blocks' places and the texts set aside.
@@ -85,84 +101,138 @@ def parse(page: str) -> tuple[list[list], list[tuple], list[int], list[str]]:
     rank: 3 for an article, 2 for a main element, 1 for others; chars: text inside it; places
     count containers and blocks in document order."""
     nodes: list[list] = [[_chain(0, ""), -1, 0, 0, 0, 0]]
-    listing = [False]  # whether a container is listed by its words
-    holds = [True]  # and whether it holds an article, main element or body
+    kinds = [Kind.NO]
+    controls = [0]  # by container: controls, characters of links, words, all without its children's
+    links, words = [0], [0]
+    holds = [True]  # whether it holds an article, main element or body
     found: list[tuple[int, str]] = []
-    stack: list[tuple[str, int, bool]] = [("", 0, False)]  # name, place, skipped by tag
+    stack: list[tuple[str, int]] = [("", 0)]
+    opened: Counter[str] = Counter()
     places: list[int] = []
     pieces: list[str] = []
+    linked, in_link = 0, False
 
     def flush() -> None:
+        nonlocal linked
         if pieces:
             text = " ".join(entities.unescape("".join(pieces)).split())
             if text:
                 places.append(len(nodes) + len(found))
                 found.append((stack[-1][1], text))
+                links[stack[-1][1]] += min(linked, len(text))
+                words[stack[-1][1]] += text.count(" ") + 1
             pieces.clear()
+        linked = 0
 
     def close(name: str) -> None:
-        for k in range(len(stack) - 1, 0, -1):
-            if stack[k][0] == name:
-                del stack[k:]
+        """Close the innermost element of a name; those left open inside it end there too."""
+        if not opened[name]:
+            return
+        while True:
+            top, k = stack.pop()
+            opened[top] -= 1
+            if top == name:
                 return
+            if kinds[k] == Kind.TAG:
+                kinds[k] = Kind.OPEN
+
+    def text(lo: int, hi: int) -> None:
+        nonlocal linked
+        pieces.append(page[lo:hi])
+        linked += (hi - lo) * in_link
 
     at = 0
     for m in MARKUP.finditer(page):
-        if m.start() > at and not stack[-1][2]:
-            pieces.append(page[at:m.start()])
+        if m.start() > at:
+            text(at, m.start())
         at = m.end()
-        name = (m[3] or "").lower()
-        if name not in BLOCKS:
+        name = (m[4] or m[1] or "").lower()
+        if name in CONTROLS and not m[3] and "hidden" not in (m[5] or ""):
+            controls[stack[-1][1]] += 1
+        if name == "a":
+            in_link = not m[3]
+        if not m[4] or name not in BLOCKS:
             continue
         flush()
         if name not in CONTAINERS:
             continue
-        if m[2]:
+        if m[3]:
             close(name)
             continue
-        attrs = {k.lower(): a or b or c for k, a, b, c in ATTRIBUTE.findall(m[4])} if m[4] else {}
+        attrs = {k.lower(): a or b or c for k, a, b, c in ATTRIBUTE.findall(m[5])} if m[5] else {}
         if name == "body":
             close("head")
-        by_tag = stack[-1][2] or name in SKIPPED
-        by_tag |= name == "header" and not any(s[0] in ("article", "main") for s in stack)
         up = stack[-1][1]
         rank = 3 if name == "article" else 2 if name == "main" or attrs.get("role") == "main" else 1
-        if by_tag:
-            stack.append((name, up, True))
-            continue
-        listed = bool(attrs) and rank == 1 and name not in ("html", "body") and _listed(attrs)
-        if (rank > 1 or name == "body") and not any(s[0] == "article" for s in stack):
+        kind = Kind.NO
+        if name == "form":
+            kind = Kind.FORM
+        elif name in SKIPPED or name == "header" and not opened["article"] and not opened["main"]:
+            kind = Kind.TAG
+        elif attrs and rank == 1 and name not in ("html", "body") and _listed(attrs):
+            kind = Kind.WORDS
+        if (rank > 1 or name == "body") and not opened["article"]:
             k = up
             while k >= 0 and not holds[k]:
                 holds[k] = True
                 k = nodes[k][1]
-        if len(stack) > MAX_DEPTH and not listed:
-            stack.append((name, up, False))
-            continue
         label = name + "." + re.sub(r"[0-9]+", "#", ".".join(sorted(attrs.get("class", "").split())))
-        token = _chain(nodes[up][0], label) if len(stack) <= MAX_DEPTH else nodes[up][0]
-        nodes.append([token, up, rank, 0, min(nodes[up][4] + 1, MAX_DEPTH), len(nodes) + len(found)])
-        listing.append(listed)
-        holds.append(False)
-        stack.append((name, len(nodes) - 1, False))
-    if not stack[-1][2]:
-        pieces.append(page[at:])
+        nodes.append([_chain(nodes[up][0], label), up, rank, 0, nodes[up][4] + 1, len(nodes) + len(found)])
+        for column, value in ((kinds, kind), (controls, 0), (links, 0), (words, 0), (holds, False)):
+            column.append(value)
+        stack.append((name, len(nodes) - 1))
+        opened[name] += 1
+    text(at, len(page))
     flush()
-    aside: list[bool] = []
-    for k, node in enumerate(nodes):
-        aside.append(listing[k] and not holds[k] or node[1] >= 0 and aside[node[1]])
+    for _, k in stack:
+        if kinds[k] == Kind.TAG:
+            kinds[k] = Kind.OPEN
+    aside = _aside(nodes, kinds, controls, links, words, holds, found)
     number = dict(zip((k for k in range(len(nodes)) if not aside[k]), range(len(nodes))))
     kept = [(number[k], text, place) for (k, text), place in zip(found, places) if not aside[k]]
-    spare = [text for k, text in found if aside[k]]
+    spare = [text for k, text in found if aside[k] == Kind.WORDS]
     nodes = [[token, number.get(up, -1), *rest] for (token, up, *rest), out in zip(nodes, aside) if not out]
     for k, text, _ in kept:
         nodes[k][3] += len(text)
-    for node in reversed(nodes):  # parents come first
-        if node[1] >= 0:
-            nodes[node[1]][3] += node[3]
+    _sum_up(nodes, [n[3] for n in nodes], 3)
     return nodes, [x[:2] for x in kept], [x[2] for x in kept], spare
 
 
+def _sum_up(nodes: list, own: list[int], column: int | None = None) -> list[int]:
+    """What each container and those inside it hold together, also as a column of ``nodes``."""
+    for k in range(len(nodes) - 1, 0, -1):  # parents come first
+        own[nodes[k][1]] += own[k]
+    if column is not None:
+        for node, value in zip(nodes, own):
+            node[column] = value
+    return own
+
+
+def _aside(nodes, kinds, controls, links, words, holds, found) -> list[Kind]:
+    """Per container, what it or a container around it was set aside for, or ``Kind.NO``."""
+    chars = [0] * len(nodes)
+    for k, text in found:
+        chars[k] += len(text)
+    _sum_up(nodes, chars)
+    for column in (controls, links, words):
+        _sum_up(nodes, column)
+    by_tag = (Kind.TAG, Kind.OPEN, Kind.FORM)
+    inside: list[bool] = []
+    for node, kind in zip(nodes, kinds):
+        inside.append(kind in by_tag or node[1] >= 0 and inside[node[1]])
+    elsewhere = any(node[2] > 1 and chars[k] and not inside[k] for k, node in enumerate(nodes))
+    out: list[Kind] = []
+    for k, (node, kind) in enumerate(zip(nodes, kinds)):
+        needed = holds[k] and (kind == Kind.WORDS or not elsewhere)
+        if kind == Kind.OPEN:
+            needed |= 5 * chars[k] >= chars[0] and 2 * links[k] <= chars[k]
+        elif kind == Kind.FORM:
+            needed |= words[k] > FORM_WORDS * controls[k]
+        above = out[node[1]] if node[1] >= 0 else Kind.NO
+        out.append(above or (Kind.NO if needed else kind))
+    return out
+
+
 def _listed(attrs: dict[str, str]) -> bool:
     """Whether a whole name of a class, id or role is made up of listed words."""
     return any((words := WORDS.findall(name)) and SKIPPED_WORDS.issuperset(words) for v in attrs.values() for name in v.lower().split())
@@ -210,18 +280,21 @@ def parsed(pages: DataFrame) -> DataFrame:
                 for page in part.column(4):
                     nodes, blocks, places, spare = parse(page.as_py())
                     seen: dict[int, list[int]] = {}
-                    for token, _, rank, chars, depth, place in nodes:
+                    ends = [node[5] for node in nodes]  # the last block inside
+                    for (k, _), place in zip(blocks, places):
+                        ends[k] = place
+                    for k in range(len(nodes) - 1, 0, -1):
+                        ends[nodes[k][1]] = max(ends[nodes[k][1]], ends[k])
+                    for (token, _, rank, chars, depth, place), end in zip(nodes, ends):
                         e = seen.setdefault(token, [0, 0, rank, depth, place, place])
                         e[0] += 1
                         e[1] += chars
+                        e[5] = max(e[5], end)
                     for (k, text), place in zip(blocks, places):
                         e = seen.setdefault(_mark(nodes[k][0], text), [0, 0, -1, 0, place, place])
                         e[0] += 1
                         e[1] += len(text)
                         e[5] = place
-                        while k >= 0:
-                            seen[nodes[k][0]][5] = place
-                            k = nodes[k][1]
                     tokens.append([{"token": t, "most": 10 * e[1] >= 8 * nodes[0][3], **dict(zip(("n", "chars", "rank", "depth", "place", "last"), e))}
                                    for t, e in seen.items()])
                     contents.append(content_hash(nodes, blocks))
@@ -270,13 +343,16 @@ def placed(pages: DataFrame, accepted: DataFrame) -> DataFrame:
                     at = {x["token"]: x["place"] for x in tokens}
                     known = {m["token"] for m in members}
                     page = {x["token"]: x for x in tokens}
-                    texts = [x for x in tokens if x["rank"] < 0]
+                    texts = sorted((x for x in tokens if x["rank"] < 0), key=lambda x: x["place"])
+                    starts = [x["place"] for x in texts]
+                    ahead = list(accumulate((x["chars"] for x in texts), initial=0))
+                    free = [i for i, x in enumerate(texts) if x["token"] not in known]
 
                     def keeps(box: dict) -> bool:
-                        held = [x for x in texts if box["place"] < x["place"] and x["last"] <= box["last"]]
-                        free = [x for x in held if x["token"] not in known]
-                        lo, hi = min((x["place"] for x in free), default=0), max((x["last"] for x in free), default=-1)
-                        return 2 * sum(x["chars"] for x in held if lo <= x["place"] <= hi) >= sum(x["chars"] for x in held)
+                        lo, hi = bisect_right(starts, box["place"]), bisect_right(starts, box["last"])
+                        a, z = bisect_left(free, lo), bisect_left(free, hi)
+                        held = ahead[hi] - ahead[lo]
+                        return 2 * (ahead[free[z - 1] + 1] - ahead[free[a]] if z > a else 0) >= held
 
                     counts: dict[tuple[int, int], list[int]] = {}
                     for m in sorted((m for m in members if m["token"] in at), key=lambda m: at[m["token"]]):
@@ -324,11 +400,15 @@ def slot_text(body: bytes, main: int | None, fixed: set[int]) -> str:
     free = [i for i in held if i in own_text]
     slot = held[held.index(free[0]):held.index(free[-1]) + 1] if free else []
     if at is not None and nodes[at][2] < 2:
-        size = lambda chosen: sum(len(blocks[i][1]) for i in chosen)
-        free = sorted(own_text.union(slot))
-        whole = size(free)
-        while 10 * size(slot) < 8 * whole and nodes[at][1] >= 0:
+        free, size, first = sorted(own_text.union(slot)), [0] * len(nodes), at
+        for i in free:
+            size[blocks[i][0]] += len(blocks[i][1])
+        _sum_up(nodes, size)
+        held = sum(len(blocks[i][1]) for i in slot)
+        while 10 * held < 8 * size[0] and nodes[at][1] >= 0:
             at = nodes[at][1]
+            held = size[at]
+        if at != first:
             inside = _inside(nodes, lambda k, _: k == at)
             slot = [i for i in free if inside[blocks[i][0]]]
     return " ".join([blocks[i][1] for i in slot] or [text for _, text in blocks] or spare)
