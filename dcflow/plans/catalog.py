@@ -9,6 +9,7 @@ both engines print them alike.
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -27,10 +28,10 @@ from ..operators.query import (date_between, in_set, list_records, query, select
                                subject_contains)
 from ..operators.records import accepted, clean_records, flatten_records, validate_records
 from ..schemas import RECORD
-from ..session import scratch_path
+from ..session import scratch_path, written
 from ..sources.pages import (compact_pages, explode_records, page_status, parse_pages,
                              read_page_archive, read_pages)
-from ..sources.table import compact_table, ensure_table, merge_into, read_metadata, write_batches, write_set_batches
+from ..sources.table import compact_table, covered_days, ensure_table, merge_into, read_metadata, write_batches, write_set_batches
 from ..streaming.harvest import land_pages, stream_harvest
 from . import adapters as A
 from .jobs import backfill_plan, both_plan
@@ -946,6 +947,38 @@ FROM ({SQL_ASSIGN_BATCHES}) b
 """
 
 
+# Coverage from the side table, kept through updates and folds. Each user's last event
+# is their record, so a record moves from one day and set to another.
+def q_tracked_coverage(spark: SparkSession, sf: str) -> DataFrame:
+    base, incoming = A.keyed_v(spark, sf)
+    path = scratch_path(spark, "tracked")
+    ensure_table(spark, path, 8, track_coverage=True)
+    kinds = base.select("metadata_type").unionByName(incoming.select("metadata_type")).distinct()
+    out = []
+    for stage, part, as_of in (("first", base, AS_OF_BASE), ("second", incoming, AS_OF_INCOMING), ("folded", None, None)):
+        if part is None:
+            compact_table(spark, path, 8, max_files=0)
+        else:
+            merge_into(spark, path, part, as_of, SEQ, num_buckets=8)
+        days = written(covered_days(spark, path), scratch_path(spark, "covered"))
+        out.append(coverage_summary(days, kinds, "2023-12-25", "2024-02-05").withColumn("stage", F.lit(stage)))
+    return reduce(DataFrame.unionByName, out)
+
+
+SQL_TRACKED_COVERAGE = f"""
+WITH {SQL_KEYED},
+rec AS (SELECT 'first' AS stage, event_type, CAST(ts AS DATE) AS d FROM lb
+        UNION ALL SELECT s, coalesce(li.event_type, lb.event_type), CAST(coalesce(li.ts, lb.ts) AS DATE)
+        FROM lb FULL OUTER JOIN li ON lb.k = li.k, (VALUES ('second'), ('folded')) v(s)),
+have AS (SELECT DISTINCT stage, event_type, d FROM rec WHERE d BETWEEN DATE '2023-12-25' AND DATE '2024-02-05'),
+spine AS (SELECT stage, event_type, CAST(g.d AS DATE) AS d
+          FROM (VALUES ('first'), ('second'), ('folded')) v(stage), (SELECT DISTINCT event_type FROM ev),
+               generate_series(DATE '2023-12-25', DATE '2024-02-05', INTERVAL 1 DAY) g(d))
+SELECT stage, s.event_type AS set_spec, count(*) AS total_days, count(h.d) AS existing_days, count(*) - count(h.d) AS missing_days
+FROM spine s LEFT JOIN have h USING (stage, event_type, d) GROUP BY stage, s.event_type
+"""
+
+
 QUERIES: dict[str, QueryFn] = {
     "parse_records": q_parse_records,
     "page_status": q_page_status,
@@ -994,6 +1027,7 @@ QUERIES: dict[str, QueryFn] = {
     "page_attempts": q_page_attempts,
     "retried_ledger": q_retried_ledger,
     "set_batches": q_set_batches,
+    "tracked_coverage": q_tracked_coverage,
 }
 
 ORACLE_SQL: dict[str, str] = {
@@ -1044,4 +1078,5 @@ ORACLE_SQL: dict[str, str] = {
     "page_attempts": SQL_PAGE_ATTEMPTS,
     "retried_ledger": SQL_RETRIED_LEDGER,
     "set_batches": SQL_SET_BATCHES,
+    "tracked_coverage": SQL_TRACKED_COVERAGE,
 }

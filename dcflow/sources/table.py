@@ -30,7 +30,7 @@ from ..functions.dates import lit_ts
 from ..operators.ledger import assign_batches
 from ..operators.merge import KEY, latest_per_key, micros
 from ..schemas import ARRIVAL, RECORD_COLUMNS, TABLE
-from ..session import list_names, make_dirs, path_exists, remove_path, shuffle_partitions
+from ..session import list_names, make_dirs, path_exists, remove_path, scratch_path, shuffle_partitions, written
 
 DEFAULT_BUCKETS = 64
 # Identifiers expected per Parquet row group (128 MB of ~1 KB records), which
@@ -44,6 +44,9 @@ def bucket_of(key: Column | str = KEY, num_buckets: int = DEFAULT_BUCKETS) -> Co
 
 
 LAYOUT_DIR = "_dcflow_layout"
+# The side table of covered days: how many records each set has on each day; a NULL set counts
+# the day's records whatever their sets.
+COVERAGE = "set_spec string, d date, n long"
 ROW_COLUMNS = [f.name for f in TABLE.fields if f.name != "bucket"]
 DELTA = T.StructType([f for f in TABLE.fields if f.name != "bucket"] + [T.StructField("version", T.LongType())])
 
@@ -52,9 +55,12 @@ def _part(path: str, name: str) -> str:
     return f"{path.rstrip('/')}/{name}"
 
 
-def ensure_table(spark: SparkSession, path: str, num_buckets: int = DEFAULT_BUCKETS) -> bool:
+def ensure_table(spark: SparkSession, path: str, num_buckets: int = DEFAULT_BUCKETS,
+                 track_coverage: bool = False) -> bool:
     """K3: create an empty table at ``path`` if none is there. True if created.
 
+    ``track_coverage`` keeps a side table of covered days with it (``covered_days``).
+
     The bucket count is recorded next to the data (as a folder name, read
     without a Spark job), and a later merge with a different count is refused;
     ``rebucket_table`` copies a table into another count.
@@ -64,6 +70,9 @@ def ensure_table(spark: SparkSession, path: str, num_buckets: int = DEFAULT_BUCK
     spark.createDataFrame([], TABLE).write.mode("errorifexists") \
         .partitionBy("bucket").parquet(_part(path, "base"))
     make_dirs(spark, _part(path, f"{LAYOUT_DIR}/buckets={int(num_buckets)}"))
+    if track_coverage:
+        spark.createDataFrame([], COVERAGE).write.parquet(_part(path, "coverage/base=0"))
+        make_dirs(spark, _part(path, f"{LAYOUT_DIR}/coverage=0"))
     return True
 
 
@@ -180,9 +189,18 @@ def merge_into(spark: SparkSession, path: str, incoming: DataFrame,
     wanted = list(dict.fromkeys([*RECORD_COLUMNS, "arrival", *[c for c in seq if isinstance(c, str)]]))
     key = F.coalesce(KEY, F.raise_error(F.lit(f"records without {KEY}; run validate_records first")))
     batch = latest_per_key(incoming.select(*wanted).withColumn(KEY, key), seq, KEY)
+    _finish_folding(spark, path)
     version = max(delta_versions(spark, path), default=0) + 1
     folder = _part(path, f"delta/version={version}")
-    append_metadata(batch, folder, as_of)
+    if _coverage_state(spark, path)[0] is None:
+        append_metadata(batch, folder, as_of)
+    else:
+        # the changes of coverage first: they count once the version they belong to is there
+        stage = scratch_path(spark, "batch")
+        batch = written(batch, stage)
+        _coverage_changes(read_metadata(spark, path), batch).write.mode("overwrite").parquet(_part(path, f"coverage/version={version}"))
+        append_metadata(batch, folder, as_of)
+        remove_path(spark, stage)
     n = spark.read.schema(DELTA).parquet(folder).count()        # from the new files' footers
     if not n:
         remove_path(spark, folder)
@@ -202,6 +220,7 @@ def compact_table(spark: SparkSession, path: str, num_buckets: int = DEFAULT_BUC
     returns how many were folded. Only buckets that hold a key of a delta are rewritten, each
     by ``tasks_per_bucket`` tasks. What a read gives is unchanged."""
     _same_buckets(spark, path, num_buckets)
+    _finish_folding(spark, path)
     versions = delta_versions(spark, path)
     if len(versions) <= max_files:
         return 0
@@ -209,11 +228,96 @@ def compact_table(spark: SparkSession, path: str, num_buckets: int = DEFAULT_BUC
     touched = spark.read.schema(DELTA).parquet(_part(path, "delta")) \
         .select(bucket_of(KEY, num_buckets).alias("bucket")).distinct()
     rows = read_metadata(spark, path).join(F.broadcast(touched), "bucket", "left_semi")
+    base = _coverage_state(spark, path)[0]
+    if base is not None:
+        _summed(spark, path).write.mode("overwrite").parquet(_part(path, f"coverage/base={base + 1}"))
     write_metadata(rows, path, num_buckets, tasks_per_bucket=tasks_per_bucket)
+    if base is not None:
+        make_dirs(spark, _part(path, f"{LAYOUT_DIR}/folding={base + 1}-{versions[-1]}"))
+    _drop_versions(spark, path, versions)
+    _finish_folding(spark, path)
+    return len(versions)
+
+
+def _drop_versions(spark: SparkSession, path: str, versions: Sequence[int]) -> None:
     # oldest first: after a stop in between, the newest versions are still the ones laid over
     for v in versions:
         remove_path(spark, _part(path, f"delta/version={v}"))
-    return len(versions)
+
+
+# The coverage side table. Each version has the changes it made, each fold a new sum of all
+# (``coverage/base=<k>``). The layout names the sum in force (``coverage=<k>``); while a fold
+# drops its versions it names the new sum and the last of them (``folding=<k>-<v>``), and then
+# that sum is in force and those versions count no more. A stop at any point leaves one of
+# the two states, and the next merge or fold finishes what was begun.
+
+def _coverage_state(spark: SparkSession, path: str) -> tuple[int | None, int]:
+    """(number of the sum in force, last version it holds); None without a side table."""
+    names = dict.fromkeys(list_names(spark, _part(path, LAYOUT_DIR)))
+    for name in names:
+        if name.startswith("folding="):
+            base, last = name.split("=", 1)[1].split("-")
+            return int(base), int(last)
+    return max((int(n.split("=", 1)[1]) for n in names if n.startswith("coverage=")), default=None), 0
+
+
+def _days(df: DataFrame, sign: int) -> DataFrame:
+    """(set_spec, d, n) of records: one of each set's day, and of the day whatever the set."""
+    sets = F.array_append(F.array_distinct(F.coalesce("header_setSpecs", F.array().cast("array<string>"))), F.lit(None).cast("string"))
+    return df.select(F.explode(sets).alias("set_spec"), F.to_date("header_datestamp").alias("d"), F.lit(sign).cast("bigint").alias("n"))
+
+
+def _coverage_changes(stored: DataFrame, batch: DataFrame) -> DataFrame:
+    """What merging ``batch`` changes: its records' days come, those of the records they replace
+    go. Only stored rows with a key of the batch take part."""
+    cols = ["header_setSpecs", "header_datestamp", "arrival"]
+    old = stored.select(KEY, F.struct(*cols).alias("_o")).join(batch.select(KEY), KEY, "left_semi")
+    both = batch.select(KEY, F.struct(*cols).alias("_n")).join(old, KEY, "left")
+    wins = both.where(F.col("_o").isNull() | F.coalesce(F.col("_n.arrival") >= F.col("_o.arrival"), F.lit(True)))
+    gone = _days(wins.where(F.col("_o").isNotNull()).select("_o.*"), -1)
+    return _net(_days(wins.select("_n.*"), 1).unionByName(gone))
+
+
+def _net(days: DataFrame) -> DataFrame:
+    return days.groupBy("set_spec", "d").agg(F.sum("n").alias("n")).where("n <> 0 AND d IS NOT NULL")
+
+
+def _summed(spark: SparkSession, path: str) -> DataFrame:
+    base, held = _coverage_state(spark, path)
+    if base is None:
+        raise ValueError(f"the table at {path} keeps no coverage")
+    parts = [f"coverage/base={base}"] + [f"coverage/version={v}" for v in delta_versions(spark, path) if v > held]
+    out = spark.read.schema(COVERAGE).parquet(_part(path, parts[0]))
+    for part in parts[1:]:
+        out = out.unionByName(spark.read.schema(COVERAGE).parquet(_part(path, part)))
+    return _net(out)
+
+
+def _finish_folding(spark: SparkSession, path: str) -> None:
+    """Drop what a fold has summed up and leave its sum in force; nothing if no fold is open."""
+    base, held = _coverage_state(spark, path)
+    if not held:
+        return
+    _drop_versions(spark, path, [v for v in delta_versions(spark, path) if v <= held])
+    make_dirs(spark, _part(path, f"{LAYOUT_DIR}/coverage={base}"))
+    for folder, old in (("coverage", lambda kind, k: k < base if kind == "base" else k <= held), (LAYOUT_DIR, lambda kind, k: kind == "coverage" and k < base)):
+        for name in list_names(spark, _part(path, folder)):
+            kind, _, k = name.partition("=")
+            if k.isdigit() and old(kind, int(k)):
+                remove_path(spark, _part(path, f"{folder}/{name}"))
+    remove_path(spark, _part(path, f"{LAYOUT_DIR}/folding={base}-{held}"))
+
+
+def covered_days(spark: SparkSession, path: str) -> DataFrame:
+    """The sets and days that have records, from the side table alone: ``header_setSpecs`` (one
+    set, or none for the day as such), ``header_datestamp`` (midnight) and ``n`` records.
+
+    ``existing_dates``, ``missing_dates``, ``missing_any_set`` and ``coverage_summary`` take it
+    in the place of the records: as many small rows as sets x days, however many records
+    there are. Substring matches see one set at a time.
+    """
+    set_list = F.when(F.col("set_spec").isNotNull(), F.array("set_spec")).otherwise(F.array().cast("array<string>"))
+    return _summed(spark, path).select(set_list.alias("header_setSpecs"), F.col("d").cast("timestamp_ntz").alias("header_datestamp"), "n")
 
 
 def rebucket_table(spark: SparkSession, path: str, new_path: str, num_buckets: int,
