@@ -8,6 +8,9 @@ from pyspark.sql import functions as F
 
 from .text import _c, empty_if_null
 
+# A JSON string, which is kept, or white space between tokens.
+JSON_STRING_OR_SPACE = r'("(?:[^"\\]|\\.)*+")|[ \t\r\n]+'
+
 
 def array_to_json(arr: Column | str) -> Column:
     """List of strings -> JSON array text; NULL or missing -> ``[]``."""
@@ -26,15 +29,36 @@ def json_to_array(s: Column | str) -> Column:
     return F.coalesce(as_text, F.array().cast("array<string>"))
 
 
-def safe_serialize(s: Column | str, empty_as_null: bool = False) -> Column:
+def is_json(s: Column | str) -> Column:
+    """Whether a text is one JSON value and nothing else, with numbers of any length and object
+    keys that repeat allowed.
+
+    The parser stops at the end of a value, so a text is tried inside an array and inside an
+    object: what would close the one early is malformed in the other.
+    """
+    c = _c(s)
+    strict = {"mode": "PERMISSIVE", "allowSingleQuotes": "false", "allowNonNumericNumbers": "false"}
+    listed = F.from_json(F.concat(F.lit("["), c, F.lit("]")), "array<string>", strict)
+    held = F.from_json(F.concat(F.lit('{"v":'), c, F.lit("}")), "v string, bad string", {**strict, "columnNameOfCorruptRecord": "bad"})
+    return F.coalesce((F.size(listed) == 1) & held["bad"].isNull(), F.lit(False))
+
+
+def minify_json(s: Column | str) -> Column:
+    """JSON text without the white space outside its strings; every other character stays."""
+    return F.regexp_replace(_c(s), JSON_STRING_OR_SPACE, "$1")
+
+
+def safe_serialize(s: Column | str, empty_as_null: bool = False, preserve: bool = False) -> Column:
     """Valid JSON text -> canonical JSON text; anything else -> a JSON string.
 
     NULL stays NULL. ``empty_as_null=True`` turns ``''`` into JSON ``null``
     (the other implementation's rule); by default ``''`` becomes ``""``.
     Canonical form is Spark's: minified, object keys sorted, numbers normalised.
+    ``preserve=True`` only minifies: digits, key order and repeated keys stay as they are.
     """
     c = _c(s)
-    out = F.coalesce(F.to_json(F.try_parse_json(c)), F.to_json(c.cast("variant")))
+    parsed = minify_json(c) if preserve else F.to_json(F.try_parse_json(c))
+    out = F.coalesce(F.when(is_json(c), parsed), F.to_json(c.cast("variant")))
     if empty_as_null:
         out = F.when(c == F.lit(""), F.lit("null")).otherwise(out)
     return out

@@ -258,6 +258,22 @@ FROM documents
 """
 
 
+# P7, as it is written: numbers of any length, key order and repeated keys stay
+def q_serialize_exact(spark: SparkSession, sf: str) -> DataFrame:
+    e = A.table(spark, sf, "events")
+    digits = F.lpad(F.col("event_id").cast("string"), 60, "7")
+    text = F.concat(F.lit(' { "id" : '), digits, F.lit(' ,\n "z  z" : '), F.col("props"), F.lit(', "id" : [ 1.50, 1e3 ] }'),
+                    F.when(F.col("event_id") % 3 == 0, F.lit(" trailing")).otherwise(F.lit("")))
+    return e.select("event_id", safe_serialize(text, preserve=True).alias("serialized"))
+
+
+SQL_SERIALIZE_EXACT = """
+SELECT event_id, CASE WHEN event_id % 3 = 0 THEN CAST(to_json(' { "id" : ' || digits || ' ,' || chr(10) || ' "z  z" : ' || props || ', "id" : [ 1.50, 1e3 ] } trailing') AS VARCHAR)
+       ELSE '{"id":' || digits || ',"z  z":' || replace(props, ' ', '') || ',"id":[1.50,1e3]}' END AS serialized
+FROM (SELECT event_id, props, lpad(CAST(event_id AS VARCHAR), 60, '7') AS digits FROM events)
+"""
+
+
 # P9-P14
 def q_date_scalars(spark: SparkSession, sf: str) -> DataFrame:
     e = A.table(spark, sf, "events")
@@ -1028,6 +1044,7 @@ QUERIES: dict[str, QueryFn] = {
     "retried_ledger": q_retried_ledger,
     "set_batches": q_set_batches,
     "tracked_coverage": q_tracked_coverage,
+    "serialize_exact": q_serialize_exact,
 }
 
 ORACLE_SQL: dict[str, str] = {
@@ -1079,4 +1096,5 @@ ORACLE_SQL: dict[str, str] = {
     "retried_ledger": SQL_RETRIED_LEDGER,
     "set_batches": SQL_SET_BATCHES,
     "tracked_coverage": SQL_TRACKED_COVERAGE,
+    "serialize_exact": SQL_SERIALIZE_EXACT,
 }

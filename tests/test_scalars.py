@@ -97,3 +97,25 @@ def test_substring_set_match_treats_wildcards_literally(spark):
     assert [r.id for r in df.filter(set_like("50%")).collect()] == [3]
     got = sorted((r.id, r.set_spec) for r in records_in_sets(df, ["q_bio", "50%"], "substring").collect())
     assert got == [(1, "q_bio"), (3, "50%")]
+
+
+def test_json_text_keeps_digits_and_keys(spark):
+    import json
+    digits = "1234567890" * 6
+    vals = [digits, f'{{ "x" : -{digits}.50 , "x" : 1e3 }}', '{"b":1,"a":[1,  2 ]}', '"a  b"', ' [ "q\\" ,  x" , { } ] ', "", None, '{"a":1} x', '1} ,{"x":2', "1],[2", "1,2", "[1,2",
+            "{'a':1}", "01", "NaN", "// c\n1", '{"a":1}}', '"a" "b"', "null", "\t7\n", '{"k":{"k":[[],{}]}}', '"\\ud800"', "tr ue", '"un', '{"é" : "ü"}']
+    for v, got in zip(vals, one_col(spark, vals, "string", lambda c: safe_serialize(c, preserve=True))):
+        try:
+            whole = v is not None and v != "NaN" and (json.loads(v), True)[1]
+        except ValueError:
+            whole = False
+        if v is None:
+            assert got is None
+        elif whole:
+            assert json.loads(got, object_pairs_hook=list, parse_int=str, parse_float=str) == json.loads(v, object_pairs_hook=list, parse_int=str, parse_float=str)
+            assert len(got) <= len(v)
+        else:
+            assert json.loads(got) == v, v
+    assert one_col(spark, vals[:3], "string", lambda c: safe_serialize(c, preserve=True)) == [digits, f'{{"x":-{digits}.50,"x":1e3}}', '{"b":1,"a":[1,2]}']
+    # what follows a value is no longer lost
+    assert one_col(spark, ['{"a":1} x'], "string", safe_serialize) == ['"{\\"a\\":1} x"']
