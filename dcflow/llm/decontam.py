@@ -313,7 +313,7 @@ def _scores(pairs: DataFrame, least: Callable[[int], float]) -> DataFrame:
 
 
 def contaminated(docs: DataFrame, benchmark: DataFrame, n: int = SEED_WORDS, threshold: float = THRESHOLD,
-                 least_words: int = LEAST_WORDS) -> DataFrame:
+                 least_words: int = LEAST_WORDS, few: int = FEW) -> DataFrame:
     """(doc_id, t, item_id, item_words, score): the documents that hold a copy, edited or
     not, of a test item; t is the hash of the document's text."""
     items = staged(item_words(benchmark), "items")
@@ -322,7 +322,7 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, n: int = SEED_WORDS, thr
     reach = {r["cls"]: 2 * r["n"] for r in lengths}
     classes = [(r["cls"], key_bitmap(seeds.where(F.col("cls") == r["cls"]).select("seed"), r["k"]), reach[r["cls"]]) for r in lengths]
     found = staged(passages(docs, classes, n), "passages")
-    windows = windows_of(found, items, seeds, reach, threshold, least_words)
+    windows = windows_of(found, items, seeds, reach, threshold, least_words, few)
     # a window is three item lengths around the diagonal; binary slices count from 1
     start = F.greatest(F.lit(0), F.floor((F.col("w") - 0.5) * F.col("n"))).cast("int")
     stop = F.ceil((F.col("w") + 2.5) * F.col("n")).cast("int")

@@ -188,10 +188,18 @@ def parse(page: str) -> tuple[list[list], list[tuple], list[int], list[str]]:
         if kinds[k] == Kind.TAG:
             kinds[k] = Kind.OPEN
     aside = _aside(nodes, kinds, controls, links, words, holds, found)
-    number = dict(zip((k for k in range(len(nodes)) if not aside[k]), range(len(nodes))))
-    kept = [(number[k], text, place) for (k, text), place in zip(found, places) if not aside[k]]
     spare = [text for k, text in found if aside[k] == Kind.WORDS]
-    nodes = [[token, number.get(up, -1), *rest] for (token, up, *rest), out in zip(nodes, aside) if not out]
+    number: dict[int, int] = {}
+    left: list[list] = []
+    for k, (token, up, *rest) in enumerate(nodes):
+        if not aside[k]:
+            if kinds[k] == Kind.OPEN:  # an element never closed is no container: what it took in is its parent's
+                number[k] = number[up]
+            else:
+                number[k] = len(left)
+                left.append([token, number.get(up, -1), *rest])
+    kept = [(number[k], text, place) for (k, text), place in zip(found, places) if not aside[k]]
+    nodes = left
     for k, text, _ in kept:
         nodes[k][3] += len(text)
     _sum_up(nodes, [n[3] for n in nodes], 3)

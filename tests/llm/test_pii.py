@@ -103,3 +103,78 @@ def test_long_spans_are_candidates_and_stretches_end_at_white_space():
     assert P.segments(key, 0, len(key))[1] == [(0, 0)]
     text = "a" * 300 + "1" + "b" * 300 + " end " + "word " * 200 + "x" * 200 + "@" + "y" * 200 + " tail"
     assert [text[lo:hi] for lo, hi in P.stretches(text)] == ["a" * 300 + "1" + "b" * 300, "x" * 200 + "@" + "y" * 200]
+
+
+#: written by hand, not from the generator: a text, and what is personal in it
+BY_HAND = [
+    ("2024-01-01,0.4195,614716", []), ("2023-11-30,17.5,1200,abc", []), ("ISBN 0-306-40615-7 is a book", []), ("ISBN-13: 978-0-13-468599-1", []),
+    ("released as version 10.2.3 last week", []), ("at 12:30:45 on 03/04/2021 we met", []), ("the pi is 3.14159265358979", []), ("1 2 3 4 5 6 7 8 9 10", []),
+    ("between 1200-1300 people came", []), ("coords 48.8566, 2.3522 N", []), ("build 20240131.1205 passed", []), ("id 550e8400-e29b-41d4-a716-446655440000", []),
+    ("order 12345678 shipped", []), ("price 1,234,567.89 EUR", []), ("dot the i and meet at 10", []), ("see you at noon, dot your dates", []), ("2019-07-04T10:22:33.123Z INFO start", []),
+    ("john dot smith at example dot com", ["john dot smith at example dot com"]), ("mail me: jane (at) site (dot) org now", ["jane (at) site (dot) org"]),
+    ("write to bob [at] mail [dot] net please", ["bob [at] mail [dot] net"]), ("call 555-123-4567 today", ["555-123-4567"]), ("(212) 555-0187 is the number", ["(212) 555-0187"]),
+    ("my SSN is 078-05-1120.", ["078-05-1120"]), ("IBAN: DE89 3704 0044 0532 0130 00", ["DE89 3704 0044 0532 0130 00"]),
+    ("password=9f86d081884c7d659a2feaa0c55ad015", ["9f86d081884c7d659a2feaa0c55ad015"]), ("token: 5e884898da28047151d0e56f8dc62927", ["5e884898da28047151d0e56f8dc62927"]),
+]
+
+
+def test_texts_written_by_hand(weights):
+    wrong = [(t, found) for t, want in BY_HAND if (found := [t[s:e] for s, e, _ in P.find(t, weights)[1]]) != want]
+    assert len(wrong) <= 1, wrong
+
+
+def test_tables_of_numbers_hold_nothing(weights):
+    rows = "".join(f"2024-{i % 12 + 1:02d}-{i % 28 + 1:02d},0.{i * 7919 % 9973},{i * 104729 % 999983}\n" for i in range(400))
+    base, every = P.find(rows, weights)
+    assert len(every) - len(base) <= 2
+
+
+def test_dense_numbers_take_linear_time(weights):
+    import time
+    took = []
+    for n in (4000, 16000):
+        start = time.process_time()
+        P.find("12 34 56 789 " * n, weights)
+        took.append(time.process_time() - start)
+    assert took[1] < 8 * took[0]
+
+
+def test_joint_decoding_with_transitions_equals_brute_force():
+    rnd = np.random.default_rng(9)
+    for _ in range(40):
+        n = int(rnd.integers(1, 6))
+        cand = [(i, j) for i in range(n) for j in range(i, min(n, i + 3)) if rnd.random() < 0.8]
+        score, follow = rnd.normal(size=(len(cand), 2)), rnd.normal(size=(2, 2)) * 2
+
+        def every(at, before):
+            if at == n:
+                yield 0.0, []
+                return
+            for v, x in every(at + 1, None):
+                yield v, x
+            for c, (i, j) in enumerate(cand):
+                if i == at:
+                    for k in range(2):
+                        into = 0 if before is None else follow[before, k]
+                        for v, x in every(j + 1, k):
+                            yield v + score[c, k] + into, [(i, j, k), *x]
+
+        assert P.decode(n, cand, score, follow) == max(every(0, None), key=lambda x: x[0])[1]
+        z = np.logaddexp.reduce([v for v, _ in every(0, None)])
+        p, pairs = P._forward_backward(n, cand, score, follow)
+        for c, (i, j) in enumerate(cand):
+            assert abs(p[c, 1] - sum(np.exp(v - z) for v, x in every(0, None) if (i, j, 1) in x)) < 1e-9
+        seen = sum(np.exp(v - z) * sum(a[1] + 1 == b[0] and (a[2], b[2]) == (0, 1) for a, b in zip(x, x[1:])) for v, x in every(0, None))
+        assert abs(pairs[0, 1] - seen) < 1e-9
+
+
+def test_no_candidate_crosses_a_run():
+    """Of all spans of a text, those whose neighbours all bond are in one run and no others."""
+    rnd = random.Random(12)
+    bits = ["john", "at", "dot", "12", "555", "DE89", "[", "]", "(", ")", ",", ".", "@", "-", " ", " ", "  ", "\n", "+", "US"]
+    for _ in range(800):
+        t = "".join(rnd.choice(bits) for _ in range(rnd.randint(1, 25)))
+        toks, cand, _ = P.segments(t, 0, len(t))
+        runs = list(P.stretches(t))
+        assert all(any(lo <= toks[i][0] and toks[j][1] <= hi for lo, hi in runs) for i, j in cand)
+        assert all(a[1] <= b[0] for a, b in zip(runs, runs[1:])) and all("\n" not in t[toks[i][0]:toks[j][1]] for i, j in cand)

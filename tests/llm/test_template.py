@@ -105,3 +105,64 @@ def test_one_long_page_does_not_decide_for_all(spark):
     want |= {10 + i: words(f"b{i}x", 50) for i in range(6)} | {20: words("a9x", 50) + " " + words("b9x", 5)}
     got = {r["page_id"]: r["text"] for r in T.main_text(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
     assert got == want
+
+
+def test_no_page_loses_its_body(spark):
+    body = " ".join(f"body{i}" for i in range(60))
+    deep = "<div>" * 70
+    pages = {f"<body><form action=x><input type=hidden name=v><h1>Head</h1><p>{body}</p><button>Go</button></form></body>": f"Head {body}",
+             f"<body><p title=it's>{body}</p><p>isn't it</p></body>": f"{body} isn't it",
+             f"<body><div class=top><p>chrome top</p></div>{deep}<article><p>{body}</p></article>{'</div>' * 70}<p>chrome below</p></body>": body,
+             f"<body><nav><a href=x>menu</a><article><p>{body}</p></article></body>": body,
+             f"<body><div>Intro <button>Go<p>{body}</p><p>end</p></div></body>": f"Intro Go {body} end",
+             f'<body><p ""x"">{body}</p><p class="a>b">more</p></body>': f"{body} more",
+             f"<body><article><p>{body}</p><form><p>Leave a reply now</p><input><input></form></article></body>": body,
+             f"<body><aside><article>teaser</article></aside><article>{body}</article></body>": body,
+             f"<body><noscript>no script<p>{body}</p></body>": f"no script {body}",
+             "<body><nav><ul><li><a href=x>one</a><li><a href=y>two</a>": "", "<form><label>Name</label><input></form>": ""}
+    rows = [(k, f"http://h{k}.example/", html) for k, html in enumerate(pages)]
+    got = {r["page_id"]: r["text"] for r in T.main_text(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    for k, want in enumerate(pages.values()):
+        assert got[k] == want, (rows[k][2][:80], got[k][:80])
+
+
+def test_parsing_is_linear():
+    import time
+    for page in (lambda n: "<div>" * n + "x" + "</p></section>" * n, lambda n: '<a "' * n, lambda n: "<div class=a><p>t</p>" * n, lambda n: '<a ="' * n + "<script " * n,
+                 lambda n: "<nav><p>x" * n + "</nav>" * n):
+        took = []
+        for n in (10000, 40000):
+            start = time.process_time()
+            T.parse(page(n))
+            took.append(time.process_time() - start)
+        assert took[1] < 10 * took[0] + 0.2
+
+
+def test_classes_equal_brute_force(spark):
+    """The classes of a small host: tokens with equal counts on every distinct page, at most once a
+    page, on half of the pages, two or more together."""
+    rnd = random.Random(4)
+    for trial in range(3):
+        rows = []
+        for i in range(8):
+            parts = [f"<div class={c}><p>{c * 3}</p></div>" for c in "abcd" if rnd.random() < (0.9 if c < "c" else 0.4)]
+            parts += ["<p>Always here</p>"] * rnd.randint(1, 2) + [f"<div class=own><p>own {trial} {i} {'w ' * rnd.randint(1, 9)}</p></div>"]
+            rows.append((i, "http://x.example/", "<body>" + "".join(parts) + "</body>"))
+        pages = T.parsed(spark.createDataFrame(rows, "page_id long, url string, html string"))
+        vectors, content = {}, {}
+        for r in pages.collect():
+            content.setdefault(r["content"], r)
+            if content[r["content"]]["page"] > r["page"]:
+                content[r["content"]] = r
+        for r in content.values():
+            for x in r["tokens"]:
+                vectors.setdefault(x["token"], {})[r["content"]] = (x["n"], x["rank"])
+        groups = {}
+        for token, seen in vectors.items():
+            if all(n == 1 for n, _ in seen.values()) and 2 * len(seen) >= len(content) and (len(seen) > 1 or max(rank for _, rank in seen.values()) >= 0):
+                groups.setdefault(frozenset(seen), set()).add(token)
+        want = sorted(sorted(g) for g in groups.values() if len(g) > 1)
+        told = {}
+        for m in T.classes(pages).first()["members"]:
+            told.setdefault((m["v1"], m["v2"]), []).append(m["token"])
+        assert sorted(sorted(v) for v in told.values()) == want
