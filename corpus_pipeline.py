@@ -2,7 +2,8 @@
 
 Each stage takes (spark, docs, sf_dir) and returns a DataFrame; ``run`` writes it as Parquet
 below the shared scratch folder and hands the re-read table to the next stage. All but the
-last return the columns of ``documents``; each works on everything its predecessor kept.
+last return the columns of ``documents``; each works on everything its predecessor kept. Once
+a stage's result is written, its intermediate tables and the result before it are deleted.
 """
 
 from __future__ import annotations
@@ -11,7 +12,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from dcflow.llm import decontam, linededup, quality, simhash, spcodec
-from dcflow.llm.common import staged, table
+from dcflow.llm.common import only_the_last, staged, table
+from dcflow.session import remove_path
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -52,7 +54,11 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents")
+    docs, before = table(spark, sf_dir, "documents"), None
     for name, stage in STAGES[:-1]:
-        docs = staged(stage(spark, docs, sf_dir), f"pipeline-{name}")
+        with only_the_last(spark) as made:
+            docs = staged(stage(spark, docs, sf_dir), f"pipeline-{name}")
+        if before:
+            remove_path(spark, before)
+        before = made[-1]
     return STAGES[-1][1](spark, docs, sf_dir)

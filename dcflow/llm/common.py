@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from dcflow.session import scratch_path
+from dcflow.session import remove_path, scratch_path
 
 #: the six white-space characters of the word rule ``[^\x20\x09-\x0D]+``
 WORD_SPACE = " \t\n\x0b\f\r"
@@ -22,12 +26,32 @@ def doc_texts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -
                        F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
 
 
+_made: ContextVar[list[str] | None] = ContextVar("made", default=None)
+
+
+@contextmanager
+def only_the_last(spark: SparkSession) -> Iterator[list[str]]:
+    """Inside, what ``staged`` writes is noted; at the end all of it goes but the last table,
+    which must be all that is still read. (Nothing goes if the block fails.)"""
+    made: list[str] = []
+    mark = _made.set(made)
+    try:
+        yield made
+    finally:
+        _made.reset(mark)
+    for path in made[:-1]:
+        remove_path(spark, path)
+
+
 def staged(df: DataFrame, name: str, partition_by: str | None = None) -> DataFrame:
     """Write a result to the shared scratch folder and read it back: the lineage ends
     there, so a lost executor costs a re-read and not a re-run of what came before."""
     path = scratch_path(df.sparkSession, name)
+    made = _made.get()
     w = df.write.mode("error").option("compression", "zstd")
     (w.partitionBy(partition_by) if partition_by else w).parquet(path)
+    if made is not None:
+        made.append(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 

@@ -24,3 +24,6 @@ def test_pipeline_keeps_what_its_stages_keep(spark):
     out = corpus_pipeline.run(spark, SF).collect()
     assert sorted(r["doc_id"] for r in out) == sorted(r["doc_id"] for r in left.select("doc_id").collect())
     assert len(corpus_pipeline.STAGES) == 5
+    from dcflow.session import list_names, scratch_path
+    left_over = [n for n in list_names(spark, scratch_path(spark, "x").rsplit("/", 1)[0]) if n.startswith("pipeline-")]
+    assert len(left_over) == 1 and left_over[0].startswith("pipeline-benchmark_decontamination")  # what the result is read from
