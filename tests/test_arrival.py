@@ -24,7 +24,7 @@ def _pages(rnd, n):
     return rows
 
 
-@pytest.mark.parametrize("seed", [1, 2, 3])
+@pytest.mark.parametrize("seed", [1, 2])
 def test_any_split_in_any_order_equals_one_batch(spark, tmp_dir, seed):
     rnd = random.Random(seed)
     rows = _pages(rnd, 14)
@@ -33,7 +33,7 @@ def test_any_split_in_any_order_equals_one_batch(spark, tmp_dir, seed):
     ingest_pages(spark, spark.createDataFrame(rows, schema), tmp_dir + "/one", "2024-07-01 00:00:00", num_buckets=3)
     want = sorted(map(str, read_metadata(spark, tmp_dir + "/one").select(keep).collect()))
     rnd.shuffle(rows)
-    parts = [rows[:3], rows[3:4], rows[4:9], rows[9:], rows[2:5]]      # the last lands again
+    parts = [rows[:5], rows[5:9], rows[9:], rows[2:7]]      # the last lands again
     for i, part in enumerate(parts):
         ingest_pages(spark, spark.createDataFrame(part, schema), tmp_dir + "/many", "2024-07-01 00:00:00", num_buckets=3)
         if i == seed:

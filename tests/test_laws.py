@@ -68,8 +68,10 @@ def test_sets_as_dataframe_equal_sets_as_list(spark):
         b = sorted(map(tuple, fn(recs, sets_df, lo, hi).collect()))
         assert a == b
     assert records_in_sets(recs, sets_df).count() == records_in_sets(recs, SETS).count()
+    # substring matching takes a frame of names too
+    assert records_in_sets(recs, sets_df, "substring").count() == records_in_sets(recs, SETS, "substring").count()
     with pytest.raises(ValueError):
-        records_in_sets(recs, sets_df, match="substring")
+        records_in_sets(recs, sets_df, "prefix")
 
 
 def test_legacy_range_and_day_window_options(spark):
