@@ -7,7 +7,7 @@ a whole that with the smallest id stays. Only those left are rendered.
 
 The hash is 128 bits: two running xors of position-salted turn hashes, so it is one window
 over a conversation, which streams and spills. Defined results: a null role or text is
-empty; turns of equal number are ordered by role and text; a repeated row is a turn of its
+empty; a null turn number comes first; turns of equal number are ordered by role and text; a repeated row is a turn of its
 own; rows without conv_id are one conversation, whose id is null and larger than any other;
 an empty table gives an empty result; extra columns are ignored. Built-in expressions only.
 """

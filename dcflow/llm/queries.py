@@ -129,7 +129,7 @@ ORACLE_SQL["op9_chat_collapse"] = """
 WITH t AS (
   SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations),
 c AS (
-  SELECT conv_id, count(*) AS n, list({'r': role, 't': text} ORDER BY turn, role, text) AS turns FROM t GROUP BY conv_id),
+  SELECT conv_id, count(*) AS n, list({'r': role, 't': text} ORDER BY turn NULLS FIRST, role, text) AS turns FROM t GROUP BY conv_id),
 whole AS (
   SELECT turns, n, min(conv_id) AS conv_id FROM c GROUP BY turns, n),
 inside AS (

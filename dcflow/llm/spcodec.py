@@ -8,7 +8,8 @@ library with its own normaliser switched off, and the pieces laid end to end are
 through the alignment to spans of original bytes.
 
 Defined results: a null or empty text is encoded as the empty text (begin and end ids only);
-very long texts are encoded whole; repeated rows get equal results; a null doc_id stays null.
+very long texts are encoded whole; repeated rows get equal results; a null doc_id stays null;
+an empty table gives no rows; extra columns are ignored.
 """
 
 from __future__ import annotations

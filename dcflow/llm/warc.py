@@ -11,8 +11,8 @@ the line separator of that writer. A reader holds one compressed file, which
 ``records_per_file`` bounds, and inflates it piece by piece, a record at a time.
 
 Defined results: a null html is an empty payload; a null page_id or url is left out of the
-headers and read back as null, and a null page_id counts as the smallest; control characters
-in a url are percent-encoded; of equal payloads with equal page_ids (repeated rows) one is
+headers and read back as null, and a null page_id counts as the smallest; line breaks,
+tabs, blanks and NULs in a url are percent-encoded; of equal payloads with equal page_ids (repeated rows) one is
 the response; an empty table gives an archive without records.
 """
 
