@@ -135,9 +135,11 @@ def parse_pages(pages: DataFrame, value_col: str = "value") -> DataFrame:
     # below it, which would parse each page once more for every use of the parsed page
     once = F.inline(F.array(F.struct(p.alias("_p"), more.alias("_more"))))
     parsed = pages.select(*keep, once).select(*keep, bad.alias("malformed"), F.when(~bad, F.col("_p")).alias("_p"))
-    return parsed.select(
+    # and once more for the records' text content
+    records = F.inline(F.array(F.struct(F.transform("_p.ListRecords.record", _record).alias("records"))))
+    return parsed.select("*", records).select(
         *keep,
-        F.transform("_p.ListRecords.record", _record).alias("records"),
+        "records",
         _unmarked(F.col("_p.error._code")).alias("error_code"),
         _unmarked(F.col("_p.error._VALUE")).alias("error_text"),
         _unmarked(F.col("_p.ListRecords.resumptionToken._VALUE")).alias("resumption_token"),
