@@ -951,8 +951,9 @@ SELECT CASE WHEN p % {A.REQUEST_PAGES} = 0 THEN 'r' || CAST(p // {A.REQUEST_PAGE
 def q_set_batches(spark: SparkSession, sf: str) -> DataFrame:
     path = scratch_path(spark, "set-batches")
     write_set_batches(_harvest_rows(spark, sf), path, ["path", "pos"], BATCH)
-    back = spark.read.schema("header_identifier string, row_no long, set_spec string, batch_no long").parquet(path).select(
-        "*", F.col("_metadata.file_path").alias("file"))
+    # written once: opening a file costs more than its few records
+    back = written(spark.read.schema("header_identifier string, row_no long, batch_no long, set_spec string").parquet(path).select(
+        "*", F.col("_metadata.file_path").alias("file")), scratch_path(spark, "set-batches-read"))
     files = back.groupBy("set_spec", "batch_no").agg(F.countDistinct("file").alias("n_files"), F.count(F.lit(1)).alias("n_rows"))
     return back.join(files, ["set_spec", "batch_no"]).select("header_identifier", "set_spec", "batch_no", "row_no", "n_files", "n_rows")
 

@@ -157,16 +157,19 @@ def write_batches(df: DataFrame, path: str, size: int = 2000, mode: str = "error
 def write_set_batches(df: DataFrame, path: str, order: Sequence[str | Column], size: int = 2000,
                       set_col: str = "set_spec", mode: str = "errorifexists") -> None:
     """K4: write each set's records as the batches a harvest flushes: in arrival ``order``, every
-    batch of ``size`` records, the last what is left, one file a batch at
-    ``<path>/<set_col>=<set>/batch_no=<n>/``, with ``row_no`` in it.
+    batch of ``size`` records, the last what is left, one file a batch in the set's folder
+    ``<path>/<set_col>=<set>/``, with ``batch_no`` and ``row_no`` in it.
 
-    A range partitioning by (set, batch) keeps a batch in one task and cuts a set of any size
-    into as many tasks as it has batches for.
+    A batch is dealt by (set, batch), whole, to one task, so a set of any size has as many
+    tasks as it has batches for. A task writes a set's batches in order, all full but the set's
+    last: a file that closes at ``size`` records holds one batch. Making a folder and listing
+    it costs as much as the file in it, so there is one folder a set and none a batch.
     """
-    batches = assign_batches(df, order, set_col, size)
+    # NULL and the empty name share a folder, so they are one set
+    batches = assign_batches(df.withColumn(set_col, F.nullif(F.col(set_col), F.lit(""))), order, set_col, size)
     by = [set_col, "batch_no"]
-    (batches.repartitionByRange(shuffle_partitions(df.sparkSession), *by).sortWithinPartitions(*by, "row_no")
-     .write.mode(mode).partitionBy(*by).parquet(path))
+    (batches.repartition(shuffle_partitions(df.sparkSession), *by).sortWithinPartitions(*by, "row_no")
+     .write.mode(mode).option("maxRecordsPerFile", int(size)).partitionBy(set_col).parquet(path))
 
 
 def merge_into(spark: SparkSession, path: str, incoming: DataFrame,
