@@ -792,7 +792,7 @@ def q_stream_harvest(spark: SparkSession, sf: str) -> DataFrame:
     pages = A.pages_v(spark, sf)
     stale, late = A.stale_and_late(pages)
     for part in (pages.unionByName(stale), late):
-        compact_pages(part, landing)
+        compact_pages(part, landing, merge=False)
         stream_harvest(spark, landing, table_path, max_files_per_trigger=None, archive=True).awaitTermination()
     t = read_metadata(spark, table_path)
     return t.select("header_identifier", "header_datestamp",
@@ -851,7 +851,7 @@ def q_harvest_any_order(spark: SparkSession, sf: str) -> DataFrame:
     landing, table_path = scratch_path(spark, "any-order"), scratch_path(spark, "any-order-table")
     third = lambda k: pages.where(F.col("page_no") % 3 == k)
     for n, part in enumerate((late, third(1).unionByName(third(2)), third(0).unionByName(stale))):
-        compact_pages(part, f"{landing}/{n}")
+        compact_pages(part, f"{landing}/{n}", merge=False)
         stream_harvest(spark, landing, table_path, as_of=AS_OF_RECENT + " 00:00:00", num_buckets=8, max_files_per_trigger=None,
                        archive=True).awaitTermination()
         if n == 1:

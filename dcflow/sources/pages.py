@@ -56,15 +56,16 @@ def read_pages(spark: SparkSession, path: str | list[str],
 
 
 def compact_pages(pages: DataFrame, out_path: str, pages_per_file: int = 2000,
-                  mode: str = "append") -> None:
+                  mode: str = "append", merge: bool = True) -> None:
     """Archive landed pages as Parquet ``(path, landed_at, value)`` files of at
     most ``pages_per_file`` pages, so later runs list a few large files instead
     of one small file per response. Small scan tasks are merged by size (AQE's
-    rebalance), and pages are in path order within a task's files."""
+    rebalance), and pages are in path order within a task's files. ``merge=False`` for pages
+    whose tasks are sized already, as a shuffle's are: they are written where they are."""
     landed = F.col("landed_at") if "landed_at" in pages.columns else F.lit(None)
-    pages.select("path", landed.cast("timestamp").alias("landed_at"), "value") \
-        .hint("rebalance").sortWithinPartitions("path").write.mode(mode) \
-        .option("maxRecordsPerFile", int(pages_per_file)).parquet(out_path)
+    rows = pages.select("path", landed.cast("timestamp").alias("landed_at"), "value")
+    (rows.hint("rebalance") if merge else rows).sortWithinPartitions("path").write.mode(mode) \
+        .option("compression", "zstd").option("maxRecordsPerFile", int(pages_per_file)).parquet(out_path)
 
 
 def read_page_archive(spark: SparkSession, path: str) -> DataFrame:

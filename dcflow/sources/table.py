@@ -22,7 +22,7 @@ from __future__ import annotations
 import datetime as _dt
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -30,7 +30,8 @@ from ..functions.dates import lit_ts
 from ..operators.ledger import assign_batches
 from ..operators.merge import KEY, latest_per_key, micros
 from ..schemas import ARRIVAL, RECORD_COLUMNS, TABLE
-from ..session import list_names, make_dirs, path_exists, remove_path, scratch_path, shuffle_partitions, written
+from ..session import (broadcast_limit, folder_bytes, list_names, make_dirs, path_exists, remove_path, scratch_path,
+                       shuffle_partitions, written)
 
 DEFAULT_BUCKETS = 64
 # Identifiers expected per Parquet row group (128 MB of ~1 KB records), which
@@ -48,6 +49,8 @@ LAYOUT_DIR = "_dcflow_layout"
 # the day's records whatever their sets.
 COVERAGE = "set_spec string, d date, n long"
 ROW_COLUMNS = [f.name for f in TABLE.fields if f.name != "bucket"]
+# A delta's files take at least so many times the room of its identifiers alone, as joins see them.
+KEYS_SHARE = 8
 DELTA = T.StructType([f for f in TABLE.fields if f.name != "bucket"] + [T.StructField("version", T.LongType())])
 
 
@@ -99,22 +102,44 @@ def delta_versions(spark: SparkSession, path: str) -> list[int]:
 def read_metadata(spark: SparkSession, path: str) -> DataFrame:
     """The table as of its last merge, with its fixed schema (no inference).
 
-    Without deltas this is a plain scan of the base. With deltas, the base rows they do not
-    replace come with predicates pushed into the scan, and each delta row takes the earliest
-    ``created_at`` of its identifier from the base.
+    Without deltas this is a plain scan of the base. With deltas whose keys can be broadcast,
+    the base rows they do not replace come with predicates pushed into the scan, and each delta
+    row takes the earliest ``created_at`` of its identifier from the base. With larger deltas
+    both go through one shuffle by identifier, where joins would move the base's rows twice.
     """
     base = spark.read.schema(TABLE).parquet(_part(path, "base"))
     if not delta_versions(spark, path):
         return base
     buckets = table_buckets(spark, path) or DEFAULT_BUCKETS
     delta = spark.read.schema(DELTA).parquet(_part(path, "delta"))
+    if folder_bytes(spark, _part(path, "delta")) > KEYS_SHARE * broadcast_limit(spark):
+        copies = _unmerged(base).unionByName(delta.withColumn("bucket", bucket_of(KEY, buckets)))
+        return _settled(copies, KEY).select(*base.columns)
     keys = delta.select(KEY).distinct()
     # the base rows of these keys first: a few keys can be broadcast, the base need not move
-    held = base.drop("bucket").withColumn("version", F.lit(0).cast("bigint")).join(keys, KEY, "left_semi")
+    held = _unmerged(base.drop("bucket")).join(keys, KEY, "left_semi")
     fresh = _last_to_arrive(delta.unionByName(held)).withColumn("bucket", bucket_of(KEY, buckets))
     return base.join(keys, KEY, "left_anti").unionByName(fresh).select(*base.columns)
 
 
+def _unmerged(base: DataFrame) -> DataFrame:
+    """Base rows as version 0, the one before all deltas."""
+    return base.withColumn("version", F.lit(0).cast("bigint"))
+
+
+def _settled(copies: DataFrame, *by: str) -> DataFrame:
+    """Base rows (version 0) and delta rows, of each identifier in a delta reduced to the copy that
+    arrived last, with the earliest ``created_at`` of all. ``by`` holds the identifier and what
+    follows from it; rows dealt by any of these are not dealt again. An identifier has at most
+    one copy a version."""
+    w = Window.partitionBy(*by).orderBy(F.struct("arrival", "version").desc())
+    every = w.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    merged = F.max("version").over(every) > 0
+    marked = copies.select("*", F.row_number().over(w).alias("_nth"), merged.alias("_merged"), F.min("created_at").over(every).alias("_created"))
+    return marked.where("_nth = 1 OR NOT _merged").withColumn(
+        "created_at", F.when(F.col("_merged"), F.col("_created")).otherwise(F.col("created_at"))).drop("_nth", "_merged", "_created", "version")
+
+
 def _last_to_arrive(copies: DataFrame) -> DataFrame:
     """Per identifier the copy that arrived last, with the earliest ``created_at`` of all."""
     others = [c for c in ROW_COLUMNS if c not in (KEY, "created_at")]
@@ -135,9 +160,17 @@ def write_metadata(df: DataFrame, path: str, num_buckets: int = DEFAULT_BUCKETS,
     if "arrival" not in df.columns:
         df = df.withColumn("arrival", F.lit(None).cast(ARRIVAL))     # any merged row arrives later
     out = df.withColumn("bucket", bucket_of(KEY, num_buckets)).select(*[f.name for f in TABLE.fields])
+    _write_buckets(_dealt(out, tasks_per_bucket), path, max_records_per_file)
+
+
+def _dealt(rows: DataFrame, tasks_per_bucket: int) -> DataFrame:
+    """The rows by bucket and, within it, by ``_slice``."""
     # the slice hash differs from the bucket hash, or a bucket would stay in one slice
-    part = F.pmod(F.hash(KEY), F.lit(int(tasks_per_bucket)))
-    out = out.repartition("bucket", part).sortWithinPartitions("bucket", "header_datestamp")
+    return rows.withColumn("_slice", F.pmod(F.hash(KEY), F.lit(int(tasks_per_bucket)))).repartition("bucket", "_slice")
+
+
+def _write_buckets(dealt: DataFrame, path: str, max_records_per_file: int | None = None) -> None:
+    out = dealt.select(*[f.name for f in TABLE.fields]).sortWithinPartitions("bucket", "header_datestamp")
     w = _with_bloom(out).mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("bucket")
     if max_records_per_file:
         w = w.option("maxRecordsPerFile", int(max_records_per_file))
@@ -145,7 +178,7 @@ def write_metadata(df: DataFrame, path: str, num_buckets: int = DEFAULT_BUCKETS,
 
 
 def _with_bloom(df: DataFrame):
-    return df.write.option(f"parquet.bloom.filter.enabled#{KEY}", "true") \
+    return df.write.option("compression", "zstd").option(f"parquet.bloom.filter.enabled#{KEY}", "true") \
         .option(f"parquet.bloom.filter.expected.ndv#{KEY}", str(BLOOM_NDV))
 
 
@@ -221,20 +254,23 @@ def compact_table(spark: SparkSession, path: str, num_buckets: int = DEFAULT_BUC
                   max_files: int = 8, tasks_per_bucket: int = 1) -> int:
     """Fold the deltas into the base once more than ``max_files`` versions have gathered;
     returns how many were folded. Only buckets that hold a key of a delta are rewritten, each
-    by ``tasks_per_bucket`` tasks. What a read gives is unchanged."""
+    dealt to ``tasks_per_bucket`` tasks or more. What a read gives is unchanged."""
     _same_buckets(spark, path, num_buckets)
     _finish_folding(spark, path)
     versions = delta_versions(spark, path)
     if len(versions) <= max_files:
         return 0
     # at most num_buckets integers
-    touched = spark.read.schema(DELTA).parquet(_part(path, "delta")) \
-        .select(bucket_of(KEY, num_buckets).alias("bucket")).distinct()
-    rows = read_metadata(spark, path).join(F.broadcast(touched), "bucket", "left_semi")
+    delta = spark.read.schema(DELTA).parquet(_part(path, "delta")).withColumn("bucket", bucket_of(KEY, num_buckets))
+    touched = delta.select("bucket").distinct()
+    held = _unmerged(spark.read.schema(TABLE).parquet(_part(path, "base")).join(F.broadcast(touched), "bucket", "left_semi"))
     base = _coverage_state(spark, path)[0]
     if base is not None:
         _summed(spark, path).write.mode("overwrite").parquet(_part(path, f"coverage/base={base + 1}"))
-    write_metadata(rows, path, num_buckets, tasks_per_bucket=tasks_per_bucket)
+    # dealt once, to the task that writes it: a row meets its other copies there. As many tasks
+    # as a shuffle has, which AQE merges by size, so that a few large buckets need not spill
+    tasks = max(tasks_per_bucket, -(-shuffle_partitions(spark) // num_buckets))
+    _write_buckets(_settled(_dealt(held.unionByName(delta), tasks), "bucket", "_slice", KEY), path)
     if base is not None:
         make_dirs(spark, _part(path, f"{LAYOUT_DIR}/folding={base + 1}-{versions[-1]}"))
     _drop_versions(spark, path, versions)
