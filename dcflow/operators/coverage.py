@@ -64,7 +64,8 @@ def records_in_sets(df: DataFrame, sets: Sequence[str] | DataFrame, match: str =
     occurs in the JSON text of the record's set list. A list of set names is
     matched by an array expression per record (a generator, no join and no
     shuffle). A DataFrame of names is semi-joined on the exploded set, or, for
-    substrings, meets the distinct set lists through ``names_in_texts``.
+    substrings, meets the distinct set lists through ``names_in_texts``; that reads ``df`` twice,
+    so records that are costly to make are best written first.
     """
     if isinstance(sets, DataFrame):
         if match == "substring":
@@ -132,7 +133,8 @@ def existing_dates(df: DataFrame, sets: Sequence[str] | DataFrame | None, lo: Da
         rows = rows.withColumn("set_spec", F.lit(None).cast("string"))
     elif isinstance(sets, DataFrame):
         if match != "exact":
-            pairs = rows.select("header_setSpecs", harvest_date(ts_col).alias("d")).distinct()
+            # written, or the records would be read for the texts and again for the match
+            pairs = written(rows.select("header_setSpecs", harvest_date(ts_col).alias("d")).distinct(), scratch_path(df.sparkSession, "set-days"))
             return records_in_sets(pairs, sets, match).select("set_spec", "d").distinct()
         pairs = rows.select(F.explode(F.array_distinct("header_setSpecs")).alias("set_spec"),
                             harvest_date(ts_col).alias("d")).distinct()

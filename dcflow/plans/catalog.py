@@ -873,7 +873,8 @@ FROM documents WHERE {SQL_STORED}
 
 # Sets given as data, matched as substrings of the records' set lists
 def q_sets_substring(spark: SparkSession, sf: str) -> DataFrame:
-    recs = stored_records(spark, sf)
+    # both matches read the records, and one of them twice: the pages are parsed for all at once
+    recs = written(stored_records(spark, sf).select("header_setSpecs", "header_datestamp"), scratch_path(spark, "set-records"))
     d = A.table(spark, sf, "documents")
     sets = d.select(F.explode(F.array("lang", "source", F.concat_ws(":", "lang", "source"), F.concat(F.lit('"'), "lang", F.lit('","')),
                                       F.concat(F.substr("lang", F.lit(2)), F.lit(":")), F.substr("lang", F.lit(1), F.lit(1)),

@@ -84,3 +84,17 @@ def test_substring_sets_from_a_frame_equal_a_list(spark):
     sets = spark.createDataFrame([(x,) for x in names + ["cs"]], "s string")
     for fn in (lambda s: records_in_sets(df, s, "substring").select("id", "set_spec"), lambda s: existing_dates(df, s, "2024-01-01", "2024-01-02", "substring")):
         assert sorted(map(tuple, fn(sets).collect())) == sorted(map(tuple, fn(names).collect()))
+
+
+def test_substring_sets_from_a_frame_parse_pages_once(spark, monkeypatch):
+    from dcflow.plans import catalog
+
+    acc = spark.sparkContext.accumulator(0)
+    seen = F.udf(lambda x: acc.add(1) or x, "string")
+    one = ("<OAI-PMH><responseDate>x</responseDate><ListRecords><record><header><identifier>k{0}</identifier><datestamp>2024-01-0{0}</datestamp>"
+           "<setSpec>en</setSpec></header><metadata><dc/></metadata></record></ListRecords></OAI-PMH>")
+    pages = spark.createDataFrame([(f"p{i}", one.format(i)) for i in range(1, 6)], "path string, value string")
+    monkeypatch.setattr(catalog.A, "pages_v", lambda *_: pages.withColumn("value", seen("value")))
+    monkeypatch.setattr(catalog.A, "table", lambda *_: spark.createDataFrame([("en", "src")], "lang string, source string"))
+    assert {r.set_spec: (r.n_records, r.n_days) for r in catalog.q_sets_substring(spark, "").collect()} == {"en": (5, 5), "e": (5, 5)}
+    assert acc.value == 5      # a page, a call
