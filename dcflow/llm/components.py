@@ -1,8 +1,8 @@
 """Connected components of an edge table by alternating large-star and small-star rounds.
 
 Every round is two partial aggregations and two joins on node ids; the table of edges is
-written to the shared scratch folder after each round, so the lineage stays short. A star
-centre with many neighbours is pre-aggregated and its joins can be split by AQE.
+written to the shared scratch folder after each round, in as many files as its rows need, so
+the lineage stays short. A star centre with many neighbours is pre-aggregated and its joins can be split by AQE.
 """
 
 from __future__ import annotations
@@ -25,16 +25,18 @@ def _star(edges: DataFrame, large: bool) -> DataFrame:
     return out.where("a <> b").distinct()
 
 
-def components(edges: DataFrame) -> DataFrame:
-    """(node, root) for every node of the edge table (a, b); root is the component's least node."""
+def components(edges: DataFrame, n_edges: int | None = None) -> DataFrame:
+    """(node, root) for every node of the edge table (a, b); root is the component's least node.
+    ``n_edges``: about how many edges there are, if known."""
     now = staged(edges.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
-                 .where("a <> b").distinct(), "components")
-    mark = None
+                 .where("a <> b").distinct(), "components", rows=n_edges)
+    mark, rows = None, now.count()
     while True:
-        now = staged(_star(_star(now, True), False), "components")
+        # a large star has at most the rows of its edges, a small star twice as many
+        now = staged(_star(_star(now, True), False), "components", rows=2 * rows)
         seen = now.agg(F.count("*"), F.bit_xor(F.xxhash64("a", "b")), F.bit_xor(F.xxhash64("b", "a"))).first()
         if seen == mark:
             break
-        mark = seen
+        mark, rows = seen, seen[0]
     return now.select(F.col("a").alias("node"), F.col("b").alias("root")).union(
         now.select(F.col("b").alias("node"), F.col("b").alias("root"))).distinct()

@@ -52,27 +52,31 @@ def line_table(docs: DataFrame) -> DataFrame:
                       F.size(F.split(F.btrim("x.line", F.lit(WORD_SPACE)), WORD_SPACE_CLASS + "+")).alias("words"))
 
 
-def _ranked(rows: DataFrame, by: list[str], keep: list[str], name: str) -> DataFrame:
-    """``keep`` and the order-preserving rank r of ``by``, for values met at least twice."""
+def _ranked(rows: DataFrame, by: list[str], keep: list[str], name: str, n_rows: int) -> DataFrame:
+    """``keep`` and the order-preserving rank r of ``by``, for values met at least twice.
+    ``n_rows``: about how many ``rows`` has."""
     classes = rows.groupBy(*by).agg(F.count("*").alias("n")).where("n > 1").select(*by)
     ranks = (classes.repartitionByRange(*by).sortWithinPartitions(*by)
              .select(*by, F.monotonically_increasing_id().alias("r")))
     # numbered once and written: a re-run task must not number anew
-    return staged(rows.join(staged(ranks, name + "-ranks"), by).select(*keep, "r"), name)
+    ranks = staged(ranks, name + "-ranks", rows=n_rows // 2)
+    return staged(rows.join(ranks, by).select(*keep, "r"), name, rows=n_rows)
 
 
 def doubled(lines: DataFrame, depth: int) -> list[DataFrame]:
     """Ranks (d, t, i, r) of the runs of 1, 2, 4, ... lines up to ``depth`` lines that occur
     at least twice; the list ends early when no longer run repeats."""
+    n_rows = lines.count()
     lines = lines.select(*KEY, "i", "words", "h1", "h2").distinct()
-    levels = [_ranked(lines, ["h1", "h2"], [*KEY, "i", "words"], "lines-1")]
+    levels = [_ranked(lines, ["h1", "h2"], [*KEY, "i", "words"], "lines-1", n_rows)]
     step = 1
     while 2 * step <= depth:
         now = levels[-1].select(*KEY, "i", "r")
         after = now.select(*KEY, (F.col("i") - step).alias("i"), F.col("r").alias("r2"))
         pairs = now.join(after, [*KEY, "i"]).withColumnRenamed("r", "r1")
         step *= 2
-        nxt = _ranked(pairs, ["r1", "r2"], [*KEY, "i"], f"lines-{step}")
+        n_rows = levels[-1].count()
+        nxt = _ranked(pairs, ["r1", "r2"], [*KEY, "i"], f"lines-{step}", n_rows)
         if nxt.isEmpty():
             break
         levels.append(nxt)
@@ -118,7 +122,7 @@ def later_copies(lines: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
     found = (windows.withColumn("j", (F.col("i") + F.col("m") - F.expr("shiftleft(1, k)")).cast("int"))
              .join(head, ["k", *KEY, "i"]).join(tail, ["k", *KEY, "j"])
              .select(*KEY, "i", "m", "ra", "rb"))
-    found = staged(found, "line-windows")
+    found = staged(found, "line-windows", rows=2 * levels[0].count())
     first = (found.groupBy("m", "ra", "rb").agg(F.min(F.struct(*KEY, "i")).alias("first"), F.count("*").alias("n"))
              .where("n > 1").select("m", "ra", "rb", "first"))
     later = found.join(first, ["m", "ra", "rb"]).where(F.struct(*KEY, "i") > F.col("first"))

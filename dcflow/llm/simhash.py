@@ -215,7 +215,7 @@ def links(fps: DataFrame, col: str = "fp", max_bits: int = MAX_BITS, node_rows:
 
 def component_roots(fps: DataFrame, max_bits: int = MAX_BITS) -> DataFrame:
     """(fp, root): each distinct fingerprint and the one that names its component."""
-    roots = components(links(fps, "fp", max_bits))
+    roots = components(links(fps, "fp", max_bits), fps.count())  # the links are a few forests
     return fps.join(roots, fps["fp"] == roots["node"], "left").select("fp", F.coalesce("root", "fp").alias("root"))
 
 
@@ -223,7 +223,7 @@ def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, max_bits: int = MAX
     """doc_id, fingerprint (16 hex digits) and component_id (the least doc_id of the
     component), one row per row of ``docs``."""
     hashed = staged(with_fingerprints(doc_texts(docs), "text", "fp", shingle).select("doc_id", "fp"), "simhash")
-    per_fp = staged(hashed.groupBy("fp").agg(F.min("doc_id").alias("first")), "simhash-distinct")
+    per_fp = staged(hashed.groupBy("fp").agg(F.min("doc_id").alias("first")), "simhash-distinct", rows=hashed.count())
     roots = component_roots(per_fp.select("fp"), max_bits)
     named = per_fp.join(roots, "fp")
     least = named.groupBy("root").agg(F.min("first").alias("component_id"))
@@ -241,7 +241,7 @@ def keep_one(docs: DataFrame, shingle: int = SHINGLE, max_bits: int = MAX_BITS)
     marked = staged(with_fingerprints(marked, p + "text", p + "fp", shingle).select(*own, p + "id", p + "fp"), "simhash-rows")
     rows = marked.select(F.col(p + "fp").alias("fp"), F.struct(
         F.col("doc_id").isNull().alias("no_id"), F.col("doc_id").cast("bigint").alias("doc_id"), F.col(p + "id").alias("row")).alias("at"))
-    per_fp = staged(rows.groupBy("fp").agg(F.min("at").alias("at")), "simhash-distinct")
+    per_fp = staged(rows.groupBy("fp").agg(F.min("at").alias("at")), "simhash-distinct", rows=marked.count())
     kept = (per_fp.join(component_roots(per_fp.select("fp"), max_bits), "fp")
             .groupBy("root").agg(F.min("at").alias("at")).select(F.col("at.row").alias(p + "id")))
     return marked.join(kept, p + "id", "left_semi").select(*own)
